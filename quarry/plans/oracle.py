@@ -40,3 +40,93 @@ SQL["text_lines"] = LINES
 SQL["word_count"] = f"SELECT word, count(*) AS count FROM ({_token_rows(' ', 'word')}) GROUP BY word"
 SQL["csv_token_count"] = f"SELECT token, count(*) AS count FROM ({_token_rows(',', 'token')}) GROUP BY token"
 SQL["distinct_words"] = f"SELECT DISTINCT word FROM ({_token_rows(' ', 'word')}) WHERE length(word) > 0"
+
+# --- relational ---------------------------------------------------------------------------
+SQL["select_where"] = "SELECT c_name AS name, c_nationkey AS age FROM customer WHERE c_nationkey >= 13"
+SQL["typed_records"] = "SELECT c_name AS name, c_nationkey AS age FROM customer"
+SQL["dynamic_schema_records"] = "SELECT c_name AS name, CAST(c_nationkey AS VARCHAR) AS age FROM customer"
+SQL["string_numeric_filter"] = ("SELECT c_name AS name, CAST(c_nationkey AS VARCHAR) AS age FROM customer "
+                                "WHERE TRY_CAST(CAST(c_nationkey AS VARCHAR) AS DOUBLE) >= 13")
+SQL["row_format"] = ("SELECT 'Name[get by index]=' || c_name AS by_index, 'Name[get by fieldName]=' || c_name AS by_name "
+                     "FROM customer WHERE c_nationkey >= 13")
+SQL["from_first"] = "FROM nation SELECT n_nationkey AS key, n_name AS value"
+SQL["view_query"] = """
+SELECT l_returnflag, l_linestatus, count(*) AS n,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+SQL["join_sum_count"] = """
+SELECT o_custkey,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_sum,
+       count(*) AS order_cnt,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS order_avg
+FROM orders GROUP BY o_custkey"""
+SQL["cartesian"] = "SELECT * FROM region CROSS JOIN nation"
+SQL["subtract"] = """
+SELECT o_custkey AS custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c
+                  WHERE c.c_acctbal > 0 AND c.c_custkey IS NOT DISTINCT FROM o.o_custkey)"""
+SQL["intersection"] = ("SELECT DISTINCT o_custkey AS custkey FROM orders "
+                       "INTERSECT SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 0")
+SQL["union_all"] = ("SELECT c_custkey AS id, c_name AS info FROM customer "
+                    "UNION ALL SELECT s_suppkey, s_name FROM supplier")
+_SCORE = ("CAST(l_quantity AS DECIMAL(18,2)) * 0.8 + CAST(l_discount AS DECIMAL(18,2)) * 0.8 "
+          "+ CAST(l_tax AS DECIMAL(18,2)) * 1.0")
+SQL["top_pages"] = f"""
+SELECT l_partkey AS page, CAST(sum({_SCORE}) AS DOUBLE) AS pop
+FROM lineitem GROUP BY l_partkey ORDER BY pop DESC, page ASC LIMIT 10"""
+SQL["weighted_score"] = f"SELECT l_orderkey, l_linenumber, CAST({_SCORE} AS DOUBLE) AS score FROM lineitem"
+SQL["take_n"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10"
+_PURCHASES = "SELECT user_id, value, ts FROM events WHERE event_type = 'purchase'"
+SQL["payment_sum"] = (f"SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total "
+                      f"FROM ({_PURCHASES}) GROUP BY user_id")
+SQL["payment_count"] = f"SELECT user_id, count(*) AS cnt FROM ({_PURCHASES}) GROUP BY user_id"
+SQL["payment_avg"] = (f"SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg "
+                      f"FROM ({_PURCHASES}) GROUP BY user_id")
+SQL["observed_sum"] = "SELECT CAST(sum(l_linenumber * 2) AS BIGINT) AS total, count(*) AS n FROM lineitem"
+SQL["row_count"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}"
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
+SQL["hit_ratio"] = """
+WITH ids AS (SELECT l_orderkey * 8 + l_linenumber AS pid FROM lineitem),
+pts AS (SELECT CAST((pid * 7919) % 20011 AS DOUBLE) / 20011.0 * 2 - 1 AS x,
+               CAST((pid * 104729) % 20021 AS DOUBLE) / 20021.0 * 2 - 1 AS y FROM ids)
+SELECT n, hits, 4.0 * hits / n AS pi FROM (
+  SELECT count(*) AS n, CAST(sum(CAST(x * x + y * y < 1 AS BIGINT)) AS BIGINT) AS hits FROM pts)"""
+
+# --- windows: window start = bucket(ts, slide) - k * slide, k in [0, duration / slide) -------
+_P = "(SELECT user_id, value, ts FROM events WHERE event_type = 'purchase')"
+
+
+def _windowed(dur_s: int, slide_s: int) -> str:
+    n = dur_s // slide_s
+    slide_us = slide_s * 1_000_000
+    return f"""
+SELECT user_id, ws AS window_start, ws + INTERVAL {dur_s} SECOND AS window_end,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum, count(*) AS cnt,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg
+FROM (SELECT user_id, value,
+             make_timestamp(epoch_us(ts) - epoch_us(ts) % {slide_us} - k * {slide_us}) AS ws
+      FROM {_P}, range(0, {n}) r(k))
+GROUP BY user_id, ws"""
+
+
+SQL["win_tumbling"] = _windowed(5, 5)
+SQL["win_sliding_30"] = _windowed(30, 5)
+SQL["win_sliding_60"] = _windowed(60, 5)
+SQL["win_composed"] = f"""
+WITH s30 AS ({_windowed(30, 5)}),
+inner_t AS (SELECT user_id, sum, cnt, epoch_us(window_end) - 1 AS t FROM s30)
+SELECT user_id, ws AS window_start, ws + INTERVAL 10 SECOND AS window_end,
+       sum(sum) AS sum, CAST(sum(cnt) AS BIGINT) AS cnt, sum(sum) / sum(cnt) AS avg
+FROM (SELECT user_id, sum, cnt, make_timestamp(t - t % 5000000 - k * 5000000) AS ws
+      FROM inner_t, range(0, 2) r(k))
+GROUP BY user_id, ws"""
+
+# --- graph ---------------------------------------------------------------------------------
+_EDGES = "(SELECT l_suppkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem)"
+SQL["graph_load"] = f"SELECT src, dst FROM {_EDGES}"
+SQL["graph_out_degree"] = f"""
+SELECT v.id, coalesce(d.degree, 0) AS degree
+FROM (SELECT src AS id FROM {_EDGES} UNION SELECT dst FROM {_EDGES}) v
+LEFT JOIN (SELECT src AS id, count(*) AS degree FROM {_EDGES} GROUP BY src) d ON v.id = d.id"""

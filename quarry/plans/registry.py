@@ -25,5 +25,5 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules fills QUERIES
-    from quarry.plans import text_queries  # noqa: F401
+    from quarry.plans import relational_queries, text_queries, window_graph_queries  # noqa: F401
     return dict(QUERIES)

@@ -28,20 +28,39 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if row_bound_holds(df, max_rows) else df
 
 
+def bucket_bases(counts: DataFrame, by: list[str], bkt: str, n: str, fanout: int = 1024) -> DataFrame:
+    """Exclusive prefix sum of ``n`` over ``bkt`` within each ``by`` group: ``(by.., bkt, base)``.
+
+    Two levels keep every window small: buckets are grouped into super-buckets of ``fanout``;
+    super-bucket totals are prefix-summed (a table ``fanout`` times smaller than the bucket
+    table), then buckets are prefix-summed inside their super-bucket.
+    """
+    sup = F.floor(F.col(bkt) / F.lit(fanout)).cast("long")
+    c = counts.withColumn("_q_sup", sup)
+    sup_tot = c.groupBy(*by, "_q_sup").agg(F.sum(n).alias("_q_stot"))
+    w1 = Window.partitionBy(*by).orderBy("_q_sup").rowsBetween(Window.unboundedPreceding, -1)
+    sup_base = sup_tot.select(*by, "_q_sup", F.coalesce(F.sum("_q_stot").over(w1), F.lit(0)).alias("_q_sbase"))
+    w2 = Window.partitionBy(*by, "_q_sup").orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    inner = c.select(*by, "_q_sup", bkt, F.coalesce(F.sum(n).over(w2), F.lit(0)).alias("_q_ibase"))
+    return inner.join(sup_base, on=[*by, "_q_sup"]).select(
+        *by, bkt, (F.col("_q_sbase") + F.col("_q_ibase")).cast("long").alias("base"))
+
+
 def dense_positions(df: DataFrame, by: list[str], order: str, out: str = "pos",
                     bucket_width: int = 1 << 16) -> DataFrame:
     """Add ``out`` = 0-based rank of ``order`` within each ``by`` group (``order`` unique per group).
 
-    Equivalent to ``row_number() over (partition by by order by order) - 1`` but each window
-    partition holds at most ``bucket_width`` rows, so a group holding a third of the data is
-    spread across many tasks.
+    Equivalent to ``row_number() over (partition by by order by order) - 1`` but no window
+    partition holds more than one key-range bucket of ``bucket_width`` keys, so a group holding
+    a third of the data is spread across many tasks. The bucket-base table is joined back on
+    (group, bucket); AQE turns that join into a broadcast when the table proves small at run
+    time and otherwise keeps a skew-free shuffle join (every bucket is bounded).
     """
     bkt = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
     tagged = df.withColumn("_q_bkt", bkt)
     counts = tagged.groupBy(*by, "_q_bkt").agg(F.count(F.lit(1)).alias("_q_n"))
-    before = Window.partitionBy(*by).orderBy("_q_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*by, "_q_bkt", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_base"))
-    joined = tagged.join(bounded_broadcast(bases), on=[*by, "_q_bkt"], how="inner")
+    bases = bucket_bases(counts, by, "_q_bkt", "_q_n")
+    joined = tagged.join(bases, on=[*by, "_q_bkt"], how="inner")
     inside = Window.partitionBy(*by, "_q_bkt").orderBy(order)
-    return (joined.withColumn(out, (F.col("_q_base") + F.row_number().over(inside) - 1).cast("long"))
-                  .drop("_q_bkt", "_q_base"))
+    return (joined.withColumn(out, (F.col("base") + F.row_number().over(inside) - 1).cast("long"))
+                  .drop("_q_bkt", "base"))

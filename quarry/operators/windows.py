@@ -44,6 +44,6 @@ def composed(windowed: DataFrame, duration: str, slide: str, keys: list[str]) ->
     """
     inner_time = F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")
     w = F.window(inner_time, duration, slide)
-    agg = windowed.groupBy(*keys, w.alias("w")).agg(F.sum("sum").alias("sum"), F.sum("cnt").alias("cnt"))
+    agg = windowed.groupBy(*keys, w.alias("w")).agg(exact_sum("sum").alias("sum"), F.sum("cnt").alias("cnt"))
     return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "sum", "cnt", (F.col("sum") / F.col("cnt")).alias("avg"))

@@ -118,7 +118,8 @@ SQL["win_composed"] = f"""
 WITH s30 AS ({_windowed(30, 5)}),
 inner_t AS (SELECT user_id, sum, cnt, epoch_us(window_end) - 1 AS t FROM s30)
 SELECT user_id, ws AS window_start, ws + INTERVAL 10 SECOND AS window_end,
-       sum(sum) AS sum, CAST(sum(cnt) AS BIGINT) AS cnt, sum(sum) / sum(cnt) AS avg
+       CAST(sum(CAST(sum AS DECIMAL(18,2))) AS DOUBLE) AS sum, CAST(sum(cnt) AS BIGINT) AS cnt,
+       CAST(sum(CAST(sum AS DECIMAL(18,2))) AS DOUBLE) / sum(cnt) AS avg
 FROM (SELECT user_id, sum, cnt, make_timestamp(t - t % 5000000 - k * 5000000) AS ws
       FROM inner_t, range(0, 2) r(k))
 GROUP BY user_id, ws"""
@@ -130,3 +131,30 @@ SQL["graph_out_degree"] = f"""
 SELECT v.id, coalesce(d.degree, 0) AS degree
 FROM (SELECT src AS id FROM {_EDGES} UNION SELECT dst FROM {_EDGES}) v
 LEFT JOIN (SELECT src AS id, count(*) AS degree FROM {_EDGES} GROUP BY src) d ON v.id = d.id"""
+
+# --- id sets: bucket = bitmap bucket of an id (ids here are >= 0) ---------------------------
+_BKT = "CASE WHEN id > 0 THEN (id - 1) // 32768 + 1 ELSE 0 END"
+_ITEMS = "(SELECT DISTINCT l_orderkey AS id FROM lineitem)"
+_ORDERS = "(SELECT DISTINCT o_orderkey AS id FROM orders)"
+SQL["bitmap_cardinality"] = "SELECT count(DISTINCT l_orderkey) AS cardinality FROM lineitem"
+SQL["bitmap_or"] = (f"SELECT {_BKT} AS bucket, count(*) AS cardinality FROM "
+                    f"(SELECT id FROM {_ITEMS} UNION SELECT id FROM {_ORDERS}) GROUP BY 1")
+SQL["bitmap_and"] = (f"SELECT {_BKT} AS bucket, count(*) AS cardinality FROM "
+                     f"(SELECT id FROM {_ITEMS} INTERSECT SELECT id FROM {_ORDERS}) GROUP BY 1")
+SQL["id_contains"] = (f"SELECT o_orderkey AS id, o_orderkey IN (SELECT id FROM {_ITEMS}) AS contained FROM orders")
+SQL["id_rank"] = f"""
+SELECT x, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT v AS x, is_m, sum(is_m) OVER (ORDER BY v, is_m DESC ROWS UNBOUNDED PRECEDING) AS rank
+  FROM (SELECT id AS v, 1 AS is_m FROM {_ITEMS} UNION ALL SELECT id, 0 FROM {_ORDERS}))
+WHERE is_m = 0"""
+SQL["id_select"] = f"SELECT row_number() OVER (ORDER BY id) - 1 AS j, id FROM {_ITEMS}"
+SQL["id_set_equal"] = f"""
+SELECT 'items_vs_orders' AS pair,
+       NOT EXISTS (SELECT id FROM {_ITEMS} EXCEPT SELECT id FROM {_ORDERS})
+       AND NOT EXISTS (SELECT id FROM {_ORDERS} EXCEPT SELECT id FROM {_ITEMS}) AS equal
+UNION ALL
+SELECT 'items_vs_orders_with_items',
+       NOT EXISTS (SELECT id FROM {_ITEMS} EXCEPT SELECT id FROM {_ORDERS} WHERE id IN (SELECT id FROM {_ITEMS}))
+       AND NOT EXISTS (SELECT id FROM {_ORDERS} WHERE id IN (SELECT id FROM {_ITEMS}) EXCEPT SELECT id FROM {_ITEMS})"""
+SQL["bitmap_roundtrip"] = (f"SELECT 'items' AS set_name, count(*) AS cardinality FROM {_ITEMS} "
+                           f"UNION ALL SELECT 'orders', count(*) FROM {_ORDERS}")

@@ -158,3 +158,125 @@ SELECT 'items_vs_orders_with_items',
        AND NOT EXISTS (SELECT id FROM {_ORDERS} WHERE id IN (SELECT id FROM {_ITEMS}) EXCEPT SELECT id FROM {_ITEMS})"""
 SQL["bitmap_roundtrip"] = (f"SELECT 'items' AS set_name, count(*) AS cardinality FROM {_ITEMS} "
                            f"UNION ALL SELECT 'orders', count(*) FROM {_ORDERS}")
+
+# --- files, catalog ------------------------------------------------------------------------
+SQL["parquet_scan"] = "SELECT * FROM region"
+SQL["parquet_roundtrip"] = "SELECT * FROM lineitem"
+SQL["schema_merge"] = """
+SELECT p_partkey AS single,
+       CASE WHEN p_size <= 25 THEN p_partkey * 2 END AS double,
+       CASE WHEN p_size > 25 THEN p_partkey * 3 END AS triple,
+       CAST(CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS INTEGER) AS key
+FROM part"""
+SQL["save_as_table"] = SQL["union_all"]
+SQL["load_table"] = "SELECT n_nationkey AS key, n_name AS value FROM nation"
+SQL["text_pairs_roundtrip"] = f"SELECT '(' || word || ',' || CAST(count AS VARCHAR) || ')' AS value FROM ({SQL['word_count']})"
+SQL["fanout_by_word"] = f"""
+WITH t AS ({_token_rows(' ', 'word')}),
+lc AS (SELECT lower(word) AS lw, count(*) AS n FROM t WHERE length(word) > 0 GROUP BY 1)
+SELECT w.word, lc.n, '1' AS value
+FROM (SELECT DISTINCT word FROM t WHERE length(word) > 0) w JOIN lc ON lower(w.word) = lc.lw"""
+
+# --- cells -----------------------------------------------------------------------------------
+_CUST_CELLS = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 1 AS version
+FROM customer, LATERAL (VALUES ('name', c_name),
+                               ('acctbal', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR)),
+                               ('segment', c_mktsegment)) q(qualifier, value)"""
+_SUPP_CELLS = """
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 2 AS version
+FROM supplier, LATERAL (VALUES ('name', s_name),
+                               ('acctbal', CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR))) q(qualifier, value)"""
+SQL["cells_full_scan"] = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, c_name AS name,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS acctbal, c_mktsegment AS segment
+FROM customer"""
+SQL["cells_range_scan"] = f"""
+SELECT row_key, family, qualifier, value FROM ({_CUST_CELLS})
+WHERE (row_key >= '0000000100' AND row_key < '0000000200' AND qualifier IN ('name', 'acctbal'))
+   OR row_key = '0000000500'"""
+SQL["cells_filter_scan"] = f"""
+SELECT row_key, family, qualifier, value FROM ({_CUST_CELLS})
+WHERE family = 'cf' AND contains(row_key, '7') AND contains(qualifier, 'a')"""
+SQL["cells_put"] = f"""
+SELECT row_key, family, qualifier, arg_max(value, version) AS value
+FROM ({_CUST_CELLS} UNION ALL {_SUPP_CELLS}) GROUP BY row_key, family, qualifier"""
+
+# --- documents -------------------------------------------------------------------------------
+SQL["docs_from_maps"] = """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type, CAST(user_id AS VARCHAR) AS "user",
+       CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value FROM events"""
+SQL["docs_from_json"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, "
+                         "CAST(NULL AS VARCHAR) AS bad_doc FROM events")
+SQL["docs_routed"] = "SELECT event_id, user_id, value, event_type FROM events"
+SQL["docs_upsert"] = """
+SELECT event_id AS id, user_id,
+       CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value,
+       CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM events"""
+_BULK = """
+SELECT CAST(o_orderkey % 10 + 1 AS INTEGER) AS batch,
+       CAST(o_orderkey % 10 + 1 AS VARCHAR) || '_' || CAST(o_orderkey // 10 + 1 AS VARCHAR) AS id
+FROM orders"""
+SQL["gen_docs"] = f"SELECT batch, CAST(json_object('id', id, 'content', 'content_' || id) AS VARCHAR) AS doc FROM ({_BULK})"
+SQL["docs_bulk"] = f"SELECT batch, count(*) AS n, count(DISTINCT id) AS ids FROM ({_BULK}) GROUP BY batch"
+SQL["gen_payments"] = """
+SELECT "user", sum(amount) AS total, count(*) AS cnt FROM (
+  SELECT ['Kigo', 'Gao', 'Li', 'Youtong'][event_id % 4 + 1] AS "user", CAST(event_id * 7 % 10 AS DOUBLE) AS amount
+  FROM events) GROUP BY "user\""""
+
+# --- streams -------------------------------------------------------------------------------
+SQL["stream_batch_word_count"] = SQL["word_count"]
+SQL["stream_word_totals"] = SQL["word_count"]
+SQL["stream_seeded_totals"] = f"""
+SELECT coalesce(w.word, s.word) AS word, CAST(coalesce(w.count, 0) + coalesce(s.seed, 0) AS BIGINT) AS count
+FROM ({SQL['word_count']}) w FULL OUTER JOIN (VALUES ('hello', 1), ('world', 1)) s(word, seed) ON w.word = s.word"""
+SQL["stream_payment_totals"] = f"SELECT user_id, total, true AS batches_add_up FROM ({SQL['payment_sum']})"
+SQL["keyed_state"] = SQL["payment_sum"]
+SQL["stream_top_pages"] = """
+WITH s AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS page,
+         CAST(CAST(CAST(CAST(l_quantity AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
+              + CAST(CAST(CAST(l_discount AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
+              + CAST(CAST(CAST(l_tax AS VARCHAR) AS FLOAT) AS DOUBLE) * 1.0 AS DECIMAL(20,10)) AS score
+  FROM lineitem),
+t AS (SELECT page, CAST(sum(score) AS DOUBLE) AS pop FROM s GROUP BY page
+      UNION ALL SELECT 'page1', 0.0)
+SELECT page, sum(pop) AS pop FROM t GROUP BY page ORDER BY pop DESC, page ASC LIMIT 10"""
+
+_LOG = """
+SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+       row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY event_id) - 1 AS "offset",
+       CAST(user_id AS VARCHAR) AS key,
+       CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS value
+FROM events"""
+_BOUNDS = (f"SELECT topic, partition, min(\"offset\") AS earliest, max(\"offset\") + 1 AS latest "
+           f"FROM ({_LOG}) GROUP BY topic, partition")
+_CLAMP = f"""
+SELECT topic, partition, committed, earliest, latest,
+       CASE WHEN committed IS NULL THEN earliest
+            WHEN committed >= earliest AND committed <= latest THEN committed
+            ELSE earliest END AS start
+FROM (SELECT topic, partition, earliest, latest,
+             CAST(CASE WHEN partition = 0 THEN floor((earliest + latest) / 2)
+                       WHEN partition = 1 THEN latest + 5 END AS BIGINT) AS committed
+      FROM ({_BOUNDS}))"""
+SQL["log_stream_values"] = f"SELECT topic, partition, \"offset\", value FROM ({_LOG})"
+SQL["log_stream_kv"] = f"SELECT key, value FROM ({_LOG})"
+SQL["offset_clamp"] = _CLAMP
+SQL["log_resume"] = f"""
+SELECT l.topic, l.partition, l."offset", l.key, l.value
+FROM ({_LOG}) l JOIN ({_CLAMP}) c ON l.topic = c.topic AND l.partition = c.partition
+WHERE l."offset" >= c.start"""
+SQL["offset_commit"] = f"SELECT topic, partition, max(\"offset\") + 1 AS next_offset FROM ({_LOG}) GROUP BY topic, partition"
+SQL["log_sink"] = """
+SELECT 'purchase_out' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, CAST(user_id AS VARCHAR) AS key,
+       CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS value,
+       true AS dense
+FROM events WHERE event_type = 'purchase'"""
+SQL["record_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+SQL["dir_stream_filtered"] = f"""
+SELECT token, count(*) AS count FROM (
+  SELECT unnest({_tokens("line", ",")}) AS token
+  FROM (SELECT concat_ws(',', c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS line FROM customer))
+GROUP BY token"""

@@ -25,5 +25,6 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules fills QUERIES
-    from quarry.plans import idset_queries, relational_queries, text_queries, window_graph_queries  # noqa: F401
+    from quarry.plans import (idset_queries, relational_queries, store_queries, text_queries,  # noqa: F401
+                              stream_queries, window_graph_queries)
     return dict(QUERIES)

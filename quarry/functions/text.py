@@ -31,7 +31,8 @@ def strip_trailing(col, sep: str = " ") -> Column:
 def tokens(col, sep: str = " ") -> Column:
     """Split with Java ``String.split`` semantics; returns ``array<string>``."""
     c = _c(col)
-    stripped = strip_trailing(c, sep)
+    # the regex runs only on lines that end with the separator
+    stripped = F.when(c.endswith(sep), strip_trailing(c, sep)).otherwise(c)
     empty = F.array().cast("array<string>")
     return (F.when(c == "", F.array(F.lit("")))
              .when(stripped == "", empty)
@@ -47,18 +48,20 @@ def lines(col) -> Column:
 
 
 def weighted_score(cols, weights) -> Column:
-    """Weighted sum ``sum(col_i * w_i)`` computed exactly in decimal and returned as double.
+    """Weighted sum ``sum(col_i * w_i)`` as an exact decimal (cast to double by the caller after
+    any further sums), so scores and their totals do not depend on summation order.
 
-    Inputs carry at most two decimals (prices, rates, quantities), so casting to
-    ``decimal(18,2)`` is exact and the score does not depend on summation order.
+    Inputs are fixed to 10 decimals (``decimal(24,10)``), weights to 3.
     """
     expr = None
     for col, w in zip(cols, weights):
-        term = _c(col).cast("decimal(18,2)") * F.lit(w).cast("decimal(6,3)")
+        term = _c(col).cast("decimal(24,10)") * F.lit(w).cast("decimal(6,3)")
         expr = term if expr is None else expr + term
     return expr
 
 
-def exact_sum(col) -> Column:
-    """Order-independent sum of a two-decimal double column (decimal sum, double result)."""
-    return F.sum(_c(col).cast("decimal(18,2)")).cast("double")
+def exact_sum(col, scale: int = 10) -> Column:
+    """Order-independent sum of a double column: each value fixed to ``scale`` decimals
+    (``decimal(38, scale)``), summed exactly, returned as double. Money and rate columns with
+    a few decimals are summed without error; the result is the same whatever the row order."""
+    return F.sum(_c(col).cast(f"decimal(38,{scale})")).cast("double")

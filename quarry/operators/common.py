@@ -18,6 +18,16 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the scan yields fewer splits than cores.
+
+    For CPU-heavy per-row work (tokenizing long texts) read from few large files. With as many
+    input splits as cores (any large input) this is a no-op and adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (stops counting at ``max_rows + 1``)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -1,5 +1,9 @@
 """Oracle SQL (DuckDB dialect) for each registered query, over the shared tables as views.
 
+Doubles become decimals and decimals become doubles through VARCHAR, which is what Spark's
+casts do (shortest decimal string of the double; one correctly rounded step back). DuckDB's
+direct casts scale in binary floating point and can be off in the last digit.
+
 Fixed text rules used below, equal to the Spark side:
   lines(t)  = split on chr(10); a final chr(10) opens no extra line; '' has no lines
   tokens(l) = Java String.split on one separator: '' -> [''], only separators -> [],
@@ -52,13 +56,13 @@ SQL["row_format"] = ("SELECT 'Name[get by index]=' || c_name AS by_index, 'Name[
 SQL["from_first"] = "FROM nation SELECT n_nationkey AS key, n_name AS value"
 SQL["view_query"] = """
 SELECT l_returnflag, l_linestatus, count(*) AS n,
-       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
+       CAST(CAST(sum(CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS qty
 FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 SQL["join_sum_count"] = """
 SELECT o_custkey,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_sum,
+       CAST(CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS order_sum,
        count(*) AS order_cnt,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS order_avg
+       CAST(CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) / count(*) AS order_avg
 FROM orders GROUP BY o_custkey"""
 SQL["cartesian"] = "SELECT * FROM region CROSS JOIN nation"
 SQL["subtract"] = """
@@ -69,18 +73,18 @@ SQL["intersection"] = ("SELECT DISTINCT o_custkey AS custkey FROM orders "
                        "INTERSECT SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 0")
 SQL["union_all"] = ("SELECT c_custkey AS id, c_name AS info FROM customer "
                     "UNION ALL SELECT s_suppkey, s_name FROM supplier")
-_SCORE = ("CAST(l_quantity AS DECIMAL(18,2)) * 0.8 + CAST(l_discount AS DECIMAL(18,2)) * 0.8 "
-          "+ CAST(l_tax AS DECIMAL(18,2)) * 1.0")
+_SCORE = ("CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(24,10)) * 0.8 + CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(24,10)) * 0.8 "
+          "+ CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(24,10)) * 1.0")
 SQL["top_pages"] = f"""
-SELECT l_partkey AS page, CAST(sum({_SCORE}) AS DOUBLE) AS pop
+SELECT l_partkey AS page, CAST(CAST(sum({_SCORE}) AS VARCHAR) AS DOUBLE) AS pop
 FROM lineitem GROUP BY l_partkey ORDER BY pop DESC, page ASC LIMIT 10"""
-SQL["weighted_score"] = f"SELECT l_orderkey, l_linenumber, CAST({_SCORE} AS DOUBLE) AS score FROM lineitem"
+SQL["weighted_score"] = f"SELECT l_orderkey, l_linenumber, CAST(CAST({_SCORE} AS VARCHAR) AS DOUBLE) AS score FROM lineitem"
 SQL["take_n"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10"
 _PURCHASES = "SELECT user_id, value, ts FROM events WHERE event_type = 'purchase'"
-SQL["payment_sum"] = (f"SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total "
+SQL["payment_sum"] = (f"SELECT user_id, CAST(CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS total "
                       f"FROM ({_PURCHASES}) GROUP BY user_id")
 SQL["payment_count"] = f"SELECT user_id, count(*) AS cnt FROM ({_PURCHASES}) GROUP BY user_id"
-SQL["payment_avg"] = (f"SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg "
+SQL["payment_avg"] = (f"SELECT user_id, CAST(CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) / count(*) AS avg "
                       f"FROM ({_PURCHASES}) GROUP BY user_id")
 SQL["observed_sum"] = "SELECT CAST(sum(l_linenumber * 2) AS BIGINT) AS total, count(*) AS n FROM lineitem"
 SQL["row_count"] = " UNION ALL ".join(
@@ -95,6 +99,7 @@ SELECT n, hits, 4.0 * hits / n AS pi FROM (
   SELECT count(*) AS n, CAST(sum(CAST(x * x + y * y < 1 AS BIGINT)) AS BIGINT) AS hits FROM pts)"""
 
 # --- windows: window start = bucket(ts, slide) - k * slide, k in [0, duration / slide) -------
+# sums are exact: decimal(38,10) per value, summed, then double
 _P = "(SELECT user_id, value, ts FROM events WHERE event_type = 'purchase')"
 
 
@@ -103,8 +108,8 @@ def _windowed(dur_s: int, slide_s: int) -> str:
     slide_us = slide_s * 1_000_000
     return f"""
 SELECT user_id, ws AS window_start, ws + INTERVAL {dur_s} SECOND AS window_end,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum, count(*) AS cnt,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg
+       CAST(CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS sum, count(*) AS cnt,
+       CAST(CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) / count(*) AS avg
 FROM (SELECT user_id, value,
              make_timestamp(epoch_us(ts) - epoch_us(ts) % {slide_us} - k * {slide_us}) AS ws
       FROM {_P}, range(0, {n}) r(k))
@@ -118,8 +123,8 @@ SQL["win_composed"] = f"""
 WITH s30 AS ({_windowed(30, 5)}),
 inner_t AS (SELECT user_id, sum, cnt, epoch_us(window_end) - 1 AS t FROM s30)
 SELECT user_id, ws AS window_start, ws + INTERVAL 10 SECOND AS window_end,
-       CAST(sum(CAST(sum AS DECIMAL(18,2))) AS DOUBLE) AS sum, CAST(sum(cnt) AS BIGINT) AS cnt,
-       CAST(sum(CAST(sum AS DECIMAL(18,2))) AS DOUBLE) / sum(cnt) AS avg
+       CAST(CAST(sum(CAST(CAST(sum AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) AS sum, CAST(sum(cnt) AS BIGINT) AS cnt,
+       CAST(CAST(sum(CAST(CAST(sum AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) / sum(cnt) AS avg
 FROM (SELECT user_id, sum, cnt, make_timestamp(t - t % 5000000 - k * 5000000) AS ws
       FROM inner_t, range(0, 2) r(k))
 GROUP BY user_id, ws"""
@@ -181,15 +186,15 @@ FROM (SELECT DISTINCT word FROM t WHERE length(word) > 0) w JOIN lc ON lower(w.w
 _CUST_CELLS = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 1 AS version
 FROM customer, LATERAL (VALUES ('name', c_name),
-                               ('acctbal', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR)),
+                               ('acctbal', CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR)),
                                ('segment', c_mktsegment)) q(qualifier, value)"""
 _SUPP_CELLS = """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 2 AS version
 FROM supplier, LATERAL (VALUES ('name', s_name),
-                               ('acctbal', CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR))) q(qualifier, value)"""
+                               ('acctbal', CAST(CAST(CAST(s_acctbal AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR))) q(qualifier, value)"""
 SQL["cells_full_scan"] = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, c_name AS name,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS acctbal, c_mktsegment AS segment
+       CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(18,2)) AS DOUBLE) AS acctbal, c_mktsegment AS segment
 FROM customer"""
 SQL["cells_range_scan"] = f"""
 SELECT row_key, family, qualifier, value FROM ({_CUST_CELLS})
@@ -205,7 +210,7 @@ FROM ({_CUST_CELLS} UNION ALL {_SUPP_CELLS}) GROUP BY row_key, family, qualifier
 # --- documents -------------------------------------------------------------------------------
 SQL["docs_from_maps"] = """
 SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type, CAST(user_id AS VARCHAR) AS "user",
-       CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value FROM events"""
+       CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR) AS value FROM events"""
 SQL["docs_from_json"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, "
                          "CAST(NULL AS VARCHAR) AS bad_doc FROM events")
 SQL["docs_routed"] = "SELECT event_id, user_id, value, event_type FROM events"
@@ -236,11 +241,11 @@ SQL["keyed_state"] = SQL["payment_sum"]
 SQL["stream_top_pages"] = """
 WITH s AS (
   SELECT CAST(l_partkey AS VARCHAR) AS page,
-         CAST(CAST(CAST(CAST(l_quantity AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
-              + CAST(CAST(CAST(l_discount AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
-              + CAST(CAST(CAST(l_tax AS VARCHAR) AS FLOAT) AS DOUBLE) * 1.0 AS DECIMAL(20,10)) AS score
+         CAST(CAST(CAST(CAST(CAST(l_quantity AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
+                   + CAST(CAST(CAST(l_discount AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
+                   + CAST(CAST(CAST(l_tax AS VARCHAR) AS FLOAT) AS DOUBLE) * 1.0 AS VARCHAR) AS DECIMAL(20,10)) AS score
   FROM lineitem),
-t AS (SELECT page, CAST(sum(score) AS DOUBLE) AS pop FROM s GROUP BY page
+t AS (SELECT page, CAST(CAST(sum(score) AS VARCHAR) AS DOUBLE) AS pop FROM s GROUP BY page
       UNION ALL SELECT 'page1', 0.0)
 SELECT page, sum(pop) AS pop FROM t GROUP BY page ORDER BY pop DESC, page ASC LIMIT 10"""
 

@@ -73,7 +73,7 @@ def view_query(spark, sf_dir):
     read_table(spark, sf_dir, "lineitem").createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT l_returnflag, l_linestatus, count(*) AS n,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
+               CAST(sum(CAST(l_quantity AS DECIMAL(38,10))) AS DOUBLE) AS qty
         FROM {view} GROUP BY l_returnflag, l_linestatus""")
 
 

@@ -11,6 +11,7 @@ from quarry.operators import text as tx
 from quarry.plans.registry import register
 from quarry.plans.relational_queries import POPULARITY_WEIGHTS
 from quarry.session import scratch_path
+from quarry.sinks.files import pair_lines
 from quarry.sources import logtable as lg
 from quarry.sources.tables import read_table
 from quarry.streaming import state as st
@@ -24,25 +25,31 @@ PAGE_SEED = ("page1", 0.0)
 
 
 def _staged_lines(spark, sf_dir):
-    """Document lines as text files, ``N_FILES`` document-id slices."""
+    """Document lines as text files in one folder: ``N_FILES`` document-id slices."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = tx.document_lines(docs)
     return stage_files(lines.select("doc_id", F.col("line").alias("value")), scratch_path(spark, "lines-src"),
-                       N_FILES, ["doc_id"], fmt="parquet")
+                       N_FILES, ["doc_id"], fmt="text", cols=["value"])
 
 
 def _line_stream(spark, path):
-    return spark.readStream.schema("doc_id long, value string").option("maxFilesPerTrigger", 1).parquet(path)
+    """Directory text stream: each new file is read once, one file per micro-batch."""
+    return spark.readStream.option("maxFilesPerTrigger", 1).text(path)
 
 
 @register("stream_batch_word_count")
 def stream_batch_word_count(spark, sf_dir):
     src = _staged_lines(spark, sf_dir)
     out = scratch_path(spark, "batch-wc")
-    run_available(_line_stream(spark, src), batch_dirs_sink(out, lambda b: tx.word_count(b, "value")),
+    # each batch's counts go to their own folder as "(word,count)" text lines
+    run_available(_line_stream(spark, src),
+                  batch_dirs_sink(out, lambda b: pair_lines(tx.word_count(b, "value"), "word", "count"), fmt="text"),
                   checkpoint_dir(spark, "batch-wc"))
-    per_batch = read_batches(spark, out, "word string, count long")
-    return per_batch.groupBy("word").agg(F.sum("count").cast("long").alias("count"))
+    per_batch = read_batches(spark, out, "value string", fmt="text")
+    pair = "^\\((.*),(-?[0-9]+)\\)$"
+    parsed = per_batch.select(F.regexp_extract("value", pair, 1).alias("word"),
+                              F.regexp_extract("value", pair, 2).cast("long").alias("count"))
+    return parsed.groupBy("word").agg(F.sum("count").cast("long").alias("count"))
 
 
 @register("stream_word_totals")
@@ -206,7 +213,7 @@ def log_sink(spark, sf_dir):
                         F.col("user_id").cast("string").alias("key"),
                         lg.encode(b, ["event_id", "user_id", "value"]).alias("value"),
                         F.col("ts").alias("timestamp"), "event_id")
-        lg.append_records(spark, path, recs, "event_id")
+        lg.append_records(spark, path, recs, "event_id", batch_id)
 
     run_available(_purchase_stream(spark, src), sink, checkpoint_dir(spark, "log-out"))
     log = lg.read_log(spark, path)

@@ -1,5 +1,9 @@
 """Replayable log tables: ``(topic, partition, offset, key, value, timestamp)`` in Parquet,
-partitioned by topic and partition, read as a batch or as a file stream.
+partitioned by topic, partition and the writing ``batch``, read as a batch or a file stream.
+
+A writer that is replayed (a ``foreachBatch`` retried after a failure) overwrites only its
+own batch's folders (dynamic partition overwrite) and numbers its records after the offsets
+of earlier batches, so a replay yields the same rows and offsets, never duplicates.
 
 Offsets are dense per (topic, partition) and assigned with ``dense_positions`` (bounded
 buckets plus prefix sums), so a partition holding a third of all records is still numbered by
@@ -13,23 +17,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.common import bounded_broadcast, dense_positions
+from quarry.session import path_exists
 
-LOG_SCHEMA = ("topic string, partition int, offset long, key string, value binary, timestamp timestamp_ntz")
+LOG_SCHEMA = ("offset long, key string, value binary, timestamp timestamp_ntz, "
+              "topic string, partition int, batch long")
 
 
 def to_log(records: DataFrame, topic: Column, partition: Column, key: Column, value: Column,
-           order: str, timestamp: Column | None = None) -> DataFrame:
+           order: str, timestamp: Column | None = None, batch: int = 0) -> DataFrame:
     """Records -> log rows with dense offsets per (topic, partition) in ``order``."""
     base = records.select(topic.alias("topic"), partition.cast("int").alias("partition"),
                           key.cast("string").alias("key"), value.cast("binary").alias("value"),
                           (timestamp if timestamp is not None else F.lit(None).cast("timestamp_ntz")).alias("timestamp"),
                           F.col(order).alias("_q_order"))
     numbered = dense_positions(base, ["topic", "partition"], "_q_order", out="offset")
-    return numbered.select("topic", "partition", "offset", "key", "value", "timestamp")
+    return numbered.select("topic", "partition", "offset", "key", "value", "timestamp",
+                           F.lit(batch).cast("long").alias("batch"))
 
 
-def write_log(log: DataFrame, path: str, mode: str = "append") -> str:
-    log.write.mode(mode).partitionBy("topic", "partition").parquet(path)
+def write_log(log: DataFrame, path: str) -> str:
+    """Write log rows; folders of other batches are left untouched, this batch's are replaced."""
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "partition", "batch").parquet(path))
     return path
 
 
@@ -73,16 +82,15 @@ def commits(batch: DataFrame) -> DataFrame:
     return batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
-def append_records(spark: SparkSession, path: str, records: DataFrame, order: str) -> None:
+def append_records(spark: SparkSession, path: str, records: DataFrame, order: str, batch: int = 0) -> None:
     """Append records (topic, partition, key, value, timestamp, order column) to the log at
-    ``path`` with offsets continuing after each partition's current last offset."""
+    ``path`` as batch ``batch``, offsets continuing after the last offset of earlier batches.
+    Writing the same batch again replaces it (idempotent replay)."""
     numbered = to_log(records, F.col("topic"), F.col("partition"), F.col("key"), F.col("value"), order,
-                      F.col("timestamp"))
-    try:
-        last = bounds(read_log(spark, path)).select("topic", "partition", F.col("latest").alias("_q_next"))
-    except Exception:  # noqa: BLE001 - no log yet
-        last = None
-    if last is not None:
+                      F.col("timestamp"), batch)
+    if path_exists(spark, path):
+        earlier = read_log(spark, path).where(F.col("batch") < batch)
+        last = bounds(earlier).select("topic", "partition", F.col("latest").alias("_q_next"))
         numbered = numbered.join(bounded_broadcast(last), ["topic", "partition"], "left") \
                            .withColumn("offset", F.col("offset") + F.coalesce("_q_next", F.lit(0))).drop("_q_next")
     write_log(numbered, path)

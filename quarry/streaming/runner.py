@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from quarry.session import scratch_path
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: str = "parquet") -> str:
+def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: str = "parquet",
+                cols: list[str] | None = None) -> str:
     """Write ``df`` as ``n_files`` key-range slices, one append per slice in key order, so a
     file stream reads them back as ordered micro-batches (oldest file first)."""
     lo_hi = df.agg(*[F.min(order[0]).alias("lo"), F.max(order[0]).alias("hi")]).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     if lo is None:
-        getattr(df.limit(0).write.mode("append"), fmt)(path)
+        getattr(df.select(*(cols or df.columns)).limit(0).write.mode("append"), fmt)(path)
         return path
     step = (hi - lo) / n_files
     for i in range(n_files):
@@ -30,6 +31,8 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: s
         if i < n_files - 1:
             cond = cond & (F.col(order[0]) <= lo + step * (i + 1))
         part = df.where(cond)
+        if cols:
+            part = part.select(*cols)
         getattr(part.write.mode("append"), fmt)(path)
     return path
 
@@ -56,9 +59,9 @@ def batch_dirs_sink(path: str, transform: Callable[[DataFrame], DataFrame] | Non
     return sink
 
 
-def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """All batch outputs with their ``batch`` number (the partition column)."""
-    return spark.read.schema(f"{schema}, batch long").parquet(path)
+    return getattr(spark.read.schema(f"{schema}, batch long"), fmt)(path)
 
 
 def newest_per_key(df: DataFrame, keys: list[str], version: str = "batch") -> DataFrame:

@@ -87,9 +87,11 @@ def test_log_append_keeps_offsets_dense(spark):
         return spark.createDataFrame([("t", i % 2, str(i), f"v{i}", i) for i in ids],
                                      "topic string, partition int, key string, value string, id long") \
             .withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
-    lg.append_records(spark, path, recs(range(0, 10)), "id")
-    lg.append_records(spark, path, recs(range(10, 15)), "id")
+    lg.append_records(spark, path, recs(range(0, 10)), "id", 0)
+    lg.append_records(spark, path, recs(range(10, 15)), "id", 1)
+    lg.append_records(spark, path, recs(range(10, 15)), "id", 1)  # a replayed batch replaces itself
     log = lg.read_log(spark, path)
+    assert log.count() == 15
     for p in (0, 1):
         offs = sorted(r.offset for r in log.where(F.col("partition") == p).collect())
         assert offs == list(range(len(offs)))

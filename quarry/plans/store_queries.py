@@ -16,11 +16,9 @@ from quarry.session import scratch_path
 from quarry.sinks.fanout import fanout_by_word, read_fanout
 from quarry.sinks.files import pair_lines, write_parquet, write_text
 from quarry.sources import files as fs
+from quarry.sources import generators as gen
 from quarry.sources.tables import read_table
 
-# The reference's four payment users and its bulk-load shape (10 batches).
-PAYMENT_USERS = ("Kigo", "Gao", "Li", "Youtong")
-BULK_BATCHES = 10
 
 
 @register("parquet_scan")
@@ -166,12 +164,8 @@ def docs_upsert(spark, sf_dir):
 
 
 def bulk_docs(spark, sf_dir):
-    """``(batch, id, content)``: orders cut into 10 batches; id ``i_j``, content ``content_i_j``."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
-    i = (F.col("o_orderkey") % BULK_BATCHES + 1).cast("string")
-    j = (F.floor(F.col("o_orderkey") / BULK_BATCHES) + 1).cast("string")
-    ident = F.concat_ws("_", i, j)
-    return o.select(i.cast("int").alias("batch"), ident.alias("id"), F.concat(F.lit("content_"), ident).alias("content"))
+    """``(batch, id, content)``: one document per order, cut into 10 batches."""
+    return gen.bulk_docs(read_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
 @register("gen_docs")
@@ -190,9 +184,6 @@ def docs_bulk(spark, sf_dir):
 @register("gen_payments")
 def gen_payments(spark, sf_dir):
     """``user,amount`` payment lines derived from events (4 users, amounts 0-9), parsed back."""
-    e = _events(spark, sf_dir).select("event_id")
-    users = F.array(*[F.lit(u) for u in PAYMENT_USERS])
-    user = F.element_at(users, (F.col("event_id") % len(PAYMENT_USERS) + 1).cast("int"))
-    line = F.concat(user, F.lit(", "), (F.col("event_id") * 7 % 10).cast("string"))
-    parsed = tx.typed_records(e.select("event_id", line.alias("value")), [("user", "string"), ("amount", "double")])
+    lines = gen.payment_lines(_events(spark, sf_dir).select("event_id"), "event_id")
+    parsed = tx.typed_records(lines, [("user", "string"), ("amount", "double")])
     return parsed.groupBy("user").agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("cnt"))

@@ -1,0 +1,34 @@
+"""Generated inputs: payment events and bulk documents, as batch (derived from a table) or as
+a live stream (the ``rate`` source). Deterministic: every value is a function of the row id."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The reference's four payment users and its bulk-load shape (10 batches).
+PAYMENT_USERS = ("Kigo", "Gao", "Li", "Youtong")
+BULK_BATCHES = 10
+
+
+def payment_lines(ids: DataFrame, id_col: str) -> DataFrame:
+    """``user,amount`` text per id: user by id mod 4, amount ``id * 7 mod 10`` (0-9)."""
+    users = F.array(*[F.lit(u) for u in PAYMENT_USERS])
+    user = F.element_at(users, (F.col(id_col) % len(PAYMENT_USERS) + 1).cast("int"))
+    return ids.withColumn("value", F.concat(user, F.lit(", "), (F.col(id_col) * 7 % 10).cast("string")))
+
+
+def payment_stream(spark: SparkSession, rows_per_second: int = 5) -> DataFrame:
+    """Live payment lines (the reference emits one every 200 ms): ``timestamp, value``."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    ids = rate.select(F.col("value").alias("id"), "timestamp")
+    return payment_lines(ids, "id").select("timestamp", "value")
+
+
+def bulk_docs(keys: DataFrame, key_col: str) -> DataFrame:
+    """``(batch, id, content)`` per key: batch ``i = key mod 10 + 1``, ``j = key div 10 + 1``,
+    id ``i_j``, content ``content_i_j``."""
+    i = (F.col(key_col) % BULK_BATCHES + 1).cast("string")
+    j = (F.floor(F.col(key_col) / BULK_BATCHES) + 1).cast("string")
+    ident = F.concat_ws("_", i, j)
+    return keys.select(i.cast("int").alias("batch"), ident.alias("id"), F.concat(F.lit("content_"), ident).alias("content"))

@@ -50,6 +50,30 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     return q
 
 
+def start_stream(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+                 mode: str = "append", every: str = "5 seconds", name: str | None = None):
+    """Start a long-running query with a fixed batch interval (``every``, e.g. "0.5 seconds",
+    "60 seconds"); returns the running query. State and progress live in ``checkpoint``."""
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
+    if name:
+        w = w.queryName(name)
+    return w.trigger(processingTime=every).start()
+
+
+def console_sink(rows: int = 20) -> Callable[[DataFrame, int], None]:
+    """Print the first ``rows`` rows of each batch (bounded; never collects a whole batch)."""
+    def sink(df: DataFrame, batch_id: int) -> None:
+        print(f"-- batch {batch_id}")
+        df.show(rows, truncate=False)
+    return sink
+
+
+def set_state_snapshot_every(spark: SparkSession, batches: int) -> None:
+    """Write a full state-store snapshot every ``batches`` deltas (the reference checkpoints its
+    state every 8 batches); set before the query first starts."""
+    spark.conf.set("spark.sql.streaming.stateStore.minDeltasForSnapshot", str(batches))
+
+
 def batch_dirs_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                     fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: ``transform(batch)`` written to ``path/batch=<id>`` (idempotent)."""

@@ -118,3 +118,29 @@ def test_keyed_state_hook(spark):
     got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, "user_id long, total double"),
                                                       ["user_id"]).collect()}
     assert got == {1: 2.0, 2: 2.5}
+
+
+def test_live_payment_stream_with_interval_trigger(spark):
+    import time
+    from quarry.sources.generators import payment_stream
+    from quarry.streaming.runner import start_stream
+    out = scratch_path(spark, "t-rate")
+    q = start_stream(payment_stream(spark, 20), batch_dirs_sink(out), checkpoint_dir(spark, "t-rate"),
+                     every="0.5 seconds")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and len([p for p in q.recentProgress if p["numInputRows"] > 0]) < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = read_batches(spark, out, "timestamp timestamp, value string").collect()
+    assert rows and all(r.value.split(", ")[0] in ("Kigo", "Gao", "Li", "Youtong") for r in rows)
+    assert all(0 <= int(r.value.split(", ")[1]) <= 9 for r in rows)
+
+
+def test_clamp_latest_start_for_new_partitions(spark):
+    bounds = spark.createDataFrame([("t", 0, 10, 90), ("t", 1, 0, 40)],
+                                   "topic string, partition int, earliest long, latest long")
+    committed = spark.createDataFrame([("t", 0, 50)], "topic string, partition int, committed long")
+    got = {r.partition: r.start for r in lg.clamp(committed, bounds, start="latest").collect()}
+    assert got == {0: 50, 1: 40}

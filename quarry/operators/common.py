@@ -18,6 +18,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder named
+    by ``spark.checkpoint.dir`` (survives executor loss). For intermediate results that feed
+    several branches of a plan, which would otherwise be recomputed, scans included, per branch."""
+    from quarry.session import shared_root
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def spread_for_cpu(df: DataFrame) -> DataFrame:
     """Round-robin the rows over all cores when the scan yields fewer splits than cores.
 

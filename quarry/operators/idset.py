@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bucket_bases, dense_positions
+from quarry.operators.common import bucket_bases, dense_positions, materialize
 
 
 def to_bitmaps(df: DataFrame, col: str) -> DataFrame:
@@ -75,7 +75,7 @@ def positions(members: DataFrame, col: str) -> DataFrame:
     ``select(j)`` is a filter on ``j``; iterating in order is ``orderBy(j)``. No window spans
     the whole set; see ``dense_positions``.
     """
-    ids = members.select(F.col(col).alias("id")).where(F.col("id").isNotNull()).distinct()
+    ids = materialize(members.select(F.col(col).alias("id")).where(F.col("id").isNotNull()).distinct())
     return dense_positions(ids, [], "id", out="j").select("j", "id")
 
 
@@ -93,8 +93,10 @@ def ranks(members: DataFrame, col: str, probes: DataFrame, probe_col: str,
     the rank. Each window partition holds one bucket (at most ``bucket_width`` members and as
     many distinct probes).
     """
-    m = members.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct().withColumn("is_m", F.lit(1))
-    p = probes.select(F.col(probe_col).alias("v")).where(F.col("v").isNotNull()).distinct().withColumn("is_m", F.lit(0))
+    m = materialize(members.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
+                    .withColumn("is_m", F.lit(1)))
+    p = materialize(probes.select(F.col(probe_col).alias("v")).where(F.col("v").isNotNull()).distinct()
+                    .withColumn("is_m", F.lit(0)))
     bkt = F.floor(F.col("v") / F.lit(bucket_width)).cast("long")
     both = m.union(p).withColumn("_q_bkt", bkt)
     counts = m.groupBy(bkt.alias("_q_bkt")).agg(F.count(F.lit(1)).alias("_q_n"))

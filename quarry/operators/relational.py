@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import exact_sum
-from quarry.operators.common import BROADCAST_MAX_ROWS, bounded_broadcast, row_bound_holds
+from quarry.operators.common import BROADCAST_MAX_ROWS, bounded_broadcast, materialize, row_bound_holds
 
 
 def select_where(df: DataFrame, cols: list, cond: Column | str | None = None) -> DataFrame:
@@ -79,7 +79,8 @@ def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` whose value is absent from ``right``; left duplicates are kept and null
     matches null. Anti join on the distinct right keys (broadcast when their count is bounded)."""
     cols = left.columns
-    rk = right.toDF(*[f"_q_r{i}" for i in range(len(cols))]).distinct()
+    # the distinct right side is computed once (checkpoint), then counted and joined
+    rk = materialize(right.toDF(*[f"_q_r{i}" for i in range(len(cols))]).distinct())
     rk = bounded_broadcast(rk)
     cond = None
     for i, c in enumerate(cols):

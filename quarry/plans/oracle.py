@@ -285,3 +285,6 @@ SELECT token, count(*) AS count FROM (
   SELECT unnest({_tokens("line", ",")}) AS token
   FROM (SELECT concat_ws(',', c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS line FROM customer))
 GROUP BY token"""
+SQL["stream_win_tumbling"] = SQL["win_tumbling"]
+SQL["stream_win_sliding_30"] = SQL["win_sliding_30"]
+SQL["stream_win_sliding_60"] = SQL["win_sliding_60"]

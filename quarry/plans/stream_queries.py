@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import exact_sum
 from quarry.operators import text as tx
+from quarry.operators import windows as win
 from quarry.plans.registry import register
 from quarry.plans.relational_queries import POPULARITY_WEIGHTS
 from quarry.session import scratch_path
@@ -15,7 +16,8 @@ from quarry.sinks.files import pair_lines
 from quarry.sources import logtable as lg
 from quarry.sources.tables import read_table
 from quarry.streaming import state as st
-from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, newest_per_key, read_batches,
+from quarry.plans.window_graph_queries import SLIDE, TUMBLE, WIN_30, WIN_60
+from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_instant, newest_per_key, read_batches,
                                      run_available, stage_files, to_instant)
 
 N_FILES = 4
@@ -269,3 +271,36 @@ def _move_with_suffix(spark, src: str, dst_dir: str, suffix: str) -> None:
         name = st_.getPath().getName()
         if name.startswith("part-"):
             fs.rename(st_.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst_dir}/{name}{suffix}"))
+
+
+# --- windows over the purchase stream (event time, watermark, update mode) ----------------
+WATERMARK = "10 minutes"
+
+
+def _stream_windows(spark, sf_dir, name, duration, slide=None):
+    src = _staged_purchases(spark, sf_dir)
+    timed = _purchase_stream(spark, src).withColumn("et", to_instant("ts")).withWatermark("et", WATERMARK)
+    agg = (win.sliding(timed, "et", duration, slide, ["user_id"], "value") if slide
+           else win.tumbling(timed, "et", duration, ["user_id"], "value"))
+    path = scratch_path(spark, name)
+    run_available(agg, batch_dirs_sink(path), checkpoint_dir(spark, name), mode="update")
+    rows = read_batches(spark, path, "user_id long, window_start timestamp, window_end timestamp, "
+                                     "sum double, cnt long, avg double")
+    cur = newest_per_key(rows, ["user_id", "window_start"])
+    return cur.select("user_id", from_instant("window_start").alias("window_start"),
+                      from_instant("window_end").alias("window_end"), "sum", "cnt", "avg")
+
+
+@register("stream_win_tumbling")
+def stream_win_tumbling(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, "swin-5", TUMBLE)
+
+
+@register("stream_win_sliding_30")
+def stream_win_sliding_30(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, "swin-30", WIN_30, SLIDE)
+
+
+@register("stream_win_sliding_60")
+def stream_win_sliding_60(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, "swin-60", WIN_60, SLIDE)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from quarry.operators import text as tx
 from quarry.operators.common import spread_for_cpu
 from quarry.plans.registry import register

@@ -198,10 +198,8 @@ def log_resume(spark, sf_dir):
 def offset_commit(spark, sf_dir):
     path = _log_path(spark, sf_dir)
     out = scratch_path(spark, "commits")
-    run_available(lg.stream_log(spark, path, max_files=4), batch_dirs_sink(out, lg.commits),
-                  checkpoint_dir(spark, "commits"))
-    return newest_per_key(read_batches(spark, out, "topic string, partition int, next_offset long"),
-                          ["topic", "partition"])
+    run_available(lg.stream_log(spark, path), batch_dirs_sink(out, lg.commits), checkpoint_dir(spark, "commits"))
+    return lg.current_commits(read_batches(spark, out, "topic string, partition int, next_offset long"))
 
 
 @register("log_sink")

@@ -46,9 +46,17 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def stream_log(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """The log as a file stream (each new file is read once; progress lives in the checkpoint)."""
-    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+def stream_log(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The log as a file stream (each new file is read once; progress lives in the checkpoint).
+
+    Without ``max_files`` every micro-batch takes all files present, so each partition's
+    records are consumed as a whole prefix and commits never skip an unread offset. A cap
+    trades that for smaller batches (files of one write have no order among themselves).
+    """
+    r = spark.readStream.schema(LOG_SCHEMA)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path)
 
 
 def bounds(log: DataFrame) -> DataFrame:
@@ -82,6 +90,12 @@ def commits(batch: DataFrame) -> DataFrame:
     return batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
+def current_commits(committed: DataFrame) -> DataFrame:
+    """Current commit per (topic, partition) from per-batch commit rows: the highest one, so a
+    replayed or reordered batch can never move a commit backwards."""
+    return committed.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+
+
 def append_records(spark: SparkSession, path: str, records: DataFrame, order: str, batch: int = 0) -> None:
     """Append records (topic, partition, key, value, timestamp, order column) to the log at
     ``path`` as batch ``batch``, offsets continuing after the last offset of earlier batches.

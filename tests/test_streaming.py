@@ -144,3 +144,19 @@ def test_clamp_latest_start_for_new_partitions(spark):
     committed = spark.createDataFrame([("t", 0, 50)], "topic string, partition int, committed long")
     got = {r.partition: r.start for r in lg.clamp(committed, bounds, start="latest").collect()}
     assert got == {0: 50, 1: 40}
+
+
+def test_commits_follow_the_log_across_restarts(spark):
+    path = scratch_path(spark, "t-commit-log")
+    def recs(ids):
+        return spark.createDataFrame([("t", i % 3, str(i), f"v{i}", i) for i in ids],
+                                     "topic string, partition int, key string, value string, id long") \
+            .withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    out, ck = scratch_path(spark, "t-commits"), checkpoint_dir(spark, "t-commits")
+    lg.append_records(spark, path, recs(range(0, 20)), "id", 0)
+    run_available(lg.stream_log(spark, path), batch_dirs_sink(out, lg.commits), ck)
+    lg.append_records(spark, path, recs(range(20, 31)), "id", 1)
+    run_available(lg.stream_log(spark, path), batch_dirs_sink(out, lg.commits), ck)
+    got = {r.partition: r.next_offset for r in
+           lg.current_commits(read_batches(spark, out, "topic string, partition int, next_offset long")).collect()}
+    assert got == {0: 11, 1: 10, 2: 10}

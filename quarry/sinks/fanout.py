@@ -4,8 +4,9 @@ Folder ``w`` holds one line ``1`` for every token equal to ``w`` ignoring case (
 and ``the`` are two folders with the same lines). The reference runs one job per word; here
 it is one job, and the token rows are never shuffled:
 
-1. tokens are counted per lower-cased word (partial aggregation folds hot words per task);
-2. the case variants of each lower-cased word are joined to those counts (vocabulary sized);
+1. tokens are counted per word in one pass (partial aggregation folds hot words per task) and
+   that vocabulary-sized table is materialized once;
+2. counts are summed per lower-cased word and joined back to every case variant;
 3. each word's count is cut into chunks of at most ``chunk_rows`` lines, chunks are spread
    over tasks by hash, and every task expands its chunks into lines and writes them under
    ``word=<w>`` (``partitionBy``), so a word with a third of all tokens is written by many
@@ -17,14 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.common import materialize
+
 
 def fanout_by_word(tokens: DataFrame, path: str, word: str = "word", chunk_rows: int = 1_000_000,
                    num_partitions: int | None = None) -> str:
     """Write the fan-out of the token column ``word`` under ``path``; returns ``path``."""
     words = tokens.select(F.col(word).alias("word")).where(F.length("word") > 0)
-    lower_counts = words.groupBy(F.lower("word").alias("lw")).agg(F.count(F.lit(1)).alias("n"))
-    variants = words.select("word", F.lower("word").alias("lw")).distinct()
-    per_word = variants.join(lower_counts, "lw").select("word", "n")
+    # the only pass over the tokens; both uses below read this small table
+    exact = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("c")))
+    lower_counts = exact.groupBy(F.lower("word").alias("lw")).agg(F.sum("c").alias("n"))
+    per_word = exact.select("word", F.lower("word").alias("lw")).join(lower_counts, "lw").select("word", "n")
     chunks = per_word.select(
         "word", "n",
         F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / chunk_rows).cast("long"))).alias("chunk"))

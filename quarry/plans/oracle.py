@@ -227,7 +227,7 @@ SQL["gen_docs"] = f"SELECT batch, CAST(json_object('id', id, 'content', 'content
 SQL["docs_bulk"] = f"SELECT batch, count(*) AS n, count(DISTINCT id) AS ids FROM ({_BULK}) GROUP BY batch"
 SQL["gen_payments"] = """
 SELECT "user", sum(amount) AS total, count(*) AS cnt FROM (
-  SELECT ['Kigo', 'Gao', 'Li', 'Youtong'][event_id % 4 + 1] AS "user", CAST(event_id * 7 % 10 AS DOUBLE) AS amount
+  SELECT ['user_a', 'user_b', 'user_c', 'user_d'][event_id % 4 + 1] AS "user", CAST(event_id * 7 % 10 AS DOUBLE) AS amount
   FROM events) GROUP BY "user\""""
 
 # --- streams -------------------------------------------------------------------------------

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The reference's four payment users and its bulk-load shape (10 batches).
-PAYMENT_USERS = ("Kigo", "Gao", "Li", "Youtong")
+# Four payment users (as in the reference generator) and the bulk-load shape (10 batches).
+PAYMENT_USERS = ("user_a", "user_b", "user_c", "user_d")
 BULK_BATCHES = 10
 
 

@@ -134,7 +134,7 @@ def test_live_payment_stream_with_interval_trigger(spark):
     finally:
         q.stop()
     rows = read_batches(spark, out, "timestamp timestamp, value string").collect()
-    assert rows and all(r.value.split(", ")[0] in ("Kigo", "Gao", "Li", "Youtong") for r in rows)
+    assert rows and all(r.value.split(", ")[0] in ("user_a", "user_b", "user_c", "user_d") for r in rows)
     assert all(0 <= int(r.value.split(", ")[1]) <= 9 for r in rows)
 
 

@@ -47,22 +47,40 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if row_bound_holds(df, max_rows) else df
 
 
-def bucket_bases(counts: DataFrame, by: list[str], bkt: str, n: str, fanout: int = 1024) -> DataFrame:
+FANOUT_BITS = 10     # children per prefix-sum node: 1,024
+TOP_BITS = 20        # the top window may hold up to about a million buckets
+
+
+def levels_for(df: DataFrame, col: str, bucket_width: int) -> int:
+    """Prefix-sum levels needed so the top window holds at most 2^TOP_BITS buckets, from the
+    key range of ``col`` (one small aggregate; dense ids need 0, sparse 64-bit keys 3)."""
+    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if r["lo"] is None:
+        return 0
+    buckets = (int(r["hi"]) - int(r["lo"])) // bucket_width + 1
+    bits = max(0, buckets.bit_length() - TOP_BITS)
+    return -(-bits // FANOUT_BITS)
+
+
+def bucket_bases(counts: DataFrame, by: list[str], bkt: str, n: str, levels: int = 0) -> DataFrame:
     """Exclusive prefix sum of ``n`` over ``bkt`` within each ``by`` group: ``(by.., bkt, base)``.
 
-    Two levels keep every window small: buckets are grouped into super-buckets of ``fanout``;
-    super-bucket totals are prefix-summed (a table ``fanout`` times smaller than the bucket
-    table), then buckets are prefix-summed inside their super-bucket.
+    With ``levels > 0`` buckets are grouped into parents of 2^FANOUT_BITS (by key range), the
+    parents' totals are prefix-summed recursively, and each bucket adds its offset inside the
+    parent. Every window then holds at most 1,024 children, and the top one at most
+    2^TOP_BITS buckets (``levels_for`` picks the depth).
     """
-    sup = F.floor(F.col(bkt) / F.lit(fanout)).cast("long")
-    c = counts.withColumn("_q_sup", sup)
-    sup_tot = c.groupBy(*by, "_q_sup").agg(F.sum(n).alias("_q_stot"))
-    w1 = Window.partitionBy(*by).orderBy("_q_sup").rowsBetween(Window.unboundedPreceding, -1)
-    sup_base = sup_tot.select(*by, "_q_sup", F.coalesce(F.sum("_q_stot").over(w1), F.lit(0)).alias("_q_sbase"))
-    w2 = Window.partitionBy(*by, "_q_sup").orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
-    inner = c.select(*by, "_q_sup", bkt, F.coalesce(F.sum(n).over(w2), F.lit(0)).alias("_q_ibase"))
-    return inner.join(sup_base, on=[*by, "_q_sup"]).select(
-        *by, bkt, (F.col("_q_sbase") + F.col("_q_ibase")).cast("long").alias("base"))
+    if levels <= 0:
+        w = Window.partitionBy(*by).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(*by, bkt, F.coalesce(F.sum(n).over(w), F.lit(0)).cast("long").alias("base"))
+    sup, tot = f"_q_sup{levels}", f"_q_tot{levels}"
+    c = counts.withColumn(sup, F.shiftright(F.col(bkt), FANOUT_BITS))
+    parents = bucket_bases(c.groupBy(*by, sup).agg(F.sum(n).alias(tot)), by, sup, tot, levels - 1) \
+        .withColumnRenamed("base", "_q_pbase")
+    w = Window.partitionBy(*by, sup).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    inner = c.select(*by, sup, bkt, F.coalesce(F.sum(n).over(w), F.lit(0)).alias("_q_ibase"))
+    return inner.join(parents, on=[*by, sup]).select(
+        *by, bkt, (F.col("_q_pbase") + F.col("_q_ibase")).cast("long").alias("base"))
 
 
 def dense_positions(df: DataFrame, by: list[str], order: str, out: str = "pos",
@@ -71,14 +89,15 @@ def dense_positions(df: DataFrame, by: list[str], order: str, out: str = "pos",
 
     Equivalent to ``row_number() over (partition by by order by order) - 1`` but no window
     partition holds more than one key-range bucket of ``bucket_width`` keys, so a group holding
-    a third of the data is spread across many tasks. The bucket-base table is joined back on
+    a third of the data is spread across many tasks; bucket bases come from a prefix sum whose
+    depth follows the key range (dense or sparse keys alike). The bucket-base table is joined back on
     (group, bucket); AQE turns that join into a broadcast when the table proves small at run
     time and otherwise keeps a skew-free shuffle join (every bucket is bounded).
     """
     bkt = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
     tagged = df.withColumn("_q_bkt", bkt)
     counts = tagged.groupBy(*by, "_q_bkt").agg(F.count(F.lit(1)).alias("_q_n"))
-    bases = bucket_bases(counts, by, "_q_bkt", "_q_n")
+    bases = bucket_bases(counts, by, "_q_bkt", "_q_n", levels_for(df, order, bucket_width))
     joined = tagged.join(bases, on=[*by, "_q_bkt"], how="inner")
     inside = Window.partitionBy(*by, "_q_bkt").orderBy(order)
     return (joined.withColumn(out, (F.col("base") + F.row_number().over(inside) - 1).cast("long"))

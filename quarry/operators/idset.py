@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bucket_bases, dense_positions, materialize
+from quarry.operators.common import bucket_bases, dense_positions, levels_for, materialize
 
 
 def to_bitmaps(df: DataFrame, col: str) -> DataFrame:
@@ -103,7 +103,7 @@ def ranks(members: DataFrame, col: str, probes: DataFrame, probe_col: str,
     # buckets holding only probes still need a base: give them a zero count
     all_bkts = both.select("_q_bkt").distinct().join(counts, "_q_bkt", "left") \
                    .select("_q_bkt", F.coalesce("_q_n", F.lit(0)).alias("_q_n"))
-    bases = bucket_bases(all_bkts, [], "_q_bkt", "_q_n")
+    bases = bucket_bases(all_bkts, [], "_q_bkt", "_q_n", levels_for(both, "v", bucket_width))
     w = Window.partitionBy("_q_bkt").orderBy(F.col("v"), F.col("is_m").desc()) \
               .rowsBetween(Window.unboundedPreceding, 0)
     ranked = both.join(bases, "_q_bkt").withColumn("_q_run", F.sum("is_m").over(w))

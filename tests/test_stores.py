@@ -160,3 +160,23 @@ def test_fanout_case_insensitive_folders(spark):
     path = fanout_by_word(words, scratch_path(spark, "t-fan"))
     got = {r.word: r.n for r in read_fanout(spark, path).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"The": 3, "the": 3, "a/b": 1, "x": 1}
+
+
+def test_dense_positions_sparse_64bit_keys(spark):
+    from quarry.operators.common import levels_for
+    # keys spread over most of the signed 64-bit range: many levels of prefix sums
+    df = spark.range(0, 3000).select((F.col("id") % 2).alias("g"),
+                                     (F.xxhash64("id")).alias("k"))
+    assert levels_for(df, "k", 1 << 16) >= 3
+    got = dense_positions(df, ["g"], "k")
+    ref = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
+    assert got.exceptAll(ref.select(*got.columns)).count() == 0 and got.count() == 3000
+
+
+def test_bucket_bases_levels_agree(spark):
+    from quarry.operators.common import bucket_bases
+    counts = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 977 - 2_000_000).alias("b"),
+                                         (F.col("id") % 7 + 1).alias("n"))
+    flat = bucket_bases(counts, ["g"], "b", "n", 0)
+    deep = bucket_bases(counts, ["g"], "b", "n", 2)
+    assert flat.exceptAll(deep.select(*flat.columns)).count() == 0

@@ -16,7 +16,7 @@ LINES = """
 SELECT doc_id, line_no, line FROM (
   SELECT doc_id,
          unnest(arr) AS line,
-         generate_subscripts(arr, 1) - 1 AS line_no
+         CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS line_no
   FROM (
     SELECT doc_id,
            CASE WHEN text = '' THEN []::VARCHAR[]

@@ -47,3 +47,19 @@ def test_windows_are_the_same_on_a_stream_shaped_input(spark):
     batch = win.sliding(df, "ts", "60 seconds", "5 seconds", ["user"], "value")
     assert batch.count() == 19  # 8 slides of data + 11 leading partial windows
     assert batch.agg(F.max("cnt")).first()[0] == 40
+
+
+def test_stream_time_conversion_ignores_session_zone(spark):
+    from quarry.streaming.runner import from_instant, to_instant
+    df = _events(spark, [("a", 1, 1.0), ("a", 7200, 2.0)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        out = {}
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            w = win.tumbling(df.withColumn("et", to_instant("ts")), "et", "1 hour", ["user"], "value")
+            out[tz] = sorted((r.s, r.sum) for r in w.select(from_instant("window_start").alias("s"), "sum").collect())
+        assert out["UTC"] == out["America/Los_Angeles"] == out["Asia/Kolkata"]
+        assert out["UTC"][0][0] == T0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -1,11 +1,16 @@
 """Building blocks shared by several operators.
 
-* ``bounded_broadcast``: broadcast a side only after its row count is checked against a bound;
-  beyond the bound the plain (shuffle) join is kept and AQE may still convert or split it.
-* ``dense_positions``: 0-based position of each row inside its group, ordered by a unique long
-  key, without a window over a whole group. Rows are cut into key-range buckets of bounded
-  size; bucket counts are prefix-summed (a small table) and each row's position is the bucket
-  base plus its rank inside the bucket. No task ever holds more than one bucket.
+* ``bounded_broadcast``: broadcast a side only after its row count is checked against a bound
+  (the library broadcasts key-only sides); beyond the bound the plain shuffle join is kept and
+  AQE may still convert or split it.
+* ``materialize``: compute an intermediate once into the shared checkpoint folder when several
+  branches of a plan read it.
+* ``spread_for_cpu``: spread rows over cores only when a scan yields fewer splits than cores.
+* ``dense_positions`` / ``bucket_bases``: 0-based position of each row inside its group,
+  ordered by a unique long key, without a window over a whole group. Rows are cut into
+  key-range buckets of bounded size; bucket counts are prefix-summed through as many levels as
+  the key range needs and each row's position is the bucket base plus its rank inside the
+  bucket. No task ever holds more than one bucket of rows.
 """
 
 from __future__ import annotations

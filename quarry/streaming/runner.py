@@ -37,9 +37,24 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: s
     return path
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (local disk, changelog checkpoints) rather than in
+    executor memory, unless the session already names a provider other than the default.
+    Running totals keep one entry per key ever seen, which outgrows memory at scale."""
+    cur = spark.conf.get(_STATE_PROVIDER, None) or ""
+    if cur in ("", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STATE_PROVIDER, ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   mode: str = "append", name: str | None = None):
     """Process everything available now in micro-batches, then stop (``availableNow``)."""
+    use_disk_state(stream.sparkSession)
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     if name:
         w = w.queryName(name)
@@ -54,6 +69,7 @@ def start_stream(stream: DataFrame, sink: Callable[[DataFrame, int], None], chec
                  mode: str = "append", every: str = "5 seconds", name: str | None = None):
     """Start a long-running query with a fixed batch interval (``every``, e.g. "0.5 seconds",
     "60 seconds"); returns the running query. State and progress live in ``checkpoint``."""
+    use_disk_state(stream.sparkSession)
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     if name:
         w = w.queryName(name)

@@ -40,11 +40,15 @@ def tokens(col, sep: str = " ") -> Column:
 
 
 def lines(col) -> Column:
-    """Split a text into lines on ``\\n`` the way a text-file reader does: a final line
-    terminator does not open another (empty) line, and an empty text has no lines."""
+    """Split a text into lines the way a Hadoop text-file reader does: ``\\r\\n``, ``\\r`` and
+    ``\\n`` all end a line, a final terminator does not open another (empty) line, and an
+    empty text has no lines."""
     c = _c(col)
-    body = F.when(c.endswith("\n"), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
+    ends = c.endswith("\n") | c.endswith("\r")
+    body = F.when(ends, F.regexp_replace(c, "(?:\r\n|\r|\n)\\z", "")).otherwise(c)
+    # texts without a carriage return take the single-character split (no regex engine)
+    split = F.when(c.contains("\r"), F.split(body, "\r\n|\r|\n", -1)).otherwise(F.split(body, "\n", -1))
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(split)
 
 
 def weighted_score(cols, weights) -> Column:

@@ -5,14 +5,15 @@ casts do (shortest decimal string of the double; one correctly rounded step back
 direct casts scale in binary floating point and can be off in the last digit.
 
 Fixed text rules used below, equal to the Spark side:
-  lines(t)  = split on chr(10); a final chr(10) opens no extra line; '' has no lines
+  lines(t)  = split on CR LF, CR or LF; a final terminator opens no extra line; '' has no lines
   tokens(l) = Java String.split on one separator: '' -> [''], only separators -> [],
               else split after removing the trailing run of separators
 """
 
 from __future__ import annotations
 
-LINES = """
+_EOL = "chr(13) || chr(10) || '|' || chr(13) || '|' || chr(10)"
+LINES = f"""
 SELECT doc_id, line_no, line FROM (
   SELECT doc_id,
          unnest(arr) AS line,
@@ -20,7 +21,7 @@ SELECT doc_id, line_no, line FROM (
   FROM (
     SELECT doc_id,
            CASE WHEN text = '' THEN []::VARCHAR[]
-                ELSE string_split(CASE WHEN suffix(text, chr(10)) THEN text[1:length(text) - 1] ELSE text END, chr(10))
+                ELSE regexp_split_to_array(regexp_replace(text, '(' || {_EOL} || ')$', ''), {_EOL})
            END AS arr
     FROM documents))
 """

@@ -17,8 +17,8 @@ def test_tokens_other_separators(spark):
 
 
 def test_lines_like_a_text_file(spark):
-    df = spark.createDataFrame([("a\n\nb\n",), ("",), ("x",), ("\n",)], "s string")
-    assert [r.l for r in df.select(lines("s").alias("l")).collect()] == [["a", "", "b"], [], ["x"], [""]]
+    df = spark.createDataFrame([("a\n\nb\n",), ("",), ("x",), ("\n",), ("a\r\nb\rc\r\n",)], "s string")
+    assert [r.l for r in df.select(lines("s").alias("l")).collect()] == [["a", "", "b"], [], ["x"], [""], ["a", "b", "c"]]
 
 
 def test_word_count_counts_empty_tokens(spark):

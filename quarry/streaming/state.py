@@ -9,9 +9,11 @@ totals while the per-batch output stays proportional to the batch, not to all ke
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -20,6 +22,11 @@ from quarry.functions.text import exact_sum
 from quarry.operators.text import explode_tokens
 from quarry.streaming.runner import batch_dirs_sink, newest_per_key, read_batches, run_available
 
+# the per-key functions below run in Python workers; ship them by value so the workers do not
+# need this package installed (a user's own state function follows the usual rule: its module
+# must be importable on the executors, e.g. through ``addPyFile``)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def running_word_totals(lines: DataFrame, col: str = "value") -> DataFrame:
     """Streaming (or batch) cumulative count per word."""

@@ -102,7 +102,7 @@ def stream_payment_totals(spark, sf_dir):
 def keyed_state_q(spark, sf_dir):
     src = _staged_purchases(spark, sf_dir)
     out = st.keyed_state(_purchase_stream(spark, src), "user_id", st.cents_total,
-                         "user_id long, total double", "cents long")
+                         "user_id long, total double", "cents long", partial=st.CENTS_PARTIAL)
     path = scratch_path(spark, "keyed")
     run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "keyed"), mode="update")
     return newest_per_key(read_batches(spark, path, "user_id long, total double"), ["user_id"])

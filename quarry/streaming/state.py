@@ -54,11 +54,28 @@ def run_totals(spark: SparkSession, totals: DataFrame, keys: list[str], schema:
                     .cast(current.schema[value].dataType).alias(value))
 
 
+def combine_in_partitions(df: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame],
+                          merge: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Map-side combine ahead of a state operator: ``combine`` folds each Arrow batch of raw rows
+    to one partial row per key, ``merge`` folds a partition's partials again. It is stateless
+    (``mapInPandas``), so a stream may run it before ``applyInPandasWithState``; a hot key then
+    reaches its state task with one row per input partition and micro-batch, not all its rows."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [combine(b) for b in batches if len(b)]
+        if parts:
+            yield merge(pd.concat(parts, ignore_index=True))
+    return df.mapInPandas(run, schema)
+
+
 def keyed_state(df: DataFrame, key: str, fn: Callable[[object, pd.DataFrame, object], object],
-                out_schema: str, state_schema: str, mode: str = "update") -> DataFrame:
+                out_schema: str, state_schema: str, mode: str = "update",
+                partial: tuple[Callable, Callable, str] | None = None) -> DataFrame:
     """Hook for a user's own per-key state function (Arrow batches, one call per key and batch).
 
     ``fn(key, rows, old_state) -> (new_state, out_rows)``; ``old_state`` is a tuple or None.
+    ``partial = (combine, merge, schema)`` pre-aggregates in every input partition first (see
+    ``combine_in_partitions``); ``fn`` then gets the partial rows. Use it whenever the state
+    update is associative: without it all of a key's rows in a batch go to one task.
     """
     def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(pdfs), ignore_index=True)
@@ -66,12 +83,28 @@ def keyed_state(df: DataFrame, key: str, fn: Callable[[object, pd.DataFrame, obj
         new, out = fn(k[0], rows, old)
         state.update(new)
         yield out
+    if partial is not None:
+        df = combine_in_partitions(df, *partial)
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, mode,
                                                   GroupStateTimeout.NoTimeout)
 
 
+# Example state function with its map-side combine: running totals per user in integer cents
+# (exact in any batch order and any split of a batch into partials).
+def cents_partial(rows: pd.DataFrame) -> pd.DataFrame:
+    cents = (rows["value"] * 100).round().astype("int64")
+    return cents.groupby(rows["user_id"]).sum().rename("cents").reset_index()
+
+
+def cents_merge(partials: pd.DataFrame) -> pd.DataFrame:
+    return partials.groupby("user_id", as_index=False)["cents"].sum()
+
+
+CENTS_PARTIAL = (cents_partial, cents_merge, "user_id long, cents long")
+
+
 def cents_total(key, rows: pd.DataFrame, old):
-    """Example state function: running total in integer cents (exact in any batch order)."""
+    """Example state function over ``CENTS_PARTIAL`` rows: running total per user."""
     prev = old[0] if old else 0
-    total = prev + int((rows["value"] * 100).round().astype("int64").sum())
+    total = prev + int(rows["cents"].sum())
     return (total,), pd.DataFrame({"user_id": [key], "total": [total / 100.0]})

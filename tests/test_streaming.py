@@ -112,7 +112,8 @@ def test_keyed_state_hook(spark):
     for part in ([(1, 1.25), (2, 2.5)], [(1, 0.75)]):
         spark.createDataFrame(part, "user_id long, value double").coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema("user_id long, value double").option("maxFilesPerTrigger", 1).parquet(src)
-    out = st.keyed_state(stream, "user_id", st.cents_total, "user_id long, total double", "cents long")
+    out = st.keyed_state(stream, "user_id", st.cents_total, "user_id long, total double", "cents long",
+                         partial=st.CENTS_PARTIAL)
     path = scratch_path(spark, "t-keyed")
     run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "t-keyed"), mode="update")
     got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, "user_id long, total double"),
@@ -120,6 +121,25 @@ def test_keyed_state_hook(spark):
     assert got == {1: 2.0, 2: 2.5}
 
 
+def test_keyed_state_hot_key_is_combined_per_partition(spark):
+    # user 7 holds most rows of one batch, spread over several files (input partitions)
+    rows = [(7, (i % 97) / 4) for i in range(3000)] + [(u, u / 8) for u in range(1, 40)]
+    src = scratch_path(spark, "t-keyed-hot-src")
+    spark.createDataFrame(rows, "user_id long, value double").repartition(6).write.parquet(src)
+    stream = spark.readStream.schema("user_id long, value double").parquet(src)
+    out = st.keyed_state(stream, "user_id", st.cents_total, "user_id long, total double", "cents long",
+                         partial=st.CENTS_PARTIAL)
+    assert "MapInPandas" in out._jdf.queryExecution().analyzed().toString()
+    path = scratch_path(spark, "t-keyed-hot")
+    run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "t-keyed-hot"), mode="update")
+    got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, "user_id long, total double"),
+                                                      ["user_id"]).collect()}
+    want = {}
+    for u, v in rows:
+        want[u] = want.get(u, 0) + round(v * 100)
+    assert got == {u: c / 100.0 for u, c in want.items()}
+
+
 def test_live_payment_stream_with_interval_trigger(spark):
     import time
     from quarry.sources.generators import payment_stream

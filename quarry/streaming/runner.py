@@ -99,9 +99,33 @@ def batch_dirs_sink(path: str, transform: Callable[[DataFrame], DataFrame] | Non
     return sink
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _latest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Highest complete compaction point under ``path/_compacted`` (metadata only)."""
+    fs, p = _fs(spark, f"{path}/_compacted")
+    if not fs.exists(p):
+        return None
+    done = [int(st.getPath().getName()[5:]) for st in fs.listStatus(p)
+            if st.getPath().getName().startswith("upto=")
+            and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    return max(done) if done else None
+
+
 def read_batches(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """All batch outputs with their ``batch`` number (the partition column)."""
-    return getattr(spark.read.schema(f"{schema}, batch long"), fmt)(path)
+    """All batch outputs with their ``batch`` number (the partition column).
+
+    After ``compact_batches`` the folded batches are one snapshot, read as version ``upto``,
+    followed by the batches written since."""
+    batches = getattr(spark.read.schema(f"{schema}, batch long"), fmt)(path)
+    upto = _latest_snapshot(spark, path)
+    if upto is None:
+        return batches
+    snap = getattr(spark.read.schema(schema), fmt)(f"{path}/_compacted/upto={upto}")
+    return snap.withColumn("batch", F.lit(upto).cast("long")).unionByName(batches.where(F.col("batch") > upto))
 
 
 def newest_per_key(df: DataFrame, keys: list[str], version: str = "batch") -> DataFrame:
@@ -111,6 +135,35 @@ def newest_per_key(df: DataFrame, keys: list[str], version: str = "batch") -> Da
               .select(*keys, "_q_v.*"))
 
 
+def compact_batches(spark: SparkSession, path: str, schema: str, keys: list[str],
+                    fmt: str = "parquet") -> int | None:
+    """Fold an upsert sink's batches so far into one snapshot of the newest row per key.
+
+    For sinks whose current table is ``newest_per_key`` (the running-state sinks), so a stream
+    that runs for months keeps one row per key plus the batches since the last compaction.
+    Run it between micro-batches or from another job on committed batches only; readers stay
+    correct throughout: the snapshot is complete (``_SUCCESS``) before any folded batch is
+    removed, and readers take batches after the snapshot point only. A replayed batch at or
+    below the point holds the same rows as before and is ignored. Returns the point, or None.
+    """
+    rows = read_batches(spark, path, schema, fmt)
+    top = rows.agg(F.max("batch")).first()[0]
+    if top is None or top == _latest_snapshot(spark, path):
+        return top
+    snap = newest_per_key(rows.where(F.col("batch") <= top), keys).select(*rows.drop("batch").columns)
+    getattr(snap.write.mode("overwrite"), fmt)(f"{path}/_compacted/upto={top}")
+    fs, p = _fs(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch=") and int(name[6:]) <= top:
+            fs.delete(st.getPath(), True)
+    for st in fs.listStatus(_fs(spark, f"{path}/_compacted")[1]):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and int(name[5:]) < top:
+            fs.delete(st.getPath(), True)
+    return top
+
+
 def checkpoint_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"ckpt-{name}")
 

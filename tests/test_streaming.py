@@ -140,6 +140,36 @@ def test_keyed_state_hot_key_is_combined_per_partition(spark):
     assert got == {u: c / 100.0 for u, c in want.items()}
 
 
+def test_compacted_upsert_sink_keeps_current_table(spark):
+    from quarry.session import path_exists
+    from quarry.streaming.runner import compact_batches
+    src = scratch_path(spark, "t-cmp-src")
+    schema = "user_id long, total double"
+
+    def add(part):
+        spark.createDataFrame(part, "user_id long, value double").coalesce(1).write.mode("append").parquet(src)
+
+    def run(path, ckpt):
+        stream = spark.readStream.schema("user_id long, value double").option("maxFilesPerTrigger", 1).parquet(src)
+        out = st.keyed_state(stream, "user_id", st.cents_total, schema, "cents long", partial=st.CENTS_PARTIAL)
+        run_available(out, batch_dirs_sink(path), ckpt, mode="update")
+        return {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, schema), ["user_id"]).collect()}
+
+    path, ckpt = scratch_path(spark, "t-cmp"), checkpoint_dir(spark, "t-cmp")
+    add([(1, 1.25), (2, 2.5)])
+    add([(1, 0.75), (3, 1.0)])
+    assert run(path, ckpt) == {1: 2.0, 2: 2.5, 3: 1.0}
+    assert compact_batches(spark, path, schema, ["user_id"]) == 1
+    assert not path_exists(spark, f"{path}/batch=0") and not path_exists(spark, f"{path}/batch=1")
+    assert read_batches(spark, path, schema).count() == 3
+    add([(2, 0.5), (4, 4.0)])
+    assert run(path, ckpt) == {1: 2.0, 2: 3.0, 3: 1.0, 4: 4.0}
+    assert compact_batches(spark, path, schema, ["user_id"]) == 2
+    assert not path_exists(spark, f"{path}/_compacted/upto=1")
+    got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, schema), ["user_id"]).collect()}
+    assert got == {1: 2.0, 2: 3.0, 3: 1.0, 4: 4.0}
+
+
 def test_live_payment_stream_with_interval_trigger(spark):
     import time
     from quarry.sources.generators import payment_stream

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.llm.common import documents
+from quarry.llm.decontaminate import contamination
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 
@@ -34,3 +35,11 @@ def op9(spark, sf_dir):
     return d.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
                     count("hex").alias("n_hex"), F.sha2(span_text(base), 256).alias("base_sha256"),
                     span_text(F.col("spans")).alias("spans"))
+
+
+@register("op4_decontaminate")
+def op4(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    d = contamination(documents(spark, sf_dir).select("doc_id", "text"), items)
+    return d.select("doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "hits.items"), 256).alias("items_sha256"), "hits.contaminated")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import documents
 from quarry.llm.decontaminate import contamination
+from quarry.llm.mixing import mix
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 
@@ -43,3 +44,8 @@ def op4(spark, sf_dir):
     d = contamination(documents(spark, sf_dir).select("doc_id", "text"), items)
     return d.select("doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "hits.items"), 256).alias("items_sha256"), "hits.contaminated")
+
+
+@register("op6_mix_sources")
+def op6(spark, sf_dir):
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import documents
 from quarry.llm.decontaminate import contamination
 from quarry.llm.mixing import mix
+from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 
@@ -49,3 +50,9 @@ def op4(spark, sf_dir):
 @register("op6_mix_sources")
 def op6(spark, sf_dir):
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op8_near_dedup")
+def op8(spark, sf_dir):
+    d = near_duplicates(documents(spark, sf_dir))
+    return d.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -54,3 +54,17 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
   CAST(size * coalesce(copies // rows, 0) AS BIGINT) AS taken
 FROM q JOIN same USING (src, name, pos, size) LEFT JOIN n USING (src, name, pos, size)
 """
+
+SQL["op10_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, s, md5(array_to_string(list_slice(w, s, s + 12), ' ')) AS p
+  FROM d, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS s)),
+own AS (SELECT p, min(doc_id) AS first FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM win JOIN own USING (p) WHERE doc_id > first),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

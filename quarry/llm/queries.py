@@ -10,6 +10,7 @@ from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
+from quarry.llm.substring_dedup import remove_repeats
 
 QUERIES: dict = {}
 
@@ -56,3 +57,9 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     d = near_duplicates(documents(spark, sf_dir))
     return d.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+@register("op10_substring_dedup")
+def op10(spark, sf_dir):
+    d = remove_repeats(documents(spark, sf_dir))
+    return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

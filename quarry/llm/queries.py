@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import documents
 from quarry.llm.decontaminate import contamination
+from quarry.llm.language_id import identify_languages
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 from quarry.llm.substring_dedup import remove_repeats
+from quarry.llm.toxicity import toxicity
 
 QUERIES: dict = {}
 
@@ -63,3 +65,18 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     d = remove_repeats(documents(spark, sf_dir))
     return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op1_language_id")
+def op1(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    # a null id has no remainder: such a row is held out
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    d = identify_languages(docs, docs.where(~held_out))
+    return d.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity(documents(spark, sf_dir), labels)

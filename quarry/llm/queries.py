@@ -79,4 +79,5 @@ def op1(spark, sf_dir):
 @register("op5_toxicity")
 def op5(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return toxicity(documents(spark, sf_dir), labels)
+    d = toxicity(documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return d.select("doc_id", "toxicity.*")

@@ -2,104 +2,227 @@
 
 Categories are predicted one after the other by logistic regression over hashed words. Each model
 also sees the probabilities of the categories before it. For training, those come out of fold: every
-labelled document gets them from models fitted without its fold, so later models learn from
-probabilities as unsure as the ones they meet on new documents.
+labelled document gets them from a model fitted without its fold, so later models learn from
+probabilities as unsure as the ones they meet on new documents. The models of all folds of a category
+are fitted side by side, one Spark task each, on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import LOWER, byte_class, find_words, hash_words, saved, slices, text_buffer
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FIT_ROWS = 20_000             # labelled documents the chain is fitted on, at most
-FEATURES = 1 << 17
+FEATURE_BITS = 17
 FOLDS = 3
-ITERATIONS = 20
-PENALTY = 3e-4
+ITERATIONS = 60
+PENALTY = 1e-4
 # chain order: category and the condition on a label row that makes it true
 CHAIN = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 
-
-def words(text: Column) -> Column:
-    """Lower-cased runs of letters; null: none."""
-    found = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    return F.filter(found, lambda w: w != "")
-
-
-def _hashed(df: DataFrame, features: int) -> DataFrame:
-    """Add ``x``, the set of words of ``text`` as a sparse 0/1 vector."""
-    tf = HashingTF(inputCol="w", outputCol="x", numFeatures=features, binary=True)
-    return tf.transform(df.withColumn("w", words(F.col("text")))).drop("w")
-
-
-def _inputs(df: DataFrame, before: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=["x", *before], outputCol="chain_x").transform(df)
-
-
-def _predict(model: LogisticRegressionModel, df: DataFrame, before: list[str], out: str) -> DataFrame:
-    m = model.copy().setFeaturesCol("chain_x").setProbabilityCol("chain_p").setRawPredictionCol("").setPredictionCol("")
-    return m.transform(_inputs(df, before)).withColumn(out, vector_to_array("chain_p")[1]).drop("chain_x", "chain_p")
+LETTER = byte_class((0x61, 0x7A), (0x80, 0xFF))
+
+
+def word_features(arr: pa.Array, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed words (letter runs, A-Z lower-cased) of each text and the texts' offsets."""
+    raw, off = text_buffer(arr)
+    buf = LOWER[raw]
+    start, end, first = find_words(buf, off, LETTER)
+    f = (hash_words(buf, start, end) >> np.uint64(64 - bits)).astype(np.int64)
+    key = np.sort(np.repeat(np.arange(len(off) - 1), np.diff(first)) << bits | f)
+    if len(key):
+        key = key[np.concatenate(([True], key[1:] != key[:-1]))]
+    return key & ((1 << bits) - 1), np.searchsorted(key >> bits, np.arange(len(off)))
+
+
+def sums(w: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of ``w[ids]`` over each row's range of ``ids``."""
+    c = np.concatenate(([0.0], np.cumsum(w[ids])))
+    return c[first[1:]] - c[first[:-1]]
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
+
+
+def fit_logistic(ids: np.ndarray, first: np.ndarray, extra: np.ndarray, y: np.ndarray, size: int,
+                 penalty: float = PENALTY, iterations: int = ITERATIONS) -> np.ndarray:
+    """Weights ``[words..., extra..., intercept]`` of the L2-penalised logistic regression, by L-BFGS.
+    The intercept is not penalised; with one class only it carries the whole prediction."""
+    n, k = len(y), extra.shape[1]
+    counts = np.diff(first)
+
+    def value(w):
+        z = sums(w[:size], ids, first) + extra @ w[size:size + k] + w[-1]
+        loss = np.mean(np.logaddexp(0, z) - y * z) + penalty / 2 * float(w[:-1] @ w[:-1])
+        r = (sigmoid(z) - y) / n
+        g = np.concatenate((np.bincount(ids, np.repeat(r, counts), size), extra.T @ r, [r.sum()]))
+        g[:-1] += penalty * w[:-1]
+        return loss, g
+
+    w = np.zeros(size + k + 1)
+    share = np.clip(y.mean(), 1 / (n + 1), n / (n + 1))
+    w[-1] = np.log(share / (1 - share))
+    loss, g = value(w)
+    past: list = []
+    for _ in range(iterations):
+        d, alphas = -g, []
+        for s, t, rho in reversed(past):
+            a = rho * (s @ d)
+            alphas.append(a)
+            d = d - a * t
+        if past:
+            s, t, _ = past[-1]
+            d = d * ((s @ t) / (t @ t))
+        for (s, t, rho), a in zip(past, reversed(alphas)):
+            d = d + (a - rho * (t @ d)) * s
+        slope, step = g @ d, 1.0
+        while True:
+            new = w + step * d
+            new_loss, new_g = value(new)
+            if new_loss <= loss + 1e-4 * step * slope or step < 1e-8:
+                break
+            step /= 2
+        s, t = new - w, new_g - g
+        w, moved, loss, g = new, loss - new_loss, new_loss, new_g
+        if s @ t > 1e-12:
+            past = [*past[-9:], (s, t, 1.0 / (s @ t))]
+        if moved < 1e-7 * max(1.0, abs(loss)):
+            break
+    return w
+
+
+def _rows(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values and offsets of a column of integer lists."""
+    a = lists.combine_chunks()
+    counts = pa.compute.list_value_length(a).to_numpy()
+    return a.flatten().to_numpy(), np.concatenate(([0], np.cumsum(counts)))
+
+
+def _probability(weights: np.ndarray, ids: np.ndarray, first: np.ndarray, before: list[np.ndarray],
+                 size: int) -> np.ndarray:
+    z = sums(weights[:size], ids, first) + weights[-1]
+    for w, p in zip(weights[size:-1], before):
+        z = z + w * p
+    return sigmoid(z)
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, chain=CHAIN, doc_id: str = "doc_id", text: str = "text",
-              fit_rows: int = FIT_ROWS, features: int = FEATURES, folds: int = FOLDS) -> list:
-    """Models of the chain, in order. Fitted on at most ``fit_rows`` labelled documents, those whose
-    ids hash lowest; without any there is no model (an empty list)."""
-    spark = docs.sparkSession
+              fit_rows: int = FIT_ROWS, bits: int = FEATURE_BITS, folds: int = FOLDS) -> list[np.ndarray]:
+    """Weights of the chain's models, in order. Fitted on at most ``fit_rows`` labelled documents,
+    those whose ids hash lowest; without any there is no model (an empty list)."""
+    size = 1 << bits
     ids = (labels.select(F.col(f"`{doc_id}`").alias("doc_id"),
-                         *(F.coalesce(F.expr(cond), F.lit(False)).cast("double").alias(f"y_{c}") for c, cond in chain))
-                 .where("doc_id is not null").groupBy("doc_id").agg(*(F.max(f"y_{c}").alias(f"y_{c}") for c, _ in chain))
+                         *(F.coalesce(F.expr(cond), F.lit(False)).cast("double").alias(f"y{i}")
+                           for i, (_, cond) in enumerate(chain)))
+                 .where("doc_id is not null").groupBy("doc_id").agg(*(F.max(f"y{i}").alias(f"y{i}")
+                                                                      for i in range(len(chain))))
                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+
+    @F.arrow_udf("array<int>")
+    def features(arr: pa.Array) -> pa.Array:
+        out = []
+        for lo, hi in slices(arr):
+            f, first = word_features(arr[lo:hi], bits)
+            out.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(f, pa.int32())))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+
     # the id side has at most fit_rows rows, so texts need not be shuffled
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(
         F.broadcast(ids), "doc_id")
-    rows = _hashed(rows, features).drop("text").withColumn("fold", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)))
-    data = saved(rows.coalesce(max(1, spark.sparkContext.defaultParallelism)), "toxicity-fit")
+    ys = [f"y{i}" for i in range(len(chain))]
+    data = saved(rows.select("doc_id", *ys, features.asNondeterministic()(F.col("text")).alias("x"),
+                             F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)).cast("int").alias("fold")),
+                 "toxicity-fit")
     if data.isEmpty():
         return []
-    models, before = [], []
-    for name, _ in chain:
-        lr = LogisticRegression(featuresCol="chain_x", labelCol=f"y_{name}", maxIter=ITERATIONS, regParam=PENALTY,
-                                standardization=False)
-        p = f"p_{name}"
-        models.append((name, lr.fit(_inputs(data, before))))
-        if name != chain[-1][0]:
-            parts = []
-            for k in range(folds):
-                rest = data.where(F.col("fold") != k)
-                held = data.where(F.col("fold") == k)
-                parts.append(held.withColumn(p, F.lit(0.0)) if rest.isEmpty()
-                             else _predict(lr.fit(_inputs(rest, before)), held, before, p))
-            out = parts[0]
-            for x in parts[1:]:
-                out = out.unionByName(x)
-            data = saved(out, "toxicity-fit")
-        before = [*before, p]
+    models: list[np.ndarray] = []
+    for i in range(len(chain)):
+        ps = [f"p{j}" for j in range(i)]
+        last = i == len(chain) - 1
+
+        # model k leaves fold k out; model ``folds`` uses all rows
+        which = F.array(F.lit(folds)) if last else F.filter(F.sequence(F.lit(0), F.lit(folds)),
+                                                            lambda k: k != F.col("fold"))
+        fitted = {r["model"]: np.array(r["w"]) for r in data.withColumn("model", F.explode(which))
+                  .groupBy("model").applyInArrow(_fitter(f"y{i}", ps, size), "model int, w array<double>").collect()}
+        models.append(fitted[folds])
+        if not last:
+            before = F.array(*(F.col(p) for p in ps)) if ps else F.array().cast("array<double>")
+            data = data.withColumn(f"p{i}", _held_out(fitted, size)("fold", "x", before))
+            data = saved(data, "toxicity-fit")
     return models
 
 
-def score_chain(docs: DataFrame, models: list, chain=CHAIN, doc_id: str = "doc_id", text: str = "text",
-                features: int = FEATURES) -> DataFrame:
-    """``(doc_id, p_<category>..., <category>...)`` for every row of ``docs``; a category holds from
-    probability 0.5. Texts without words (null, empty, blank) have probability 0."""
-    df = _hashed(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), features)
-    df = df.withColumn("some", F.expr("coalesce(text rlike r'\\p{L}', false)")).drop("text")
-    before: list[str] = []
-    for name, model in models:
-        df = _predict(model, df, before, f"p_{name}")
-        before.append(f"p_{name}")
-    fitted = {name for name, _ in models}
-    p = {c: F.when(F.col("some"), F.col(f"p_{c}")).otherwise(0.0) if c in fitted else F.lit(0.0) for c, _ in chain}
-    return df.select("doc_id", *(p[c].alias(f"p_{c}") for c, _ in chain), *((p[c] >= 0.5).alias(c) for c, _ in chain))
-
-
-def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Fit the chain on the labelled documents and score every document. Labels without a document,
-    documents without labels, null label values (false) and repeated rows are all allowed."""
-    return score_chain(docs, fit_chain(docs, labels, **options), **{k: v for k, v in options.items()
-                                                                    if k not in ("fit_rows", "folds")})
+def _fitter(y: str, before: list[str], size: int):
+    """Group function: one model from the sample rows it may see, in id order."""
+
+    def fit(part: pa.Table) -> pa.Table:
+        part = part.sort_by("doc_id")
+        f, first = _rows(part["x"])
+        extra = np.stack([part[p].to_numpy() for p in before], axis=1) if before else np.zeros((len(part), 0))
+        w = fit_logistic(f, first, extra, part[y].to_numpy(), size)
+        return pa.table({"model": pa.array([part["model"][0].as_py()], pa.int32()), "w": pa.array([w.tolist()])})
+
+    return fit
+
+
+def _held_out(fitted: dict[int, np.ndarray], size: int):
+    """UDF of a sample row's probability by the model that was fitted without its fold."""
+
+    @F.arrow_udf("double")
+    def predict(fold: pa.Array, x: pa.Array, before: pa.Array) -> pa.Array:
+        f, first = _rows(pa.chunked_array([x]))
+        known = before.flatten().to_numpy().reshape(len(fold), -1).T
+        at, p = fold.to_numpy(), np.full(len(fold), 0.5)      # 0.5: never left, every row is in a fold
+        for k, w in fitted.items():
+            p = np.where(at == k, _probability(w, f, first, list(known), size), p)
+        return pa.array(p)
+
+    return predict.asNondeterministic()
+
+
+def probabilities(models: list[np.ndarray], text: Column, bits: int = FEATURE_BITS) -> Column:
+    """Array of the chain's probabilities for a text column; 0 for texts without words."""
+
+    @F.arrow_udf("array<double>")
+    def predict(arr: pa.Array) -> pa.Array:
+        out = [np.zeros((0, len(models)))]
+        for lo, hi in slices(arr):
+            f, first = word_features(arr[lo:hi], bits)
+            before: list[np.ndarray] = []
+            for w in models:
+                before.append(_probability(w, f, first, before, 1 << bits))
+            some = np.diff(first) > 0
+            out.append(np.where(some[:, None], np.stack(before, axis=1), 0.0) if models
+                       else np.zeros((hi - lo, 0)))
+        flat = np.concatenate(out)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * len(models), pa.int32()),
+                                        pa.array(flat.ravel()))
+
+    return predict.asNondeterministic()(text)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, chain=CHAIN, doc_id: str = "doc_id", text: str = "text",
+             out: str = "toxicity", bits: int = FEATURE_BITS, **options) -> DataFrame:
+    """Every row of ``docs`` (all columns kept) with a struct ``out``: ``p_<category>`` and the verdict
+    ``<category>`` (probability 0.5 or more) for each category of the chain.
+
+    Null, empty and wordless texts have probability 0, and so have all texts when no label belongs to
+    a document. Null label values count as false, repeated labels as true if one is; labels without a
+    document are left out. A column of ``docs`` named ``out`` is replaced.
+    """
+    models = fit_chain(docs, labels, chain, doc_id, text, bits=bits, **options)
+    df = docs.withColumn(out, probabilities(models, F.col(f"`{text}`"), bits))
+    p = [F.coalesce(F.get(F.col(f"`{out}`"), F.lit(i)), F.lit(0.0)) for i in range(len(chain))]
+    return df.withColumn(out, F.struct(*(x.alias(f"p_{c}") for x, (c, _) in zip(p, chain)),
+                                       *((x >= 0.5).alias(c) for x, (c, _) in zip(p, chain))))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import free_name, saved
 from quarry.operators.common import FANOUT_BITS, TOP_BITS, bucket_bases
 
 # Weights repeating over the sources in code-point order, budget and repeat limits.
@@ -69,25 +69,30 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_pct: in
     return s.select("source", "source_size", F.when(capped, F.col("cap")).otherwise(fair).alias("target"))
 
 
+KEY = ("src", "name", "size", "pos")
+
+
+def queue_key(doc_id: str, source: str, text: str, seed: int) -> list[Column]:
+    """The columns ``KEY``: null-free names of source and document, size, place in the shuffled order."""
+    c = lambda x: F.col(f"`{x}`")
+    ident = F.coalesce(c(doc_id).cast("string"), c(text), F.lit(""))
+    return [F.coalesce(F.concat(F.lit("="), c(source).cast("string")), F.lit("")).alias("src"),
+            F.coalesce(c(doc_id).cast("string"), F.lit("")).alias("name"),
+            word_count(c(text)).alias("size"), shuffle_hash(ident, seed).alias("pos")]
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0,
-        weights: tuple[int, ...] = WEIGHTS, budget_pct: int = BUDGET_PCT, repeats: int = MAX_REPEATS,
-        keep: tuple[str, ...] = ()) -> DataFrame:
+        weights: tuple[int, ...] = WEIGHTS, budget_pct: int = BUDGET_PCT, repeats: int = MAX_REPEATS) -> DataFrame:
     """One row per document: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``,
-    ``taken`` and the columns named in ``keep`` in a struct ``row``.
+    ``taken`` and the struct ``key`` that identifies its place in the queue.
 
     ``copies`` (0 to ``repeats``) is how often the mix takes the document, ``taken`` the words that
     makes. The order depends on ids and seed alone, so reruns agree. Null texts have size 0; null
     sources form one source, the last; null ids are shuffled by their text; rows that agree in id,
     source and size are taken alike. An empty table gives an empty result.
     """
-    c = lambda x: F.col(f"`{x}`")
-    key = F.coalesce(c(doc_id).cast("string"), c(text), F.lit(""))
-    base = saved(docs.select(
-        c(doc_id).alias("doc_id"), c(source).alias("source"), word_count(c(text)).alias("size"),
-        # null-free names of source and document: joins and orders need no null rules
-        F.coalesce(F.concat(F.lit("="), c(source).cast("string")), F.lit("")).alias("src"),
-        F.coalesce(c(doc_id).cast("string"), F.lit("")).alias("name"), shuffle_hash(key, seed).alias("pos"),
-        F.struct(*(c(k) for k in keep) if keep else [F.lit(True).alias("any")]).alias("row")), "mix-sizes")
+    base = saved(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
+                             *queue_key(doc_id, source, text, seed)), "mix-sizes")
     all_rows = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()
     buckets = max(1, -(-all_rows["n"] // BUCKET_ROWS))
     width = -(-(1 << (4 * HASH_HEX)) // buckets)
@@ -134,4 +139,17 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         copies_taken = F.size(F.filter("finish", taken_if))
     n = F.when(F.col("size") > 0, copies_taken).otherwise(0)
     return queued.select("doc_id", "source", "size", "source_size", "target", n.alias("copies"),
-                         (n * F.col("size")).cast("long").alias("taken"), "row")
+                         (n * F.col("size")).cast("long").alias("taken"), F.struct(*KEY).alias("key"))
+
+
+def take(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0,
+         **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the mix takes, each once, with ``copies``, ``size`` and
+    ``target`` (underscores in front of a name that ``docs`` has)."""
+    plan = mix(docs, doc_id, source, text, seed, **options).where("copies > 0").select("key.*", "copies", "target")
+    plan = plan.groupBy(*KEY).agg(F.max("copies").alias("copies"), F.max("target").alias("target"))
+    names = [free_name(docs, n) for n in ("copies", "size", "target")]
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                      *queue_key(doc_id, source, text, seed))
+    return row.join(plan, list(KEY)).select("row.*", *(F.col(c).alias(n) for c, n in zip(("copies", "size", "target"),
+                                                                                        names)))

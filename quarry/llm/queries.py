@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from quarry.llm.common import documents
 from quarry.llm.decontaminate import contamination
 from quarry.llm.language_id import identify_languages
+from quarry.llm.license_scan import licences, page_path, page_text
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 from quarry.llm.substring_dedup import remove_repeats
+from quarry.llm.token_counts import count_tokens, matches, recount_tokens
 from quarry.llm.toxicity import toxicity
 
 QUERIES: dict = {}
@@ -81,3 +83,20 @@ def op5(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     d = toxicity(documents(spark, sf_dir).select("doc_id", "text"), labels)
     return d.select("doc_id", "toxicity.*")
+
+
+@register("op2_license_scan")
+def op2(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    files = pages.select("page_id", page_path(F.col("url")).alias("path"), page_text(F.col("html")).alias("text"))
+    return licences(files).select("page_id", "path", "licence.*")
+
+
+@register("op3_token_counts")
+def op3(spark, sf_dir):
+    """Counts before and after masking long numbers and addresses (the edits) in every document."""
+    d = count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
+    d = d.withColumn("edits", matches(F.col("text"), r"[0-9]{9,}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "[NUMBER]"))
+    d = recount_tokens(d, "edits")
+    return d.select("doc_id", F.col("tree.n_tokens").alias("n_tokens"), F.size("edits").cast("long").alias("n_edits"),
+                    F.col("edited.n_tokens").alias("n_tokens_after"), F.col("edited.n_encoded").alias("n_encoded"))

@@ -24,10 +24,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 REPEAT_WINDOW = 3
-# largest allowed share of word characters inside duplicated n-grams, by n
-MAX_NGRAM_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+# largest allowed share of word characters inside duplicated n-grams, by n. The first copy counts as
+# well, so the limits leave room for a short text in which one line or heading comes twice
+MAX_NGRAM_SHARE = {5: 0.45, 6: 0.44, 7: 0.43, 8: 0.42, 9: 0.41, 10: 0.40}
 # largest allowed share of word characters inside lines that equal an earlier line
-MAX_LINE_SHARE = 0.20
+MAX_LINE_SHARE = 0.30
 SYMBOLS = "#*$%&|<>"
 
 NOT_NEWLINE = ~byte_class((0x0A, 0x0A))

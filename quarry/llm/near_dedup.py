@@ -34,6 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS = 12
 ROWS = 3
 SIMILAR_PCT = 80
+ID_BROADCAST = 1_000_000   # ids, 8 bytes each, that may be broadcast; more are joined by shuffle
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
 STAR_ALL = 2048        # members of the star that they are compared with in one block
 COLUMNS = 4096         # difference tokens per matrix product
@@ -243,7 +244,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "key", (-F.col("m.low")).alias("p"))
     star = groups.select("key", F.col("rep").alias("x")).join(pivot, "key").where("x <> p").select("p", "x").distinct()
     star = saved(star, "stars")
-    who = star.select(F.col("p").alias("doc_id")).union(star.select("x")).distinct()
+    who = saved(star.select(F.col("p").alias("doc_id")).union(star.select("x")).distinct(), "star-ids")
+    # only texts of star members move; up to ID_BROADCAST ids (8 bytes each) that is decided on the spot
+    if who.count() <= ID_BROADCAST:
+        who = F.broadcast(who)
     texts = (base.where(F.col("doc_id").isNotNull()).join(who, "doc_id", "left_semi")
                  .groupBy("doc_id").agg(F.min("text").alias("text")))
     with_x = star.join(texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx")), "x")

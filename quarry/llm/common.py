@@ -20,8 +20,8 @@ from quarry.session import scratch_path
 # functions of this module travel to the workers by value: executors need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 1 << 22
-PIECE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:

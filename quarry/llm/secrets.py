@@ -198,20 +198,13 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every (possibly overlapping) span replaced by ``mask`` once."""
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for t, f in zip(texts.to_pylist(), found.to_pylist()):
-            if t and f:
-                parts, at = [], 0
-                for x in f:                              # sorted by start
-                    if x["start"] >= at:
-                        parts += [t[at:x["start"]], mask]
-                    at = max(at, x["end"])
-                t = "".join(parts) + t[at:]
-            out.append(t)
-        return pa.array(out, pa.string())
-
-    return cut.asNondeterministic()(text, spans)
+    """The text with every (possibly overlapping) span replaced by ``mask`` once. ``spans`` are sorted
+    by start, as ``scan`` gives them; null texts stay null."""
+    def step(acc: Column, s: Column) -> Column:
+        upto = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], upto).otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    cut = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return F.when(F.size(spans) > 0, cut).otherwise(text)

@@ -28,7 +28,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LOOKAHEAD = 4              # characters past a pre-token that can change where it ends
 BLOCK, FAN = 64, 16
-CACHE = 1 << 20            # pre-tokens whose counts a task remembers
+CACHE = 1 << 17            # pre-tokens whose counts a task remembers
 
 
 class Counter(dict):
@@ -172,7 +172,7 @@ def build_trees(text: Column, vocab) -> Column:
     @F.arrow_udf(TREE)
     def build(arr: pa.Array) -> pa.Array:
         counter = _counter(vocab)
-        rows = [Tree(*counter.pieces(t or "")).pack() for t in arr.to_pylist()]
+        rows = [Tree(*counter.pieces(t or "")).pack() for t in (x.as_py() for x in arr)]
         return pa.array([dict(zip(("n_tokens", "chars", "tokens", "sizes"), r)) for r in rows],
                         pa.struct([("n_tokens", pa.int64()), ("chars", pa.binary()), ("tokens", pa.binary()),
                                    ("sizes", pa.binary())]))
@@ -224,7 +224,7 @@ def matches(text: Column, pattern: str, new: str) -> Column:
         import re
         rx = re.compile(pattern)
         return pa.array([[{"start": m.start(), "end": m.end(), "new": new} for m in rx.finditer(t or "")]
-                         for t in arr.to_pylist()],
+                         for t in (x.as_py() for x in arr)],
                         pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("new", pa.string())])))
 
     return find.asNondeterministic()(text)

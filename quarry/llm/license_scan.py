@@ -1,9 +1,8 @@
 """Licence scan (operator 2).
 
 Every passage (line) of a file is compared with licence statements by the cosine of sparse TF-IDF
-vectors; the best passage at or above ``MIN_COSINE`` gives the file's own licence. A licence file,
-by its name or because it opens with a licence statement, speaks for its directory. Files without
-a licence of their own take that of the nearest directory above them that has one, found by joins
+vectors; the best passage at or above ``MIN_COSINE`` gives the file's own licence. A licence file
+speaks for its directory. Files without a licence of their own take that of the nearest directory above them that has one, found by joins
 of directory paths.
 """
 
@@ -117,11 +116,12 @@ def above(folder: Column) -> Column:
 
 
 def licences(files: DataFrame, path: str = "path", text: str = "text", out: str = "licence",
-             min_cosine: float = MIN_COSINE) -> DataFrame:
+             min_cosine: float = MIN_COSINE, head_speaks: bool = False) -> DataFrame:
     """Every row of ``files`` (all columns kept) with a struct ``out``: ``licence``, ``cosine`` (of an
     own licence), ``how`` (``own``, ``inherited`` or ``none``) and ``source`` (the directory it comes from).
 
-    Where a directory's licence files disagree, the licence most of them name holds (ties: first by
+    A licence file is known by its name; with ``head_speaks``, as for web pages, a file that opens with
+    a statement counts as well. Where a directory's licence files disagree, the licence most of them name holds (ties: first by
     name). Null paths lie in no directory and inherit nothing; null and empty texts have no licence;
     repeated rows are treated alike. A column of ``files`` named ``out`` is replaced.
     """
@@ -132,7 +132,7 @@ def licences(files: DataFrame, path: str = "path", text: str = "text", out: str
     o = F.col(own)
     # one row per directory: rows of a hot directory are aggregated before any shuffle
     speaks = scanned.where(F.col(f"{own}.licence").isNotNull() & p.isNotNull() & (
-        F.col(f"{own}.head") | F.regexp_extract(p, r"[^/]*\z", 0).rlike(LICENCE_FILE)))
+        (F.lit(head_speaks) & F.col(f"{own}.head")) | F.regexp_extract(p, r"[^/]*\z", 0).rlike(LICENCE_FILE)))
     votes = speaks.groupBy(F.col(at).alias("dir"), F.col(f"{own}.licence").alias("name")).count()
     declared = votes.groupBy("dir").agg(F.min(F.struct(-F.col("count"), "name")).alias("v")).select("dir", "v.name")
     folders = scanned.where(p.isNotNull()).select(F.col(at).alias("folder")).distinct()

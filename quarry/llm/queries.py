@@ -89,7 +89,7 @@ def op5(spark, sf_dir):
 def op2(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
     files = pages.select("page_id", page_path(F.col("url")).alias("path"), page_text(F.col("html")).alias("text"))
-    return licences(files).select("page_id", "path", "licence.*")
+    return licences(files, head_speaks=True).select("page_id", "path", "licence.*")
 
 
 @register("op3_token_counts")

@@ -24,7 +24,7 @@ BUDGET_PCT = 150
 MAX_REPEATS = 2
 WORD = r"[^\x20\x09-\x0D]+"
 
-BUCKET_ROWS = 4096          # rows one window meets on average
+BUCKET_ROWS = 512           # rows one window meets on average
 HASH_HEX = 13               # 52 bits of the shuffle hash
 
 

@@ -13,7 +13,7 @@ from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 from quarry.llm.substring_dedup import remove_repeats
-from quarry.llm.token_counts import count_tokens, matches, recount_tokens
+from quarry.llm.token_counts import build_trees, matches, recount_tokens, vocabulary
 from quarry.llm.toxicity import toxicity
 
 QUERIES: dict = {}
@@ -95,8 +95,10 @@ def op2(spark, sf_dir):
 @register("op3_token_counts")
 def op3(spark, sf_dir):
     """Counts before and after masking long numbers and addresses (the edits) in every document."""
-    d = count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
-    d = d.withColumn("edits", matches(F.col("text"), r"[0-9]{9,}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "[NUMBER]"))
-    d = recount_tokens(d, "edits")
+    text = F.col("text")
+    # trees and edits in one projection share their Python workers
+    d = documents(spark, sf_dir).select("doc_id", "text", build_trees(text, vocabulary(spark)).alias("tree"), matches(
+        text, r"[0-9]{9,}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "[NUMBER]").alias("edits"))
+    d = recount_tokens(d, "edits", keep_text=False)
     return d.select("doc_id", F.col("tree.n_tokens").alias("n_tokens"), F.size("edits").cast("long").alias("n_edits"),
                     F.col("edited.n_tokens").alias("n_tokens_after"), F.col("edited.n_encoded").alias("n_encoded"))

@@ -190,9 +190,10 @@ def _counter(vocab) -> Counter:
     return _COUNTERS["c"]
 
 
-def recount(text: Column, tree: Column, edits: Column, vocab) -> Column:
+def recount(text: Column, tree: Column, edits: Column, vocab, keep_text: bool = True) -> Column:
     """Apply ``edits`` (array of ``(start, end, new)``, code points, not overlapping) to text and
-    tree: new count, characters encoded again, new text and tree. Null or no edits change nothing."""
+    tree: new count, characters encoded again, new text (null unless ``keep_text``) and tree. Null or
+    no edits change nothing."""
     names = ("n_tokens", "n_encoded", "text", "chars", "tokens", "sizes")
 
     @F.arrow_udf(RECOUNT)
@@ -202,13 +203,13 @@ def recount(text: Column, tree: Column, edits: Column, vocab) -> Column:
             old = tr.as_py()
             changes = ed.as_py()
             if not changes:
-                rows.append((old["n_tokens"], 0, t.as_py(), old["chars"], old["tokens"], old["sizes"]))
+                rows.append((old["n_tokens"], 0, t.as_py() if keep_text else None, old["chars"], old["tokens"], old["sizes"]))
                 continue
             node = unpack(old["chars"], old["tokens"], old["sizes"])
             new, encoded = apply_edits(node, t.as_py() or "", [(e["start"], e["end"], e["new"] or "") for e in changes],
                                        counter)
             n, chars, tokens, sizes = node.pack()
-            rows.append((n, encoded, new, chars, tokens, sizes))
+            rows.append((n, encoded, new if keep_text else None, chars, tokens, sizes))
         return pa.array([dict(zip(names, r)) for r in rows],
                         pa.struct([("n_tokens", pa.int64()), ("n_encoded", pa.int64()), ("text", pa.string()),
                                    ("chars", pa.binary()), ("tokens", pa.binary()), ("sizes", pa.binary())]))
@@ -237,7 +238,7 @@ def count_tokens(docs: DataFrame, text: str = "text", out: str = "tree", path: s
 
 
 def recount_tokens(counted: DataFrame, edits: str, text: str = "text", tree: str = "tree", out: str = "edited",
-                   path: str = VOCABULARY) -> DataFrame:
-    """Every row of ``counted`` with ``out``: text and tree after the edits in column ``edits``."""
+                   path: str = VOCABULARY, keep_text: bool = True) -> DataFrame:
+    """Every row of ``counted`` with ``out``: text (if kept) and tree after the edits in column ``edits``."""
     vocab = vocabulary(counted.sparkSession, path)
-    return counted.withColumn(out, recount(F.col(f"`{text}`"), F.col(f"`{tree}`"), F.col(f"`{edits}`"), vocab))
+    return counted.withColumn(out, recount(F.col(f"`{text}`"), F.col(f"`{tree}`"), F.col(f"`{edits}`"), vocab, keep_text))

@@ -8,6 +8,8 @@ stripped first.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,21 +53,32 @@ def lines(col) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(split)
 
 
+def _exact(col, precision: int, scale: int) -> Column:
+    """A double as a decimal of the declared scale; a value with more decimals fails, never rounds."""
+    c = _c(col).cast("double")
+    d = c.try_cast(f"decimal({precision},{scale})")
+    return F.when(c.isNull() | (d.cast("double") == c), d).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a number of {scale} decimals: "), c.cast("string"))).cast(f"decimal({precision},{scale})"))
+
+
 def weighted_score(cols, weights) -> Column:
     """Weighted sum ``sum(col_i * w_i)`` as an exact decimal (cast to double by the caller after
     any further sums), so scores and their totals do not depend on summation order.
 
-    Inputs are fixed to 10 decimals (``decimal(24,10)``), weights to 3.
+    Inputs have at most 10 decimals; weights count with all the digits they are given with.
     """
     expr = None
     for col, w in zip(cols, weights):
-        term = _c(col).cast("decimal(24,10)") * F.lit(w).cast("decimal(6,3)")
+        term = _exact(col, 24, 10) * F.lit(Decimal(str(w)))
         expr = term if expr is None else expr + term
     return expr
 
 
 def exact_sum(col, scale: int = 10) -> Column:
-    """Order-independent sum of a double column: each value fixed to ``scale`` decimals
-    (``decimal(38, scale)``), summed exactly, returned as double. Money and rate columns with
-    a few decimals are summed without error; the result is the same whatever the row order."""
-    return F.sum(_c(col).cast(f"decimal(38,{scale})")).cast("double")
+    """Sum of a double column, as double. What a value has within ``scale`` decimals is summed as
+    ``decimal(38, scale)``, without error and whatever the row order; the rest of it (nothing, for
+    values of at most ``scale`` decimals) is summed as double. So nothing is rounded away, and huge
+    values and NaN count as they are."""
+    c = _c(col).cast("double")
+    part = F.when(c.isNotNull(), F.coalesce(c.try_cast(f"decimal(38,{scale})"), F.lit(0).cast(f"decimal(38,{scale})")))
+    return F.sum(part).cast("double") + F.sum(c - part.cast("double"))

@@ -1,11 +1,7 @@
 """Building blocks shared by several operators.
 
-* ``bounded_broadcast``: broadcast a side only after its row count is checked against a bound
-  (the library broadcasts key-only sides); beyond the bound the plain shuffle join is kept and
-  AQE may still convert or split it.
 * ``materialize``: compute an intermediate once into the shared checkpoint folder when several
   branches of a plan read it.
-* ``spread_for_cpu``: spread rows over cores only when a scan yields fewer splits than cores.
 * ``dense_positions`` / ``bucket_bases``: 0-based position of each row inside its group,
   ordered by a unique long key, without a window over a whole group. Rows are cut into
   key-range buckets of bounded size; bucket counts are prefix-summed through as many levels as
@@ -18,10 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows whose count is at or below this bound may be broadcast (a few MB for the key-only sides
-# this library broadcasts). Sides above it stay on the shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder named
@@ -32,26 +24,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan yields fewer splits than cores.
-
-    For CPU-heavy per-row work (tokenizing long texts) read from few large files. With as many
-    input splits as cores (any large input) this is a no-op and adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting at ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
-
-
 FANOUT_BITS = 10     # children per prefix-sum node: 1,024
 TOP_BITS = 20        # the top window may hold up to about a million buckets
 
@@ -103,7 +75,13 @@ def dense_positions(df: DataFrame, by: list[str], order: str, out: str = "pos",
     tagged = df.withColumn("_q_bkt", bkt)
     counts = tagged.groupBy(*by, "_q_bkt").agg(F.count(F.lit(1)).alias("_q_n"))
     bases = bucket_bases(counts, by, "_q_bkt", "_q_n", levels_for(df, order, bucket_width))
-    joined = tagged.join(bases, on=[*by, "_q_bkt"], how="inner")
+    # null-safe on every column: null groups and null order keys (one bucket, first) are numbered too
+    at = bases.toDF(*[f"_q_b{i}" for i in range(len(by) + 1)], "base")
+    cond = None
+    for i, c in enumerate([*by, "_q_bkt"]):
+        e = tagged[c].eqNullSafe(at[f"_q_b{i}"])
+        cond = e if cond is None else cond & e
+    joined = tagged.join(at, cond).drop(*at.columns[:-1])
     inside = Window.partitionBy(*by, "_q_bkt").orderBy(order)
     return (joined.withColumn(out, (F.col("base") + F.row_number().over(inside) - 1).cast("long"))
                   .drop("_q_bkt", "base"))

@@ -1,8 +1,8 @@
 """Relational operators: projection/filter, joins, set operations, keyed aggregates, top-k.
 
 Plans are left to Catalyst: filters and projections reach the Parquet scan, aggregates run as
-partial + final hash aggregates (map-side combine), and broadcasts are used only for sides
-whose row count has been checked (``bounded_broadcast``).
+partial + final hash aggregates (map-side combine), and join strategies are left to adaptive
+execution, which decides by bytes.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import exact_sum
-from quarry.operators.common import BROADCAST_MAX_ROWS, bounded_broadcast, materialize, row_bound_holds
 
 
 def select_where(df: DataFrame, cols: list, cond: Column | str | None = None) -> DataFrame:
@@ -42,15 +41,10 @@ def sum_count_avg(df: DataFrame, keys: list[str], value: str, prefix: str = "")
                                  (s / n).alias(f"{prefix}avg"))
 
 
-def cartesian(left: DataFrame, right: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Every (left, right) pair. The output is |left| x |right| by definition, so the smaller
-    side must be a bounded table: it is broadcast after its size is checked and the larger side
-    is streamed once (no shuffle of the large side)."""
-    if row_bound_holds(right, max_rows):
-        return left.crossJoin(F.broadcast(right))
-    if row_bound_holds(left, max_rows):
-        return F.broadcast(left).crossJoin(right)
-    raise ValueError("cartesian: neither side is within the bound; the product would be unbounded")
+def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every (left, right) pair, |left| x |right| rows by definition. Spark picks the strategy: a
+    nested loop over a broadcast side if one is small in bytes, else a product of partitions."""
+    return left.crossJoin(right)
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -77,11 +71,10 @@ def intersection(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` whose value is absent from ``right``; left duplicates are kept and null
-    matches null. Anti join on the distinct right keys (broadcast when their count is bounded)."""
+    matches null. Anti join on the distinct right keys; adaptive execution broadcasts them if they
+    prove small in bytes and splits skewed left keys otherwise."""
     cols = left.columns
-    # the distinct right side is computed once (checkpoint), then counted and joined
-    rk = materialize(right.toDF(*[f"_q_r{i}" for i in range(len(cols))]).distinct())
-    rk = bounded_broadcast(rk)
+    rk = right.toDF(*[f"_q_r{i}" for i in range(len(cols))]).distinct()
     cond = None
     for i, c in enumerate(cols):
         e = left[c].eqNullSafe(rk[f"_q_r{i}"])
@@ -110,24 +103,3 @@ def observed_sum(df: DataFrame, col: str, factor: int = 2) -> tuple[DataFrame, O
     out = watched.agg(F.sum(F.col(col) * F.lit(factor)).cast("long").alias("total"),
                       F.count(F.lit(1)).alias("n"))
     return out, obs
-
-
-def hit_ratio(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """Share of points inside the unit circle, times 4 (a pi estimate): ``(n, hits, pi)``."""
-    inside = ((F.col(x) * F.col(x) + F.col(y) * F.col(y)) < 1).cast("long")
-    return points.agg(F.count(F.lit(1)).alias("n"), F.sum(inside).alias("hits")) \
-                 .select("n", "hits", (F.lit(4.0) * F.col("hits") / F.col("n")).alias("pi"))
-
-
-def grid_points(ids: DataFrame, id_col: str, mod_x: int = 20011, mod_y: int = 20021,
-                mul_x: int = 7919, mul_y: int = 104729) -> DataFrame:
-    """Deterministic points in [-1, 1)^2 from integer ids (multiplicative hashing)."""
-    i = F.col(id_col).cast("long")
-    px = ((i * mul_x) % mod_x).cast("double") / F.lit(float(mod_x)) * 2 - 1
-    py = ((i * mul_y) % mod_y).cast("double") / F.lit(float(mod_y)) * 2 - 1
-    return ids.select(px.alias("x"), py.alias("y"))
-
-
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness test that reads at most one row."""
-    return df.isEmpty()

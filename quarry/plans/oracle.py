@@ -65,6 +65,7 @@ SELECT o_custkey,
        count(*) AS order_cnt,
        CAST(CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE) / count(*) AS order_avg
 FROM orders GROUP BY o_custkey"""
+SQL["sum_count_one_pass"] = SQL["join_sum_count"]
 SQL["cartesian"] = "SELECT * FROM region CROSS JOIN nation"
 SQL["subtract"] = """
 SELECT o_custkey AS custkey FROM orders o
@@ -92,13 +93,6 @@ SQL["row_count"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}"
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
-SQL["hit_ratio"] = """
-WITH ids AS (SELECT l_orderkey * 8 + l_linenumber AS pid FROM lineitem),
-pts AS (SELECT CAST((pid * 7919) % 20011 AS DOUBLE) / 20011.0 * 2 - 1 AS x,
-               CAST((pid * 104729) % 20021 AS DOUBLE) / 20021.0 * 2 - 1 AS y FROM ids)
-SELECT n, hits, 4.0 * hits / n AS pi FROM (
-  SELECT count(*) AS n, CAST(sum(CAST(x * x + y * y < 1 AS BIGINT)) AS BIGINT) AS hits FROM pts)"""
-
 # --- windows: window start = bucket(ts, slide) - k * slide, k in [0, duration / slide) -------
 # sums are exact: decimal(38,10) per value, summed, then double
 _P = "(SELECT user_id, value, ts FROM events WHERE event_type = 'purchase')"
@@ -220,16 +214,9 @@ SELECT event_id AS id, user_id,
        CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value,
        CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS version
 FROM events"""
-_BULK = """
-SELECT CAST(o_orderkey % 10 + 1 AS INTEGER) AS batch,
-       CAST(o_orderkey % 10 + 1 AS VARCHAR) || '_' || CAST(o_orderkey // 10 + 1 AS VARCHAR) AS id
-FROM orders"""
-SQL["gen_docs"] = f"SELECT batch, CAST(json_object('id', id, 'content', 'content_' || id) AS VARCHAR) AS doc FROM ({_BULK})"
-SQL["docs_bulk"] = f"SELECT batch, count(*) AS n, count(DISTINCT id) AS ids FROM ({_BULK}) GROUP BY batch"
-SQL["gen_payments"] = """
-SELECT "user", sum(amount) AS total, count(*) AS cnt FROM (
-  SELECT ['user_a', 'user_b', 'user_c', 'user_d'][event_id % 4 + 1] AS "user", CAST(event_id * 7 % 10 AS DOUBLE) AS amount
-  FROM events) GROUP BY "user\""""
+SQL["docs_bulk"] = """
+SELECT CAST(doc_id % 10 AS INTEGER) AS batch, count(*) AS n, count(DISTINCT doc_id) AS ids,
+       CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1"""
 
 # --- streams -------------------------------------------------------------------------------
 SQL["stream_batch_word_count"] = SQL["word_count"]

@@ -79,6 +79,17 @@ def view_query(spark, sf_dir):
 
 @register("join_sum_count")
 def join_sum_count(spark, sf_dir):
+    """Two keyed aggregates of one table, joined on the key."""
+    o = read_table(spark, sf_dir, "orders")
+    sums = o.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("order_sum"))
+    counts = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("order_cnt"))
+    both = rel.inner_join(sums, counts, ["o_custkey"])
+    return both.withColumn("order_avg", F.col("order_sum") / F.col("order_cnt"))
+
+
+@register("sum_count_one_pass")
+def sum_count_one_pass(spark, sf_dir):
+    """The same result from one aggregate, without a join."""
     o = read_table(spark, sf_dir, "orders")
     return rel.sum_count_avg(o, ["o_custkey"], "o_totalprice", prefix="order_")
 
@@ -168,10 +179,3 @@ def row_count(spark, sf_dir):
     parts = [read_table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
              for t in TABLES]
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
-
-
-@register("hit_ratio")
-def hit_ratio(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
-    ids = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pid"))
-    return rel.hit_ratio(rel.grid_points(ids, "pid"))

@@ -16,9 +16,10 @@ from quarry.session import scratch_path
 from quarry.sinks.fanout import fanout_by_word, read_fanout
 from quarry.sinks.files import pair_lines, write_parquet, write_text
 from quarry.sources import files as fs
-from quarry.sources import generators as gen
 from quarry.sources.tables import read_table
 
+BULK_BATCHES = 10
+
 
 
 @register("parquet_scan")
@@ -164,26 +165,15 @@ def docs_upsert(spark, sf_dir):
 
 
 def bulk_docs(spark, sf_dir):
-    """``(batch, id, content)``: one document per order, cut into 10 batches."""
-    return gen.bulk_docs(read_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-
-
-@register("gen_docs")
-def gen_docs(spark, sf_dir):
-    b = bulk_docs(spark, sf_dir)
-    return b.select("batch", F.to_json(F.struct("id", "content")).alias("doc"))
+    """``(batch, id, content)``: the documents' texts, cut into ``BULK_BATCHES`` batches."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select(F.pmod("doc_id", F.lit(BULK_BATCHES)).cast("int").alias("batch"),
+                    F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
 
 
 @register("docs_bulk")
 def docs_bulk(spark, sf_dir):
     path = dc.write_docs(bulk_docs(spark, sf_dir), scratch_path(spark, "bulk"), route="batch", mode="overwrite")
     back = spark.read.schema("id string, content string, batch int").json(path)
-    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
-
-
-@register("gen_payments")
-def gen_payments(spark, sf_dir):
-    """``user,amount`` payment lines derived from events (4 users, amounts 0-9), parsed back."""
-    lines = gen.payment_lines(_events(spark, sf_dir).select("event_id"), "event_id")
-    parsed = tx.typed_records(lines, [("user", "string"), ("amount", "double")])
-    return parsed.groupBy("user").agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("cnt"))
+    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"),
+                                     F.sum(F.length("content")).alias("chars"))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from quarry.operators import text as tx
-from quarry.operators.common import spread_for_cpu
 from quarry.plans.registry import register
 from quarry.sources.tables import read_table
 
 
 def _doc_lines(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tx.document_lines(spread_for_cpu(docs))
+    return tx.document_lines(docs)
 
 
 @register("text_lines")

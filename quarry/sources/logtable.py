@@ -1,5 +1,5 @@
 """Replayable log tables: ``(topic, partition, offset, key, value, timestamp)`` in Parquet,
-partitioned by topic, partition and the writing ``batch``, read as a batch or a file stream.
+partitioned by topic, partition, ``writer`` and the writer's ``batch``, read as a batch or a file stream.
 
 A writer that is replayed (a ``foreachBatch`` retried after a failure) overwrites only its
 own batch's folders (dynamic partition overwrite) and numbers its records after the offsets
@@ -13,18 +13,20 @@ the next offset to read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bounded_broadcast, dense_positions
+from quarry.operators.common import dense_positions
 from quarry.session import path_exists
 
 LOG_SCHEMA = ("offset long, key string, value binary, timestamp timestamp_ntz, "
-              "topic string, partition int, batch long")
+              "topic string, partition int, writer string, batch long")
 
 
 def to_log(records: DataFrame, topic: Column, partition: Column, key: Column, value: Column,
-           order: str, timestamp: Column | None = None, batch: int = 0) -> DataFrame:
+           order: str, timestamp: Column | None = None, writer: str = "", batch: int = 0) -> DataFrame:
     """Records -> log rows with dense offsets per (topic, partition) in ``order``."""
     base = records.select(topic.alias("topic"), partition.cast("int").alias("partition"),
                           key.cast("string").alias("key"), value.cast("binary").alias("value"),
@@ -32,13 +34,14 @@ def to_log(records: DataFrame, topic: Column, partition: Column, key: Column, va
                           F.col(order).alias("_q_order"))
     numbered = dense_positions(base, ["topic", "partition"], "_q_order", out="offset")
     return numbered.select("topic", "partition", "offset", "key", "value", "timestamp",
+                           F.lit(writer or "0").alias("writer"),
                            F.lit(batch).cast("long").alias("batch"))
 
 
 def write_log(log: DataFrame, path: str) -> str:
     """Write log rows; folders of other batches are left untouched, this batch's are replaced."""
     (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "partition", "batch").parquet(path))
+        .partitionBy("topic", "partition", "writer", "batch").parquet(path))
     return path
 
 
@@ -81,7 +84,7 @@ def clamp(committed: DataFrame, log_bounds: DataFrame, start: str = "earliest")
 
 def resume(log: DataFrame, starts: DataFrame) -> DataFrame:
     """Records at or after each partition's start offset (start table is one row per partition)."""
-    return log.join(bounded_broadcast(starts.select("topic", "partition", "start")), ["topic", "partition"]) \
+    return log.join(starts.select("topic", "partition", "start"), ["topic", "partition"]) \
               .where(F.col("offset") >= F.col("start")).drop("start")
 
 
@@ -96,16 +99,21 @@ def current_commits(committed: DataFrame) -> DataFrame:
     return committed.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
-def append_records(spark: SparkSession, path: str, records: DataFrame, order: str, batch: int = 0) -> None:
-    """Append records (topic, partition, key, value, timestamp, order column) to the log at
-    ``path`` as batch ``batch``, offsets continuing after the last offset of earlier batches.
-    Writing the same batch again replaces it (idempotent replay)."""
+def append_records(spark: SparkSession, path: str, records: DataFrame, order: str, writer: str | None = None,
+                   batch: int = 0) -> None:
+    """Append records (topic, partition, key, value, timestamp, order column) to the log at ``path``.
+
+    Offsets continue after those already there. A streaming writer names itself and its batch, and
+    writing that batch again replaces it (idempotent replay) and nothing else. Without a writer each
+    call is a writer of its own, so it can only add.
+    """
+    writer = writer or uuid.uuid4().hex
     numbered = to_log(records, F.col("topic"), F.col("partition"), F.col("key"), F.col("value"), order,
-                      F.col("timestamp"), batch)
+                      F.col("timestamp"), writer, batch)
     if path_exists(spark, path):
-        earlier = read_log(spark, path).where(F.col("batch") < batch)
-        last = bounds(earlier).select("topic", "partition", F.col("latest").alias("_q_next"))
-        numbered = numbered.join(bounded_broadcast(last), ["topic", "partition"], "left") \
+        own = (F.col("writer") == writer) & (F.col("batch") >= batch)
+        last = bounds(read_log(spark, path).where(~own)).select("topic", "partition", F.col("latest").alias("_q_next"))
+        numbered = numbered.join(last, ["topic", "partition"], "left") \
                            .withColumn("offset", F.col("offset") + F.coalesce("_q_next", F.lit(0))).drop("_q_next")
     write_log(numbered, path)
 

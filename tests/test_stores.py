@@ -162,6 +162,13 @@ def test_fanout_case_insensitive_folders(spark):
     assert got == {"The": 3, "the": 3, "a/b": 1, "x": 1}
 
 
+def test_case_folding_like_java(spark):
+    from quarry.sinks.fanout import fold_case
+    got = {r.w: r.f for r in spark.createDataFrame([("ΟΔΟΣ",), ("οδος",), ("οδοσ",), ("Straße",), ("STRASSE",)], "w string")
+           .select("w", fold_case(F.col("w")).alias("f")).collect()}
+    assert got["ΟΔΟΣ"] == got["οδος"] == got["οδοσ"] and got["Straße"] != got["STRASSE"]
+
+
 def test_dense_positions_sparse_64bit_keys(spark):
     from quarry.operators.common import levels_for
     # keys spread over most of the signed 64-bit range: many levels of prefix sums

@@ -87,24 +87,27 @@ def test_log_append_keeps_offsets_dense(spark):
         return spark.createDataFrame([("t", i % 2, str(i), f"v{i}", i) for i in ids],
                                      "topic string, partition int, key string, value string, id long") \
             .withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
-    lg.append_records(spark, path, recs(range(0, 10)), "id", 0)
-    lg.append_records(spark, path, recs(range(10, 15)), "id", 1)
-    lg.append_records(spark, path, recs(range(10, 15)), "id", 1)  # a replayed batch replaces itself
+    lg.append_records(spark, path, recs(range(0, 10)), "id", "w", 0)
+    lg.append_records(spark, path, recs(range(10, 15)), "id", "w", 1)
+    lg.append_records(spark, path, recs(range(10, 15)), "id", "w", 1)  # a replayed batch replaces itself
     log = lg.read_log(spark, path)
     assert log.count() == 15
     for p in (0, 1):
         offs = sorted(r.offset for r in log.where(F.col("partition") == p).collect())
         assert offs == list(range(len(offs)))
     assert lg.commits(log).where("partition = 0").first().next_offset == 8
+    lg.append_records(spark, path, recs(range(15, 20)), "id")       # no writer named: only ever adds
+    lg.append_records(spark, path, recs(range(15, 20)), "id", "other", 0)
+    assert lg.read_log(spark, path).count() == 25
 
 
 def test_record_decode_drops_bad(spark):
-    people = spark.createDataFrame([("wyp", 23), ("spark", 34), ("kafka", 23), ("iteblog", 23)], "name string, age int")
+    people = spark.createDataFrame([("beta", 23), ("spark", 34), ("kafka", 23), ("alpha", 23)], "name string, age int")
     good = people.select(lg.encode(people, ["name", "age"]).alias("value"))
     bad = spark.createDataFrame([(bytearray(b"\x00\x01garbage"),)], "value binary")
     dec = good.union(bad).select(lg.decode(F.col("value"), "name string, age int").alias("r"))
     kept = dec.where(F.col("r.name").isNotNull()).select("r.*")
-    assert sorted(tuple(r) for r in kept.collect()) == sorted([("wyp", 23), ("spark", 34), ("kafka", 23), ("iteblog", 23)])
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([("beta", 23), ("spark", 34), ("kafka", 23), ("alpha", 23)])
 
 
 def test_keyed_state_hook(spark):
@@ -170,22 +173,20 @@ def test_compacted_upsert_sink_keeps_current_table(spark):
     assert got == {1: 2.0, 2: 3.0, 3: 1.0, 4: 4.0}
 
 
-def test_live_payment_stream_with_interval_trigger(spark):
+def test_interval_trigger(spark):
     import time
-    from quarry.sources.generators import payment_stream
     from quarry.streaming.runner import start_stream
-    out = scratch_path(spark, "t-rate")
-    q = start_stream(payment_stream(spark, 20), batch_dirs_sink(out), checkpoint_dir(spark, "t-rate"),
-                     every="0.5 seconds")
+    out, src = scratch_path(spark, "t-interval"), scratch_path(spark, "t-interval-in")
+    spark.range(20).write.parquet(src)
+    q = start_stream(spark.readStream.schema("id long").parquet(src), batch_dirs_sink(out),
+                     checkpoint_dir(spark, "t-interval"), every="0.5 seconds")
     try:
         deadline = time.time() + 60
-        while time.time() < deadline and len([p for p in q.recentProgress if p["numInputRows"] > 0]) < 2:
+        while time.time() < deadline and not any(p["numInputRows"] > 0 for p in q.recentProgress):
             time.sleep(0.5)
     finally:
         q.stop()
-    rows = read_batches(spark, out, "timestamp timestamp, value string").collect()
-    assert rows and all(r.value.split(", ")[0] in ("user_a", "user_b", "user_c", "user_d") for r in rows)
-    assert all(0 <= int(r.value.split(", ")[1]) <= 9 for r in rows)
+    assert read_batches(spark, out, "id long").count() == 20
 
 
 def test_clamp_latest_start_for_new_partitions(spark):
@@ -203,9 +204,9 @@ def test_commits_follow_the_log_across_restarts(spark):
                                      "topic string, partition int, key string, value string, id long") \
             .withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
     out, ck = scratch_path(spark, "t-commits"), checkpoint_dir(spark, "t-commits")
-    lg.append_records(spark, path, recs(range(0, 20)), "id", 0)
+    lg.append_records(spark, path, recs(range(0, 20)), "id", "w", 0)
     run_available(lg.stream_log(spark, path), batch_dirs_sink(out, lg.commits), ck)
-    lg.append_records(spark, path, recs(range(20, 31)), "id", 1)
+    lg.append_records(spark, path, recs(range(20, 31)), "id", "w", 1)
     run_available(lg.stream_log(spark, path), batch_dirs_sink(out, lg.commits), ck)
     got = {r.partition: r.next_offset for r in
            lg.current_commits(read_batches(spark, out, "topic string, partition int, next_offset long")).collect()}

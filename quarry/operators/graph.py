@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,8 +17,8 @@ def edges_from_text(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def vertices_of(edges: DataFrame, attr=0) -> DataFrame:
     """All end points as vertices, each with the same attribute (default 0)."""
-    ids = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
-    return ids.withColumn("attr", F.lit(attr))
+    ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    return ids.withColumn("attr", F.lit(attr) if not isinstance(attr, Column) else attr)
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -33,9 +33,10 @@ def join_vertices(vertices: DataFrame, updates: DataFrame, value: str) -> DataFr
 
 
 def out_degree_vertices(edges: DataFrame) -> DataFrame:
-    """Every vertex with its out-degree (0 when it has none), in one shuffle: each edge gives
-    (src, 1) and (dst, 0), summed per vertex with map-side combine. Same result as resetting
+    """Every vertex with its out-degree (0 when it has none), in one scan and one shuffle: each edge
+    gives (src, 1) and (dst, 0), summed per vertex with map-side combine. Same result as resetting
     the attributes to 0 and joining the out-degrees in, without the second shuffle."""
-    marks = edges.select(F.col("src").alias("id"), F.lit(1).alias("o")) \
-                 .union(edges.select(F.col("dst").alias("id"), F.lit(0).alias("o")))
+    ends = F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("o")),
+                   F.struct(F.col("dst").alias("id"), F.lit(0).alias("o")))
+    marks = edges.select(F.explode(ends).alias("m")).select("m.id", "m.o")
     return marks.groupBy("id").agg(F.sum("o").cast("long").alias("degree"))

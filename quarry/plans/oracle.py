@@ -132,6 +132,8 @@ SELECT v.id, coalesce(d.degree, 0) AS degree
 FROM (SELECT src AS id FROM {_EDGES} UNION SELECT dst FROM {_EDGES}) v
 LEFT JOIN (SELECT src AS id, count(*) AS degree FROM {_EDGES} GROUP BY src) d ON v.id = d.id"""
 
+SQL["graph_vertex_join"] = SQL["graph_out_degree"].replace("AS degree\nFROM (SELECT src AS id", "AS attr\nFROM (SELECT src AS id", 1)
+
 # --- id sets: bucket = bitmap bucket of an id (ids here are >= 0) ---------------------------
 _BKT = "CASE WHEN id > 0 THEN (id - 1) // 32768 + 1 ELSE 0 END"
 _ITEMS = "(SELECT DISTINCT l_orderkey AS id FROM lineitem)"

@@ -61,3 +61,11 @@ def graph_load(spark, sf_dir):
 @register("graph_out_degree")
 def graph_out_degree(spark, sf_dir):
     return gr.out_degree_vertices(lineitem_edges(spark, sf_dir))
+
+
+@register("graph_vertex_join")
+def graph_vertex_join(spark, sf_dir):
+    """Attributes reset to 0 on all vertices, then the out-degrees joined in where there are any."""
+    e = lineitem_edges(spark, sf_dir)
+    reset = gr.vertices_of(e, F.lit(0).cast("long"))
+    return gr.join_vertices(reset, gr.out_degrees(e), "degree")

@@ -3,12 +3,13 @@
 Two collections of ``BANDS`` sub-keys, each a hash of ``ROWS`` minhashes, give ``BANDS ** 2`` table
 keys by pairing every sub-key of one with every sub-key of the other. A table key then stands for
 ``2 * ROWS`` minhashes although only ``2 * BANDS * ROWS`` are computed. At similarity 0.8 a pair
-shares no key with probability below ``2 * (1 - 0.8 ** ROWS) ** BANDS``, 4 in 10,000.
+shares no key with probability below ``2 * (1 - 0.8 ** ROWS) ** BANDS``, 2 in 100,000.
 
 1. Documents with equal shingle sets form a class; only its smallest id goes on.
 2. Sub-keys held by one document only are left out, so most documents emit no table key at all.
 3. In each table group one pivot, the member that shares most groups, is compared with the others
-   on the full shingle sets of the texts. Hot groups cost one comparison per member.
+   on the full shingle sets of the texts. Hot groups cost one comparison per member, and a hot
+   star is cut into parts of about ``PART_ROWS`` members, each of which gets its own pivot copy.
 4. Verified links are contracted to components.
 5. What is left in a pivot's star across components is compared exactly in bounded blocks: two
    members' intersection follows from their differences to the pivot, so no text moves again and no
@@ -31,10 +32,11 @@ from quarry.llm.common import (LOWER, NON_BLANK, find_words, free_name, hash_wor
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BANDS = 12
+BANDS = 16
 ROWS = 3
 SIMILAR_PCT = 80
 ID_BROADCAST = 1_000_000   # ids, 8 bytes each, that may be broadcast; more are joined by shuffle
+PART_ROWS = 256        # members of a star that meet one copy of its pivot's text, on average
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
 STAR_ALL = 2048        # members of the star that they are compared with in one block
 COLUMNS = 4096         # difference tokens per matrix product
@@ -227,13 +229,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     "classes")
 
     # sub-keys that at least two classes hold
-    h = classes.select("rep", F.posexplode("subkeys").alias("t", "h")).repartition("t", "h")
+    h = classes.select("rep", F.posexplode("subkeys").alias("t", "h"))
     shared = h.groupBy("t", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     mine = h.join(shared, ["t", "h"]).groupBy("rep").agg(F.collect_set(F.struct("t", "h")).alias("s"))
     half = lambda op: F.filter("s", lambda x: op(x["t"]))
     pairs = F.flatten(F.transform(half(lambda t: t < bands), lambda a: F.transform(
         half(lambda t: t >= bands), lambda b: F.xxhash64(a["t"], b["t"], a["h"], b["h"]))))
-    keys = saved(mine.select("rep", F.explode(pairs).alias("key")), "table-keys").repartition("key")
+    keys = saved(mine.select("rep", F.explode(pairs).alias("key")), "table-keys")
     size = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     groups = saved(keys.join(size, "key"), "table-groups")
 
@@ -242,8 +244,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ranked = groups.select("key", "rep").join(met, "rep")
     pivot = ranked.groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("low"))).alias("m")).select(
         "key", (-F.col("m.low")).alias("p"))
-    star = groups.select("key", F.col("rep").alias("x")).join(pivot, "key").where("x <> p").select("p", "x").distinct()
-    star = saved(star, "stars")
+    # a group of at most PART_ROWS members makes part 0; larger ones are spread by their size
+    star = groups.select("key", F.col("rep").alias("x"), "k").join(pivot, "key").where("x <> p").groupBy("p", "x").agg(
+        F.max("k").alias("k"))
+    star = saved(star.select("p", "x", F.expr(f"pmod(xxhash64(x), cast(ceil(k / {PART_ROWS}) as int))").alias("part")),
+                 "stars")
+    parts = saved(star.select("p", "part").distinct(), "star-parts")
     who = saved(star.select(F.col("p").alias("doc_id")).union(star.select("x")).distinct(), "star-ids")
     # only texts of star members move; up to ID_BROADCAST ids (8 bytes each) that is decided on the spot
     if who.count() <= ID_BROADCAST:
@@ -251,8 +257,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = (base.where(F.col("doc_id").isNotNull()).join(who, "doc_id", "left_semi")
                  .groupBy("doc_id").agg(F.min("text").alias("text")))
     with_x = star.join(texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx")), "x")
-    both = with_x.join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("tp")), "p")
-    seen = saved(both.select("p", "x", compared(F.col("tp"), F.col("tx")).alias("c")).select("p", "x", "c.*"), "compared")
+    pivots = parts.join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("tp")), "p")
+    both = with_x.join(pivots, ["p", "part"])
+    seen = saved(both.select("p", "x", "part", compared(F.col("tp"), F.col("tx")).alias("c")).select(
+        "p", "x", "part", "c.*"), "compared")
     linked = F.expr(f"100 * common >= {similar_pct} * (np + nx - common)")
     direct = seen.where(linked).select(F.col("p").alias("u"), F.col("x").alias("v"))
     labels = components(direct)
@@ -260,15 +268,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # stars that still hold several components: compare their members across components
     label_of = labels.select(F.col("node").alias("x"), F.col("label").alias("l"))
     members = seen.join(label_of, "x", "left").withColumn("label", F.coalesce("l", "x")).drop("l")
-    home = labels.select(F.col("node").alias("p"), F.col("label").alias("pl"))
-    members = members.join(home, "p", "left").withColumn("home", F.coalesce("pl", "p")).drop("pl")
+    home = parts.join(labels.select(F.col("node").alias("p"), F.col("label").alias("pl")), "p")
+    members = members.join(home, ["p", "part"], "left").withColumn("home", F.coalesce("pl", "p")).drop("pl")
     members = saved(members.withColumn("out", F.col("label") != F.col("home")), "star-members")
     counts = members.groupBy("p").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("out").cast("int")).alias("n_out"))
     # a lone outsider has only members of the pivot's component to meet, or none
     mixed = counts.where((F.col("n_out") > 0) & (F.col("n_all") > 1)).select(
         "p", F.ceil(F.col("n_out") / STAR_LEFT).cast("int").alias("lb"),
         F.ceil(F.col("n_all") / STAR_ALL).cast("int").alias("rb"))
-    m = members.join(mixed, "p").withColumn("spread", F.xxhash64("x"))
+    m = members.join(parts.join(mixed, "p"), ["p", "part"]).withColumn("spread", F.xxhash64("x"))
     span = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     cols = ["p", "x", "label", "np", "nx", "miss", "extra"]
     outs = m.where("out").withColumn("i", F.expr("cast(pmod(spread, lb) as int)")).select(

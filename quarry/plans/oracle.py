@@ -226,7 +226,7 @@ SQL["stream_word_totals"] = SQL["word_count"]
 SQL["stream_seeded_totals"] = f"""
 SELECT coalesce(w.word, s.word) AS word, CAST(coalesce(w.count, 0) + coalesce(s.seed, 0) AS BIGINT) AS count
 FROM ({SQL['word_count']}) w FULL OUTER JOIN (VALUES ('hello', 1), ('world', 1)) s(word, seed) ON w.word = s.word"""
-SQL["stream_payment_totals"] = f"SELECT user_id, total, true AS batches_add_up FROM ({SQL['payment_sum']})"
+SQL["stream_payment_totals"] = SQL["payment_sum"]
 SQL["keyed_state"] = SQL["payment_sum"]
 SQL["stream_top_pages"] = """
 WITH s AS (

@@ -84,25 +84,23 @@ def _purchase_stream(spark, path):
 
 @register("stream_payment_totals")
 def stream_payment_totals(spark, sf_dir):
-    """Two stages: per-batch sums per user (own sink) and running totals per user."""
+    """Two stages: per-batch sums per user go to a sink, whose batches a second stream folds to running totals."""
     src = _staged_purchases(spark, sf_dir)
     sums_path = scratch_path(spark, "pay-batch")
     run_available(_purchase_stream(spark, src),
                   batch_dirs_sink(sums_path, lambda b: st.running_sums(b, ["user_id"], "value", "batch_sum")),
                   checkpoint_dir(spark, "pay-batch"))
-    totals = st.run_totals(spark, st.running_sums(_purchase_stream(spark, src), ["user_id"], "value"), ["user_id"],
-                           "user_id long, total double", scratch_path(spark, "pay-tot"), checkpoint_dir(spark, "pay-tot"))
-    batch_total = read_batches(spark, sums_path, "user_id long, batch_sum double") \
-        .groupBy("user_id").agg(exact_sum("batch_sum").alias("_q_bt"))
-    return totals.join(batch_total, "user_id", "left").select(
-        "user_id", "total", (F.col("_q_bt") == F.col("total")).alias("batches_add_up"))
+    # the first stage has ended, so none of its batches is written again under the second
+    sums = spark.readStream.schema("user_id long, batch_sum double, batch long").parquet(sums_path)
+    return st.run_totals(spark, st.running_sums(sums, ["user_id"], "batch_sum"), ["user_id"],
+                         "user_id long, total double", scratch_path(spark, "pay-tot"), checkpoint_dir(spark, "pay-tot"))
 
 
 @register("keyed_state")
 def keyed_state_q(spark, sf_dir):
     src = _staged_purchases(spark, sf_dir)
-    out = st.keyed_state(_purchase_stream(spark, src), "user_id", st.cents_total,
-                         "user_id long, total double", "cents long", partial=st.CENTS_PARTIAL)
+    out = st.keyed_state(_purchase_stream(spark, src), "user_id", st.amount_total,
+                         "user_id long, total double", "total string", partial=st.AMOUNT_PARTIAL)
     path = scratch_path(spark, "keyed")
     run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "keyed"), mode="update")
     return newest_per_key(read_batches(spark, path, "user_id long, total double"), ["user_id"])

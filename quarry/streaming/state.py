@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from decimal import Context, Decimal
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -42,69 +43,93 @@ def run_totals(spark: SparkSession, totals: DataFrame, keys: list[str], schema:
                checkpoint: str, seed: DataFrame | None = None, value: str | None = None) -> DataFrame:
     """Run a streaming aggregate to the end and return the current table.
 
-    ``seed`` (initial state, same columns) is added to the running value of its keys and kept
-    for keys that never receive input, as ``updateStateByKey`` with an initial RDD does.
+    ``seed`` (initial state, same columns) counts in every emitted batch, and its keys are there from
+    the start as version -1, also those that never receive input, as ``updateStateByKey`` with an
+    initial RDD does.
     """
-    run_available(totals, batch_dirs_sink(path), checkpoint, mode="update")
-    current = newest_per_key(read_batches(spark, path, schema), keys)
-    if seed is None:
-        return current
-    j = current.join(seed.withColumnRenamed(value, "_q_seed"), keys, "full_outer")
-    return j.select(*keys, (F.coalesce(F.col(value), F.lit(0)) + F.coalesce("_q_seed", F.lit(0)))
-                    .cast(current.schema[value].dataType).alias(value))
+    add_seed = None
+    if seed is not None:
+        kind = totals.schema[value].dataType
+        start = seed.select(*keys, F.col(value).cast(kind).alias(value))
+        start.write.mode("overwrite").parquet(f"{path}/batch=-1")
+
+        def add_seed(batch: DataFrame) -> DataFrame:
+            j = batch.join(start.withColumnRenamed(value, "_q_seed"), keys, "left")
+            return j.select(*keys, (F.col(value) + F.coalesce("_q_seed", F.lit(0))).cast(kind).alias(value))
+
+    run_available(totals, batch_dirs_sink(path, add_seed), checkpoint, mode="update")
+    return newest_per_key(read_batches(spark, path, schema), keys)
 
 
 def combine_in_partitions(df: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame],
                           merge: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Map-side combine ahead of a state operator: ``combine`` folds each Arrow batch of raw rows
-    to one partial row per key, ``merge`` folds a partition's partials again. It is stateless
+    to one partial row per key, ``merge`` folds these into the partition's partials as they come, so
+    one row per key is held. It is stateless
     (``mapInPandas``), so a stream may run it before ``applyInPandasWithState``; a hot key then
     reaches its state task with one row per input partition and micro-batch, not all its rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [combine(b) for b in batches if len(b)]
-        if parts:
-            yield merge(pd.concat(parts, ignore_index=True))
+        held = None
+        for b in batches:
+            if len(b):
+                part = combine(b)
+                held = part if held is None else merge(pd.concat([held, part], ignore_index=True))
+        if held is not None:
+            yield held
     return df.mapInPandas(run, schema)
 
 
 def keyed_state(df: DataFrame, key: str, fn: Callable[[object, pd.DataFrame, object], object],
                 out_schema: str, state_schema: str, mode: str = "update",
                 partial: tuple[Callable, Callable, str] | None = None) -> DataFrame:
-    """Hook for a user's own per-key state function (Arrow batches, one call per key and batch).
+    """Hook for a user's own per-key state function.
 
-    ``fn(key, rows, old_state) -> (new_state, out_rows)``; ``old_state`` is a tuple or None.
+    ``fn(key, rows, old_state) -> (new_state, out_rows)``; ``old_state`` is a tuple or None. A key's
+    rows of one micro-batch come in Arrow chunks: ``fn`` is called once per chunk with the state of
+    the call before, so no more than a chunk is held, and the last call's ``out_rows`` are emitted.
     ``partial = (combine, merge, schema)`` pre-aggregates in every input partition first (see
     ``combine_in_partitions``); ``fn`` then gets the partial rows. Use it whenever the state
-    update is associative: without it all of a key's rows in a batch go to one task.
+    update is associative: without it all of a key's rows in a batch go through one task.
     """
     def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        old = state.get if state.exists else None
-        new, out = fn(k[0], rows, old)
-        state.update(new)
-        yield out
+        held, out = (state.get if state.exists else None), None
+        for rows in pdfs:
+            held, out = fn(k[0], rows, held)
+        if out is not None:
+            state.update(held)
+            yield out
     if partial is not None:
         df = combine_in_partitions(df, *partial)
     return df.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, mode,
                                                   GroupStateTimeout.NoTimeout)
 
 
-# Example state function with its map-side combine: running totals per user in integer cents
-# (exact in any batch order and any split of a batch into partials).
-def cents_partial(rows: pd.DataFrame) -> pd.DataFrame:
-    cents = (rows["value"] * 100).round().astype("int64")
-    return cents.groupby(rows["user_id"]).sum().rename("cents").reset_index()
+# Example state function with its map-side combine: running totals per user as decimal texts,
+# exact in any batch order and any split of a batch into partials. Null values add nothing.
+DIGITS = 700     # enough for every sum of doubles
+
+
+def exact_total(amounts) -> Decimal:
+    ctx, total = Context(prec=DIGITS, traps=[]), Decimal(0)
+    for x in amounts:
+        total = ctx.add(total, Decimal(x))
+    return total
+
+
+def amount_partial(rows: pd.DataFrame) -> pd.DataFrame:
+    amounts = rows["value"].map(lambda v: "0" if pd.isna(v) else repr(float(v)))
+    return amount_merge(pd.DataFrame({"user_id": rows["user_id"], "amount": amounts}))
 
 
-def cents_merge(partials: pd.DataFrame) -> pd.DataFrame:
-    return partials.groupby("user_id", as_index=False)["cents"].sum()
+def amount_merge(partials: pd.DataFrame) -> pd.DataFrame:
+    totals = partials.groupby("user_id", dropna=False)["amount"].agg(lambda a: str(exact_total(a)))
+    return totals.reset_index()
 
 
-CENTS_PARTIAL = (cents_partial, cents_merge, "user_id long, cents long")
+AMOUNT_PARTIAL = (amount_partial, amount_merge, "user_id long, amount string")
 
 
-def cents_total(key, rows: pd.DataFrame, old):
-    """Example state function over ``CENTS_PARTIAL`` rows: running total per user."""
-    prev = old[0] if old else 0
-    total = prev + int(rows["cents"].sum())
-    return (total,), pd.DataFrame({"user_id": [key], "total": [total / 100.0]})
+def amount_total(key, rows: pd.DataFrame, old):
+    """Example state function over ``AMOUNT_PARTIAL`` rows: running total per user."""
+    total = exact_total([old[0] if old else "0", *rows["amount"]])
+    return (str(total),), pd.DataFrame({"user_id": [key], "total": [float(total)]})

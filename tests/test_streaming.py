@@ -1,5 +1,8 @@
 """Streaming operators: state with seeds, restart from a checkpoint, windows, logs, records."""
 
+from fractions import Fraction
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quarry.operators import windows as win
@@ -25,6 +28,10 @@ def test_seeded_word_state(spark):
     got = st.run_totals(spark, st.running_word_totals(_text_stream(spark, src)), ["word"], "word string, count long",
                         scratch_path(spark, "t-seed"), checkpoint_dir(spark, "t-seed"), seed=seed, value="count")
     assert {r.word: r["count"] for r in got.collect()} == {"hello": 3, "world": 1}
+    # the emitted batch itself holds the seeded value
+    sink = read_batches(spark, [p for p in got.inputFiles() if "batch=0" in p][0].rsplit("/batch=", 1)[0],
+                        "word string, count long")
+    assert [tuple(r) for r in sink.where("batch = 0").collect()] == [("hello", 3, 0)]
 
 
 def test_restart_resumes_from_checkpoint(spark):
@@ -112,16 +119,16 @@ def test_record_decode_drops_bad(spark):
 
 def test_keyed_state_hook(spark):
     src = scratch_path(spark, "t-keyed-src")
-    for part in ([(1, 1.25), (2, 2.5)], [(1, 0.75)]):
+    for part in ([(1, 1.252), (2, 2.5), (2, None)], [(1, 0.752)]):
         spark.createDataFrame(part, "user_id long, value double").coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema("user_id long, value double").option("maxFilesPerTrigger", 1).parquet(src)
-    out = st.keyed_state(stream, "user_id", st.cents_total, "user_id long, total double", "cents long",
-                         partial=st.CENTS_PARTIAL)
+    out = st.keyed_state(stream, "user_id", st.amount_total, "user_id long, total double", "total string",
+                         partial=st.AMOUNT_PARTIAL)
     path = scratch_path(spark, "t-keyed")
     run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "t-keyed"), mode="update")
     got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, "user_id long, total double"),
                                                       ["user_id"]).collect()}
-    assert got == {1: 2.0, 2: 2.5}
+    assert got == {1: 2.004, 2: 2.5}
 
 
 def test_keyed_state_hot_key_is_combined_per_partition(spark):
@@ -130,8 +137,8 @@ def test_keyed_state_hot_key_is_combined_per_partition(spark):
     src = scratch_path(spark, "t-keyed-hot-src")
     spark.createDataFrame(rows, "user_id long, value double").repartition(6).write.parquet(src)
     stream = spark.readStream.schema("user_id long, value double").parquet(src)
-    out = st.keyed_state(stream, "user_id", st.cents_total, "user_id long, total double", "cents long",
-                         partial=st.CENTS_PARTIAL)
+    out = st.keyed_state(stream, "user_id", st.amount_total, "user_id long, total double", "total string",
+                         partial=st.AMOUNT_PARTIAL)
     assert "MapInPandas" in out._jdf.queryExecution().analyzed().toString()
     path = scratch_path(spark, "t-keyed-hot")
     run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "t-keyed-hot"), mode="update")
@@ -139,38 +146,34 @@ def test_keyed_state_hot_key_is_combined_per_partition(spark):
                                                       ["user_id"]).collect()}
     want = {}
     for u, v in rows:
-        want[u] = want.get(u, 0) + round(v * 100)
-    assert got == {u: c / 100.0 for u, c in want.items()}
+        want[u] = want.get(u, 0) + Fraction(str(v))
+    assert got == {u: float(t) for u, t in want.items()}
 
 
-def test_compacted_upsert_sink_keeps_current_table(spark):
-    from quarry.session import path_exists
-    from quarry.streaming.runner import compact_batches
-    src = scratch_path(spark, "t-cmp-src")
-    schema = "user_id long, total double"
+def test_state_folds_arrow_chunks(spark):
+    # rows of one key reach the hook in chunks of 100 and are folded, never gathered
+    rows = [(1, i / 1000) for i in range(1050)]
+    src, path = scratch_path(spark, "t-chunk-src"), scratch_path(spark, "t-chunk")
+    spark.createDataFrame(rows, "user_id long, value double").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("user_id long, value double").parquet(src)
 
-    def add(part):
-        spark.createDataFrame(part, "user_id long, value double").coalesce(1).write.mode("append").parquet(src)
+    def fold(key, part, old):
+        calls, total = old or (0, "0")
+        amounts = [total, *st.amount_partial(part)["amount"]]
+        state = (calls + 1, str(st.exact_total(amounts)))
+        return state, pd.DataFrame({"user_id": [key], "calls": [state[0]], "total": [float(state[1])]})
 
-    def run(path, ckpt):
-        stream = spark.readStream.schema("user_id long, value double").option("maxFilesPerTrigger", 1).parquet(src)
-        out = st.keyed_state(stream, "user_id", st.cents_total, schema, "cents long", partial=st.CENTS_PARTIAL)
-        run_available(out, batch_dirs_sink(path), ckpt, mode="update")
-        return {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, schema), ["user_id"]).collect()}
-
-    path, ckpt = scratch_path(spark, "t-cmp"), checkpoint_dir(spark, "t-cmp")
-    add([(1, 1.25), (2, 2.5)])
-    add([(1, 0.75), (3, 1.0)])
-    assert run(path, ckpt) == {1: 2.0, 2: 2.5, 3: 1.0}
-    assert compact_batches(spark, path, schema, ["user_id"]) == 1
-    assert not path_exists(spark, f"{path}/batch=0") and not path_exists(spark, f"{path}/batch=1")
-    assert read_batches(spark, path, schema).count() == 3
-    add([(2, 0.5), (4, 4.0)])
-    assert run(path, ckpt) == {1: 2.0, 2: 3.0, 3: 1.0, 4: 4.0}
-    assert compact_batches(spark, path, schema, ["user_id"]) == 2
-    assert not path_exists(spark, f"{path}/_compacted/upto=1")
-    got = {r.user_id: r.total for r in newest_per_key(read_batches(spark, path, schema), ["user_id"]).collect()}
-    assert got == {1: 2.0, 2: 3.0, 3: 1.0, 4: 4.0}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 100)
+    try:
+        out = st.keyed_state(stream, "user_id", fold, "user_id long, calls long, total double", "calls long, total string")
+        run_available(out, batch_dirs_sink(path), checkpoint_dir(spark, "t-chunk"), mode="update")
+    finally:
+        spark.conf.set(size, before)
+    got = read_batches(spark, path, "user_id long, calls long, total double").collect()
+    assert [(r.user_id, r.total) for r in got] == [(1, float(sum(Fraction(str(v)) for _, v in rows)))]
+    assert got[0].calls > 1
 
 
 def test_interval_trigger(spark):

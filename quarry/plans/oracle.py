@@ -228,16 +228,26 @@ SELECT coalesce(w.word, s.word) AS word, CAST(coalesce(w.count, 0) + coalesce(s.
 FROM ({SQL['word_count']}) w FULL OUTER JOIN (VALUES ('hello', 1), ('world', 1)) s(word, seed) ON w.word = s.word"""
 SQL["stream_payment_totals"] = SQL["payment_sum"]
 SQL["keyed_state"] = SQL["payment_sum"]
-SQL["stream_top_pages"] = """
-WITH s AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS page,
+_SCORED = """
+  SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS page,
          CAST(CAST(CAST(CAST(CAST(l_quantity AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
                    + CAST(CAST(CAST(l_discount AS VARCHAR) AS FLOAT) AS DOUBLE) * 0.8
-                   + CAST(CAST(CAST(l_tax AS VARCHAR) AS FLOAT) AS DOUBLE) * 1.0 AS VARCHAR) AS DECIMAL(20,10)) AS score
-  FROM lineitem),
+                   + CAST(CAST(CAST(l_tax AS VARCHAR) AS FLOAT) AS DOUBLE) * 1.0 AS VARCHAR) AS DECIMAL(38,20)) AS score
+  FROM lineitem"""
+SQL["stream_top_pages"] = f"""
+WITH s AS ({_SCORED}),
 t AS (SELECT page, CAST(CAST(sum(score) AS VARCHAR) AS DOUBLE) AS pop FROM s GROUP BY page
       UNION ALL SELECT 'page1', 0.0)
 SELECT page, sum(pop) AS pop FROM t GROUP BY page ORDER BY pop DESC, page ASC LIMIT 10"""
+SQL["stream_top_pages_by_batch"] = f"""
+WITH s AS ({_SCORED}),
+b AS (SELECT batch, CASE WHEN batch = 3 THEN hi ELSE lo + (hi - lo) / 4 * (batch + 1) END AS upto
+      FROM (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem), range(4) r(batch)),
+t AS (SELECT batch, page, CAST(CAST(sum(score) AS VARCHAR) AS DOUBLE) AS pop
+      FROM b JOIN s ON l_orderkey <= upto GROUP BY batch, page
+      UNION ALL SELECT batch, 'page1', 0.0 FROM b),
+u AS (SELECT batch, page, sum(pop) AS pop FROM t GROUP BY batch, page)
+SELECT batch, page, pop FROM u QUALIFY row_number() OVER (PARTITION BY batch ORDER BY pop DESC, page ASC) <= 10"""
 
 _LOG = """
 SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition,

@@ -18,7 +18,7 @@ from quarry.sources import logtable as lg
 from quarry.sources.tables import read_table
 from quarry.streaming import state as st
 from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_instant, newest_per_key, read_batches,
-                                     run_available, stage_files, to_instant)
+                                     run_available, run_slices, stage_files, to_instant)
 
 N_FILES = 4
 # The reference's initial word state and its popularity seed page.
@@ -106,32 +106,53 @@ def keyed_state_q(spark, sf_dir):
     return newest_per_key(read_batches(spark, path, "user_id long, total double"), ["user_id"])
 
 
-@register("stream_top_pages")
-def stream_top_pages(spark, sf_dir):
-    """``page|a|b|c`` lines parsed with 32-bit float fields (as the reference parses them),
-    scored, summed per page in state, seeded with page1 = 0.0; top 10 of the final state."""
+def _page_lines(spark, sf_dir):
+    """lineitem as ``page|a|b|c`` lines."""
     li = read_table(spark, sf_dir, "lineitem")
-    lines = li.select("l_orderkey", F.concat_ws("|", F.col("l_partkey").cast("string"), *[
+    return li.select("l_orderkey", F.concat_ws("|", F.col("l_partkey").cast("string"), *[
         F.col(c).cast("string") for c in ("l_quantity", "l_discount", "l_tax")]).alias("value"))
-    src = stage_files(lines, scratch_path(spark, "pop-src"), N_FILES, ["l_orderkey"])
-    stream = spark.readStream.schema("l_orderkey long, value string").option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def _page_totals(stream):
+    """Popularity per page of lines parsed with 32-bit float fields (as the reference parses them).
+
+    A double score has at most 20 decimals here, so the decimal sum rounds nothing and does not
+    depend on how rows are split into micro-batches."""
     p = F.split("value", "\\|")
     a, b, c = (F.get(p, i).cast("float").cast("double") for i in (1, 2, 3))
     wa, wb, wc = POPULARITY_WEIGHTS
     score = a * F.lit(wa) + b * F.lit(wb) + c * F.lit(wc)
-    # each row's double score is fixed to 10 decimals before summing, so the total does not
-    # depend on how rows are split into micro-batches
-    scored = stream.select(F.get(p, 0).alias("page"), score.cast("decimal(20,10)").alias("score"))
-    totals = scored.groupBy("page").agg(F.sum("score").alias("pop"))
-    path = scratch_path(spark, "pop")
-    run_available(totals, batch_dirs_sink(path), checkpoint_dir(spark, "pop"), mode="update")
-    current = newest_per_key(read_batches(spark, path, "page string, pop decimal(30,10)"), ["page"])
-    seed = spark.createDataFrame([PAGE_SEED], "page string, seed double")
-    allp = current.join(seed, "page", "full_outer").select(
+    return stream.select(F.get(p, 0).alias("page"), score.cast("decimal(38,20)").alias("score")) \
+                 .groupBy("page").agg(F.sum("score").alias("pop"))
+
+
+def _top_pages(totals):
+    """The ten pages of highest popularity, seed page included."""
+    seed = totals.sparkSession.createDataFrame([PAGE_SEED], "page string, seed double")
+    allp = totals.join(seed, "page", "full_outer").select(
         "page", (F.coalesce(F.col("pop").cast("double"), F.lit(0.0)) + F.coalesce("seed", F.lit(0.0))).alias("pop"))
     return allp.orderBy(F.desc("pop"), F.asc("page")).limit(10)
 
 
+@register("stream_top_pages")
+def stream_top_pages(spark, sf_dir):
+    """Scores summed per page in state, seeded with page1 = 0.0; top 10 of the final state."""
+    src = stage_files(_page_lines(spark, sf_dir), scratch_path(spark, "pop-src"), N_FILES, ["l_orderkey"])
+    stream = spark.readStream.schema("l_orderkey long, value string").option("maxFilesPerTrigger", 1).parquet(src)
+    path = scratch_path(spark, "pop")
+    run_available(_page_totals(stream), batch_dirs_sink(path), checkpoint_dir(spark, "pop"), mode="update")
+    return _top_pages(newest_per_key(read_batches(spark, path, "page string, pop decimal(38,20)"), ["page"]))
+
+
+@register("stream_top_pages_by_batch")
+def stream_top_pages_by_batch(spark, sf_dir):
+    """The top 10 after each of four micro-batches of order-key slices, every one from the whole state."""
+    path = scratch_path(spark, "pop-each")
+    run_slices(_page_lines(spark, sf_dir), scratch_path(spark, "pop-each-src"), N_FILES, "l_orderkey", _page_totals,
+               batch_dirs_sink(path, _top_pages), checkpoint_dir(spark, "pop-each"), mode="complete")
+    return read_batches(spark, path, "page string, pop double")
+
+
 # --- log tables ----------------------------------------------------------------------------
 N_LOG_PARTITIONS = 3
 

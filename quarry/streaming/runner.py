@@ -15,28 +15,35 @@ from pyspark.sql import functions as F
 from quarry.session import scratch_path
 
 
+def key_slices(df: DataFrame, n: int, key: str) -> list[DataFrame]:
+    """``df`` cut into ``n`` ranges of equal width of a numeric key, in key order (rows of
+    null key come first); one slice if no row has a key."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return [df]
+    ends = [lo + (hi - lo) / n * (i + 1) for i in range(n - 1)]
+    at = sum((F.when(F.col(key) > e, 1).otherwise(0) for e in ends), F.lit(0))
+    return [df.where(at == i) for i in range(n)]
+
+
 def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: str = "parquet",
                 cols: list[str] | None = None) -> str:
     """Write ``df`` as ``n_files`` key-range slices, one append per slice in key order, so a
     file stream reads them back as ordered micro-batches (oldest file first)."""
-    lo_hi = df.agg(*[F.min(order[0]).alias("lo"), F.max(order[0]).alias("hi")]).first()
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    if lo is None:
-        getattr(df.select(*(cols or df.columns)).limit(0).write.mode("append"), fmt)(path)
-        return path
-    step = (hi - lo) / n_files
-    for i in range(n_files):
-        a = lo + step * i
-        cond = (F.col(order[0]) >= a) if i == 0 else (F.col(order[0]) > a)
-        if i < n_files - 1:
-            cond = cond & (F.col(order[0]) <= lo + step * (i + 1))
-        part = df.where(cond)
-        if cols:
-            part = part.select(*cols)
-        getattr(part.write.mode("append"), fmt)(path)
+    for part in key_slices(df, n_files, order[0]):
+        getattr(part.select(*(cols or df.columns)).write.mode("append"), fmt)(path)
     return path
 
 
+def run_slices(df: DataFrame, path: str, n: int, key: str, transform: Callable[[DataFrame], DataFrame],
+               sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
+    """Feed a stream one key slice at a time, each a micro-batch of its own whatever its number of
+    files: the query is run to the end of what is there, stopped, and resumed for the next slice."""
+    for part in key_slices(df, n, key):
+        part.write.mode("append").parquet(path)
+        run_available(transform(df.sparkSession.readStream.schema(df.schema).parquet(path)), sink, checkpoint, mode)
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 

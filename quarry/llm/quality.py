@@ -1,8 +1,8 @@
 """Quality rules by repetition coverage (operator 7).
 
-Rolling hashes of several n-gram lengths mark every n-gram that occurs at least twice in its
-text; the share of a text's word characters inside such n-grams, and inside lines that equal an
-earlier line, decides. All windows of a slice of texts are hashed together in numpy; the text
+Rolling hashes of several n-gram lengths mark every n-gram that equals an earlier one of its
+text; the share of a text's word characters inside such later copies, and inside lines that equal
+an earlier line, decides. All windows of a slice of texts are hashed together in numpy; the text
 number is mixed into each window hash, so windows match only inside their own text.
 """
 
@@ -24,11 +24,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 REPEAT_WINDOW = 3
-# largest allowed share of word characters inside duplicated n-grams, by n. The first copy counts as
-# well, so the limits leave room for a short text in which one line or heading comes twice
-MAX_NGRAM_SHARE = {5: 0.45, 6: 0.44, 7: 0.43, 8: 0.42, 9: 0.41, 10: 0.40}
+# largest allowed share of word characters inside later copies of n-grams, by n
+MAX_NGRAM_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 # largest allowed share of word characters inside lines that equal an earlier line
-MAX_LINE_SHARE = 0.30
+MAX_LINE_SHARE = 0.20
+# in a text of fewer words, one line that comes twice is judged by its line share alone
+SHORT_WORDS = 100
 SYMBOLS = "#*$%&|<>"
 
 NOT_NEWLINE = ~byte_class((0x0A, 0x0A))
@@ -50,16 +51,16 @@ def _measure(arr: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
     salt = np.repeat(seeds(n, 11), n_words)
     h = hash_words(buf, start, end)
 
-    def covered(k: int) -> np.ndarray:
+    def covered(k: int, later: bool) -> np.ndarray:
         keys = mix64(rolling(h, k) ^ salt[:max(0, total - k + 1)])
         ok = np.flatnonzero(inside(first, k, total))
         mark = np.zeros(len(keys), dtype=bool)
-        mark[ok] = repeats(keys[ok])[0]
+        mark[ok] = repeats(keys[ok])[int(later)]
         return cover(mark, k, total)
 
-    repeat_words = per_text(covered(REPEAT_WINDOW), first)
+    repeat_words = per_text(covered(REPEAT_WINDOW, False), first)
     with np.errstate(invalid="ignore", divide="ignore"):
-        shares = np.stack([np.nan_to_num(per_text(np.where(covered(k), word_chars, 0), first) / chars)
+        shares = np.stack([np.nan_to_num(per_text(np.where(covered(k, True), word_chars, 0), first) / chars)
                            for k in lengths], axis=1) if lengths else np.zeros((n, 0))
         # lines: runs without a newline; only those with a word count
         ls, le, lfirst = find_words(buf, off, NOT_NEWLINE)
@@ -97,8 +98,9 @@ def quality(docs: DataFrame, text: str = "text", out: str = "quality",
     """Every row of ``docs`` (all columns kept) with a struct ``out`` of measures and verdict.
 
     ``base_failed``: under 50 words, or more than half of the words inside repeated 3-word windows.
-    ``kept``: not base_failed, and every duplicated n-gram length and the duplicated lines stay
-    within their share of the word characters. A null, empty or blank text has no words and fails.
+    ``kept``: not base_failed, and the later copies of n-grams of every length and of lines stay
+    within their share of the word characters. In a text of under ``SHORT_WORDS`` words with one
+    line that comes twice, n-grams count only beyond that line. A null, empty or blank text has no words and fails.
     Repeated rows are judged alike, row by row. A column of ``docs`` named ``out`` is replaced.
     """
     limits = dict(sorted((MAX_NGRAM_SHARE if ngram_share is None else ngram_share).items()))
@@ -106,6 +108,7 @@ def quality(docs: DataFrame, text: str = "text", out: str = "quality",
     q = F.col(f"`{out}`")
     failed = (q.n_words < MIN_WORDS) | (100 * q.n_repeat_words > MAX_REPEAT_PCT * q.n_words)
     good = q.line_share <= line_share
+    once = (q.n_words < SHORT_WORDS) & (q.n_dup_lines == 1)
     for i, most in enumerate(limits.values()):
-        good = good & (q.ngram_share[i] <= most)
+        good = good & ((q.ngram_share[i] <= most) | (once & (q.ngram_share[i] <= q.line_share)))
     return m.withColumn(out, q.withField("base_failed", failed).withField("kept", ~failed & good))

@@ -66,6 +66,18 @@ def test_quality_verdict(spark):
     assert got == [True, True, False]
 
 
+def test_quality_counts_later_copies(spark):
+    word = lambda c, n: " ".join(f"{c}{i}" for i in range(100, 100 + n))
+    long = word("w", 700) + "\n" + word("v", 150) + "\n" + word("v", 150)       # 30% in repeated n-grams, 15% later copies
+    inline = word("w", 700) + " " + word("v", 100) + " x " + word("v", 100) + " y " + word("v", 100)
+    short = word("w", 44) + "\n" + word("v", 8) + "\n" + word("v", 8) + "\nend"
+    thrice = word("w", 46) + ("\n" + word("v", 9)) * 3
+    rows = [r.quality for r in quality(docs(spark, [long, inline, short, thrice])).orderBy("doc_id").collect()]
+    assert not any(q.base_failed for q in rows)
+    assert [q.kept for q in rows] == [False, False, True, False]
+    assert [round(q.ngram_share[0], 2) for q in rows] == [0.15, 0.2, 0.13, 0.25]
+
+
 def brute_hits(t, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     w, hit, own = word.findall((t or "").translate(LOW)), set(), set()

@@ -2,8 +2,9 @@
 
 Every passage (line) of a file is compared with licence statements by the cosine of sparse TF-IDF
 vectors; the best passage at or above ``MIN_COSINE`` gives the file's own licence. A licence file
-speaks for its directory. Files without a licence of their own take that of the nearest directory above them that has one, found by joins
-of directory paths.
+speaks for its directory; of web pages, index pages and those with a statement in head block or footer
+do. Files without a licence of their own take that of the nearest directory above them that has one,
+found by joins of directory paths.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_COSINE = 0.8
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
+INDEX_PAGE = r"(?i)^((index|default|home)\.[a-z0-9]+)?$"
+HEAD_LINES = 3          # lines of a page's head block
 TOKEN = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
 # Licence identifiers and the statements that name them.
 STATEMENTS = (
@@ -116,24 +119,31 @@ def above(folder: Column) -> Column:
 
 
 def licences(files: DataFrame, path: str = "path", text: str = "text", out: str = "licence",
-             min_cosine: float = MIN_COSINE, head_speaks: bool = False) -> DataFrame:
+             min_cosine: float = MIN_COSINE, head_speaks: bool = False, notice: str | None = None) -> DataFrame:
     """Every row of ``files`` (all columns kept) with a struct ``out``: ``licence``, ``cosine`` (of an
     own licence), ``how`` (``own``, ``inherited`` or ``none``) and ``source`` (the directory it comes from).
 
-    A licence file is known by its name; with ``head_speaks``, as for web pages, a file that opens with
-    a statement counts as well. Where a directory's licence files disagree, the licence most of them name holds (ties: first by
-    name). Null paths lie in no directory and inherit nothing; null and empty texts have no licence;
+    A licence file is known by its name; with ``head_speaks`` a file that opens with a statement counts
+    as well. ``notice``, for web pages, names a column with the text of head block and footer (see
+    ``page_notice``): a page speaks with the licence stated there, a directory's index page with any
+    licence of its own. Where a directory's licence files disagree, the licence most of them name holds
+    (ties: first by name). Null paths lie in no directory and inherit nothing; null and empty texts have no licence;
     repeated rows are treated alike. A column of ``files`` named ``out`` is replaced.
     """
     p = F.col(f"`{path}`")
-    own, at = free_name(files, "own"), free_name(files, "at")
-    scanned = saved(files.withColumn(own, own_licence(F.col(f"`{text}`"), min_cosine=min_cosine))
+    own, at, said = free_name(files, "own"), free_name(files, "at"), free_name(files, "said")
+    stated = own_licence(F.col(f"`{notice}`"), min_cosine=min_cosine)["licence"] if notice else F.lit(None).cast("string")
+    scanned = saved(files.withColumn(own, own_licence(F.col(f"`{text}`"), min_cosine=min_cosine)).withColumn(said, stated)
                     .withColumn(at, directory(p)).drop(*([out] if out in files.columns else [])), "licences")
     o = F.col(own)
     # one row per directory: rows of a hot directory are aggregated before any shuffle
-    speaks = scanned.where(F.col(f"{own}.licence").isNotNull() & p.isNotNull() & (
-        (F.lit(head_speaks) & F.col(f"{own}.head")) | F.regexp_extract(p, r"[^/]*\z", 0).rlike(LICENCE_FILE)))
-    votes = speaks.groupBy(F.col(at).alias("dir"), F.col(f"{own}.licence").alias("name")).count()
+    file = F.regexp_extract(p, r"[^/]*\z", 0)
+    speaker = (F.lit(head_speaks) & F.col(f"{own}.head")) | file.rlike(LICENCE_FILE)
+    if notice:
+        speaker = speaker | file.rlike(INDEX_PAGE)
+    speaks = scanned.where(p.isNotNull()).select(F.col(at).alias("dir"), F.coalesce(
+        F.col(said), F.when(speaker, F.col(f"{own}.licence"))).alias("name")).where("name is not null")
+    votes = speaks.groupBy("dir", "name").count()
     declared = votes.groupBy("dir").agg(F.min(F.struct(-F.col("count"), "name")).alias("v")).select("dir", "v.name")
     folders = scanned.where(p.isNotNull()).select(F.col(at).alias("folder")).distinct()
     near = (folders.select("folder", F.posexplode(above(F.col("folder"))).alias("depth", "dir"))
@@ -145,15 +155,26 @@ def licences(files: DataFrame, path: str = "path", text: str = "text", out: str
     how = F.when(o.licence.isNotNull(), "own").when(n.isNotNull(), "inherited").otherwise("none")
     return j.withColumn(out, F.struct(F.coalesce(o.licence, n["name"]).alias("licence"), o.cosine.alias("cosine"),
                                       how.alias("how"), F.when(o.licence.isNull(), n["dir"]).alias("source"))
-                        ).drop(own, at, "_folder", "_near")
+                        ).drop(own, at, said, "_folder", "_near")
 
 
 def page_path(url: Column) -> Column:
-    """Host and path of a URL without scheme, query and fragment."""
-    return F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*\z", "")
+    """Host and path of a URL without scheme, query and fragment; a host alone is its root page."""
+    bare = F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*\z", "")
+    return F.when(bare.rlike(r"^[^/]+\z"), F.concat(bare, F.lit("/"))).otherwise(bare)
 
 
 def page_text(html: Column) -> Column:
     """Visible text of a page, one line per element."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
     return F.regexp_replace(bare, r"(?s)<[^>]*>", "\n")
+
+
+def page_notice(html: Column) -> Column:
+    """Text of a page's head block and footers: the first ``HEAD_LINES`` lines after title and
+    navigation, then its header and footer elements. Those of an article speak for the article only."""
+    body = F.regexp_replace(html, r"(?is)<(title|nav)\b.*?</\1\s*>|\s+", " ")
+    head = F.slice(F.filter(F.split(page_text(body), "\n"), lambda x: F.trim(x) != ""), 1, HEAD_LINES)
+    site = F.regexp_replace(body, r"(?i)<article\b.*?</article\s*>", "\n")
+    ends = F.regexp_extract_all(site, F.lit(r"(?i)<(header|footer)\b[^>]*>.*?(?:</\1\s*>|\z)"), 0)
+    return F.concat_ws("\n", head, F.transform(ends, page_text))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import documents
 from quarry.llm.decontaminate import contamination
 from quarry.llm.language_id import identify_languages
-from quarry.llm.license_scan import licences, page_path, page_text
+from quarry.llm.license_scan import licences, page_notice, page_path, page_text
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality import quality
@@ -88,8 +88,9 @@ def op5(spark, sf_dir):
 @register("op2_license_scan")
 def op2(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
-    files = pages.select("page_id", page_path(F.col("url")).alias("path"), page_text(F.col("html")).alias("text"))
-    return licences(files, head_speaks=True).select("page_id", "path", "licence.*")
+    files = pages.select("page_id", page_path(F.col("url")).alias("path"), page_text(F.col("html")).alias("text"),
+                         page_notice(F.col("html")).alias("notice"))
+    return licences(files, notice="notice").select("page_id", "path", "licence.*")
 
 
 @register("op3_token_counts")

@@ -12,6 +12,7 @@ from quarry.llm.decontaminate import contamination
 from quarry.llm.language_id import identify_languages
 from quarry.llm.license_scan import licences
 from quarry.llm.quality import quality
+from quarry.llm.queries import QUERIES
 from quarry.llm.secrets import battery, redact, scan
 from quarry.llm.toxicity import toxicity
 
@@ -199,6 +200,34 @@ def test_licences(spark):
     assert all(index.best(t)[0] == n for n, t in license_scan.STATEMENTS)
 
 
+def licence_rows(spark, folder, pages):
+    spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string"
+                          ).write.parquet(f"{folder}/pages.parquet")
+    got = QUERIES["op2_license_scan"](spark, str(folder)).collect()
+    assert len(got) == len(pages)
+    return {r.page_id: (r.licence, r.how, r.source) for r in got}
+
+
+def test_pages_inherit_licences(spark, tmp_path):
+    page = lambda body, title="On cats": f"<html><head><title>{title}</title></head><body>{body}</body></html>"
+    plain, mit = page("<h1>Cats</h1><p>Cats purr.</p>"), "<p>Released under the MIT License.</p>"
+    long = "<h1>Cats</h1>" + "<p>Cats purr.</p>" * 9
+    got = licence_rows(spark, tmp_path, [
+        ("https://a.org", page(long + mit)), ("https://a.org/x/cat.html?p=1", plain),                # root page
+        ("http://b.org/d/index.html", page(long + mit)), ("http://b.org/d/e/cat", plain), ("http://b.org/cat", plain),
+        ("http://c.org/d/1", page(mit + long)), ("http://c.org/d/2", plain),                         # head block
+        ("http://e.org/d/1", page(long + "<footer>&copy; e.org " + mit + "</footer>")), ("http://e.org/d/2", plain),
+        ("http://f.org/d/1", page(f"<article>{long}{mit}<footer>{mit}</footer></article><footer>f.org</footer>")),
+        ("http://f.org/d/2", plain), ("http://g.org/d/1", page(long, "Released under the MIT License.")),
+        ("http://g.org/d/2", plain), (None, plain), ("http://g.org/d/3", None)])
+    own, none = ("MIT", "own", None), (None, "none", None)
+    assert got[0] == own and got[1] == ("MIT", "inherited", "a.org")
+    assert got[2] == own and got[3] == ("MIT", "inherited", "b.org/d") and got[4] == none
+    assert got[5] == own and got[6] == ("MIT", "inherited", "c.org/d")
+    assert got[7] == own and got[8] == ("MIT", "inherited", "e.org/d")
+    assert got[9] == own and got[10] == none and got[12] == none and got[13] == none and got[14] == none
+
+
 def test_token_trees_equal_full_encoding(spark):
     c = token_counts.Counter(open(token_counts.VOCABULARY, "rb").read())
     rng = random.Random(3)

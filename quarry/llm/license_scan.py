@@ -27,6 +27,11 @@ MIN_COSINE = 0.8
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 INDEX_PAGE = r"(?i)^((index|default|home)\.[a-z0-9]+)?$"
 HEAD_LINES = 3          # lines of a page's head block
+# Elements that begin and end a line of a page; all others are inline.
+BLOCKS = ("address|article|aside|blockquote|body|br|button|caption|center|dd|details|dialog|dir|div|dl|dt|fieldset|"
+          "figcaption|figure|footer|form|frame|frameset|h[1-6]|head|header|hgroup|hr|html|iframe|legend|li|link|main|"
+          "menu|meta|nav|noscript|object|ol|optgroup|option|p|pre|search|section|select|summary|table|tbody|td|"
+          "textarea|template|tfoot|th|thead|title|tr|ul|video")
 TOKEN = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
 # Licence identifiers and the statements that name them.
 STATEMENTS = (
@@ -165,9 +170,10 @@ def page_path(url: Column) -> Column:
 
 
 def page_text(html: Column) -> Column:
-    """Visible text of a page, one line per element."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
-    return F.regexp_replace(bare, r"(?s)<[^>]*>", "\n")
+    """Visible text of a page, one line per block element; inline elements leave their line whole."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
+    lines = F.regexp_replace(bare, rf"(?i)</?(?:{BLOCKS})(?![A-Za-z0-9-])[^>]*>", "\n")
+    return F.regexp_replace(F.regexp_replace(lines, r"(?s)<[^>]*>", ""), r"(?i)&(?:nbsp|#160|#xa0);|\x{A0}", " ")
 
 
 def page_notice(html: Column) -> Column:

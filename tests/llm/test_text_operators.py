@@ -228,6 +228,16 @@ def test_pages_inherit_licences(spark, tmp_path):
     assert got[9] == own and got[10] == none and got[12] == none and got[13] == none and got[14] == none
 
 
+def test_inline_tags_leave_a_line_whole(spark, tmp_path):
+    got = licence_rows(spark, tmp_path, [
+        ("a.org/1", "<p>Text.<p>Licensed under the <a href='/l'>Apache <b>License</b></a>,<!-- x --> Version&nbsp;2.0.</p>"),
+        ("a.org/2", "<ul><li>Released under the <EM>MIT</EM> License.</li><LI>Cats purr and sleep all day</LI></ul>")])
+    assert [got[i][0] for i in range(2)] == ["Apache-2.0", "MIT"]
+    html = "<h1>A<br/>b</h1><p class=x>c <i>d</i>e</p><td>f</td><td>g</td><pre>h</pre><basefont>i"
+    text = spark.range(1).select(license_scan.page_text(F.lit(html)).alias("t")).first().t
+    assert [x for x in text.split("\n") if x] == ["A", "b", "c de", "f", "g", "h", "i"]
+
+
 def test_token_trees_equal_full_encoding(spark):
     c = token_counts.Counter(open(token_counts.VOCABULARY, "rb").read())
     rng = random.Random(3)

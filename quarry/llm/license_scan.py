@@ -1,7 +1,9 @@
 """Licence scan (operator 2).
 
-Every passage (line) of a file is compared with licence statements by the cosine of sparse TF-IDF
-vectors; the best passage at or above ``MIN_COSINE`` gives the file's own licence. A licence file
+Passages of a file are compared with licence statements, header notices, licence texts and headings by
+the cosine of sparse TF-IDF vectors: every line, every two or three lines joined, and every run of about
+as many words as the statement wherever it begins, across line ends and comment marks. The best passage at or
+above ``MIN_COSINE`` gives the file's own licence. A licence file
 speaks for its directory; of web pages, index pages and those with a statement in head block or footer
 do. Files without a licence of their own take that of the nearest directory above them that has one,
 found by joins of directory paths.
@@ -14,6 +16,7 @@ import re
 import sys
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -26,15 +29,37 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_COSINE = 0.8
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 INDEX_PAGE = r"(?i)^((index|default|home)\.[a-z0-9]+)?$"
-HEAD_LINES = 3          # lines of a page's head block
+HEAD_LINES = 3          # lines of a file's or page's head block
+JOINED_LINES = 3        # lines that are joined to one passage at most
+SHORT_STATEMENT = 12    # words; only runs of longer statements' words may be shorter than the statement
+AFTER = 4               # words after a run in which its version may follow
 # Elements that begin and end a line of a page; all others are inline.
 BLOCKS = ("address|article|aside|blockquote|body|br|button|caption|center|dd|details|dialog|dir|div|dl|dt|fieldset|"
           "figcaption|figure|footer|form|frame|frameset|h[1-6]|head|header|hgroup|hr|html|iframe|legend|li|link|main|"
           "menu|meta|nav|noscript|object|ol|optgroup|option|p|pre|search|section|select|summary|table|tbody|td|"
           "textarea|template|tfoot|th|thead|title|tr|ul|video")
 TOKEN = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
-# Licence identifiers and the statements that name them.
-STATEMENTS = (
+# Licence identifiers and the statements that name them, then notices and licence texts.
+_GNU = (("AGPL-3.0", "Affero General", "3"), ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"),
+        ("LGPL-2.0", "Library General", "2"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3"))
+_CC = (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+       ("BY-SA", "Attribution-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+       ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"))
+_NAMED = (("Apache-2.0", "Apache License 2.0"), ("BSD-2-Clause", "BSD 2-Clause License"),
+          ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-2-Clause", 'BSD 2-Clause "Simplified" License'),
+          ("BSD-3-Clause", 'BSD 3-Clause "New" or "Revised" License'), ("BSL-1.0", "Boost Software License, Version 1.0"),
+          ("ISC", "ISC License"), ("MIT", "MIT License"), ("MPL-2.0", "Mozilla Public License 2.0"),
+          ("GPL-2.0", "GPLv2"), ("GPL-3.0", "GPLv3"))
+_SPDX = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "ISC", "MIT", "MPL-2.0", "0BSD", "CC0-1.0", "Unlicense", *(f"CC-{k}-4.0" for k, _ in _CC))
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. {}This software is provided by the copyright holders and contributors \"as is\" and any express or "
+        "implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a "
+        "particular purpose are disclaimed.")
+_USE = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_PLAIN = (
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "You may not use this file except in compliance with the Apache License."),
@@ -55,57 +80,199 @@ STATEMENTS = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+STATEMENTS = _PLAIN + (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "The ASF licenses this file to you under the Apache License, Version 2.0"),
+    ("BSD-2-Clause", _BSD.format("")),
+    ("BSD-3-Clause", _BSD.format("Neither the name of the copyright holder nor the names of its contributors may be used to "
+                                 "endorse or promote products derived from this software without specific prior written "
+                                 "permission. ")),
+    ("0BSD", _USE + ". The software is provided \"as is\" and the author disclaims all warranties with regard to this "
+                    "software including all implied warranties of merchantability and fitness."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+                "and accompanying documentation covered by this license"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+                "this work."),
+    ("CC0-1.0", "Dedicated to the public domain under the Creative Commons CC0 1.0 Universal Public Domain Dedication."),
+    ("ISC", _USE + ", provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    *((i, f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public "
+          f"License as published by the Free Software Foundation, either version {v} of the License, or (at your option) any "
+          "later version.") for i, kind, v in _GNU for what in ("program", "library")),
+    *((i, f"under the terms of the GNU {kind} Public License version {v} as published by the Free Software Foundation")
+      for i, kind, v in _GNU),
+    *((i, f"Licensed under the GNU {kind} Public License, version {v}") for i, kind, v in _GNU),
+    *((i, f"{how} under the {name}") for i, name in _NAMED for how in ("Licensed", "Distributed")),
+    *((f"CC-{k}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License.") for k, name in _CC),
+    *((f"CC-{k}-4.0", f"Licensed under CC {k} 4.0.") for k, _ in _CC[4:]),
+    *((i, f"SPDX-License-Identifier: {i}") for i in _SPDX),
+    *((i, f"SPDX-License-Identifier: {i}{only}") for i, _, _ in _GNU for only in ("", "-only", "-or-later")),
+)
+# without a version these names mean a later one
+OLDER = ("GPL-2.0", "LGPL-2.0", "LGPL-2.1")
+# headings of licence files: they count as whole lines only
+HEADINGS = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.0", "GNU Library General Public License Version 2, June 1991"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("MIT", "The MIT License (MIT)"), ("CC0-1.0", "CC0 1.0 Universal"), ("Unlicense", "The Unlicense"),
+    *((i, f"GNU {kind} Public License, version {v}") for i, kind, v in _GNU),
+    *((i, name) for i, name in _NAMED),
+    *((i, f"License: {i}") for i in _SPDX),
+    *((f"CC-{k}-4.0", f"{name} 4.0 International") for k, name in _CC),
+    *((f"CC-{k}-4.0", f"Creative Commons {name} 4.0 International Public License") for k, name in _CC),
+)
+
+
+def words(text: str) -> list[str]:
+    """Words and numbers in lower case; ``2.0`` is written as ``2``."""
+    return [w.removesuffix(".0") for w in TOKEN.findall(text.lower())]
 
 
 class Index:
-    """Inverted index of the statements' unit TF-IDF vectors."""
-
-    def __init__(self, statements=STATEMENTS):
-        self.names = [n for n, _ in statements]
-        bags = [Counter(TOKEN.findall(t.lower())) for _, t in statements]
-        df = Counter(w for b in bags for w in b)
-        self.idf = {w: 1 + math.log((1 + len(bags)) / (1 + d)) for w, d in df.items()}
-        self.unseen = 1 + math.log(1 + len(bags))           # weight of a word in no statement
-        self.postings: dict[str, list[tuple[int, float]]] = {}
+    """Unit TF-IDF vectors of the statements and headings, one row each."""
+
+    def __init__(self, statements=STATEMENTS, headings=HEADINGS, min_cosine: float = MIN_COSINE, strict: bool = True):
+        """Not ``strict``: single lines only, of any length."""
+        known = [*statements, *headings]
+        self.strict = strict
+        self.min_cosine = min_cosine
+        self.names = [n for n, _ in known]
+        self.sliding = [strict and i < len(statements) for i in range(len(known))]
+        bags = [Counter(words(t)) for _, t in known]
+        self.lengths = [sum(b.values()) for b in bags]
+        # a word counts by the number of licences that have it
+        df = Counter(w for _, w in {(n, w) for n, b in zip(self.names, bags) for w in b})
+        n = len(set(self.names))
+        self.ids = {w: i for i, w in enumerate(sorted(df), 1)}      # 0: a word in no statement
+        self.idf = np.full(len(df) + 1, 1 + math.log(1 + n))
+        for w, d in df.items():
+            self.idf[self.ids[w]] = 1 + math.log((1 + n) / (1 + d))
+        self.unit = np.zeros((len(bags), len(df) + 1))
+        self.needs, self.version = [], []
         for i, b in enumerate(bags):
-            norm = math.sqrt(sum((c * self.idf[w]) ** 2 for w, c in b.items()))
             for w, c in b.items():
-                self.postings.setdefault(w, []).append((i, c * self.idf[w] / norm))
-
-    def best(self, passage: str) -> tuple[str, float] | None:
-        """Licence and cosine of the closest statement (ties: first by name); None without a shared word."""
-        bag = Counter(TOKEN.findall(passage.lower()))
-        dots: dict[int, float] = {}
-        square = 0.0
-        for w, c in bag.items():
-            x = c * self.idf.get(w, self.unseen)
-            square += x * x
-            for i, y in self.postings.get(w, ()):
-                dots[i] = dots.get(i, 0.0) + x * y
-        if not dots:
-            return None
-        cos, i = max((d, -i) for i, d in dots.items())
-        return self.names[-i], min(1.0, cos / math.sqrt(square))
+                self.unit[i, self.ids[w]] = c * self.idf[self.ids[w]]
+            self.unit[i] /= math.sqrt((self.unit[i] ** 2).sum())
+            name, short = [w for w in words(self.names[i]) if w in b], self.lengths[i] <= SHORT_STATEMENT
+            clauses = self.names[i].startswith("BSD") and not short     # their numbers are often left out
+            # tags and headings are too short to do without a word of the licence's name
+            tag = [w for w in (*name, "spdx") if short and w in b and not w[0].isdigit()]
+            self.needs.append(np.array([self.ids[w] for w in tag if strict and known[i] not in _PLAIN], dtype=np.int64))
+            self.version.append(np.array([self.ids[w] for w in name if w[0].isdigit() and not clauses], dtype=np.int64))
+        self.mass = self.unit ** 2
+
+    def passages(self, text: str) -> tuple[list[tuple[str, float]], bool]:
+        """Licence and cosine of the best passage for each statement that is met, and whether one of
+        these passages begins in the first ``HEAD_LINES`` lines."""
+        lines = [x for x in map(words, (text or "").splitlines()) if x]
+        at = np.array([self.ids.get(w, 0) for x in lines for w in x], dtype=np.int64)
+        number = np.array([w[0].isdigit() for x in lines for w in x], dtype=bool)
+        met = np.zeros(self.unit.shape[1])
+        met[at] = 1
+        met[0] = 0
+        # a passage's cosine is at most the root of the statement's mass on words that the text has
+        near = np.flatnonzero(self.mass @ met >= self.min_cosine ** 2 * (1 - 1e-9))
+        near = [i for i in near if met[self.needs[i]].all()]
+        if not near:
+            return [], False
+        first = np.cumsum([0, *map(len, lines)])
+        head = int(first[min(HEAD_LINES, len(lines))])
+        weight = self.idf[at]
+        square = np.concatenate(([0.0], np.cumsum(weight ** 2)))
+        joined = [(first[:-k], first[k:]) for k in range(1, (JOINED_LINES if self.strict else 1) + 1) if k <= len(lines)]
+        found, opens = [], False
+        for i in near:
+            pairs = list(joined)
+            whole = sum(len(a) for a, _ in pairs)
+            if self.sliding[i]:
+                for size in {min(self.lengths[i] * k // 4, len(at)) for k in (3, 4, 5)[self.lengths[i] <= SHORT_STATEMENT:]}:
+                    start = np.arange(len(at) - size + 1)
+                    pairs.append((start, start + size))
+            s, e = (np.concatenate(x) for x in zip(*pairs))
+            dot = np.concatenate(([0.0], np.cumsum(weight * self.unit[i][at])))
+            # repeated words make a passage longer than this, so no cosine exceeds the bound
+            bound = np.minimum(1.0, (dot[e] - dot[s]) / np.sqrt(square[e] - square[s]))
+            order = np.flatnonzero(bound >= self.min_cosine - 1e-9)
+            order = order[np.argsort(-bound[order], kind="stable")]
+            best, starts = 0.0, False
+            for j in order.tolist():
+                in_head = s[j] < head and not starts
+                if bound[j] <= best + 1e-9 and not in_head:
+                    continue
+                # a run of words may end just before the version
+                cos = self.cosine(i, at[s[j]:e[j]], number[s[j]:e[j] + AFTER * int(j >= whole)].any())
+                if cos >= self.min_cosine:
+                    best, starts = max(best, cos), starts or bool(in_head)
+            if best:
+                found.append((self.names[i], best))
+                opens = opens or starts
+        return found, opens
+
+    def cosine(self, i: int, at: np.ndarray, numbers: bool) -> float:
+        """Cosine of statement ``i`` and the words of one passage; 0 if it lacks a word that the statement
+        needs, or has ``numbers`` without the statement's version."""
+        one, counts = np.unique(at, return_counts=True)
+        dated = numbers or self.strict and self.names[i] in OLDER
+        if not np.isin(self.needs[i], one).all() or dated and not np.isin(self.version[i], one).all():
+            return 0.0
+        unseen = counts[one == 0].sum()                     # unseen words count as all different
+        x = counts * self.idf[one]
+        total = (x[one != 0] ** 2).sum() + unseen * self.idf[0] ** 2
+        return min(1.0, round(float((x * self.unit[i][one]).sum() / math.sqrt(total)), 9))
+    def best(self, text: str | None) -> tuple[str, float] | None:
+        """Licence and cosine of the closest passage (ties: first by name); None where none is close."""
+        found, _ = self.passages(text)
+        return min(found, key=lambda f: (-f[1], f[0])) if found else None
+
+
+class Scan:
+    """The full index, and where it finds nothing the plain statements by themselves, line by line."""
+
+    def __init__(self, statements=STATEMENTS, headings=HEADINGS, min_cosine: float = MIN_COSINE):
+        plain = [x for x in statements if x in _PLAIN]
+        self.indexes = [Index(statements, headings, min_cosine)]
+        self.indexes += [Index(plain, (), min_cosine, strict=False)] if plain else []
+
+    def best(self, text: str | None) -> tuple[str | None, float | None, bool]:
+        """Licence and cosine of the closest passage (ties: first by name), and whether the text opens
+        with a passage that is close."""
+        for index in self.indexes:
+            found, head = index.passages(text)
+            if found:
+                return *min(found, key=lambda f: (-f[1], f[0])), head
+        return None, None, False
 
 
 FOUND = "struct<licence:string,cosine:double,head:boolean>"
 
 
-def own_licence(text: Column, statements=STATEMENTS, min_cosine: float = MIN_COSINE) -> Column:
-    """Licence, cosine and whether the text opens with it; null fields where no passage is close."""
+def own_licence(text: Column, statements=STATEMENTS, min_cosine: float = MIN_COSINE, headings=HEADINGS) -> Column:
+    """Licence, cosine and whether the text opens with one; null fields where no passage is close."""
 
     @F.arrow_udf(FOUND)
     def scan(arr: pa.Array) -> pa.Array:
-        index, out = Index(statements), []
-        for t in arr.to_pylist():
-            best, head, lines = (None, 0.0), False, [x for x in (t or "").splitlines() if x.strip()]
-            for k, line in enumerate(lines):
-                found = index.best(line)
-                if found and found[1] >= min_cosine:
-                    head = head or k == 0
-                    if best[0] is None or (found[1], best[0]) > (best[1], found[0]):
-                        best = found
-            out.append({"licence": best[0], "cosine": best[1] if best[0] else None, "head": head})
+        scanner, out = Scan(statements, headings, min_cosine), []
+        for t in arr:
+            out.append(dict(zip(("licence", "cosine", "head"), scanner.best(t.as_py()))))
         return pa.array(out, pa.struct([("licence", pa.string()), ("cosine", pa.float64()), ("head", pa.bool_())]))
 
     return scan.asNondeterministic()(text)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,6 +229,50 @@ def test_pages_inherit_licences(spark, tmp_path):
     assert got[9] == own and got[10] == none and got[12] == none and got[13] == none and got[14] == none
 
 
+def wrapped(text, mark, width=60):
+    return "\n".join(f"{mark} {x}" for x in textwrap.wrap(text, width))
+
+
+def test_notices_and_licence_texts():
+    scanner = license_scan.Scan()
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any "
+           "later version.")
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+           "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+           "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software")
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+           "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+           "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+           "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+           "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+           "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+    third = ("3. Neither the name of the Regents nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission. ")
+    cc = "This work is licensed under a Creative Commons {} License."
+    for name, t in [
+            ("GPL-3.0", gpl.format(3)), ("GPL-2.0", gpl.format(2)), ("GPL-3.0", wrapped(gpl.format(3), " *")),
+            ("LGPL-2.1", wrapped(gpl.format(2.1).replace("General", "Lesser General"), "//")),
+            ("AGPL-3.0", wrapped(gpl.format(3).replace("General", "Affero General"), "#", 30)),
+            ("MIT", "MIT License\n\nCopyright (c) 2020 A B"), ("MIT", mit), ("MIT", wrapped(mit, "--")),
+            ("ISC", wrapped(isc, " *")), ("BSD-2-Clause", wrapped(bsd.format(""), "#")),
+            ("BSD-3-Clause", wrapped(bsd.format(third), "//")), ("BSD-3-Clause", bsd.format(third)),
+            ("Apache-2.0", "          Apache License\n    Version 2.0, January 2004\n"),
+            ("CC-BY-4.0", cc.format("Attribution 4.0 International")),
+            ("CC-BY-NC-SA-4.0", cc.format("Attribution-NonCommercial-ShareAlike 4.0 International")),
+            ("MIT", "// SPDX-License-Identifier: MIT"), ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */"),
+            ("CC-BY-4.0", "All content on this site is licensed under CC BY 4.0 unless a page says that it is not."),
+            (None, "SPDX-License-Identifier: EPL-2.0"), (None, cc.format("Attribution 3.0 Unported")),
+            (None, "You need a driving license under the terms of this contract to rent a car, version 2 of it."),
+            (None, "Some say that the MIT License is short."), (None, ""), (None, "license " * 500)]:
+        assert scanner.best(t)[0] == name, t
+    assert scanner.best("#!/bin/sh\n# Copyright 2020\n" + wrapped(gpl.format(3), "#"))[2]
+    assert not scanner.best("word\n" * 9 + gpl.format(3))[2]
+
+
 def test_inline_tags_leave_a_line_whole(spark, tmp_path):
     got = licence_rows(spark, tmp_path, [
         ("a.org/1", "<p>Text.<p>Licensed under the <a href='/l'>Apache <b>License</b></a>,<!-- x --> Version&nbsp;2.0.</p>"),

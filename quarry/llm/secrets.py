@@ -1,7 +1,8 @@
 """Secret scan (operator 9): fixed credential patterns plus a randomness test battery.
 
-The battery looks at every maximal token of ``[A-Za-z0-9+/_=-]`` of at least ``MIN_TOKEN``
-characters. Its encoding (hex, base 32, base 36, base 62, base 64) is inferred from the characters
+The battery looks at every maximal token of ``[A-Za-z0-9+/_=-]``, cut where ``=`` is no trailing
+padding, of at least ``MIN_TOKEN`` characters. A token that no single alphabet holds, or that is not
+random as a whole, is cut at ``+/_-`` as well, and its parts of that length are tested. Its encoding (hex, base 32, base 36, base 62, base 64) is inferred from the characters
 it uses. Three tests ask whether it could be uniform over that alphabet: chi-squared of the
 symbol counts, runs above / below the middle symbol, and lag-1 serial correlation. A second
 p-value asks the opposite: how likely ordinary text of that length is to look this even. It falls
@@ -113,15 +114,35 @@ def battery(token: str) -> dict | None:
             "p_serial": min(1.0, p_serial), "p_plain": p_plain * 0.2 ** min(switches, 8)}
 
 
+def pieces(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """Stretches of ``text[start:end]`` without an inner ``=`` that are long enough to test."""
+    return [(start + m.start(), start + m.end(), m.group())
+            for m in re.finditer(r"[^=]+(?:=+\Z)?", text[start:end]) if len(m.group()) >= MIN_TOKEN]
+
+
+def parts(start: int, token: str) -> list[tuple[int, int, str]]:
+    """Parts of a token between the characters ``+/_-`` that are long enough to test, the token itself apart."""
+    return [(start + m.start(), start + m.end(), m.group())
+            for m in re.finditer(r"[^+/_-]+", token) if MIN_TOKEN <= len(m.group()) < len(token)]
+
+
 def random_tokens(found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Spans of one text's tokens that pass the uniformity tests and survive the
-    length-weighted Benjamini-Hochberg rule."""
+    """Spans of one text's tokens, or else of their parts, that pass the uniformity tests and survive
+    the length-weighted Benjamini-Hochberg rule."""
     tested = []
-    for s, e, tok in found:
+
+    def test(s: int, e: int, tok: str) -> bool:
         b = battery(tok)
-        if b is not None:
-            uniform = min(b["p_chi2"], b["p_runs"], b["p_serial"]) >= ALPHA / 3
-            tested.append((s, e, b["p_plain"] if uniform else 1.0))
+        if b is None:
+            return False
+        uniform = min(b["p_chi2"], b["p_runs"], b["p_serial"]) >= ALPHA / 3
+        tested.append((s, e, b["p_plain"] if uniform else 1.0))
+        return tested[-1][2] <= FDR
+
+    for s, e, tok in found:
+        if not test(s, e, tok):
+            for part in parts(s, tok):
+                test(*part)
     if not tested:
         return []
     length = np.array([e - s for s, e, _ in tested], dtype=float)
@@ -129,7 +150,12 @@ def random_tokens(found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     order = np.argsort(p, kind="stable")
     ok = np.flatnonzero(p[order] <= FDR * np.arange(1, len(p) + 1) / len(p))
     keep = order[:ok[-1] + 1] if len(ok) else order[:0]
-    return sorted((tested[i][0], tested[i][1]) for i in keep)
+    spans = sorted(((tested[i][0], tested[i][1]) for i in keep), key=lambda x: (x[0], -x[1]))
+    out: list[tuple[int, int]] = []
+    for x in spans:
+        if not out or x[1] > out[-1][1]:                # a token reported whole holds its parts
+            out.append(x)
+    return out
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:
@@ -138,8 +164,8 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out += [(m.start(), 1, m.end()) for m in re.finditer(ACCESS, text) if m.end() - m.start() >= MIN_ACCESS]
     # a greedy run is maximal, so runs that are too short can be left out of the pattern itself
     out += [(m.start(), 2, m.end()) for m in re.finditer(f"(?<![0-9a-f])[0-9a-f]{{{MIN_HEX},}}", text)]
-    tokens = [(m.start(), m.end(), m.group()) for m in
-              re.finditer(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", text)]
+    tokens = [x for m in re.finditer(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", text)
+              for x in pieces(text, m.start(), m.end())]
     base = sorted((s, e) for s, _, e in out)
     out += [(s, 3, e) for s, e in random_tokens(tokens) if not any(a < e and s < b for a, b in base)]
     return sorted(out)

@@ -140,6 +140,21 @@ def test_secrets(spark):
     assert rows[0].cut is None
 
 
+def test_secrets_glued_to_names(spark):
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzq8LtVoH3d"
+    rng = random.Random(11)
+    b62 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    texts = [f"export AWS_ACCESS={key}\nexport LANG=en", f"get https://x.org/a?sig={b62}&page=2",
+             f"AZURE_ACCOUNT={b62}uQ== end", f"see https://x.org/some-long-page_of/the-files/{b62} now", f"a+b-c/{b62}_{b62[::-1]}",
+             "https://x.org/a-rather-long-path/of_ordinary_words/antidisestablishmentarianism=internationalization",
+             f"see /files/of/the/internationalization/committee/{b62}"]
+    rows = scan(docs(spark, texts)).withColumn("cut", redact(F.col("text"), F.col("spans"))).orderBy("doc_id").collect()
+    assert [r.cut for r in rows] == [
+        "export AWS_ACCESS=[SECRET]\nexport LANG=en", "get https://x.org/a?sig=[SECRET]&page=2", "AZURE_ACCOUNT=[SECRET] end",
+        "see https://x.org/some-long-page_of/the-files/[SECRET] now", "a+b-c/[SECRET]_[SECRET]", texts[5],
+        "see /files/of/the/internationalization/committee/[SECRET]"]
+
+
 def test_battery_tells_random_from_prose():
     rng = random.Random(4)
     hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(200)]

@@ -2,7 +2,7 @@
 
 The battery looks at every maximal token of ``[A-Za-z0-9+/_=-]``, cut where ``=`` is no trailing
 padding, of at least ``MIN_TOKEN`` characters. A token that no single alphabet holds, or that is not
-random as a whole, is cut at ``+/_-`` as well, and its parts of that length are tested. Its encoding (hex, base 32, base 36, base 62, base 64) is inferred from the characters
+random as a whole, is cut at ``-_``, at ``+/`` and at both, and its parts of that length are tested. Its encoding (hex, base 32, base 36, base 62, base 64) is inferred from the characters
 it uses. Three tests ask whether it could be uniform over that alphabet: chi-squared of the
 symbol counts, runs above / below the middle symbol, and lag-1 serial correlation. A second
 p-value asks the opposite: how likely ordinary text of that length is to look this even. It falls
@@ -114,16 +114,18 @@ def battery(token: str) -> dict | None:
             "p_serial": min(1.0, p_serial), "p_plain": p_plain * 0.2 ** min(switches, 8)}
 
 
-def pieces(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
-    """Stretches of ``text[start:end]`` without an inner ``=`` that are long enough to test."""
+def pieces(text: str, start: int, end: int, padded: bool = True) -> list[tuple[int, int, str]]:
+    """Stretches of ``text[start:end]`` without an inner ``=`` that are long enough to test;
+    ``padded``: a ``=`` at the end belongs to the last."""
     return [(start + m.start(), start + m.end(), m.group())
-            for m in re.finditer(r"[^=]+(?:=+\Z)?", text[start:end]) if len(m.group()) >= MIN_TOKEN]
+            for m in re.finditer(r"[^=]+(?:=+\Z)?" if padded else r"[^=]+", text[start:end]) if len(m.group()) >= MIN_TOKEN]
 
 
 def parts(start: int, token: str) -> list[tuple[int, int, str]]:
-    """Parts of a token between the characters ``+/_-`` that are long enough to test, the token itself apart."""
-    return [(start + m.start(), start + m.end(), m.group())
-            for m in re.finditer(r"[^+/_-]+", token) if MIN_TOKEN <= len(m.group()) < len(token)]
+    """Parts of a token, cut at either pair of separators or at both, that are long enough to test,
+    the token itself apart."""
+    return sorted({(start + m.start(), start + m.end(), m.group()) for cut in (r"[^_-]+", r"[^+/]+", r"[^+/_-]+")
+                   for m in re.finditer(cut, token) if MIN_TOKEN <= len(m.group()) < len(token)})
 
 
 def random_tokens(found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
@@ -152,9 +154,11 @@ def random_tokens(found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     keep = order[:ok[-1] + 1] if len(ok) else order[:0]
     spans = sorted(((tested[i][0], tested[i][1]) for i in keep), key=lambda x: (x[0], -x[1]))
     out: list[tuple[int, int]] = []
-    for x in spans:
-        if not out or x[1] > out[-1][1]:                # a token reported whole holds its parts
-            out.append(x)
+    for s, e in spans:                                  # parts of several cuts may overlap
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
     return out
 
 
@@ -164,10 +168,17 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out += [(m.start(), 1, m.end()) for m in re.finditer(ACCESS, text) if m.end() - m.start() >= MIN_ACCESS]
     # a greedy run is maximal, so runs that are too short can be left out of the pattern itself
     out += [(m.start(), 2, m.end()) for m in re.finditer(f"(?<![0-9a-f])[0-9a-f]{{{MIN_HEX},}}", text)]
-    tokens = [x for m in re.finditer(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", text)
-              for x in pieces(text, m.start(), m.end())]
     base = sorted((s, e) for s, _, e in out)
-    out += [(s, 3, e) for s, e in random_tokens(tokens) if not any(a < e and s < b for a, b in base)]
+    tokens, k = [], 0
+    for m in re.finditer(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", text):
+        while k < len(base) and base[k][1] <= m.start():
+            k += 1
+        at, i = m.start(), k                            # what of the token lies outside the base spans
+        while i < len(base) and base[i][0] < m.end():
+            tokens += pieces(text, at, max(at, base[i][0]), padded=False)
+            at, i = max(at, base[i][1]), i + 1
+        tokens += pieces(text, at, max(at, m.end()))
+    out += [(s, 3, e) for s, e in random_tokens(tokens)]
     return sorted(out)
 
 
@@ -211,7 +222,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     """Every row of ``docs`` (all columns kept) with its secret spans in ``out``.
 
     Base kinds, leftmost and non-overlapping each: ``assign``, ``access``, ``hex``. ``random``
-    marks tokens of the test battery that touch no base span. Null and empty texts have no spans;
+    marks tokens of the test battery, or what of them lies outside the base spans. Null and empty texts have no spans;
     repeated rows are scanned alike. A column of ``docs`` named ``out`` is replaced.
     """
     return docs.withColumn(out, secret_spans(F.col(f"`{text}`")))

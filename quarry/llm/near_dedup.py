@@ -35,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS = 16
 ROWS = 3
 SIMILAR_PCT = 80
+SHINGLE_WORDS = 2
 ID_BROADCAST = 1_000_000   # ids, 8 bytes each, that may be broadcast; more are joined by shuffle
 PART_ROWS = 256        # members of a star that meet one copy of its pivot's text, on average
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
@@ -42,21 +43,25 @@ STAR_ALL = 2048        # members of the star that they are compared with in one
 COLUMNS = 4096         # difference tokens per matrix product
 
 
-def shingle_sets(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct 2-word shingle hashes of each text, sorted within the text, and the offsets of the
-    texts. A text of one word has that word as its only shingle, one without words none."""
+def shingle_sets(arr: pa.Array, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes (``words`` words each) of each text, sorted within the text, and the
+    offsets of the texts. A shorter text has all its words as its only shingle, one without words none."""
     raw, off = text_buffer(arr)
     buf = LOWER[raw]
     start, end, first = find_words(buf, off, NON_BLANK)
     h = hash_words(buf, start, end)
     n_words = np.diff(first)
     doc = np.repeat(np.arange(len(n_words)), n_words)
-    pair = np.flatnonzero(doc[1:] == doc[:-1])
-    single = first[:-1][n_words == 1]
-    left = np.concatenate((h[pair], h[single]))
-    right = np.concatenate((h[pair + 1], np.zeros(len(single), dtype=np.uint64)))
-    x = mix64(left * np.uint64(0x9E3779B97F4A7C15) + mix64(right + np.uint64(1)))
-    d = np.concatenate((doc[pair], doc[single]))
+    full = np.flatnonzero(doc[words - 1:] == doc[:len(doc) - words + 1]) if len(doc) >= words else np.zeros(0, np.int64)
+    short = first[:-1][(n_words > 0) & (n_words < words)]
+    left = n_words[doc[short]]
+    x = np.concatenate((h[full], h[short]))
+    for j in range(1, words):
+        more = np.flatnonzero(left > j)
+        rest = np.zeros(len(short), dtype=np.uint64)
+        rest[more] = h[short[more] + j]
+        x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + mix64(np.concatenate((h[full + j], rest)) + np.uint64(1)))
+    d = np.concatenate((doc[full], doc[short]))
     order = np.lexsort((x, d))
     x, d = x[order], d[order]
     keep = np.ones(len(x), dtype=bool)
@@ -65,8 +70,8 @@ def shingle_sets(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return x, np.searchsorted(d, np.arange(len(n_words) + 1))
 
 
-def _signatures(arr: pa.Array, bands: int, rows: int) -> pa.Array:
-    x, first = shingle_sets(arr)
+def _signatures(arr: pa.Array, bands: int, rows: int, words: int) -> pa.Array:
+    x, first = shingle_sets(arr, words)
     n = np.diff(first)
     some = np.flatnonzero(n > 0)
     at = first[:-1][some]
@@ -86,13 +91,13 @@ def _signatures(arr: pa.Array, bands: int, rows: int) -> pa.Array:
                                       ["n", "d0", "d1", "subkeys"])
 
 
-def signature(text: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
+def signature(text: Column, bands: int = BANDS, rows: int = ROWS, words: int = SHINGLE_WORDS) -> Column:
     """Struct of set size, 128-bit set digest and the ``2 * bands`` sub-keys of a text column."""
 
     @F.arrow_udf("struct<n:long,d0:long,d1:long,subkeys:array<long>>")
     def sign(arr: pa.Array) -> pa.Array:
-        parts = [_signatures(arr[lo:hi], bands, rows) for lo, hi in slices(arr)]
-        return pa.concat_arrays(parts) if parts else _signatures(arr, bands, rows)
+        parts = [_signatures(arr[lo:hi], bands, rows, words) for lo, hi in slices(arr)]
+        return pa.concat_arrays(parts) if parts else _signatures(arr, bands, rows, words)
 
     return sign.asNondeterministic()(text)
 
@@ -101,14 +106,14 @@ COMPARED = pa.struct([("np", pa.int64()), ("nx", pa.int64()), ("common", pa.int6
                       ("miss", pa.binary()), ("extra", pa.binary())])
 
 
-def _compare(pivot: pa.Array, other: pa.Array) -> pa.Array:
+def _compare(pivot: pa.Array, other: pa.Array, words: int) -> pa.Array:
     """Sizes and intersection of each pair of texts, and the difference of the second set to the
     first: hashes of the shingles it lacks and of those it adds."""
     # a pivot's rows tend to come together: its set is built once per run of equal texts
     change = [i for i in range(len(pivot)) if i == 0 or not pivot[i].equals(pivot[i - 1])]
     run = np.searchsorted(change, np.arange(len(pivot)), side="right") - 1
-    px, pf = shingle_sets(pivot.take(pa.array(change, pa.int64())))
-    ox, of = shingle_sets(other)
+    px, pf = shingle_sets(pivot.take(pa.array(change, pa.int64())), words)
+    ox, of = shingle_sets(other, words)
     out = []
     for i in range(len(other)):
         p, x = px[pf[run[i]]:pf[run[i] + 1]], ox[of[i]:of[i + 1]]
@@ -121,10 +126,10 @@ def _compare(pivot: pa.Array, other: pa.Array) -> pa.Array:
     return pa.array([dict(zip(COMPARED.names, r)) for r in out], COMPARED)
 
 
-def compared(pivot: Column, other: Column) -> Column:
+def compared(pivot: Column, other: Column, words: int = SHINGLE_WORDS) -> Column:
     @F.arrow_udf("struct<np:long,nx:long,common:long,miss:binary,extra:binary>")
     def compare(a: pa.Array, b: pa.Array) -> pa.Array:
-        parts = [_compare(a[lo:hi], b[lo:hi]) for lo, hi in slices(b, 1 << 20)]
+        parts = [_compare(a[lo:hi], b[lo:hi], words) for lo, hi in slices(b, 1 << 20)]
         return pa.concat_arrays(parts) if parts else pa.array([], COMPARED)
     return compare.asNondeterministic()(pivot, other)
 
@@ -212,17 +217,18 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS,
-                    rows: int = ROWS, similar_pct: int = SIMILAR_PCT) -> DataFrame:
+                    rows: int = ROWS, similar_pct: int = SIMILAR_PCT,
+                    shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``.
 
-    Documents whose sets of 2-word shingles (A-Z lower-cased) have ``100 * |A & B| >= similar_pct *
+    Documents whose sets of ``shingle_words``-word shingles (A-Z lower-cased) have ``100 * |A & B| >= similar_pct *
     |A | B|`` are linked; ``component_id`` is the smallest id reachable over links. Null, empty and
     blank texts have 0 shingles and are linked with nothing. Rows with a null id are linked with
     nothing and have a null component. Repeated rows give repeated result rows; rows with one id
     and different texts count as one document linked with itself.
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sig = saved(base.select("doc_id", signature(F.col("text"), bands, rows).alias("s")).select("doc_id", "s.*"),
+    sig = saved(base.select("doc_id", signature(F.col("text"), bands, rows, shingle_words).alias("s")).select("doc_id", "s.*"),
                 "signatures")
     held = sig.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = saved(held.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"), F.first("subkeys").alias("subkeys")),
@@ -259,7 +265,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with_x = star.join(texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx")), "x")
     pivots = parts.join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("tp")), "p")
     both = with_x.join(pivots, ["p", "part"])
-    seen = saved(both.select("p", "x", "part", compared(F.col("tp"), F.col("tx")).alias("c")).select(
+    seen = saved(both.select("p", "x", "part", compared(F.col("tp"), F.col("tx"), shingle_words).alias("c")).select(
         "p", "x", "part", "c.*"), "compared")
     linked = F.expr(f"100 * common >= {similar_pct} * (np + nx - common)")
     direct = seen.where(linked).select(F.col("p").alias("u"), F.col("x").alias("v"))

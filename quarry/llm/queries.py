@@ -59,7 +59,7 @@ def op6(spark, sf_dir):
 
 @register("op8_near_dedup")
 def op8(spark, sf_dir):
-    d = near_duplicates(documents(spark, sf_dir))
+    d = near_duplicates(documents(spark, sf_dir), shingle_words=2)
     return d.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 

@@ -78,6 +78,23 @@ def test_near_duplicates(spark, near_rows):
     assert near_duplicates(table(spark, near_rows[:1]).limit(0)).count() == 0
 
 
+def test_shingle_length(spark):
+    words = [f"w{i}" for i in range(200)]
+    near, few = list(words), list(words)
+    near[10::20] = [f"x{i}" for i in range(10)]          # one word in 20: 0.82 by two words, 0.60 by five
+    few[100] = "x"                                       # 0.95 by five words
+    rows = [(1, " ".join(words), "s"), (2, " ".join(near), "s"), (3, " ".join(few).upper(), "s"),
+            (4, "a b c", "s"), (5, "A  b\tc", "s"), (6, "a b d", "s"), (7, "a b c 0", "s"), (8, "", "s")]
+    part = lambda k: {r.doc_id: (r.n_shingles, r.component_id) for r in
+                      near_duplicates(table(spark, rows), shingle_words=k).collect()}
+    two, five = part(2), part(5)
+    assert [two[i] for i in (1, 2, 3)] == [(199, 1)] * 3 and [five[i] for i in (1, 2, 3)] == [(196, 1), (196, 2), (196, 1)]
+    assert [five[i] for i in range(4, 9)] == [(1, 4), (1, 4), (1, 6), (1, 7), (0, 8)]
+    import corpus_pipeline
+    kept = corpus_pipeline.near_dedup(spark, table(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2, 4, 6, 7, 8]
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 140)]
     edges = spark.createDataFrame(path + [(7, x) for x in range(200, 230)] + [(3, 3)], "u long, v long")

@@ -10,6 +10,7 @@ from quarry.llm.language_id import identify_languages
 from quarry.llm.license_scan import licences, page_notice, page_path, page_text
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
+from quarry.llm.packing import pack, token_pieces
 from quarry.llm.quality import quality
 from quarry.llm.secrets import scan, span_text
 from quarry.llm.substring_dedup import remove_repeats
@@ -103,3 +104,8 @@ def op3(spark, sf_dir):
     d = recount_tokens(d, "edits", keep_text=False)
     return d.select("doc_id", F.col("tree.n_tokens").alias("n_tokens"), F.size("edits").cast("long").alias("n_edits"),
                     F.col("edited.n_tokens").alias("n_tokens_after"), F.col("edited.n_encoded").alias("n_encoded"))
+
+
+@register("op11_pack_sequences")
+def op11(spark, sf_dir):
+    return pack(token_pieces(documents(spark, sf_dir)))

@@ -68,3 +68,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
   sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op12_lexical_search"] = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS doc, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+q AS (SELECT item_id, row_number() OVER () AS item, coalesce({_ITEM_WORDS}, []) AS w FROM benchmark),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+m AS (SELECT doc, doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_terms AS m FROM d, s WHERE len(w) > 0),
+tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM d) GROUP BY 1, 2),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, s GROUP BY term, n_docs),
+qt AS (SELECT DISTINCT item, unnest(w) AS term FROM q),
+sc AS (SELECT item, doc, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM qt JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (doc) GROUP BY 1, 2),
+r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM sc JOIN m USING (doc) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r JOIN q USING (item) WHERE rank <= 10
+"""

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm.common import documents
+from quarry.llm.common import documents, saved
 from quarry.llm.decontaminate import contamination
 from quarry.llm.language_id import identify_languages
+from quarry.llm.lexical_search import build_index, search
 from quarry.llm.license_scan import licences, page_notice, page_path, page_text
 from quarry.llm.mixing import mix
 from quarry.llm.near_dedup import near_duplicates
@@ -109,3 +110,9 @@ def op3(spark, sf_dir):
 @register("op11_pack_sequences")
 def op11(spark, sf_dir):
     return pack(token_pieces(documents(spark, sf_dir)))
+
+
+@register("op12_lexical_search")
+def op12(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return search(saved(build_index(documents(spark, sf_dir)), "lexical-index"), items)

@@ -84,3 +84,26 @@ r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY
   FROM sc JOIN m USING (doc) WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r JOIN q USING (item) WHERE rank <= 10
 """
+
+SQL["op13_collocations"] = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1),
+g AS (SELECT lang, k, list_slice(w, s, s + k - 1) AS x, count(*) AS f
+  FROM p, (VALUES (1), (2), (3)) v(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS s) GROUP BY ALL),
+c AS (SELECT lang, k, x, f AS a FROM g WHERE k > 1 AND f >= 10),
+cut AS (SELECT c.*, h, u.f AS l, v.f AS r, (1000000::HUGEINT * a * a) // (u.f::HUGEINT * v.f) AS score
+  FROM c, (VALUES (1), (2)) z(h)
+  JOIN g u ON u.lang = c.lang AND u.x = list_slice(c.x, 1, h)
+  JOIN g v ON v.lang = c.lang AND v.x = list_slice(c.x, h + 1, c.k) WHERE h < c.k),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, h) = 1),
+longer AS (SELECT lang, y, max(a) AS f FROM (SELECT lang, a, unnest([list_slice(x, 1, 2), list_slice(x, 2, 3)]) AS y
+  FROM c WHERE k = 3) GROUP BY 1, 2),
+kept AS (SELECT w.* FROM worst w LEFT JOIN longer o ON o.lang = w.lang AND o.y = w.x
+  WHERE w.k = 3 OR o.f IS NULL OR 100 * o.f < 50 * w.a),
+r AS (SELECT *, array_to_string(x, ' ') AS phrase,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(x, ' ')) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM r JOIN t USING (lang) WHERE rank <= 2000
+"""

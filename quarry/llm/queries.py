@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.llm.collocations import collocations
 from quarry.llm.common import documents, saved
 from quarry.llm.decontaminate import contamination
 from quarry.llm.language_id import identify_languages
@@ -116,3 +117,8 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return search(saved(build_index(documents(spark, sf_dir)), "lexical-index"), items)
+
+
+@register("op13_collocations")
+def op13(spark, sf_dir):
+    return collocations(documents(spark, sf_dir))

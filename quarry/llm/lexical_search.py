@@ -173,8 +173,9 @@ class Searcher:
         for lo in range(0, len(cand), CHUNK):
             if bound[cand[lo]] < self.least[q]:
                 return
+            last = best[-1] if len(best) == self.k else None
             for d in cand[lo:lo + CHUNK].tolist():
-                if len(best) == self.k and (-int(bound[d]), ids[d] is None, ids[d] if ids[d] is not None else 0) >= best[-1]:
+                if last and (-int(bound[d]), ids[d] is None, ids[d] if ids[d] is not None else 0) >= last:
                     continue                               # even its bound would not enter
                 self.rescored += 1
                 terms = own[start[d]:start[d + 1]]

@@ -33,9 +33,9 @@ UNKNOWN = "und"
 MIN_COUNT = 10
 KEEP = 2000
 COVERED_PCT = 50             # a phrase goes if a longer one has this share of its count
-SLICE = 4 << 20              # text bytes whose n-grams are sorted at once
-SHARD = 3 << 20              # n-grams of a shard, more or less
-RANGES_PER_TASK = 4          # prefix ranges per shuffle partition
+SLICE = 1 << 20              # text bytes whose n-grams are sorted at once
+SHARD = 1 << 20              # n-grams of a shard, more or less
+RANGES_PER_TASK = 4          # prefix ranges per shuffle partition, each (as a rule) in a task of its own
 FILTER_BITS = 27             # bitmap of frequent pairs: 16 MB
 ONE = np.uint64(1)
 
@@ -364,7 +364,7 @@ def shards(docs: DataFrame, lang: str, text: str, ranges: int, make) -> DataFram
     return picked.mapInArrow(run, ROW)
 
 
-def unite(parts: DataFrame, least: int) -> DataFrame:
+def unite(parts: DataFrame, least: int, ranges: int) -> DataFrame:
     """One transducer per range: weights of all shards summed, n-grams under ``least`` pruned, and the
     number of all words per language before that."""
 
@@ -389,12 +389,18 @@ def unite(parts: DataFrame, least: int) -> DataFrame:
         if held:
             yield done()
 
-    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(run, ROW)
+    return parts.repartition(2 * ranges, "range").sortWithinPartitions("range").mapInArrow(run, ROW)
 
 
-def expand(automata: DataFrame, words: int) -> DataFrame:
-    """``s1..sk, n`` of the n-grams of ``words`` words; for single words also ``lang`` and ``word``."""
-    names = [f"s{i + 1}" for i in range(words)]
+def expand(automata: DataFrame, words: int, ranges: int) -> DataFrame:
+    """``s1..sk, n`` of the n-grams of ``words`` words. Single words come with ``lang`` and ``word``, pairs
+    with their place in the bitmap (``bit``), and pairs and triples with the ranges of their words
+    (``r1, r2``) and pairs (``r12, r23``)."""
+    extra = {1: ["lang string", "word string"], 2: ["bit long", "r1 int", "r2 int", "r12 int"], 3: ["r12 int", "r23 int"]}[words]
+    fields = [*(f"s{i + 1} long" for i in range(words)), "n long", *extra]
+
+    def home(key: np.ndarray) -> pa.Array:
+        return pa.array(range_of(key, ranges), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, g in (x for batch in batches for x in rows_of_batch(batch)):
@@ -402,22 +408,21 @@ def expand(automata: DataFrame, words: int) -> DataFrame:
             arrays = [pa.array(c.view(np.int64)) for c in columns] + [pa.array(n)]
             if words == 1:
                 arrays += [g.langs.cast(pa.string()), g.texts.cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "n", *(("lang", "word") if words == 1 else ())])
+            elif words == 2:
+                key = pair_key(*columns)
+                bit = (key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                arrays += [pa.array(bit), home(columns[0]), home(columns[1]), home(key)]
+            else:
+                arrays += [home(pair_key(*columns[:2])), home(pair_key(*columns[1:]))]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split(" ")[0] for f in fields])
 
-    return automata.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]) + (", lang string, word string" if words == 1 else ""))
+    return automata.mapInArrow(run, ", ".join(fields))
 
 
 def pair_filter(pairs: DataFrame) -> np.ndarray:
     """Bitmap of 2^FILTER_BITS bits over the hashes of the pairs. Its size does not grow: with very many
     pairs it lets more triples through, all of which are counted."""
-
-    @F.arrow_udf("long")
-    def bit(a: pa.Array, b: pa.Array) -> pa.Array:
-        k = pair_key(np.asarray(a).view(np.uint64), np.asarray(b).view(np.uint64))
-        return pa.array((k >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
-
-    bits = pairs.select(bit("s1", "s2").alias("bit"))
-    maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+    maps = pairs.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map")).collect()      # 4 KB each, 4,097 at most
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in maps:
@@ -428,18 +433,10 @@ def pair_filter(pairs: DataFrame) -> np.ndarray:
     return out
 
 
-def look_up(automata: DataFrame, parts: DataFrame, ranges: int) -> DataFrame:
-    """``s1, s2, n`` for every distinct row of ``parts`` (``s2`` null: a word): each goes to its range and
-    is walked through the transducer there. Parts that no transducer has are left out."""
-
-    @F.arrow_udf("int")
-    def home(a: pa.Array, b: pa.Array) -> pa.Array:
-        x = np.asarray(a).view(np.uint64)
-        pair = np.asarray(b.is_valid())
-        y = np.asarray(b.fill_null(0)).view(np.uint64)
-        return pa.array(range_of(np.where(pair, pair_key(x, y), x), ranges), pa.int32())
-
-    asked = parts.distinct().select(home("s1", "s2").alias("range"), "s1", "s2")
+def look_up(automata: DataFrame, parts: DataFrame, tasks: int) -> DataFrame:
+    """``s1, s2, n`` for every distinct row ``range, s1, s2`` of ``parts`` (``s2`` null: a word): each goes to
+    its range and is walked through the transducer there. Parts that no transducer has are left out."""
+    asked = parts.distinct()
     both = automata.select("range", *AUTOMATON, F.lit(None).cast("long").alias("s1"), F.lit(None).cast("long").alias("s2")) \
         .unionByName(asked, allowMissingColumns=True)
 
@@ -459,7 +456,7 @@ def look_up(automata: DataFrame, parts: DataFrame, ranges: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([a.filter(found), b.filter(found), pa.array(n).filter(found)],
                                                      ["s1", "s2", "n"])
 
-    return both.repartition("range").sortWithinPartitions("range", F.col("root").isNull()).mapInArrow(
+    return both.repartition(tasks, "range").sortWithinPartitions("range", F.col("root").isNull()).mapInArrow(
         run, "s1 long, s2 long, n long")
 
 
@@ -475,17 +472,17 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     """
     spark = docs.sparkSession
     ranges = RANGES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = saved(unite(shards(docs, lang, text, ranges, lambda t, g: words_and_pairs(t, g, salt)), least), "words-pairs")
-    pairs = expand(first, 2)
+    first = saved(unite(shards(docs, lang, text, ranges, lambda t, g: words_and_pairs(t, g, salt)), least, ranges), "words-pairs")
+    pairs = expand(first, 2, ranges)
     bitmap = spark.sparkContext.broadcast(pair_filter(pairs))
-    second = saved(unite(shards(docs, lang, text, ranges, lambda t, g: triples(t, g, salt, bitmap.value)), least), "triples")
-    threes = expand(second, 3)
+    second = saved(unite(shards(docs, lang, text, ranges, lambda t, g: triples(t, g, salt, bitmap.value)), least, ranges), "triples")
+    threes = expand(second, 3, ranges)
     col = F.col
     null = F.lit(None).cast("long")
-    parts = pairs.select("s1", null.alias("s2")).union(pairs.select("s2", null)).union(
-        threes.select("s1", "s2")).union(threes.select("s2", "s3"))
-    counts = saved(look_up(first, parts, ranges), "part-counts")
-    words = expand(first, 1).select(col("s1").alias("s"), "lang", "word")
+    parts = pairs.select(col("r1").alias("range"), "s1", null.alias("s2")).union(pairs.select("r2", "s2", null)).union(
+        threes.select("r12", "s1", "s2")).union(threes.select("r23", "s2", "s3"))
+    counts = saved(look_up(first, parts, 2 * ranges), "part-counts")
+    words = expand(first, 1, ranges).select(col("s1").alias("s"), "lang", "word")
     single = counts.where("s2 IS NULL").select(col("s1").alias("s"), "n").join(words, "s")
     double = counts.where("s2 IS NOT NULL")
 

@@ -53,32 +53,61 @@ def lines(col) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(split)
 
 
-def _exact(col, precision: int, scale: int) -> Column:
-    """A double as a decimal of the declared scale; a value with more decimals fails, never rounds."""
+#: type of the exact part of one value, and of sums of them: any value below 10^18 within 10 decimals,
+#: and 10^10 rows of them without overflow
+EXACT_VALUE, EXACT = "decimal(28,10)", "decimal(38,10)"
+
+
+def exact_part(col, scale: int = 10) -> Column:
+    """What a double has within ``scale`` decimals, as a decimal; 0 for values of 10^(28 - scale) and more,
+    infinities and NaN, null for null."""
     c = _c(col).cast("double")
-    d = c.try_cast(f"decimal({precision},{scale})")
-    return F.when(c.isNull() | (d.cast("double") == c), d).otherwise(
-        F.raise_error(F.concat(F.lit(f"not a number of {scale} decimals: "), c.cast("string"))).cast(f"decimal({precision},{scale})"))
+    kind = f"decimal(28,{scale})"
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast(kind), F.lit(0).cast(kind)))
 
 
-def weighted_score(cols, weights) -> Column:
-    """Weighted sum ``sum(col_i * w_i)`` as an exact decimal (cast to double by the caller after
-    any further sums), so scores and their totals do not depend on summation order.
+def sum_parts(col, scale: int = 10) -> tuple[Column, Column]:
+    """Two aggregates that add up to the sum of a double column: what the values have within ``scale``
+    decimals, without error and whatever the row order, and the rest of them (nothing, for values of at
+    most ``scale`` decimals below 10^(28 - scale)) as a double. Nothing is refused or rounded away."""
+    part = exact_part(col, scale)
+    return F.sum(part), F.sum(_c(col).cast("double") - part.cast("double"))
+
+
+def exact_sum(col, scale: int = 10) -> Column:
+    """Sum of a double column, as double; see ``sum_parts``."""
+    exact, rest = sum_parts(col, scale)
+    return exact.cast("double") + rest
 
-    Inputs have at most 10 decimals; weights count with all the digits they are given with.
-    """
-    expr = None
+
+def weighted_parts(cols, weights) -> tuple[Column, Column]:
+    """Weighted sum of one row, ``sum(col_i * w_i)``, in two parts: exact, of what the values have within 10
+    decimals and with all the digits that the weights are given with, and the rest as a double."""
+    exact = rest = None
     for col, w in zip(cols, weights):
-        term = _exact(col, 24, 10) * F.lit(Decimal(str(w)))
-        expr = term if expr is None else expr + term
-    return expr
+        part = exact_part(col)
+        e, r = part * F.lit(Decimal(str(w))), (_c(col).cast("double") - part.cast("double")) * F.lit(float(w))
+        exact, rest = (e, r) if exact is None else (exact + e, rest + r)
+    return exact, rest
 
 
-def exact_sum(col, scale: int = 10) -> Column:
-    """Sum of a double column, as double. What a value has within ``scale`` decimals is summed as
-    ``decimal(38, scale)``, without error and whatever the row order; the rest of it (nothing, for
-    values of at most ``scale`` decimals) is summed as double. So nothing is rounded away, and huge
-    values and NaN count as they are."""
-    c = _c(col).cast("double")
-    part = F.when(c.isNotNull(), F.coalesce(c.try_cast(f"decimal(38,{scale})"), F.lit(0).cast(f"decimal(38,{scale})")))
-    return F.sum(part).cast("double") + F.sum(c - part.cast("double"))
+def weighted_score(cols, weights) -> Column:
+    """Weighted sum of one row as a double, rounded once where 10 decimals hold the values; any double
+    counts (NaN and infinities give what doubles give)."""
+    exact, rest = weighted_parts(cols, weights)
+    return exact.cast("double") + rest
+
+
+def weighted_total(cols, weights) -> Column:
+    """Aggregate: the sum of ``weighted_score`` over a group without its roundings. Columns are summed
+    first and weighted once per group; a row with a null among the columns does not count."""
+    whole = None
+    for col in cols:
+        ok = _c(col).isNotNull()
+        whole = ok if whole is None else whole & ok
+    exact = rest = None
+    for col, w in zip(cols, weights):
+        e, r = sum_parts(F.when(whole, _c(col).cast("double")))
+        e, r = e * F.lit(Decimal(str(w))), r * F.lit(float(w))
+        exact, rest = (e, r) if exact is None else (exact + e, rest + r)
+    return exact.cast("double") + rest

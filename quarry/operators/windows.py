@@ -1,38 +1,93 @@
 """Time-window statistics per key: tumbling, sliding and windows over windowed results.
 
-The same functions take a batch or a streaming DataFrame. Sums are exact for two-decimal
-amounts (decimal sum, double result) and the average divides last, so results do not depend
-on the order in which rows reach the aggregate.
+Rows are aggregated once, into panes as long as the slide; longer windows are put together from
+panes. ``panes``, ``tumbling`` and the ``stream_*`` forms take a batch or a streaming DataFrame,
+``sliding`` and ``from_panes`` a batch. Sums are exact within 10 decimals and the average divides
+last, so results do not depend on the order in which rows reach the aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import exact_sum
+from quarry.functions.text import EXACT, sum_parts
 
+#: panes of one key that are put together in one task; a key's panes beyond that go to others
+CHUNK = 4096
 
-def _stats(df: DataFrame, keys: list[str], win, value: str) -> DataFrame:
-    s = exact_sum(value)
-    n = F.count(F.lit(1))
-    agg = df.groupBy(*keys, win.alias("w")).agg(s.alias("sum"), n.alias("cnt"))
-    return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "sum", "cnt", (F.col("sum") / F.col("cnt")).alias("avg"))
+
+def seconds(duration: str) -> int:
+    """Length of ``"30 seconds"``, ``"5 minutes"`` ... in whole seconds."""
+    n, unit = duration.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+def panes(df: DataFrame, ts: str, slide: str, keys: list[str], value: str) -> DataFrame:
+    """``keys, pane, exact, rest, cnt``: sums (see ``sum_parts``) and count per key and pane start."""
+    agg = pane_totals(df, ts, slide, keys, value)
+    return agg.select(*keys, F.col("window.start").alias("pane"), "exact", "rest", "cnt")
+
+
+def pane_totals(df: DataFrame, ts: str, slide: str, keys: list[str], value: str) -> DataFrame:
+    """The aggregate behind ``panes``, with the window as a column; a stream keeps it as its state."""
+    exact, rest = sum_parts(value)
+    return df.groupBy(*keys, F.window(ts, slide)).agg(exact.alias("exact"), rest.alias("rest"),
+                                                      F.count(F.lit(1)).alias("cnt"))
+
+
+def _statistics(df: DataFrame, keys: list[str], start, end) -> DataFrame:
+    total = F.col("exact").cast("double") + F.col("rest")
+    return df.select(*keys, start.alias("window_start"), end.alias("window_end"), total.alias("sum"), "cnt",
+                     (total / F.col("cnt")).alias("avg"))
 
 
 def tumbling(df: DataFrame, ts: str, duration: str, keys: list[str], value: str) -> DataFrame:
     """Sum, count and average per key per fixed window of ``duration``."""
-    return _stats(df, keys, F.window(ts, duration), value)
+    return _statistics(pane_totals(df, ts, duration, keys, value), keys, F.col("window.start"), F.col("window.end"))
 
 
 def sliding(df: DataFrame, ts: str, duration: str, slide: str, keys: list[str], value: str) -> DataFrame:
-    """Sum, count and average per key per window of ``duration`` starting every ``slide``.
+    """Sum, count and average per key per window of ``duration`` starting every ``slide``; every row is
+    aggregated once, whatever the number of windows it lies in."""
+    return from_panes(panes(df, ts, slide, keys, value), duration, slide, keys)
+
 
-    Each row lands in duration/slide windows; the expansion happens inside the map stage and
-    is folded by the partial aggregate before the shuffle.
+def from_panes(p: DataFrame, duration: str, slide: str, keys: list[str], chunk: int = CHUNK) -> DataFrame:
+    """Windows of ``duration`` every ``slide`` from panes of ``slide``.
+
+    Each pane sees the panes up to ``duration`` after it (a range frame) and makes the windows that
+    start after the pane before it and not after itself. A key's panes are cut into chunks of ``chunk``
+    slides, with the panes near a border in both chunks, so a hot key is spread over many tasks.
     """
-    return _stats(df, keys, F.window(ts, duration, slide), value)
+    step, length = seconds(slide), seconds(duration)
+    if length % step:
+        raise ValueError(f"{duration} is not a multiple of {slide}")
+    reach, long = F.expr(f"INTERVAL {length - step} SECONDS"), F.expr(f"INTERVAL {step * chunk} SECONDS")
+    home = F.window("pane", f"{step * chunk} seconds")["start"]
+    tagged = p.withColumn("_q_home", home)
+    near = [F.when(F.col("pane") < F.col("_q_home") + reach, F.col("_q_home") - long),
+            F.when(F.col("pane") >= F.col("_q_home") + long - reach, F.col("_q_home") + long)]
+    tagged = tagged.withColumn("_q_chunk", F.explode(F.array_compact(F.array(F.col("_q_home"), *near))))
+    over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)}, _q_chunk ORDER BY pane"
+    seen = tagged.select(
+        *keys, "pane", (F.col("_q_home") == F.col("_q_chunk")).alias("_q_own"),
+        F.expr(f"lag(pane) {over})").alias("_q_before"),
+        F.expr(f"collect_list(struct(pane, exact, rest, cnt)) {over} RANGE BETWEEN CURRENT ROW AND "
+               f"INTERVAL {length - step} SECONDS FOLLOWING)").alias("_q_next"))
+    first = F.greatest(F.col("pane") - reach, F.col("_q_before") + F.expr(f"INTERVAL {step} SECONDS"))
+    starts = F.sequence(first, F.col("pane"), F.expr(f"INTERVAL {step} SECONDS"))
+    made = seen.where("_q_own").select(*keys, F.explode(starts).alias("window_start"), "_q_next")
+    inside = F.filter("_q_next", lambda x: x["pane"] <= F.col("window_start") + reach)
+    # like an aggregate's sum: nulls do not count, and only nulls sum to null
+    def total(field: str, kind: str):
+        values = F.filter(F.transform("_q_in", lambda x: x[field]), lambda v: v.isNotNull())
+        added = F.aggregate(values, F.lit(0).cast(kind), lambda a, v: (a + v).cast(kind))
+        return F.when(F.size(values) > 0, added)
+    rows = made.select(*keys, "window_start", inside.alias("_q_in")).select(
+        *keys, "window_start", total("exact", EXACT).alias("exact"), total("rest", "double").alias("rest"),
+        F.coalesce(total("cnt", "long"), F.lit(0)).cast("long").alias("cnt"))
+    return _statistics(rows, keys, F.col("window_start"), F.col("window_start") + F.expr(f"INTERVAL {length} SECONDS"))
 
 
 def composed(windowed: DataFrame, duration: str, slide: str, keys: list[str]) -> DataFrame:
@@ -43,7 +98,31 @@ def composed(windowed: DataFrame, duration: str, slide: str, keys: list[str]) ->
     "last 60 seconds" as coded.
     """
     inner_time = F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")
-    w = F.window(inner_time, duration, slide)
-    agg = windowed.groupBy(*keys, w.alias("w")).agg(exact_sum("sum").alias("sum"), F.sum("cnt").alias("cnt"))
-    return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "sum", "cnt", (F.col("sum") / F.col("cnt")).alias("avg"))
+    exact, rest = sum_parts("sum")
+    agg = windowed.groupBy(*keys, F.window(inner_time, duration, slide)).agg(
+        exact.alias("exact"), rest.alias("rest"), F.sum("cnt").alias("cnt"))
+    return _statistics(agg, keys, F.col("window.start"), F.col("window.end"))
+
+
+def stream_composed(df: DataFrame, ts: str, inner: str, outer: str, slide: str, keys: list[str], value: str) -> DataFrame:
+    """``composed(sliding(...))`` as one streaming query: panes, inner windows over the panes and outer
+    windows over the inner ones are chained stateful operators, each closing its windows behind the
+    watermark of ``df`` (append mode). The last windows close when the watermark passes them."""
+    w = "window"
+    p = pane_totals(df, ts, slide, keys, value)
+
+    def add(x: DataFrame, duration: str) -> DataFrame:
+        return x.groupBy(*keys, F.window(F.window_time(w), duration, slide)).agg(
+            F.sum("exact").cast(EXACT).alias("exact"), F.sum("rest").alias("rest"), F.sum("cnt").alias("cnt"))
+
+    return _statistics(add(add(p, inner), outer), keys, F.col("window.start"), F.col("window.end"))
+
+
+def stream_sum_join_count(a: DataFrame, b: DataFrame, ts: str, duration: str, keys: list[str], value: str) -> DataFrame:
+    """Sums of stream ``a`` and counts of stream ``b`` per key and window, joined on both: a stream-stream
+    join of two windowed aggregates (append mode; both need a watermark)."""
+    exact, rest = sum_parts(value)
+    sums = a.groupBy(*keys, F.window(ts, duration)).agg(exact.alias("exact"), rest.alias("rest"))
+    counts = b.groupBy(*keys, F.window(ts, duration)).agg(F.count(F.lit(1)).alias("cnt"))
+    both = sums.join(counts, [*keys, "window"])
+    return _statistics(both, keys, F.col("window.start"), F.col("window.end"))

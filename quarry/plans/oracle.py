@@ -288,3 +288,15 @@ GROUP BY token"""
 SQL["stream_win_tumbling"] = SQL["win_tumbling"]
 SQL["stream_win_sliding_30"] = SQL["win_sliding_30"]
 SQL["stream_win_sliding_60"] = SQL["win_sliding_60"]
+# micro-batches of purchases by event_id % 97, and what lies more than ten days behind the batches before
+_CUT = """
+p AS (SELECT event_id, user_id, value, ts, event_id % 97 AS deal FROM events WHERE event_type = 'purchase'),
+e AS (SELECT min(deal) AS lo, max(deal) AS hi FROM p),
+b AS (SELECT p.*, CAST((deal > lo + (hi - lo) / 4 * 1) AS INTEGER) + CAST((deal > lo + (hi - lo) / 4 * 2) AS INTEGER)
+    + CAST((deal > lo + (hi - lo) / 4 * 3) AS INTEGER) AS batch FROM p, e),
+m AS (SELECT batch, max(ts) AS top FROM b GROUP BY 1),
+c AS (SELECT b.*, coalesce(ts < (SELECT max(top) FROM m WHERE m.batch < b.batch) - INTERVAL 10 DAY, false) AS late FROM b)"""
+SQL["stream_late_rows"] = f"WITH {_CUT} SELECT event_id, batch FROM c WHERE late"
+SQL["stream_win_bounded"] = f"WITH {_CUT} " + _windowed(30, 5).replace(_P, "(SELECT user_id, value, ts FROM c WHERE NOT late)")
+SQL["stream_win_composed"] = SQL["win_composed"]
+SQL["stream_join_sum_count"] = SQL["win_tumbling"]

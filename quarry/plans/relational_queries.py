@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import exact_sum, weighted_score
+from quarry.functions.text import exact_sum, weighted_score, weighted_total
 from quarry.operators import relational as rel
 from quarry.operators import text as tx
 from quarry.plans.registry import register
@@ -125,10 +125,10 @@ def union_all(spark, sf_dir):
 
 
 def popularity(spark, sf_dir):
-    """``(page, pop)``: summed weighted score per part over lineitem (exact decimal sum)."""
+    """``(page, pop)``: summed weighted score per part over lineitem, rounded once."""
     li = read_table(spark, sf_dir, "lineitem")
-    score = weighted_score(["l_quantity", "l_discount", "l_tax"], POPULARITY_WEIGHTS)
-    return li.groupBy(F.col("l_partkey").alias("page")).agg(F.sum(score).cast("double").alias("pop"))
+    pop = weighted_total(["l_quantity", "l_discount", "l_tax"], POPULARITY_WEIGHTS)
+    return li.groupBy(F.col("l_partkey").alias("page")).agg(pop.alias("pop"))
 
 
 @register("top_pages")
@@ -140,7 +140,7 @@ def top_pages(spark, sf_dir):
 def weighted_score_q(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     score = weighted_score(["l_quantity", "l_discount", "l_tax"], POPULARITY_WEIGHTS)
-    return li.select("l_orderkey", "l_linenumber", score.cast("double").alias("score"))
+    return li.select("l_orderkey", "l_linenumber", score.alias("score"))
 
 
 @register("take_n")

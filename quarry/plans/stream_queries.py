@@ -6,19 +6,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import exact_sum
+from quarry.operators import relational as rel
 from quarry.operators import text as tx
 from quarry.operators import windows as win
 from quarry.plans.registry import register
 from quarry.plans.relational_queries import POPULARITY_WEIGHTS
-from quarry.plans.window_graph_queries import SLIDE, TUMBLE, WIN_30, WIN_60
+from quarry.plans.window_graph_queries import SLIDE, TUMBLE, WIN_30, WIN_60, WIN_OUTER
 from quarry.session import scratch_path
 from quarry.sinks.files import pair_lines
 from quarry.sources import logtable as lg
 from quarry.sources.tables import read_table
+from quarry.streaming import late
 from quarry.streaming import state as st
-from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_instant, newest_per_key, read_batches,
+from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_instant, newest_per_key, noop_sink, read_batches,
                                      run_available, run_slices, stage_files, to_instant)
+from quarry.streaming.topk import top_k_sink
 
 N_FILES = 4
 # The reference's initial word state and its popularity seed page.
@@ -57,18 +59,15 @@ def stream_batch_word_count(spark, sf_dir):
 @register("stream_word_totals")
 def stream_word_totals(spark, sf_dir):
     src = _staged_lines(spark, sf_dir)
-    totals = st.running_word_totals(_line_stream(spark, src))
-    return st.run_totals(spark, totals, ["word"], "word string, count long", scratch_path(spark, "wc-tot"),
-                         checkpoint_dir(spark, "wc-tot"))
+    return st.run_counts(spark, st.running_word_totals(_line_stream(spark, src)), checkpoint_dir(spark, "wc-tot"))
 
 
 @register("stream_seeded_totals")
 def stream_seeded_totals(spark, sf_dir):
     src = _staged_lines(spark, sf_dir)
-    totals = st.running_word_totals(_line_stream(spark, src))
     seed = spark.createDataFrame(list(WORD_SEEDS), "word string, count long")
-    return st.run_totals(spark, totals, ["word"], "word string, count long", scratch_path(spark, "wc-seed"),
-                         checkpoint_dir(spark, "wc-seed"), seed=seed, value="count")
+    totals = st.seeded_word_totals(_line_stream(spark, src), seed, scratch_path(spark, "wc-seed"))
+    return st.run_counts(spark, totals, checkpoint_dir(spark, "wc-seed"))
 
 
 def _staged_purchases(spark, sf_dir):
@@ -92,8 +91,7 @@ def stream_payment_totals(spark, sf_dir):
                   checkpoint_dir(spark, "pay-batch"))
     # the first stage has ended, so none of its batches is written again under the second
     sums = spark.readStream.schema("user_id long, batch_sum double, batch long").parquet(sums_path)
-    return st.run_totals(spark, st.running_sums(sums, ["user_id"], "batch_sum"), ["user_id"],
-                         "user_id long, total double", scratch_path(spark, "pay-tot"), checkpoint_dir(spark, "pay-tot"))
+    return st.run_sums(spark, st.running_sums(sums, ["user_id"], "batch_sum"), checkpoint_dir(spark, "pay-tot"))
 
 
 @register("keyed_state")
@@ -113,25 +111,28 @@ def _page_lines(spark, sf_dir):
         F.col(c).cast("string") for c in ("l_quantity", "l_discount", "l_tax")]).alias("value"))
 
 
-def _page_totals(stream):
-    """Popularity per page of lines parsed with 32-bit float fields (as the reference parses them).
+# a score has at most this many decimals when its double is of 0.01 or more; whatever lies beyond
+# them is summed as a double
+SCORE_DECIMALS = 20
 
-    A double score has at most 20 decimals here, so the decimal sum rounds nothing and does not
-    depend on how rows are split into micro-batches."""
+
+def _scored(stream):
+    """``page, score`` of lines parsed with 32-bit float fields (as the reference parses them)."""
     p = F.split("value", "\\|")
     a, b, c = (F.get(p, i).cast("float").cast("double") for i in (1, 2, 3))
     wa, wb, wc = POPULARITY_WEIGHTS
-    score = a * F.lit(wa) + b * F.lit(wb) + c * F.lit(wc)
-    return stream.select(F.get(p, 0).alias("page"), score.cast("decimal(38,20)").alias("score")) \
-                 .groupBy("page").agg(F.sum("score").alias("pop"))
+    return stream.select(F.get(p, 0).alias("page"), (a * F.lit(wa) + b * F.lit(wb) + c * F.lit(wc)).alias("score"))
+
 
+def _page_totals(spark, stream, seed_path):
+    """Popularity per page, starting from the seed page. The sum does not depend on micro-batches."""
+    seed = spark.createDataFrame([PAGE_SEED], "page string, score double")
+    scored = st.with_seeds(_scored(stream), seed, seed_path)
+    return st.running_sums(scored, ["page"], "score", "pop", SCORE_DECIMALS)
 
-def _top_pages(totals):
-    """The ten pages of highest popularity, seed page included."""
-    seed = totals.sparkSession.createDataFrame([PAGE_SEED], "page string, seed double")
-    allp = totals.join(seed, "page", "full_outer").select(
-        "page", (F.coalesce(F.col("pop").cast("double"), F.lit(0.0)) + F.coalesce("seed", F.lit(0.0))).alias("pop"))
-    return allp.orderBy(F.desc("pop"), F.asc("page")).limit(10)
+
+def _current_pages(spark, checkpoint, batch=None):
+    return st.current_sums(spark, ["page", "pop"], checkpoint, SCORE_DECIMALS, batch)
 
 
 @register("stream_top_pages")
@@ -139,18 +140,19 @@ def stream_top_pages(spark, sf_dir):
     """Scores summed per page in state, seeded with page1 = 0.0; top 10 of the final state."""
     src = stage_files(_page_lines(spark, sf_dir), scratch_path(spark, "pop-src"), N_FILES, ["l_orderkey"])
     stream = spark.readStream.schema("l_orderkey long, value string").option("maxFilesPerTrigger", 1).parquet(src)
-    path = scratch_path(spark, "pop")
-    run_available(_page_totals(stream), batch_dirs_sink(path), checkpoint_dir(spark, "pop"), mode="update")
-    return _top_pages(newest_per_key(read_batches(spark, path, "page string, pop decimal(38,20)"), ["page"]))
+    checkpoint = checkpoint_dir(spark, "pop")
+    run_available(_page_totals(spark, stream, scratch_path(spark, "pop-seed")), noop_sink, checkpoint, mode="update")
+    return rel.top_k(_current_pages(spark, checkpoint), 10, [F.desc("pop"), F.asc("page")])
 
 
 @register("stream_top_pages_by_batch")
 def stream_top_pages_by_batch(spark, sf_dir):
-    """The top 10 after each of four micro-batches of order-key slices, every one from the whole state."""
-    path = scratch_path(spark, "pop-each")
-    run_slices(_page_lines(spark, sf_dir), scratch_path(spark, "pop-each-src"), N_FILES, "l_orderkey", _page_totals,
-               batch_dirs_sink(path, _top_pages), checkpoint_dir(spark, "pop-each"), mode="complete")
-    return read_batches(spark, path, "page string, pop double")
+    """The top 10 after each of four micro-batches of order-key slices, from the pages each batch changed."""
+    path, checkpoint, seed = scratch_path(spark, "pop-each"), checkpoint_dir(spark, "pop-each"), scratch_path(spark, "pop-each-seed")
+    sink = top_k_sink(path, "page", "pop", 10, lambda batch: _current_pages(spark, checkpoint, batch))
+    run_slices(_page_lines(spark, sf_dir), scratch_path(spark, "pop-each-src"), N_FILES, "l_orderkey",
+               lambda stream: _page_totals(spark, stream, seed), sink, checkpoint, mode="update")
+    return read_batches(spark, f"{path}/top", "page string, pop double")
 
 
 # --- log tables ----------------------------------------------------------------------------
@@ -290,33 +292,105 @@ def _move_with_suffix(spark, src: str, dst_dir: str, suffix: str) -> None:
             fs.rename(st_.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst_dir}/{name}{suffix}"))
 
 
-# --- windows over the purchase stream (event time, update mode: no row is too late) ---------
+# --- windows over the purchase stream --------------------------------------------------------
+# Rows are kept as panes of one slide in the state; no row is too late unless a lateness is given.
+PURCHASE = "event_id long, user_id long, value double, ts timestamp_ntz"
 
 
-def _stream_windows(spark, sf_dir, name, duration, slide=None):
-    src = _staged_purchases(spark, sf_dir)
-    timed = _purchase_stream(spark, src).withColumn("et", to_instant("ts"))
-    agg = (win.sliding(timed, "et", duration, slide, ["user_id"], "value") if slide
-           else win.tumbling(timed, "et", duration, ["user_id"], "value"))
-    path = scratch_path(spark, name)
-    run_available(agg, batch_dirs_sink(path), checkpoint_dir(spark, name), mode="update")
-    rows = read_batches(spark, path, "user_id long, window_start timestamp, window_end timestamp, "
-                                     "sum double, cnt long, avg double")
-    cur = newest_per_key(rows, ["user_id", "window_start"])
-    return cur.select("user_id", from_instant("window_start").alias("window_start"),
-                      from_instant("window_end").alias("window_end"), "sum", "cnt", "avg")
+def _timed(df):
+    return df.withColumn("et", to_instant("ts"))
+
+
+def _wall_clock(windows):
+    """Window bounds back as wall-clock times."""
+    return windows.withColumns({c: from_instant(c) for c in ("window_start", "window_end")})
+
+
+def _state_panes(spark, sf_dir, name):
+    """Panes of all purchases, from the state of a stream that read them."""
+    totals = win.pane_totals(_timed(_purchase_stream(spark, _staged_purchases(spark, sf_dir))), "et", SLIDE, ["user_id"], "value")
+    checkpoint = checkpoint_dir(spark, name)
+    run_available(totals, noop_sink, checkpoint, mode="update")
+    return late.open_panes(spark, checkpoint).select("user_id", F.col("window.start").alias("pane"), "exact", "rest", "cnt")
 
 
 @register("stream_win_tumbling")
 def stream_win_tumbling(spark, sf_dir):
-    return _stream_windows(spark, sf_dir, "swin-5", TUMBLE)
+    return _wall_clock(win.from_panes(_state_panes(spark, sf_dir, "swin-5"), TUMBLE, SLIDE, ["user_id"]))
 
 
 @register("stream_win_sliding_30")
 def stream_win_sliding_30(spark, sf_dir):
-    return _stream_windows(spark, sf_dir, "swin-30", WIN_30, SLIDE)
+    return _wall_clock(win.from_panes(_state_panes(spark, sf_dir, "swin-30"), WIN_30, SLIDE, ["user_id"]))
 
 
 @register("stream_win_sliding_60")
 def stream_win_sliding_60(spark, sf_dir):
-    return _stream_windows(spark, sf_dir, "swin-60", WIN_60, SLIDE)
+    return _wall_clock(win.from_panes(_state_panes(spark, sf_dir, "swin-60"), WIN_60, SLIDE, ["user_id"]))
+
+
+LATENESS = "10 days"
+# Far after any purchase; its own windows stay open. The key must not be null: a join drops null keys
+# before the watermark sees their times.
+END_OF_STREAM = "(-1L, -1L, 0D, timestamp_ntz'2999-01-01 00:00:00')"
+
+
+def _event_slices(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return e.select("event_id", "user_id", "value", "ts")
+
+
+def _dealt_events(spark, sf_dir):
+    """Purchases with a key that deals them out of time order."""
+    return _event_slices(spark, sf_dir).withColumn("deal", F.pmod("event_id", F.lit(97)))
+
+
+def _late_split(spark, sf_dir, name):
+    """Purchases in four micro-batches out of time order, cut at ``LATENESS`` behind the batches before."""
+    path = scratch_path(spark, name)
+    run_slices(_dealt_events(spark, sf_dir), scratch_path(spark, f"{name}-src"), N_FILES, "deal", _timed,
+               late.split_sink(path, "et", LATENESS), checkpoint_dir(spark, name), mode="append")
+    return path
+
+
+@register("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """The counted side output: every purchase more than ``LATENESS`` behind the batches before its own."""
+    rows = late.late_rows(spark, _late_split(spark, sf_dir, "late-rows"), PURCHASE)
+    return rows.select("event_id", F.col("batch").cast("int").alias("batch"))
+
+
+@register("stream_win_bounded")
+def stream_win_bounded(spark, sf_dir):
+    """Sliding windows over the purchases that came in time, with panes leaving the state behind the watermark."""
+    split, out, checkpoint = _late_split(spark, sf_dir, "late-win"), scratch_path(spark, "late-panes"), checkpoint_dir(spark, "late-panes")
+    late.run_panes(spark, split, f"{PURCHASE}, deal long, et timestamp, batch long", "et", SLIDE, ["user_id"], "value", LATENESS, out, checkpoint)
+    return _wall_clock(win.from_panes(late.all_panes(spark, "user_id long", out, checkpoint), WIN_30, SLIDE, ["user_id"]))
+
+
+def _closed_windows(spark, sf_dir, name, transform, schema):
+    """Run an append-mode query over purchases in four time slices and an end-of-stream row."""
+    e = _event_slices(spark, sf_dir).withColumn("at", F.unix_micros(to_instant("ts")))
+    end = spark.sql(f"SELECT *, unix_micros(cast(ts AS timestamp)) AS at FROM VALUES {END_OF_STREAM} AS t(event_id, user_id, value, ts)")
+    path = scratch_path(spark, name)
+    run_slices(e, scratch_path(spark, f"{name}-src"), N_FILES, "at",
+               lambda s: transform(_timed(s).withWatermark("et", "1 minute")), batch_dirs_sink(path), checkpoint_dir(spark, name),
+               mode="append", marker=end)
+    return _wall_clock(read_batches(spark, path, schema).drop("batch"))
+
+
+_WINDOW_ROW = "user_id long, window_start timestamp, window_end timestamp, sum double, cnt long, avg double"
+
+
+@register("stream_win_composed")
+def stream_win_composed(spark, sf_dir):
+    """Window over windowed results as one streaming query of three chained aggregates."""
+    return _closed_windows(spark, sf_dir, "swin-composed", lambda s: win.stream_composed(
+        s, "et", WIN_30, WIN_OUTER, SLIDE, ["user_id"], "value"), _WINDOW_ROW)
+
+
+@register("stream_join_sum_count")
+def stream_join_sum_count(spark, sf_dir):
+    """Windowed sums joined with windowed counts of the same stream."""
+    return _closed_windows(spark, sf_dir, "swin-join", lambda s: win.stream_sum_join_count(
+        s, s, "et", TUMBLE, ["user_id"], "value"), _WINDOW_ROW)

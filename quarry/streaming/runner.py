@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
@@ -36,10 +36,11 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: s
 
 
 def run_slices(df: DataFrame, path: str, n: int, key: str, transform: Callable[[DataFrame], DataFrame],
-               sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
+               sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str, marker: DataFrame | None = None) -> None:
     """Feed a stream one key slice at a time, each a micro-batch of its own whatever its number of
-    files: the query is run to the end of what is there, stopped, and resumed for the next slice."""
-    for part in key_slices(df, n, key):
+    files: the query is run to the end of what is there, stopped, and resumed for the next slice.
+    ``marker`` (rows far in the future, keys not null) comes last and closes the windows before it."""
+    for part in [*key_slices(df, n, key), *([] if marker is None else [marker])]:
         part.write.mode("append").parquet(path)
         run_available(transform(df.sparkSession.readStream.schema(df.schema).parquet(path)), sink, checkpoint, mode)
 
@@ -112,12 +113,38 @@ def read_batches(spark: SparkSession, path: str, schema: str, fmt: str = "parque
 
 
 def newest_per_key(df: DataFrame, keys: list[str], version: str = "batch") -> DataFrame:
-    """Current value per key from versioned rows (highest version wins)."""
+    """Current value per key from versioned rows (highest version wins), for outputs of queries whose
+    state has no table form; ``state_table`` needs no history."""
     vals = [c for c in df.columns if c not in keys and c != version]
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*vals), version).alias("_q_v"))
               .select(*keys, "_q_v.*"))
 
 
+def noop_sink(df: DataFrame, batch_id: int) -> None:
+    """Run the batch and write nothing: what counts is the state."""
+    df.write.format("noop").mode("overwrite").save()
+
+
+def state_table(spark: SparkSession, checkpoint: str, value: str, batch: int | None = None) -> DataFrame:
+    """The current state of a streaming aggregate as a table: its keys, and its buffers named and typed by
+    ``value`` (a field list, by position). One row per key, whatever the number of batches before;
+    ``batch`` asks for the state after that batch."""
+    r = spark.read.format("statestore")
+    if batch is not None:
+        r = r.option("batchId", batch)
+    return r.load(checkpoint).select("key.*", F.col("value").cast(f"struct<{value}>").alias("_q_v")).select("*", "_q_v.*").drop("_q_v")
+
+
+#: buffers of a sum over decimals and of one over doubles (``sum_parts``); the flag says that no value came
+def sum_buffers(scale: int = 10) -> str:
+    return f"exact decimal(38,{scale}), none boolean, rest double"
+
+
+def summed() -> Column:
+    """The sum behind ``sum_buffers``, as double (null if no value came)."""
+    return F.when(~F.col("none"), F.col("exact").cast("double") + F.col("rest"))
+
+
 def checkpoint_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"ckpt-{name}")
 

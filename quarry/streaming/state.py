@@ -2,9 +2,9 @@
 
 The reference's ``updateStateByKey`` keeps one value per key and re-emits every key each
 batch. Here the state lives in Spark's state store (a streaming aggregate, checkpointed with
-the query) and each batch emits only the keys it changed (update mode); the sink keeps them
-versioned by batch, and the current table is "newest version per key". That gives the same
-totals while the per-batch output stays proportional to the batch, not to all keys seen so far.
+the query), each batch emits only the keys it changed (update mode), and the current table is read
+from the state store itself, so neither depends on how many batches there were. Initial state comes
+in as rows of the first batch.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quarry.functions.text import exact_sum
+from quarry.functions.text import sum_parts
 from quarry.operators.text import explode_tokens
-from quarry.streaming.runner import batch_dirs_sink, newest_per_key, read_batches, run_available
+from quarry.session import path_exists
+from quarry.streaming.runner import noop_sink, run_available, state_table, sum_buffers, summed
 
 # the per-key functions below run in Python workers; ship them by value so the workers do not
 # need this package installed (a user's own state function follows the usual rule: its module
@@ -34,31 +35,50 @@ def running_word_totals(lines: DataFrame, col: str = "value") -> DataFrame:
     return explode_tokens(lines, col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def running_sums(df: DataFrame, keys: list[str], value: str, out: str = "total") -> DataFrame:
+def running_sums(df: DataFrame, keys: list[str], value: str, out: str = "total", scale: int = 10) -> DataFrame:
     """Cumulative exact sum per key."""
-    return df.groupBy(*keys).agg(exact_sum(value).alias(out))
+    exact, rest = sum_parts(value, scale)
+    return df.groupBy(*keys).agg((exact.cast("double") + rest).alias(out))
 
 
-def run_totals(spark: SparkSession, totals: DataFrame, keys: list[str], schema: str, path: str,
-               checkpoint: str, seed: DataFrame | None = None, value: str | None = None) -> DataFrame:
-    """Run a streaming aggregate to the end and return the current table.
+def with_seeds(stream: DataFrame, seed: DataFrame, path: str) -> DataFrame:
+    """``stream`` with the rows of ``seed`` (same columns) in its first micro-batch, as an
+    ``updateStateByKey`` with an initial RDD has them: they count once, their keys are in the state and
+    in the first output even if no input ever has them, and a restarted query does not read them again
+    (the file source's log is part of the checkpoint). ``path`` is a folder for the seed, the same at
+    every start."""
+    spark = stream.sparkSession
+    rows = seed.select(*(F.col(f.name).cast(f.dataType) for f in stream.schema))
+    if not path_exists(spark, path):
+        rows.write.parquet(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
 
-    ``seed`` (initial state, same columns) counts in every emitted batch, and its keys are there from
-    the start as version -1, also those that never receive input, as ``updateStateByKey`` with an
-    initial RDD does.
-    """
-    add_seed = None
-    if seed is not None:
-        kind = totals.schema[value].dataType
-        start = seed.select(*keys, F.col(value).cast(kind).alias(value))
-        start.write.mode("overwrite").parquet(f"{path}/batch=-1")
-
-        def add_seed(batch: DataFrame) -> DataFrame:
-            j = batch.join(start.withColumnRenamed(value, "_q_seed"), keys, "left")
-            return j.select(*keys, (F.col(value) + F.coalesce("_q_seed", F.lit(0))).cast(kind).alias(value))
-
-    run_available(totals, batch_dirs_sink(path, add_seed), checkpoint, mode="update")
-    return newest_per_key(read_batches(spark, path, schema), keys)
+
+def seeded_word_totals(lines: DataFrame, seed: DataFrame, path: str, col: str = "value") -> DataFrame:
+    """``running_word_totals`` that starts from ``seed`` (``word, count``)."""
+    words = explode_tokens(lines, col).select("word", F.lit(1).cast("long").alias("count"))
+    return with_seeds(words, seed, path).groupBy("word").agg(F.sum("count").alias("count"))
+
+
+def run_counts(spark: SparkSession, totals: DataFrame, checkpoint: str,
+               sink: Callable[[DataFrame, int], None] = noop_sink) -> DataFrame:
+    """Run a streaming count (or sum of longs) per key to the end; the current table, from the state.
+    ``sink`` gets the changed keys of every batch."""
+    run_available(totals, sink, checkpoint, mode="update")
+    value = totals.columns[-1]
+    return state_table(spark, checkpoint, f"`{value}` long")
+
+
+def run_sums(spark: SparkSession, sums: DataFrame, checkpoint: str, scale: int = 10,
+             sink: Callable[[DataFrame, int], None] = noop_sink) -> DataFrame:
+    """Run ``running_sums`` of a stream to the end; the current table, from the state."""
+    run_available(sums, sink, checkpoint, mode="update")
+    return current_sums(spark, sums.columns, checkpoint, scale)
+
+
+def current_sums(spark: SparkSession, columns: list[str], checkpoint: str, scale: int = 10, batch: int | None = None) -> DataFrame:
+    """The table of ``running_sums`` with these ``columns``, from its state."""
+    return state_table(spark, checkpoint, sum_buffers(scale), batch).select(*columns[:-1], summed().alias(columns[-1]))
 
 
 def combine_in_partitions(df: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame],

@@ -9,7 +9,8 @@ from quarry.operators import windows as win
 from quarry.session import scratch_path
 from quarry.sources import logtable as lg
 from quarry.streaming import state as st
-from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, newest_per_key, read_batches,
+from quarry.streaming.late import open_panes
+from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, newest_per_key, noop_sink, read_batches,
                                      run_available, to_instant)
 
 
@@ -21,32 +22,117 @@ def _add_file(spark, path, lines):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").parquet(path)
 
 
-def test_seeded_word_state(spark):
-    src = scratch_path(spark, "t-seed-src")
+def test_seeded_word_state_and_restart(spark):
+    src, path, ck = scratch_path(spark, "t-seed-src"), scratch_path(spark, "t-seed"), checkpoint_dir(spark, "t-seed")
+    out = scratch_path(spark, "t-seed-out")
     _add_file(spark, src, ["hello hello"])
     seed = spark.createDataFrame([("hello", 1), ("world", 1)], "word string, count long")
-    got = st.run_totals(spark, st.running_word_totals(_text_stream(spark, src)), ["word"], "word string, count long",
-                        scratch_path(spark, "t-seed"), checkpoint_dir(spark, "t-seed"), seed=seed, value="count")
-    assert {r.word: r["count"] for r in got.collect()} == {"hello": 3, "world": 1}
-    # the emitted batch itself holds the seeded value
-    sink = read_batches(spark, [p for p in got.inputFiles() if "batch=0" in p][0].rsplit("/batch=", 1)[0],
-                        "word string, count long")
-    assert [tuple(r) for r in sink.where("batch = 0").collect()] == [("hello", 3, 0)]
+
+    def run():
+        totals = st.seeded_word_totals(_text_stream(spark, src), seed, path)
+        got = st.run_counts(spark, totals, ck, batch_dirs_sink(out))
+        return {r.word: r["count"] for r in got.collect()}
+    assert run() == {"hello": 3, "world": 1}
+    # the first batch emits the seeds, input or not
+    first = read_batches(spark, out, "word string, count long").where("batch = 0")
+    assert {tuple(r) for r in first.collect()} == {("hello", 3, 0), ("world", 1, 0)}
+    _add_file(spark, src, ["world new"])
+    assert run() == {"hello": 3, "world": 2, "new": 1}          # a restart does not count the seeds again
 
 
 def test_restart_resumes_from_checkpoint(spark):
     files = [["a b", "b c"], ["c c"], ["a"], ["d d d"]]
-    src = scratch_path(spark, "t-restart-src")
-    out, ck = scratch_path(spark, "t-restart"), checkpoint_dir(spark, "t-restart")
+    src, ck = scratch_path(spark, "t-restart-src"), checkpoint_dir(spark, "t-restart")
     for f in files[:2]:
         _add_file(spark, src, f)
-    run_available(st.running_word_totals(_text_stream(spark, src)), batch_dirs_sink(out), ck, mode="update")
+    st.run_counts(spark, st.running_word_totals(_text_stream(spark, src)), ck)
     for f in files[2:]:
         _add_file(spark, src, f)
-    q = run_available(st.running_word_totals(_text_stream(spark, src)), batch_dirs_sink(out), ck, mode="update")
-    got = {r.word: r["count"] for r in newest_per_key(read_batches(spark, out, "word string, count long"), ["word"]).collect()}
-    assert got == {"a": 2, "b": 2, "c": 3, "d": 3}
-    assert q.lastProgress is None or q.lastProgress["batchId"] >= 2
+    got = st.run_counts(spark, st.running_word_totals(_text_stream(spark, src)), ck)
+    assert {r.word: r["count"] for r in got.collect()} == {"a": 2, "b": 2, "c": 3, "d": 3}
+
+
+def test_current_table_does_not_grow_with_batches(spark):
+    rows = {}
+    for n in (4, 40):
+        src, ck = scratch_path(spark, f"t-batches-{n}"), checkpoint_dir(spark, f"t-batches-{n}")
+        for i in range(n):
+            _add_file(spark, src, [f"k{i % 3} k3"])
+        got = st.run_counts(spark, st.running_word_totals(_text_stream(spark, src)), ck)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BatchScan" in plan and "Aggregate" not in plan and "parquet" not in plan.lower()
+        rows[n] = spark.read.format("statestore").load(ck).count()
+        assert {r.word: r["count"] for r in got.collect()}["k3"] == n
+    assert rows == {4: 4, 40: 4}
+
+
+def test_top_k_by_batch_when_scores_fall(spark):
+    import random
+    from quarry.streaming.topk import top_k_sink
+    rng, totals = random.Random(6), {}
+    src, path, ck = scratch_path(spark, "t-topk-src"), scratch_path(spark, "t-topk"), checkpoint_dir(spark, "t-topk")
+    sink = top_k_sink(path, "page", "pop", 3, lambda batch: st.current_sums(spark, ["page", "pop"], ck, 10, batch), buckets=4)
+    want = {}
+    for b in range(6):
+        batch = [(f"p{rng.randint(0, 79)}", float(rng.randint(-60, 40)) + (100 if b == 0 else 0)) for _ in range(120)]
+        if b == 2:                                     # every leader falls far
+            batch = [(p, -500.0) for p, _ in sorted(totals.items(), key=lambda x: -x[1])[:30]]
+        for p, v in batch:
+            totals[p] = totals.get(p, 0.0) + v
+        want[b] = [p for p, _ in sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:3]]
+        spark.createDataFrame(batch, "page string, v double").write.mode("append").parquet(src)
+        stream = spark.readStream.schema("page string, v double").parquet(src)
+        run_available(st.running_sums(stream, ["page"], "v", "pop"), sink, ck, mode="update")
+    got = read_batches(spark, f"{path}/top", "page string, pop double").collect()
+    for b, pages in want.items():
+        top = sorted((r for r in got if r.batch == b), key=lambda r: (-r.pop, r.page))
+        assert [r.page for r in top] == pages, b
+
+
+def test_late_rows_are_counted_and_state_is_bounded(spark):
+    import random
+    from quarry.streaming import late
+    rng = random.Random(1)
+    rows = [(i, i % 2, 1.0, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00") for i in range(600)]
+    swap = list(range(600))
+    for i in range(0, 600, 50):                        # shuffled inside of files; three rows come hours late
+        part = swap[i:i + 50]
+        rng.shuffle(part)
+        swap[i:i + 50] = part
+    moved = [3, 70, 111]
+    order = [i for i in swap if i not in moved] + moved
+    path, src, out = scratch_path(spark, "t-late"), scratch_path(spark, "t-late-src"), scratch_path(spark, "t-late-out")
+    ck, ck2 = checkpoint_dir(spark, "t-late"), checkpoint_dir(spark, "t-late2")
+    schema = "id long, user_id long, value double, et timestamp"
+    most = 0
+    for i in range(0, 600, 50):
+        part = spark.createDataFrame([rows[j] for j in order[i:i + 50]], "id long, user_id long, value double, ts string")
+        part.select("id", "user_id", "value", F.col("ts").cast("timestamp").alias("et")).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        run_available(stream, late.split_sink(path, "et", "1 hour"), ck)
+        late.run_panes(spark, path, f"{schema}, batch long", "et", "5 minutes", ["user_id"], "value", "1 hour", out, ck2)
+        most = max(most, late.open_panes(spark, ck2).count())
+    side = late.late_rows(spark, path, schema)
+    assert sorted(r.id for r in side.collect()) == moved
+    panes = late.all_panes(spark, "user_id long", out, ck2)
+    assert panes.agg(F.sum("cnt")).first()[0] + side.count() == 600
+    assert panes.count() == panes.select("user_id", "pane").distinct().count()
+    assert most < panes.count() / 2                    # two hours of panes of ten
+
+
+def test_stream_join_of_aggregates_with_a_hot_key(spark):
+    rows = [(7 if i % 3 else i % 50, float(i % 7), f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "user_id long, value double, ts string").withColumn("et", F.col("ts").cast("timestamp")).drop("ts")
+    end = spark.createDataFrame([(-1, 0.0, "2999-01-01 00:00:00")], "user_id long, value double, ts string") \
+        .withColumn("et", F.col("ts").cast("timestamp")).drop("ts")
+    src, out, ck = scratch_path(spark, "t-j1"), scratch_path(spark, "t-j1-out"), checkpoint_dir(spark, "t-j1")
+    for part in (df, end):
+        part.write.mode("append").parquet(src)
+        s = spark.readStream.schema(df.schema).parquet(src).withWatermark("et", "1 minute")
+        run_available(win.stream_sum_join_count(s, s, "et", "1 minute", ["user_id"], "value"), batch_dirs_sink(out), ck)
+    want = win.tumbling(df, "et", "1 minute", ["user_id"], "value")
+    got = spark.read.parquet(out).drop("batch")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
 
 
 def test_float_parse_score(spark):
@@ -65,12 +151,11 @@ def test_sliding_windows_stream_equals_batch(spark):
     for k in range(3):
         df.where((F.col("event_id") >= k * 20) & (F.col("event_id") < (k + 1) * 20)).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    timed = stream.withColumn("et", to_instant("ts")).withWatermark("et", "1 minute")
-    agg = win.sliding(timed, "et", "30 seconds", "5 seconds", ["user_id"], "value")
-    out = scratch_path(spark, "t-win")
-    run_available(agg, batch_dirs_sink(out), checkpoint_dir(spark, "t-win"), mode="update")
-    got = newest_per_key(read_batches(spark, out, "user_id long, window_start timestamp, window_end timestamp, "
-                                                   "sum double, cnt long, avg double"), ["user_id", "window_start"])
+    totals = win.pane_totals(stream.withColumn("et", to_instant("ts")), "et", "5 seconds", ["user_id"], "value")
+    ck = checkpoint_dir(spark, "t-win")
+    run_available(totals, noop_sink, ck, mode="update")
+    panes = open_panes(spark, ck).withColumn("pane", F.col("window.start"))
+    got = win.from_panes(panes, "30 seconds", "5 seconds", ["user_id"])
     want = win.sliding(df, "ts", "30 seconds", "5 seconds", ["user_id"], "value")
     g = {(r.user_id, r.window_start.replace(tzinfo=None) if r.window_start.tzinfo else r.window_start): (r.sum, r.cnt)
          for r in got.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "sum", "cnt").collect()}

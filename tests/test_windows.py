@@ -63,3 +63,28 @@ def test_stream_time_conversion_ignores_session_zone(spark):
         assert out["UTC"][0][0] == T0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_panes_make_the_windows_of_every_row_expansion(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice("aaaab"), rng.choice([0, 40, 41, 200]) + rng.randint(0, 300), rng.choice([None, 0.1, 2.0])) for _ in range(400)]
+    df = _events(spark, rows)
+    want = {}
+    for u, s, v in rows:
+        for k in range(6):
+            w = (s // 5 - k) * 5
+            t, n = want.get((u, w), (None, 0))
+            want[u, w] = (t if v is None else round((t or 0) + v, 6), n + 1)
+    for chunk in (6, 8, 4096):                          # chunk borders inside of windows
+        got = win.from_panes(win.panes(df, "ts", "5 seconds", ["user"], "value"), "30 seconds", "5 seconds", ["user"], chunk)
+        assert {(r.user, int((r.window_start - T0).total_seconds())): (r.sum if r.sum is None else round(r.sum, 6), r.cnt)
+                for r in got.collect()} == want
+        assert got.count() == len(want)
+
+
+def test_rows_are_aggregated_once_before_windows_are_made(spark):
+    df = _events(spark, [("a", i, 1.0) for i in range(10)])
+    plan = win.sliding(df, "ts", "60 seconds", "5 seconds", ["user"], "value")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate"):]
+    assert "Expand" not in plan and "Generate" not in below

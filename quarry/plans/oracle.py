@@ -255,31 +255,34 @@ SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
        CAST(user_id AS VARCHAR) AS key,
        CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS value
 FROM events"""
-_BOUNDS = (f"SELECT topic, partition, min(\"offset\") AS earliest, max(\"offset\") + 1 AS latest "
-           f"FROM ({_LOG}) GROUP BY topic, partition")
-_CLAMP = f"""
-SELECT topic, partition, committed, earliest, latest,
-       CASE WHEN committed IS NULL THEN earliest
-            WHEN committed >= earliest AND committed <= latest THEN committed
-            ELSE earliest END AS start
-FROM (SELECT topic, partition, earliest, latest,
-             CAST(CASE WHEN partition = 0 THEN floor((earliest + latest) / 2)
-                       WHEN partition = 1 THEN latest + 5 END AS BIGINT) AS committed
-      FROM ({_BOUNDS}))"""
+# the older half of the events by id; what a stream committed of it; and the log when the stream comes back
+_HALF = """
+h AS (SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, event_id, CAST(user_id AS VARCHAR) AS key,
+    CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS value,
+    event_id <= (SELECT (min(event_id) + max(event_id)) / 2 FROM events) AS old FROM events)"""
+_RESUME = f"""{_HALF},
+com AS (SELECT topic, partition, count(*) AS committed FROM h WHERE old AND partition < 2 GROUP BY 1, 2),
+now AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS "offset"
+  FROM h WHERE partition <> 1 OR NOT old),
+bnd AS (SELECT topic, partition, min("offset") AS earliest, max("offset") + 1 AS latest FROM now GROUP BY 1, 2),
+clamped AS (SELECT topic, partition, committed, earliest, latest, CASE WHEN committed IS NULL THEN earliest
+    WHEN committed >= earliest AND committed <= latest THEN committed ELSE earliest END AS start
+  FROM bnd LEFT JOIN com USING (topic, partition))"""
 SQL["log_stream_values"] = f"SELECT topic, partition, \"offset\", value FROM ({_LOG})"
-SQL["log_stream_kv"] = f"SELECT key, value FROM ({_LOG})"
-SQL["offset_clamp"] = _CLAMP
-SQL["log_resume"] = f"""
-SELECT l.topic, l.partition, l."offset", l.key, l.value
-FROM ({_LOG}) l JOIN ({_CLAMP}) c ON l.topic = c.topic AND l.partition = c.partition
-WHERE l."offset" >= c.start"""
+SQL["log_stream_kv"] = f"WITH {_HALF} SELECT key, value FROM h WHERE NOT old"
+SQL["offset_clamp"] = f"WITH {_RESUME} SELECT * FROM clamped"
+SQL["log_resume"] = f"""WITH {_RESUME}
+SELECT topic, partition, "offset", key, value FROM now JOIN clamped USING (topic, partition) WHERE "offset" >= start"""
 SQL["offset_commit"] = f"SELECT topic, partition, max(\"offset\") + 1 AS next_offset FROM ({_LOG}) GROUP BY topic, partition"
 SQL["log_sink"] = """
-SELECT 'purchase_out' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, CAST(user_id AS VARCHAR) AS key,
-       CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS value,
-       true AS dense
-FROM events WHERE event_type = 'purchase'"""
-SQL["record_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+WITH p AS (SELECT *, CAST(json_object('event_id', event_id, 'user_id', user_id, 'value', value) AS VARCHAR) AS json
+  FROM events WHERE event_type = 'purchase')
+SELECT 'purchase_out' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+       row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS "offset", CAST(user_id AS VARCHAR) AS key, json AS value FROM p
+UNION ALL SELECT 'output', CAST(event_id % 3 AS INTEGER), row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) - 1, NULL, json FROM p"""
+SQL["record_roundtrip"] = """
+SELECT c_custkey, c_name, c_nationkey, n + b AS n_read, b AS n_bad
+FROM customer, (SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey % 10 = 0) AS b FROM customer)"""
 SQL["dir_stream_filtered"] = f"""
 SELECT token, count(*) AS count FROM (
   SELECT unnest({_tokens("line", ",")}) AS token

@@ -14,6 +14,7 @@ from quarry.plans.relational_queries import POPULARITY_WEIGHTS
 from quarry.plans.window_graph_queries import SLIDE, TUMBLE, WIN_30, WIN_60, WIN_OUTER
 from quarry.session import scratch_path
 from quarry.sinks.files import pair_lines
+from quarry.sources import logstream as ls
 from quarry.sources import logtable as lg
 from quarry.sources.tables import read_table
 from quarry.streaming import late
@@ -182,37 +183,64 @@ def log_stream_values(spark, sf_dir):
     return read_batches(spark, out, "topic string, partition int, offset long, value string").drop("batch")
 
 
+def _halves(spark, sf_dir):
+    """Events, and whether an event is of the older half by id."""
+    e = read_table(spark, sf_dir, "events")
+    lo, hi = e.agg(F.min("event_id"), F.max("event_id")).first()
+    return e.withColumn("old", F.col("event_id") <= (lo + hi) / 2)
+
+
+def _append_events(spark, path, events):
+    recs = events.select(F.col("event_type").alias("topic"), (F.col("user_id") % N_LOG_PARTITIONS).alias("partition"),
+                         F.col("user_id").cast("string").alias("key"), lg.encode(events, ["event_id", "user_id", "value"]).alias("value"),
+                         F.col("ts").alias("timestamp"), "event_id")
+    lg.append_records(spark, path, recs, "event_id")
+
+
 @register("log_stream_kv")
 def log_stream_kv(spark, sf_dir):
-    path = _log_path(spark, sf_dir)
-    out = scratch_path(spark, "log-kv")
-    run_available(lg.stream_log(spark, path, max_files=4),
-                  batch_dirs_sink(out, lambda b: b.select("key", F.col("value").cast("string").alias("value"))),
-                  checkpoint_dir(spark, "log-kv"))
+    """A direct stream that starts at the latest offsets: records appended before its first start are not read."""
+    e = _halves(spark, sf_dir)
+    path, out, checkpoint = scratch_path(spark, "log-kv"), scratch_path(spark, "log-kv-out"), checkpoint_dir(spark, "log-kv")
+    sink = batch_dirs_sink(out, lambda b: b.select("key", F.col("value").cast("string").alias("value")))
+    for half in (e.where("old"), e.where("NOT old")):
+        _append_events(spark, path, half)
+        run_available(ls.log_stream(spark, path, "latest"), sink, checkpoint)
     return read_batches(spark, out, "key string, value string").drop("batch")
 
 
-def _commits_for(log):
-    """Stored commits derived from the log: partition 0 halfway, partition 1 beyond the end
-    (must fall back to earliest), partition 2 never committed."""
-    b = lg.bounds(log)
-    committed = F.when(F.col("partition") == 0, F.floor((F.col("earliest") + F.col("latest")) / 2)) \
-                 .when(F.col("partition") == 1, F.col("latest") + 5)
-    return b.where(F.col("partition") != 2).select("topic", "partition", committed.cast("long").alias("committed"))
+def _resume_state(spark, sf_dir):
+    """Commits that a stream stored, and the log as it is when it comes back.
+
+    The stream read the older half of partitions 0 and 1. Since then partition 0 has grown, partition 1
+    was made anew with the younger half only (its commit may lie beyond its end), and partition 2 is new.
+    """
+    e = _halves(spark, sf_dir)
+    part = F.col("user_id") % N_LOG_PARTITIONS
+    before, path, out = scratch_path(spark, "log-then"), scratch_path(spark, "log-now"), scratch_path(spark, "log-commits")
+    _append_events(spark, before, e.where(F.col("old") & (part < 2)))
+    run_available(ls.log_stream(spark, before), batch_dirs_sink(out, lg.commits), checkpoint_dir(spark, "log-then"))
+    _append_events(spark, path, e.where(F.col("old") & (part != 1)))
+    _append_events(spark, path, e.where(~F.col("old")))
+    committed = lg.current_commits(read_batches(spark, out, "topic string, partition int, next_offset long"))
+    return committed.withColumnRenamed("next_offset", "committed"), path
 
 
 @register("offset_clamp")
 def offset_clamp(spark, sf_dir):
-    log = lg.read_log(spark, _log_path(spark, sf_dir))
-    return lg.clamp(_commits_for(log), lg.bounds(log))
+    committed, path = _resume_state(spark, sf_dir)
+    return lg.clamp(committed, lg.log_bounds(spark, path))
 
 
 @register("log_resume")
 def log_resume(spark, sf_dir):
-    log = lg.read_log(spark, _log_path(spark, sf_dir))
-    starts = lg.clamp(_commits_for(log), lg.bounds(log))
-    return lg.resume(log, starts).select("topic", "partition", "offset", "key",
-                                         F.col("value").cast("string").alias("value"))
+    """The stream comes back at the clamped commits."""
+    committed, path = _resume_state(spark, sf_dir)
+    starts = ls.starting_offsets(lg.clamp(committed, lg.log_bounds(spark, path)))
+    out = scratch_path(spark, "log-resumed")
+    run_available(ls.log_stream(spark, path, starts), batch_dirs_sink(out, lambda b: b.select(
+        "topic", "partition", "offset", "key", F.col("value").cast("string").alias("value"))), checkpoint_dir(spark, "log-resumed"))
+    return read_batches(spark, out, "topic string, partition int, offset long, key string, value string").drop("batch")
 
 
 @register("offset_commit")
@@ -225,37 +253,39 @@ def offset_commit(spark, sf_dir):
 
 @register("log_sink")
 def log_sink(spark, sf_dir):
-    """Purchases streamed into topic ``purchase_out`` batch by batch, offsets continuing."""
-    src = _staged_purchases(spark, sf_dir)
+    """Purchases streamed into topic ``purchase_out`` by key, and without keys into ``output``, batch by batch."""
     path = scratch_path(spark, "log-out")
 
     def sink(b, batch_id):
-        recs = b.select(F.lit("purchase_out").alias("topic"), (F.col("user_id") % N_LOG_PARTITIONS).alias("partition"),
-                        F.col("user_id").cast("string").alias("key"),
-                        lg.encode(b, ["event_id", "user_id", "value"]).alias("value"),
-                        F.col("ts").alias("timestamp"), "event_id")
-        lg.append_records(spark, path, recs, "event_id", "purchases", batch_id)
+        value = lg.encode(b, ["event_id", "user_id", "value"]).alias("value")
+        keyed = b.select(F.lit("purchase_out").alias("topic"), (F.col("user_id") % N_LOG_PARTITIONS).alias("partition"),
+                         F.col("user_id").cast("string").alias("key"), value, F.col("ts").alias("timestamp"), "event_id")
+        # a record without a key goes to any partition; the event's number deals them evenly
+        bare = b.select(F.lit("output").alias("topic"), (F.col("event_id") % N_LOG_PARTITIONS).alias("partition"),
+                        F.lit(None).cast("string").alias("key"), value, F.col("ts").alias("timestamp"), "event_id")
+        lg.append_records(spark, path, keyed.union(bare), "event_id", "purchases", batch_id)
 
-    run_available(_purchase_stream(spark, src), sink, checkpoint_dir(spark, "log-out"))
-    log = lg.read_log(spark, path)
-    dense = log.groupBy("topic", "partition").agg(
-        ((F.min("offset") == 0) & (F.max("offset") == F.count(F.lit(1)) - 1)
-         & (F.countDistinct("offset") == F.count(F.lit(1)))).alias("dense"))
-    return log.join(dense, ["topic", "partition"]).select(
-        "topic", "partition", "key", F.col("value").cast("string").alias("value"), "dense")
+    run_slices(_event_slices(spark, sf_dir), scratch_path(spark, "log-out-src"), N_FILES, "event_id", lambda s: s, sink,
+               checkpoint_dir(spark, "log-out"), mode="append")
+    return lg.read_log(spark, path).select("topic", "partition", "offset", "key", F.col("value").cast("string").alias("value"))
 
 
 @register("record_roundtrip")
 def record_roundtrip(spark, sf_dir):
+    """Records through a log whose every tenth customer also left a broken one; counted, not decoded."""
     c = read_table(spark, sf_dir, "customer")
     recs = c.select(F.lit("people").alias("topic"), F.lit(0).alias("partition"),
                     F.col("c_custkey").cast("string").alias("key"),
                     lg.encode(c, ["c_custkey", "c_name", "c_nationkey"]).alias("value"),
-                    F.lit(None).cast("timestamp_ntz").alias("timestamp"), "c_custkey")
-    path = scratch_path(spark, "records")
-    lg.append_records(spark, path, recs, "c_custkey")
-    d = lg.read_log(spark, path).select(lg.decode(F.col("value"), "c_custkey long, c_name string, c_nationkey int").alias("r"))
-    return d.where(F.col("r.c_custkey").isNotNull()).select("r.*")
+                    F.lit(None).cast("timestamp_ntz").alias("timestamp"), (F.col("c_custkey") * 2).alias("at"))
+    torn = recs.where(F.col("at") % 20 == 0).withColumn("value", F.expr("substring(value, 1, 9)")).withColumn("at", F.col("at") + 1)
+    path, out = scratch_path(spark, "records"), scratch_path(spark, "records-out")
+    lg.append_records(spark, path, recs.union(torn), "at")
+    run_available(ls.log_stream(spark, path), lg.decode_sink(out, "c_custkey long, c_name string, c_nationkey int", "c_custkey"),
+                  checkpoint_dir(spark, "records"))
+    good = read_batches(spark, f"{out}/records", "c_custkey long, c_name string, c_nationkey int").drop("batch")
+    n, bad = read_batches(spark, f"{out}/counts", "n long, bad long").agg(F.sum("n"), F.sum("bad")).first()
+    return good.withColumns({"n_read": F.lit(n).cast("long"), "n_bad": F.lit(bad).cast("long")})
 
 
 @register("dir_stream_filtered")

@@ -1,13 +1,18 @@
-"""Cell tables: ``(row_key, family, qualifier, value, version)``, a sparse wide-row store kept
-as Parquet. A put appends cells; reads resolve the newest version of each cell. Files are
-range-partitioned and sorted by key so a row-range scan skips row groups by min/max."""
+"""Cell tables: ``(row_key, family, qualifier, value, version, put)``, a sparse wide-row store kept
+as a bucketed, sorted Parquet table. A put appends cells under its own number; reads resolve the newest
+version of each cell, and of equal versions the one put later. All cells of a row are in one bucket, so
+neither that nor the pivot to rows shuffles. Files are sorted by key, so a row-range scan skips row
+groups by min/max in every bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CELL_COLS = ["row_key", "family", "qualifier", "value", "version"]
+CELL_COLS = ["row_key", "family", "qualifier", "value", "version", "put"]
+BUCKETS = 32
 
 
 def to_cells(df: DataFrame, row_key: Column, family: str, columns: dict[str, Column], version: int = 0) -> DataFrame:
@@ -18,24 +23,52 @@ def to_cells(df: DataFrame, row_key: Column, family: str, columns: dict[str, Col
                       F.lit(version).cast("long").alias("version")))
 
 
-def put(cells: DataFrame, path: str, num_partitions: int | None = None) -> str:
-    """Append cells to the store at ``path``, range-partitioned and sorted by cell key."""
-    keys = ["row_key", "family", "qualifier"]
-    parted = cells.repartitionByRange(num_partitions, *keys) if num_partitions else cells.repartitionByRange(*keys)
-    parted.sortWithinPartitions(*keys).select(*CELL_COLS).write.mode("append").parquet(path)
+def _table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The store at ``path`` as a table of this session's catalog."""
+    name = "cells_" + hashlib.md5(path.encode()).hexdigest()[:16]
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} (row_key STRING, family STRING, qualifier STRING, value STRING, version BIGINT,
+        put BIGINT) USING parquet CLUSTERED BY (row_key) SORTED BY (row_key, family, qualifier) INTO {buckets} BUCKETS
+        LOCATION '{path}/cells'""")
+    return name
+
+
+def _puts(spark: SparkSession, path: str):
+    """File system and folder of the put numbers taken so far, and the next one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/puts")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    return fs, folder, 1 + max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0)
+
+
+def put(cells: DataFrame, path: str, buckets: int = BUCKETS) -> str:
+    """Append cells to the store at ``path`` as one put, later than all before it. Every bucket gets one
+    sorted file. ``buckets`` holds for the store's first put (and for every session that opens it)."""
+    spark = cells.sparkSession
+    name = _table(spark, path, buckets)
+    fs, folder, number = _puts(spark, path)
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, str(number)))
+    rows = cells.withColumn("put", F.lit(number).cast("long")).select(*CELL_COLS)
+    rows.repartition(buckets, "row_key").sortWithinPartitions("row_key", "family", "qualifier").write.insertInto(name)
     return path
 
 
+def stored(spark: SparkSession, path: str, buckets: int = BUCKETS) -> DataFrame:
+    """All cells of the store as they were put."""
+    name = _table(spark, path, buckets)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def current(cells: DataFrame) -> DataFrame:
-    """Newest value of each cell (highest version wins). ``max_by`` is a partial aggregate, so
-    a cell rewritten many times is reduced in the map tasks before the shuffle."""
+    """Newest value of each cell: highest version, then latest put. Over a store no row moves; ``max_by`` is
+    also a partial aggregate, so elsewhere a cell rewritten many times is reduced before a shuffle."""
     return (cells.groupBy("row_key", "family", "qualifier")
-                 .agg(F.max_by(F.struct("value", "version"), "version").alias("c"))
+                 .agg(F.max_by(F.struct("value", "version"), F.struct("version", "put")).alias("c"))
                  .select("row_key", "family", "qualifier", "c.value", "c.version"))
 
 
-def scan(spark, path: str) -> DataFrame:
-    return current(spark.read.parquet(path))
+def scan(spark: SparkSession, path: str, buckets: int = BUCKETS) -> DataFrame:
+    return current(stored(spark, path, buckets))
 
 
 def range_scan(cells: DataFrame, start: str, stop: str, family: str | None = None,
@@ -57,8 +90,9 @@ def filter_scan(cells: DataFrame, family: str, key_contains: str, qualifier_cont
 
 
 def to_rows(cells: DataFrame, family: str, columns: dict[str, str]) -> DataFrame:
-    """Pivot cells of ``family`` back into one row per key with typed columns; the qualifier
-    list is given, so the pivot needs no extra pass to find it."""
-    wide = (cells.where(F.col("family") == family)
-                 .groupBy("row_key").pivot("qualifier", list(columns)).agg(F.first("value")))
-    return wide.select("row_key", *[F.col(q).cast(t).alias(q) for q, t in columns.items()])
+    """One row per key with the newest value of each named qualifier of ``family``, typed. ``cells`` are
+    stored cells (or current ones): newest and pivot are one aggregate, over a store without a shuffle."""
+    order = F.struct("version", "put") if "put" in cells.columns else F.col("version")
+    newest = [F.max_by(F.when(F.col("qualifier") == q, F.col("value")), F.when(F.col("qualifier") == q, order)).cast(t).alias(q)
+              for q, t in columns.items()]
+    return cells.where((F.col("family") == family) & F.col("qualifier").isin(list(columns))).groupBy("row_key").agg(*newest)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.common import materialize
+
 
 def map_docs(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """One JSON document per row from a string map of ``fields``: ``doc``."""
@@ -18,11 +20,6 @@ def map_docs(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return df.select(F.to_json(F.create_map(*kv)).alias("doc"))
 
 
-def struct_docs(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """One JSON document per row from typed ``fields``: ``doc``."""
-    return df.select(F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()])).alias("doc"))
-
-
 def parse_docs(df: DataFrame, col: str, schema: str, keep: list[str] | None = None,
                bad_col: str = "bad_doc") -> DataFrame:
     """Parse JSON strings with ``schema`` (a DDL string). Malformed documents are kept apart:
@@ -41,13 +38,27 @@ def write_docs(docs: DataFrame, path: str, route: str | None = None, mode: str =
     return path
 
 
-def newest(docs: DataFrame, id_col: str, version_col: str = "version") -> DataFrame:
-    """Same id replaces: keep the highest version per id (partial aggregate, no window)."""
-    cols = [c for c in docs.columns if c != id_col]
-    return (docs.groupBy(id_col).agg(F.max_by(F.struct(*cols), version_col).alias("d"))
+def write_parsed(parsed: DataFrame, path: str, bad_col: str = "bad_doc") -> str:
+    """Write ``parse_docs``' rows as JSON lines: documents to ``path/docs``, the raw text of malformed ones
+    (with the kept columns) to ``path/bad``. The input is evaluated once."""
+    fields = [c for c in parsed.columns if c != bad_col]
+    rows = materialize(parsed)
+    rows.where(F.col(bad_col).isNull()).select(*fields).write.mode("overwrite").json(f"{path}/docs")
+    rows.where(F.col(bad_col).isNotNull()).write.mode("overwrite").json(f"{path}/bad")
+    return path
+
+
+def newest(docs: DataFrame, id_col: str, version_col: str = "version", later: str | None = None) -> DataFrame:
+    """Same id replaces: keep the highest version per id (partial aggregate, no window). Of equal versions
+    the one with the higher ``later`` wins, and without such a column the one whose fields hash higher:
+    the same one in every run."""
+    cols = [c for c in docs.columns if c not in (id_col, later)]
+    tie = F.col(later) if later else F.xxhash64(F.to_json(F.struct(*cols)))
+    return (docs.groupBy(id_col).agg(F.max_by(F.struct(*cols), F.struct(F.col(version_col), tie.alias("tie"))).alias("d"))
                 .select(id_col, "d.*"))
 
 
 def upsert(existing: DataFrame, new: DataFrame, id_col: str, version_col: str = "version") -> DataFrame:
-    """Existing documents with ``new`` written over them by id."""
-    return newest(existing.unionByName(new), id_col, version_col)
+    """Existing documents with ``new`` written over them by id; at equal versions the new one wins."""
+    both = existing.withColumn("_q_new", F.lit(0)).unionByName(new.withColumn("_q_new", F.lit(1)))
+    return newest(both, id_col, version_col, "_q_new")

@@ -1,10 +1,10 @@
-"""Id sets as bucketed bitmaps and as distinct id columns.
+"""Id sets as 64-bit words, packed containers and distinct id columns.
 
-A set of non-negative integer ids is stored as ``(bucket, bm)`` rows: ``bucket`` from
-``bitmap_bucket_number`` and ``bm`` a 4 KiB bitmap of the 32,768 positions in that bucket
-(``bitmap_construct_agg``). Building is a partial + final aggregate per bucket, so duplicates
-(even a third of all rows on one id) collapse in the map tasks. Set algebra works bucket by
-bucket; order statistics (rank, select) use bounded key-range buckets and prefix sums.
+A set of integer ids is worked on as ``(word, bits)`` rows: 64 consecutive ids a row, made by a partial
+and final hash aggregate, so duplicates (even a third of all rows on one id) collapse in the map tasks
+and a lone id takes one small row. Set algebra works word by word. ``pack`` turns a set into containers of
+32,768 ids for storage: a sorted array of two-byte positions where a bucket holds few ids, a bitmap of
+4 KiB where it holds many. Order statistics (rank, select) use bounded key-range buckets and prefix sums.
 """
 
 from __future__ import annotations
@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from quarry.operators.common import bucket_bases, dense_positions, levels_for, materialize
 
 
+WORD_BITS, BUCKET_WORDS = 6, 512         # 64 ids a word, 512 words a bucket
+MOST_POSITIONS = 2048                    # from here on a bitmap is no larger than the positions
+
+
 def to_bitmaps(df: DataFrame, col: str) -> DataFrame:
-    """``(bucket, bm)`` for the distinct values of ``col`` (nulls ignored)."""
-    v = F.col(col)
-    return (df.where(v.isNotNull())
-              .groupBy(F.bitmap_bucket_number(v).alias("bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bm")))
+    """``(word, bits)`` for the distinct values of ``col`` (nulls ignored). Id 1 is bit 0 of word 0, so that
+    512 words are a bucket of Spark's bitmap functions."""
+    at = F.col(col).cast("long") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    return (df.where(F.col(col).isNotNull())
+              .groupBy(F.shiftright(at, WORD_BITS).alias("word"))
+              .agg(F.bit_or(bit).alias("bits")))
 
 
 def add_range(bitmaps: DataFrame, spark, start: int, end_inclusive: int) -> DataFrame:
@@ -31,35 +37,58 @@ def add_range(bitmaps: DataFrame, spark, start: int, end_inclusive: int) -> Data
 
 def cardinality(bitmaps: DataFrame) -> DataFrame:
     """One row: number of members."""
-    return bitmaps.agg(F.coalesce(F.sum(F.bitmap_count("bm")), F.lit(0)).cast("long").alias("cardinality"))
+    return bitmaps.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("long").alias("cardinality"))
 
 
 def bucket_cardinality(bitmaps: DataFrame) -> DataFrame:
-    return bitmaps.select("bucket", F.bitmap_count("bm").alias("cardinality"))
+    """Members per bucket of 32,768 ids (bucket 1 holds 1 to 32,768)."""
+    return bitmaps.groupBy((F.shiftright("word", 9) + 1).alias("bucket")).agg(
+        F.sum(F.bit_count("bits")).cast("long").alias("cardinality"))
 
 
 def bitmap_or(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union: OR of the bitmaps of each bucket."""
-    return a.select("bucket", "bm").union(b.select("bucket", "bm")) \
-            .groupBy("bucket").agg(F.bitmap_or_agg("bm").alias("bm"))
+    """Union: OR of the words."""
+    return a.select("word", "bits").union(b.select("word", "bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
 
 
 def bitmap_and(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Intersection: AND per bucket; a bucket present on one side only drops out."""
-    tagged = a.select("bucket", "bm", F.lit(1).alias("side")) \
-              .union(b.select("bucket", "bm", F.lit(2).alias("side")))
-    g = tagged.groupBy("bucket").agg(F.bitmap_and_agg("bm").alias("bm"),
-                                     F.count_distinct("side").alias("_q_sides"))
-    return g.where((F.col("_q_sides") == 2) & (F.bitmap_count("bm") > 0)).select("bucket", "bm")
+    """Intersection: AND per word; a word present on one side only drops out."""
+    tagged = a.select("word", "bits", F.lit(1).alias("side")).union(b.select("word", "bits", F.lit(2).alias("side")))
+    g = tagged.groupBy("word").agg(F.bit_and("bits").alias("bits"), F.min("side").alias("lo"), F.max("side").alias("hi"))
+    return g.where((F.col("lo") != F.col("hi")) & (F.col("bits") != 0)).select("word", "bits")
 
 
 def sets_equal(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row ``equal``: true when no bucket differs (compares the bucket bitmaps)."""
-    j = a.select("bucket", F.col("bm").alias("a")).join(b.select("bucket", F.col("bm").alias("b")),
-                                                        on="bucket", how="full_outer")
-    diff = (F.col("a").isNull() & (F.bitmap_count("b") > 0)) | (F.col("b").isNull() & (F.bitmap_count("a") > 0)) \
-        | (F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    return j.agg((F.coalesce(F.sum(diff.cast("long")), F.lit(0)) == 0).alias("equal"))
+    """One row ``equal``: true when no word differs (the two sides cancel out)."""
+    both = a.select("word", "bits").union(b.select("word", "bits"))
+    left = both.groupBy("word").agg(F.bit_xor("bits").alias("bits")).where(F.col("bits") != 0)
+    return left.limit(1).agg((F.count(F.lit(1)) == 0).alias("equal"))
+
+
+def pack(bitmaps: DataFrame) -> DataFrame:
+    """``(bucket, positions, words)``: one container per bucket, sorted two-byte ``positions`` for up to
+    ``MOST_POSITIONS`` ids, else all 512 ``words``; the other column is null."""
+    inner = F.struct(F.pmod("word", F.lit(BUCKET_WORDS)).cast("int").alias("w"), "bits")
+    g = bitmaps.groupBy((F.shiftright("word", 9) + 1).alias("bucket")).agg(
+        F.sum(F.bit_count("bits")).alias("n"), F.sort_array(F.collect_list(inner)).alias("ws"))     # at most 512 words
+    positions = F.expr("flatten(transform(ws, x -> transform(filter(sequence(0, 63), i -> (shiftright(x.bits, i) & 1) = 1), "
+                       "i -> cast(x.w * 64 + i as smallint))))")
+    words = F.expr("transform(sequence(0, 511), w -> coalesce(get(filter(ws, x -> x.w = w), 0).bits, 0L))")
+    few = F.col("n") <= MOST_POSITIONS
+    return g.select("bucket", F.when(few, positions).alias("positions"), F.when(~few, words).alias("words"))
+
+
+def unpack(containers: DataFrame) -> DataFrame:
+    """``(word, bits)`` again; containers of one bucket (of several packed sets) are merged by OR. Other
+    columns, such as the name of a set, keep sets apart."""
+    others = [c for c in containers.columns if c not in ("bucket", "positions", "words")]
+    base = ((F.col("bucket") - 1) * BUCKET_WORDS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63).cast("int"))
+    few = containers.where("positions IS NOT NULL").select(*others, "bucket", F.explode("positions").alias("p")) \
+        .select(*others, (base + F.shiftright("p", WORD_BITS)).alias("word"), bit.alias("bits"))
+    many = containers.where("words IS NOT NULL").select(*others, "bucket", F.posexplode("words").alias("w", "bits")) \
+        .where("bits != 0").select(*others, (base + F.col("w")).alias("word"), "bits")
+    return few.union(many).groupBy(*others, "word").agg(F.bit_or("bits").alias("bits"))
 
 
 def contains(members: DataFrame, col: str, probes: DataFrame, probe_col: str) -> DataFrame:

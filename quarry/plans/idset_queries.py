@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import idset as ids
+from quarry.operators.common import materialize
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources.tables import read_table
@@ -54,7 +55,7 @@ def id_select(spark, sf_dir):
 
 @register("id_set_equal")
 def id_set_equal(spark, sf_dir):
-    items = ids.to_bitmaps(_items(spark, sf_dir), "id")
+    items = materialize(ids.to_bitmaps(_items(spark, sf_dir), "id"))
     orders = _orders(spark, sf_dir)
     all_orders = ids.to_bitmaps(orders, "id")
     with_items = ids.to_bitmaps(orders.join(_items(spark, sf_dir).distinct(), "id", "left_semi"), "id")
@@ -65,10 +66,9 @@ def id_set_equal(spark, sf_dir):
 
 @register("bitmap_roundtrip")
 def bitmap_roundtrip(spark, sf_dir):
-    a = ids.to_bitmaps(_items(spark, sf_dir), "id").withColumn("set_name", F.lit("items"))
-    b = ids.to_bitmaps(_orders(spark, sf_dir), "id").withColumn("set_name", F.lit("orders"))
+    a = ids.pack(ids.to_bitmaps(_items(spark, sf_dir), "id")).withColumn("set_name", F.lit("items"))
+    b = ids.pack(ids.to_bitmaps(_orders(spark, sf_dir), "id")).withColumn("set_name", F.lit("orders"))
     path = scratch_path(spark, "bitmaps")
     a.union(b).write.mode("overwrite").parquet(path)
-    back = spark.read.parquet(path)
-    merged = back.groupBy("set_name", "bucket").agg(F.bitmap_or_agg("bm").alias("bm"))
-    return merged.groupBy("set_name").agg(F.sum(F.bitmap_count("bm")).cast("long").alias("cardinality"))
+    words = ids.unpack(spark.read.parquet(path))
+    return words.groupBy("set_name").agg(F.sum(F.bit_count("bits")).cast("long").alias("cardinality"))

@@ -181,12 +181,12 @@ FROM (SELECT DISTINCT word FROM t WHERE length(word) > 0) w JOIN lc ON lower(w.w
 
 # --- cells -----------------------------------------------------------------------------------
 _CUST_CELLS = """
-SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 1 AS version
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 1 AS put
 FROM customer, LATERAL (VALUES ('name', c_name),
                                ('acctbal', CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR)),
                                ('segment', c_mktsegment)) q(qualifier, value)"""
 _SUPP_CELLS = """
-SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 2 AS version
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS row_key, 'cf' AS family, q.qualifier, q.value, 2 AS put
 FROM supplier, LATERAL (VALUES ('name', s_name),
                                ('acctbal', CAST(CAST(CAST(s_acctbal AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR))) q(qualifier, value)"""
 SQL["cells_full_scan"] = """
@@ -201,15 +201,16 @@ SQL["cells_filter_scan"] = f"""
 SELECT row_key, family, qualifier, value FROM ({_CUST_CELLS})
 WHERE family = 'cf' AND contains(row_key, '7') AND contains(qualifier, 'a')"""
 SQL["cells_put"] = f"""
-SELECT row_key, family, qualifier, arg_max(value, version) AS value
+SELECT row_key, family, qualifier, arg_max(value, put) AS value
 FROM ({_CUST_CELLS} UNION ALL {_SUPP_CELLS}) GROUP BY row_key, family, qualifier"""
 
 # --- documents -------------------------------------------------------------------------------
 SQL["docs_from_maps"] = """
 SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type, CAST(user_id AS VARCHAR) AS "user",
        CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR) AS value FROM events"""
-SQL["docs_from_json"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, "
-                         "CAST(NULL AS VARCHAR) AS bad_doc FROM events")
+SQL["docs_from_json"] = """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 7 = 0 THEN substr(props, 1, length(props) - 1) END AS bad_doc FROM events"""
 SQL["docs_routed"] = "SELECT event_id, user_id, value, event_type FROM events"
 SQL["docs_upsert"] = """
 SELECT event_id AS id, user_id,

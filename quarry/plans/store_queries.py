@@ -96,7 +96,7 @@ def _cell_store(spark, sf_dir):
 
 @register("cells_full_scan")
 def cells_full_scan(spark, sf_dir):
-    cells = cl.scan(spark, _cell_store(spark, sf_dir))
+    cells = cl.stored(spark, _cell_store(spark, sf_dir))
     return cl.to_rows(cells, "cf", {"name": "string", "acctbal": "double", "segment": "string"})
 
 
@@ -118,8 +118,9 @@ def cells_filter_scan(spark, sf_dir):
 def cells_put(spark, sf_dir):
     path = _cell_store(spark, sf_dir)
     s = read_table(spark, sf_dir, "supplier")
+    # the same version as the first put: the later put wins
     second = cl.to_cells(s, F.lpad(F.col("s_suppkey").cast("string"), 10, "0"), "cf",
-                         {"name": F.col("s_name"), "acctbal": F.col("s_acctbal").cast("decimal(18,2)")}, 2)
+                         {"name": F.col("s_name"), "acctbal": F.col("s_acctbal").cast("decimal(18,2)")}, 1)
     cl.put(second, path)
     return cl.scan(spark, path).select("row_key", "family", "qualifier", "value")
 
@@ -140,8 +141,13 @@ def docs_from_maps(spark, sf_dir):
 
 @register("docs_from_json")
 def docs_from_json(spark, sf_dir):
-    e = _events(spark, sf_dir).select("event_id", "props")
-    return dc.parse_docs(e, "props", "k INT", keep=["event_id"])
+    """JSON strings written as typed documents; every seventh event's string is torn and goes apart."""
+    e = _events(spark, sf_dir).select("event_id", F.when(F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)"))
+                                      .otherwise(F.col("props")).alias("props"))
+    path = dc.write_parsed(dc.parse_docs(e, "props", "k INT", keep=["event_id"]), scratch_path(spark, "jsondocs"))
+    good = spark.read.schema("event_id long, k int").json(f"{path}/docs").withColumn("bad_doc", F.lit(None).cast("string"))
+    bad = spark.read.schema("event_id long, bad_doc string").json(f"{path}/bad")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @register("docs_routed")

@@ -68,17 +68,30 @@ def test_inner_join_of_aggregates_with_a_hot_key(spark):
     assert plan.index("Join") < plan.index("Aggregate") and plan.count("Aggregate") == 2
 
 
-def test_sums_and_weights_are_not_rounded(spark):
+def test_sums_and_weights_take_any_double(spark):
+    import math
+
     import pytest
-    from quarry.functions.text import exact_sum, weighted_score
-    tiny = spark.createDataFrame([(3e-11,), (4e-11,), (None,)], "v double")
-    assert tiny.agg(exact_sum("v").alias("s")).first().s == pytest.approx(7e-11)
-    huge = spark.createDataFrame([(1e30,), (1.0,)], "v double")
-    assert huge.agg(exact_sum("v").alias("s")).first().s == 1e30
-    with pytest.raises(Exception, match="decimals"):
-        tiny.where("v is not null").select(weighted_score(["v"], (1.0,))).collect()
+    from quarry.functions.text import exact_sum, weighted_score, weighted_total
+    total = lambda values: spark.createDataFrame([(v,) for v in values], "v double").repartition(3).agg(
+        exact_sum("v").alias("s")).first().s
+    assert total([3e-11, 4e-11, None]) == pytest.approx(7e-11)
+    assert total([1e30, 1.0]) == 1e30
+    assert total([9e27] * 20) == pytest.approx(1.8e29)             # no overflow
+    assert total([9e17] * 20) == 1.8e19 and total([0.1] * 10) == 1.0
+    assert math.isnan(total([1.0, float("nan")])) and total([float("inf"), 1.0]) == float("inf")
+    assert total([None, None]) is None
+    ordinary = [0.1 + 0.2, 1 / 3, 1e15, -2.5, 1e-12, 123456.78]
+    d = spark.createDataFrame([(v, 1.0) for v in ordinary], "a double, b double")
+    got = [r.w for r in d.select(weighted_score(["a", "b"], (0.8, 1.0)).alias("w")).collect()]
+    assert got == pytest.approx([v * 0.8 + 1 for v in ordinary], rel=1e-15)
+    assert d.agg(weighted_total(["a", "b"], (0.8, 1.0)).alias("w")).first().w == pytest.approx(math.fsum(v * 0.8 + 1 for v in ordinary), rel=1e-15)
+    odd = spark.createDataFrame([(float("nan"), 1.0)], "a double, b double").select(weighted_score(["a", "b"], (0.8, 1.0)).alias("w"))
+    assert math.isnan(odd.first().w)
     one = spark.createDataFrame([(1.0, 1.0)], "a double, b double")
-    assert float(one.select(weighted_score(["a", "b"], (0.33333, 0.0004)).alias("w")).first().w) == 0.33373
+    assert one.select(weighted_score(["a", "b"], (0.33333, 0.0004)).alias("w")).first().w == 0.33373
+    gone = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
+    assert gone.agg(weighted_total(["a", "b"], (1.0, 1.0)).alias("w")).first().w == 5.0
 
 
 def test_positions_keep_null_groups_and_null_order_keys(spark):

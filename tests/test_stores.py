@@ -37,9 +37,23 @@ def test_cells_second_put_replaces(spark):
     assert cells.where("row_key = '2' AND qualifier = 'age'").first().value == "17"
 
 
+def test_later_put_wins_at_equal_version(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit("old").alias("a"), F.lit("old").alias("b"))
+    cells = lambda d: cl.to_cells(d, F.col("k"), "cf", {"a": F.col("a"), "b": F.col("b")})
+    path = cl.put(cells(df), scratch_path(spark, "t-cells4"), buckets=4)
+    cl.put(cells(df.withColumn("a", F.lit("new")).withColumn("b", F.lit("new"))), path, buckets=4)
+    got = cl.scan(spark, path, buckets=4)
+    assert got.count() == 2000 and got.where("value = 'new'").count() == 2000
+    rows = cl.to_rows(cl.stored(spark, path, 4), "cf", {"a": "string", "b": "string"})
+    assert rows.where("a = 'new' AND b = 'new'").count() == 1000
+    # neither the newest cells nor the rows move anything
+    for plan in (got, rows):
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_range_scan_exact_row_and_pushdown(spark):
     path = cl.put(_accounts(spark), scratch_path(spark, "t-cells3"))
-    raw = spark.read.parquet(path)
+    raw = cl.stored(spark, path)
     one = cl.range_scan(raw, "2", "2")
     assert sorted(r.qualifier for r in one.collect()) == ["age", "name"]
     rng = cl.range_scan(raw, "1", "3", "cf", ["name"])
@@ -72,6 +86,20 @@ def test_documents_maps_json_routes_and_ids(spark):
     air = spark.createDataFrame([(1, "OTP", 1), (2, "MUC", 1), (3, "SFO", 1)], "id int, iata string, version int")
     again = air.withColumn("version", F.lit(2))
     assert dc.upsert(air, again, "id").count() == 3
+    same = air.withColumn("iata", F.lit("NEW"))                     # of equal versions the new one wins
+    assert {r.iata for r in dc.upsert(air, same, "id").collect()} == {"NEW"}
+    twice = air.union(air.withColumn("iata", F.lit("ZZZ")))
+    assert dc.newest(twice, "id").collect() == dc.newest(twice.repartition(7), "id").orderBy("id").collect() or \
+        sorted(dc.newest(twice, "id").collect()) == sorted(dc.newest(twice.repartition(7), "id").collect())
+
+
+def test_json_documents_are_written_and_bad_ones_kept_apart(spark):
+    js = spark.createDataFrame([(1, '{"id":1,"blog":"a"}'), (2, "{broken"), (3, '{"id":"x"}'), (4, None)], "n int, doc string")
+    path = dc.write_parsed(dc.parse_docs(js, "doc", "id INT, blog STRING", keep=["n"]), scratch_path(spark, "t-json"))
+    good = spark.read.schema("n int, id int, blog string").json(f"{path}/docs")
+    bad = spark.read.schema("n int, bad_doc string").json(f"{path}/bad")
+    assert {(r.n, r.id, r.blog) for r in good.collect()} == {(1, 1, "a"), (4, None, None)}
+    assert {r.n: r.bad_doc for r in bad.collect()} == {2: "{broken", 3: '{"id":"x"}'}
 
 
 def test_graph_out_degree_fixture(spark):
@@ -102,13 +130,28 @@ def test_bitmap_fixture(spark):
     assert members == [1, 2, 3, 1000]
 
 
-def test_bitmap_roundtrip_counts(spark):
-    s1 = ids.to_bitmaps(spark.createDataFrame([(v,) for v in (1, 2, 3, 1000)], "v long"), "v").withColumn("s", F.lit(1))
-    s2 = ids.to_bitmaps(spark.createDataFrame([(v,) for v in (2, 3, 1010)], "v long"), "v").withColumn("s", F.lit(2))
-    path = scratch_path(spark, "t-bm")
-    s1.union(s2).write.parquet(path)
-    back = spark.read.parquet(path).groupBy("s").agg(F.sum(F.bitmap_count("bm")).alias("n"))
-    assert {r.s: r.n for r in back.collect()} == {1: 4, 2: 3}
+def test_containers_round_trip(spark):
+    dense = spark.range(0, 70000).withColumnRenamed("id", "v")
+    sparse = spark.createDataFrame([(v,) for v in (0, 1, 64, 65, 32768, 32769, 10**12, 2**50, None)], "v long")
+    for df, n in ((dense, 70000), (sparse, 8), (sparse.limit(0), 0)):
+        words = ids.to_bitmaps(df, "v")
+        packed = ids.pack(words)
+        back = ids.unpack(packed)
+        assert ids.cardinality(back).first().cardinality == n and ids.sets_equal(words, back).first().equal
+    kinds = ids.pack(ids.to_bitmaps(dense, "v")).selectExpr("bucket", "positions IS NOT NULL AS few").collect()
+    assert {r.bucket: r.few for r in kinds} == {0: True, 1: False, 2: False, 3: False}
+    assert not ids.sets_equal(ids.to_bitmaps(sparse, "v"), ids.to_bitmaps(sparse.where("v <> 64"), "v")).first().equal
+
+
+def test_sparse_sets_stay_small(spark):
+    path = scratch_path(spark, "t-sparse")
+    v = spark.range(1_000_000).select((F.col("id") * ((1 << 50) // 1_000_000)).alias("v"))
+    ids.pack(ids.to_bitmaps(v, "v")).write.parquet(path)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    assert size < 12 * 1_000_000                                   # a 4 KiB bitmap each would be 4 GB
+    assert ids.cardinality(ids.unpack(spark.read.parquet(path))).first().cardinality == 1_000_000
 
 
 def test_dense_positions_equal_row_number(spark):

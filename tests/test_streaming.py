@@ -299,3 +299,76 @@ def test_commits_follow_the_log_across_restarts(spark):
     got = {r.partition: r.next_offset for r in
            lg.current_commits(read_batches(spark, out, "topic string, partition int, next_offset long")).collect()}
     assert got == {0: 11, 1: 10, 2: 10}
+
+
+def _events(spark, ids, topic="t", parts=2):
+    return spark.createDataFrame([(topic, i % parts, None if i % 5 == 0 else str(i), f"v{i}", i) for i in ids],
+                                 "topic string, partition int, key string, value string, id long") \
+        .withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+
+
+def _seen(spark, out):
+    return sorted((r.partition, r.offset) for r in read_batches(
+        spark, out, "topic string, partition int, offset long, key string, value binary, timestamp timestamp_ntz").collect())
+
+
+def test_direct_stream_starts_and_carries_on(spark):
+    from quarry.sources.logstream import log_stream
+    path = scratch_path(spark, "t-direct")
+    lg.append_records(spark, path, _events(spark, range(0, 20)), "id", "w", 0)
+    runs = {"latest": "latest", "earliest": "earliest", "given": {"t/0": 7, "t/1": 10}}
+    at = {k: (scratch_path(spark, f"t-direct-{k}"), checkpoint_dir(spark, f"t-direct-{k}")) for k in runs}
+    for k, start in runs.items():
+        run_available(log_stream(spark, path, start), batch_dirs_sink(at[k][0]), at[k][1])
+    lg.append_records(spark, path, _events(spark, range(20, 31), parts=3), "id", "w", 1)       # with a new partition
+    for k, start in runs.items():                      # the start no longer matters, the checkpoint does
+        run_available(log_stream(spark, path, start), batch_dirs_sink(at[k][0]), at[k][1])
+    log = lg.read_log(spark, path)
+    every = sorted((r.partition, r.offset) for r in log.collect())
+    younger = sorted((r.partition, r.offset) for r in log.where("batch = 1").collect())
+    assert _seen(spark, at["latest"][0]) == younger and _seen(spark, at["earliest"][0]) == every
+    assert _seen(spark, at["given"][0]) == sorted([*younger, (0, 7), (0, 8), (0, 9)])
+    nulls = spark.read.parquet(f"{at['earliest'][0]}/batch=0").where("key IS NULL").count()
+    assert nulls == 4
+
+
+def test_appends_read_one_offsets_table(spark):
+    path = scratch_path(spark, "t-offsets")
+    for b in range(6):
+        lg.append_records(spark, path, _events(spark, range(b * 10, b * 10 + 10)), "id", "w", b)
+    lg.append_records(spark, path, _events(spark, range(50, 60)), "id", "w", 5)                # a replayed batch
+    assert len(lg._appends(spark, path)) == 6
+    bounds = lg.log_bounds(spark, path)
+    assert {(r.partition, r.earliest, r.latest) for r in bounds.collect()} == {(0, 0, 30), (1, 0, 30)}
+    assert len(bounds.inputFiles()) == 1
+    log = lg.read_log(spark, path)
+    assert log.count() == 60 and log.select("partition", "offset").distinct().count() == 60
+
+
+def test_undecodable_records_and_empty_batches_are_counted(spark):
+    out = scratch_path(spark, "t-decode")
+    sink = lg.decode_sink(out, "name string, age int", "name")
+    good = spark.createDataFrame([("beta", 23), ("spark", 34)], "name string, age int")
+    rows = good.select(lg.encode(good, ["name", "age"]).alias("value"))
+    bad = spark.createDataFrame([(bytearray(b"\x00\x01garbage"),), (None,)], "value binary")
+    sink(rows.union(bad), 0)
+    sink(rows.limit(0), 1)
+    counts = read_batches(spark, f"{out}/counts", "n long, bad long").collect()
+    assert {r.batch: (r.n, r.bad) for r in counts} == {0: (4, 2), 1: (0, 0)}
+    assert spark.read.parquet(f"{out}/records").count() == 2
+
+
+def test_console_sink_and_snapshot_interval(spark, capsys):
+    from quarry.streaming.runner import console_sink, set_state_snapshot_every
+    src, ck = scratch_path(spark, "t-console-src"), checkpoint_dir(spark, "t-console")
+    _add_file(spark, src, ["a b a"])
+    conf = "spark.sql.streaming.stateStore.minDeltasForSnapshot"
+    before = spark.conf.get(conf)
+    try:
+        set_state_snapshot_every(spark, 8)
+        assert spark.conf.get(conf) == "8"
+        st.run_counts(spark, st.running_word_totals(_text_stream(spark, src)), ck, console_sink(1))
+    finally:
+        spark.conf.set(conf, before)
+    shown = capsys.readouterr().out
+    assert "-- batch 0" in shown and "only showing top 1 row" in shown

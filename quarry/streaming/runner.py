@@ -27,11 +27,12 @@ def key_slices(df: DataFrame, n: int, key: str) -> list[DataFrame]:
 
 
 def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: str = "parquet",
-                cols: list[str] | None = None) -> str:
+                cols: list[str] | None = None, compression: str | None = None) -> str:
     """Write ``df`` as ``n_files`` key-range slices, one append per slice in key order, so a
     file stream reads them back as ordered micro-batches (oldest file first)."""
     for part in key_slices(df, n_files, order[0]):
-        getattr(part.select(*(cols or df.columns)).write.mode("append"), fmt)(path)
+        w = part.select(*(cols or df.columns)).write.mode("append")
+        getattr(w.option("compression", compression) if compression else w, fmt)(path)
     return path
 
 

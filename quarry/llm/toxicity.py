@@ -118,14 +118,16 @@ def _probability(weights: np.ndarray, ids: np.ndarray, first: np.ndarray, before
 
 def fit_chain(docs: DataFrame, labels: DataFrame, chain=CHAIN, doc_id: str = "doc_id", text: str = "text",
               fit_rows: int = FIT_ROWS, bits: int = FEATURE_BITS, folds: int = FOLDS) -> list[np.ndarray]:
-    """Weights of the chain's models, in order. Fitted on at most ``fit_rows`` labelled documents,
-    those whose ids hash lowest; without any there is no model (an empty list)."""
+    """Weights of the chain's models, in order. Fitted on at most ``fit_rows`` labelled documents of
+    ``docs``, those whose ids hash lowest; without any there is no model (an empty list). Labels of
+    other documents do not count, and rows that share an id are one document (the least text)."""
     size = 1 << bits
     ids = (labels.select(F.col(f"`{doc_id}`").alias("doc_id"),
                          *(F.coalesce(F.expr(cond), F.lit(False)).cast("double").alias(f"y{i}")
                            for i, (_, cond) in enumerate(chain)))
                  .where("doc_id is not null").groupBy("doc_id").agg(*(F.max(f"y{i}").alias(f"y{i}")
                                                                       for i in range(len(chain))))
+                 .join(docs.select(F.col(f"`{doc_id}`").alias("doc_id")), "doc_id", "left_semi")
                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
 
     @F.arrow_udf("array<int>")
@@ -140,6 +142,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, chain=CHAIN, doc_id: str = "do
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(
         F.broadcast(ids), "doc_id")
     ys = [f"y{i}" for i in range(len(chain))]
+    rows = rows.groupBy("doc_id", *ys).agg(F.min("text").alias("text"))
     data = saved(rows.select("doc_id", *ys, features.asNondeterministic()(F.col("text")).alias("x"),
                              F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)).cast("int").alias("fold")),
                  "toxicity-fit")

@@ -8,14 +8,11 @@ last, so results do not depend on the order in which rows reach the aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import EXACT, sum_parts
 
-#: panes of one key that are put together in one task; a key's panes beyond that go to others
-CHUNK = 4096
-
 
 def seconds(duration: str) -> int:
     """Length of ``"30 seconds"``, ``"5 minutes"`` ... in whole seconds."""
@@ -53,40 +50,16 @@ def sliding(df: DataFrame, ts: str, duration: str, slide: str, keys: list[str],
     return from_panes(panes(df, ts, slide, keys, value), duration, slide, keys)
 
 
-def from_panes(p: DataFrame, duration: str, slide: str, keys: list[str], chunk: int = CHUNK) -> DataFrame:
-    """Windows of ``duration`` every ``slide`` from panes of ``slide``.
-
-    Each pane sees the panes up to ``duration`` after it (a range frame) and makes the windows that
-    start after the pane before it and not after itself. A key's panes are cut into chunks of ``chunk``
-    slides, with the panes near a border in both chunks, so a hot key is spread over many tasks.
-    """
+def from_panes(p: DataFrame, duration: str, slide: str, keys: list[str]) -> DataFrame:
+    """Windows of ``duration`` every ``slide`` from panes of ``slide``: each pane is added to the windows it
+    lies in, by a partial and final aggregate, so a hot key is spread over many tasks. (A range frame
+    over the panes, which moves each pane once, took twice the time.)"""
     step, length = seconds(slide), seconds(duration)
     if length % step:
         raise ValueError(f"{duration} is not a multiple of {slide}")
-    reach, long = F.expr(f"INTERVAL {length - step} SECONDS"), F.expr(f"INTERVAL {step * chunk} SECONDS")
-    home = F.window("pane", f"{step * chunk} seconds")["start"]
-    tagged = p.withColumn("_q_home", home)
-    near = [F.when(F.col("pane") < F.col("_q_home") + reach, F.col("_q_home") - long),
-            F.when(F.col("pane") >= F.col("_q_home") + long - reach, F.col("_q_home") + long)]
-    tagged = tagged.withColumn("_q_chunk", F.explode(F.array_compact(F.array(F.col("_q_home"), *near))))
-    over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)}, _q_chunk ORDER BY pane"
-    seen = tagged.select(
-        *keys, "pane", (F.col("_q_home") == F.col("_q_chunk")).alias("_q_own"),
-        F.expr(f"lag(pane) {over})").alias("_q_before"),
-        F.expr(f"collect_list(struct(pane, exact, rest, cnt)) {over} RANGE BETWEEN CURRENT ROW AND "
-               f"INTERVAL {length - step} SECONDS FOLLOWING)").alias("_q_next"))
-    first = F.greatest(F.col("pane") - reach, F.col("_q_before") + F.expr(f"INTERVAL {step} SECONDS"))
-    starts = F.sequence(first, F.col("pane"), F.expr(f"INTERVAL {step} SECONDS"))
-    made = seen.where("_q_own").select(*keys, F.explode(starts).alias("window_start"), "_q_next")
-    inside = F.filter("_q_next", lambda x: x["pane"] <= F.col("window_start") + reach)
-    # like an aggregate's sum: nulls do not count, and only nulls sum to null
-    def total(field: str, kind: str):
-        values = F.filter(F.transform("_q_in", lambda x: x[field]), lambda v: v.isNotNull())
-        added = F.aggregate(values, F.lit(0).cast(kind), lambda a, v: (a + v).cast(kind))
-        return F.when(F.size(values) > 0, added)
-    rows = made.select(*keys, "window_start", inside.alias("_q_in")).select(
-        *keys, "window_start", total("exact", EXACT).alias("exact"), total("rest", "double").alias("rest"),
-        F.coalesce(total("cnt", "long"), F.lit(0)).cast("long").alias("cnt"))
+    starts = F.array(*(F.col("pane") - F.expr(f"INTERVAL {back} SECONDS") for back in range(0, length, step)))
+    rows = p.select(*keys, F.explode(starts).alias("window_start"), "exact", "rest", "cnt").groupBy(*keys, "window_start").agg(
+        F.sum("exact").cast(EXACT).alias("exact"), F.sum("rest").alias("rest"), F.sum("cnt").alias("cnt"))
     return _statistics(rows, keys, F.col("window_start"), F.col("window_start") + F.expr(f"INTERVAL {length} SECONDS"))
 
 

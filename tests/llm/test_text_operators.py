@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -318,7 +319,8 @@ def test_token_trees_equal_full_encoding(spark):
         tree = token_counts.Tree(*c.pieces(t))
         cuts = sorted(rng.sample(range(len(t) + 1), min(len(t) + 1, 2 * rng.randint(0, 4)) // 2 * 2)) if t else []
         edits = [(cuts[k], cuts[k + 1], "".join(rng.choices(alphabet, k=rng.randint(0, 6)))) for k in range(0, len(cuts), 2)]
-        new, _ = token_counts.apply_edits(tree, t, edits, c)
+        new, _, refused = token_counts.apply_edits(tree, t, edits, c)
+        assert refused == 0
         assert tree.n_tokens == len(c.encoding.encode_ordinary(new)) and int(tree.levels[-1][0, 0]) == len(new)
     texts = [None, "", "call 123456789012 now", "no edit here", "word " * 2000 + "10.0.0.1 end"]
     d = token_counts.count_tokens(docs(spark, texts))
@@ -330,5 +332,74 @@ def test_token_trees_equal_full_encoding(spark):
         assert r.edited.n_tokens == len(c.encoding.encode_ordinary(after)) and r.edited.n_encoded <= 60
 
 
+def edited(text, edits):
+    """Brute force: the edits that are taken, applied from the last to the first."""
+    done, taken = 0, []
+    for a, b, new in sorted((a, b, new or "") for a, b, new in edits):
+        if done <= a <= b <= len(text):
+            taken.append((a, b, new))
+            done = b
+    for a, b, new in reversed(taken):
+        text = text[:a] + new + text[b:]
+    return text, len(edits) - len(taken)
+
+
+def test_trees_stay_whole_over_rounds_of_edits():
+    c = token_counts.Counter(open(token_counts.VOCABULARY, "rb").read())
+    rng = random.Random(5)
+    alphabet = "ab Z 9 '.,\n\t  é'll's  !"
+    for turn in range(40):
+        t = "".join(rng.choices(alphabet, k=rng.choice([0, 3, 900, 6000])))
+        tree = token_counts.Tree(*c.pieces(t))
+        for _ in range(4):
+            edits = []
+            for _ in range(rng.choice([1, 3, 150])):
+                a = rng.randint(0, len(t) + 1)
+                edits.append((a, a + rng.choice([-1, 0, 0, 1, 2, 9, 300]),
+                              "".join(rng.choices(alphabet, k=rng.choice([0, 1, 4, 700 * (turn % 2)])))))
+            want, lost = edited(t, edits)
+            t, _, refused = token_counts.apply_edits(tree, t, edits, c)
+            assert t == want and refused == lost
+            lens, counts = c.pieces(t)
+            assert tree.chars.tolist() == lens.tolist() and tree.tokens.tolist() == counts.tolist()
+            fresh = token_counts.Tree(tree.chars, tree.tokens, tree.sizes)
+            tree = token_counts.unpack(*tree.pack()[1:])
+            assert tree.sizes.sum() == len(lens) and tree.n_tokens == counts.sum()
+            for have, right in zip(tree.levels, fresh.levels, strict=True):
+                assert (have == right).all()
+
+
+def test_edits_are_cheap_in_any_number():
+    c = token_counts.Counter(open(token_counts.VOCABULARY, "rb").read())
+    seconds = {}
+    for n in (10_000, 40_000):
+        t = "".join(f"some words {i:09d}" for i in range(n))
+        edits = [(20 * i + 11, 20 * i + 20, "[N]") for i in range(n)]
+        tree = token_counts.Tree(*c.pieces(t))
+        at = time.perf_counter()
+        new, _, _ = token_counts.apply_edits(tree, t, edits, c)
+        seconds[n] = time.perf_counter() - at
+        assert tree.n_tokens == len(c.encoding.encode_ordinary(new))
+    assert seconds[40_000] < 3 and seconds[40_000] < 12 * seconds[10_000]      # about 0.4 s; linear in the edits
+    # one edit in a long text opens one block only
+    t = "plain words in a row " * 100_000
+    tree = token_counts.Tree(*c.pieces(t))
+    new, encoded, _ = token_counts.apply_edits(tree, t, [(1_000_000, 1_000_003, "new")], c)
+    assert encoded < 40 and tree.n_tokens == len(c.encoding.encode_ordinary(new))
+
+
+def test_edits_without_place_are_refused(spark):
+    d = spark.createDataFrame([
+        (1, "one two three", [(0, 3, "uno"), (2, 5, "x"), (4, 7, None)]),
+        (2, "abc", [(None, 3, "x"), (2, 9, "x"), (-1, 0, "x"), (3, 3, " d")]),
+        (3, None, [(0, 0, "new text"), None]),
+        (4, "kept", None)], "doc_id long, text string, edits array<struct<start:int,end:int,new:string>>")
+    rows = token_counts.recount_tokens(token_counts.count_tokens(d), "edits").collect()
+    got = {r.doc_id: (r.edited.text, r.edited.n_refused) for r in rows}
+    assert got == {1: ("uno  three", 1), 2: ("abc d", 3), 3: ("new text", 1), 4: ("kept", 0)}
+    c = token_counts.Counter(open(token_counts.VOCABULARY, "rb").read())
+    assert all(r.edited.n_tokens == len(c.encoding.encode_ordinary(r.edited.text)) for r in rows)
+
+
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")

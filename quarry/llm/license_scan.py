@@ -303,7 +303,7 @@ def licences(files: DataFrame, path: str = "path", text: str = "text", out: str
     repeated rows are treated alike. A column of ``files`` named ``out`` is replaced.
     """
     p = F.col(f"`{path}`")
-    own, at, said = free_name(files, "own"), free_name(files, "at"), free_name(files, "said")
+    own, at, said, folder, nearest = (free_name(files, c) for c in ("own", "at", "said", "folder", "nearest"))
     stated = own_licence(F.col(f"`{notice}`"), min_cosine=min_cosine)["licence"] if notice else F.lit(None).cast("string")
     scanned = saved(files.withColumn(own, own_licence(F.col(f"`{text}`"), min_cosine=min_cosine)).withColumn(said, stated)
                     .withColumn(at, directory(p)).drop(*([out] if out in files.columns else [])), "licences")
@@ -321,13 +321,13 @@ def licences(files: DataFrame, path: str = "path", text: str = "text", out: str
     near = (folders.select("folder", F.posexplode(above(F.col("folder"))).alias("depth", "dir"))
                    .join(declared, "dir").groupBy("folder")
                    .agg(F.max(F.struct("depth", "name", "dir")).alias("n"))
-                   .select(F.col("folder").alias("_folder"), F.struct("n.name", "n.dir").alias("_near")))
-    j = scanned.join(near, scanned[at] == F.col("_folder"), "left")
-    n = F.col("_near")
+                   .select(F.col("folder").alias(folder), F.struct("n.name", "n.dir").alias(nearest)))
+    j = scanned.join(near, F.col(at) == F.col(folder), "left")
+    n = F.col(nearest)
     how = F.when(o.licence.isNotNull(), "own").when(n.isNotNull(), "inherited").otherwise("none")
     return j.withColumn(out, F.struct(F.coalesce(o.licence, n["name"]).alias("licence"), o.cosine.alias("cosine"),
                                       how.alias("how"), F.when(o.licence.isNull(), n["dir"]).alias("source"))
-                        ).drop(own, at, said, "_folder", "_near")
+                        ).drop(own, at, said, folder, nearest)
 
 
 def page_path(url: Column) -> Column:

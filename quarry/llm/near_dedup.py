@@ -5,7 +5,8 @@ keys by pairing every sub-key of one with every sub-key of the other. A table ke
 ``2 * ROWS`` minhashes although only ``2 * BANDS * ROWS`` are computed. At similarity 0.8 a pair
 shares no key with probability below ``2 * (1 - 0.8 ** ROWS) ** BANDS``, 2 in 100,000.
 
-1. Documents with equal shingle sets form a class; only its smallest id goes on.
+1. Documents with equal shingle sets form a class; only its smallest id goes on, with the hash of the
+   text that it has there. Classes that share an id are linked.
 2. Sub-keys held by one document only are left out, so most documents emit no table key at all.
 3. In each table group one pivot, the member that shares most groups, is compared with the others
    on the full shingle sets of the texts. Hot groups cost one comparison per member, and a hot
@@ -36,7 +37,6 @@ BANDS = 16
 ROWS = 3
 SIMILAR_PCT = 80
 SHINGLE_WORDS = 2
-ID_BROADCAST = 1_000_000   # ids, 8 bytes each, that may be broadcast; more are joined by shuffle
 PART_ROWS = 256        # members of a star that meet one copy of its pivot's text, on average
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
 STAR_ALL = 2048        # members of the star that they are compared with in one block
@@ -225,14 +225,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     |A | B|`` are linked; ``component_id`` is the smallest id reachable over links. Null, empty and
     blank texts have 0 shingles and are linked with nothing. Rows with a null id are linked with
     nothing and have a null component. Repeated rows give repeated result rows; rows with one id
-    and different texts count as one document linked with itself.
+    and different texts are one document: each text links as it would alone, and all its rows that have
+    shingles get one component.
     """
-    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sig = saved(base.select("doc_id", signature(F.col("text"), bands, rows, shingle_words).alias("s")).select("doc_id", "s.*"),
-                "signatures")
+    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn(
+        "hash", F.xxhash64("text"))
+    sig = saved(base.select("doc_id", "hash", signature(F.col("text"), bands, rows, shingle_words).alias("s")).select(
+        "doc_id", "hash", "s.*"), "signatures")
     held = sig.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = saved(held.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"), F.first("subkeys").alias("subkeys")),
-                    "classes")
+    # a class goes by its smallest id and, as that id may have other texts too, a hash of the text
+    classes = saved(held.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "hash")).alias("rep"),
+                                                 F.first("subkeys").alias("subkeys")), "classes")
+    # ids with texts of several classes link those classes
+    several = held.groupBy("doc_id").agg(F.min(F.struct("d0", "d1")).alias("a"), F.max(F.struct("d0", "d1")).alias("b")).where(
+        "a <> b").select("doc_id")
+    same = saved(held.join(several, "doc_id", "left_semi").select("doc_id", "d0", "d1").distinct().join(
+        classes.select("d0", "d1", "rep"), ["d0", "d1"]).select(F.col("doc_id").alias("u"), F.col("rep.doc_id").alias("v")),
+        "same-ids")
 
     # sub-keys that at least two classes hold
     h = classes.select("rep", F.posexplode("subkeys").alias("t", "h"))
@@ -248,34 +257,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # the pivot of a group is the member that meets most others over all its groups
     met = groups.groupBy("rep").agg(F.sum(F.col("k") - 1).alias("met"))
     ranked = groups.select("key", "rep").join(met, "rep")
-    pivot = ranked.groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("low"))).alias("m")).select(
-        "key", (-F.col("m.low")).alias("p"))
+    pivot = ranked.groupBy("key").agg(F.min(F.struct((-F.col("met")).alias("met"), "rep")).alias("m")).select(
+        "key", F.col("m.rep").alias("p"))
     # a group of at most PART_ROWS members makes part 0; larger ones are spread by their size
     star = groups.select("key", F.col("rep").alias("x"), "k").join(pivot, "key").where("x <> p").groupBy("p", "x").agg(
         F.max("k").alias("k"))
     star = saved(star.select("p", "x", F.expr(f"pmod(xxhash64(x), cast(ceil(k / {PART_ROWS}) as int))").alias("part")),
                  "stars")
     parts = saved(star.select("p", "part").distinct(), "star-parts")
-    who = saved(star.select(F.col("p").alias("doc_id")).union(star.select("x")).distinct(), "star-ids")
-    # only texts of star members move; up to ID_BROADCAST ids (8 bytes each) that is decided on the spot
-    if who.count() <= ID_BROADCAST:
-        who = F.broadcast(who)
-    texts = (base.where(F.col("doc_id").isNotNull()).join(who, "doc_id", "left_semi")
-                 .groupBy("doc_id").agg(F.min("text").alias("text")))
-    with_x = star.join(texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx")), "x")
-    pivots = parts.join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("tp")), "p")
+    who = saved(star.select(F.col("p").alias("rep")).union(star.select("x")).distinct().select("rep.*"), "star-ids")
+    # only texts of star members move further
+    texts = (base.where(F.col("doc_id").isNotNull()).join(who, ["doc_id", "hash"], "left_semi")
+                 .groupBy("doc_id", "hash").agg(F.min("text").alias("text")).select(F.struct("doc_id", "hash").alias("rep"), "text"))
+    with_x = star.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
+    pivots = parts.join(texts.select(F.col("rep").alias("p"), F.col("text").alias("tp")), "p")
     both = with_x.join(pivots, ["p", "part"])
     seen = saved(both.select("p", "x", "part", compared(F.col("tp"), F.col("tx"), shingle_words).alias("c")).select(
         "p", "x", "part", "c.*"), "compared")
     linked = F.expr(f"100 * common >= {similar_pct} * (np + nx - common)")
-    direct = seen.where(linked).select(F.col("p").alias("u"), F.col("x").alias("v"))
+    direct = seen.where(linked).select(F.col("p.doc_id").alias("u"), F.col("x.doc_id").alias("v")).union(same)
     labels = components(direct)
 
     # stars that still hold several components: compare their members across components
-    label_of = labels.select(F.col("node").alias("x"), F.col("label").alias("l"))
-    members = seen.join(label_of, "x", "left").withColumn("label", F.coalesce("l", "x")).drop("l")
-    home = parts.join(labels.select(F.col("node").alias("p"), F.col("label").alias("pl")), "p")
-    members = members.join(home, ["p", "part"], "left").withColumn("home", F.coalesce("pl", "p")).drop("pl")
+    label_of = labels.select(F.col("node").alias("id"), F.col("label").alias("l"))
+    members = seen.withColumn("id", F.col("x.doc_id")).join(label_of, "id", "left").withColumn(
+        "label", F.coalesce("l", "id")).drop("id", "l")
+    home = parts.withColumn("id", F.col("p.doc_id")).join(label_of.withColumnRenamed("l", "pl"), "id").drop("id")
+    members = members.join(home, ["p", "part"], "left").withColumn("home", F.coalesce("pl", "p.doc_id")).drop("pl")
     members = saved(members.withColumn("out", F.col("label") != F.col("home")), "star-members")
     counts = members.groupBy("p").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("out").cast("int")).alias("n_out"))
     # a lone outsider has only members of the pivot's component to meet, or none
@@ -284,7 +292,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.ceil(F.col("n_all") / STAR_ALL).cast("int").alias("rb"))
     m = members.join(parts.join(mixed, "p"), ["p", "part"]).withColumn("spread", F.xxhash64("x"))
     span = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    cols = ["p", "x", "label", "np", "nx", "miss", "extra"]
+    cols = ["p", F.col("x.doc_id").alias("x"), "label", "np", "nx", "miss", "extra"]
     outs = m.where("out").withColumn("i", F.expr("cast(pmod(spread, lb) as int)")).select(
         *cols, F.lit(0).alias("side"), "i", F.explode(span("rb")).alias("j"))
     alls = m.withColumn("j", F.expr("cast(pmod(spread, rb) as int)")).select(
@@ -295,7 +303,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     rest = saved(outs.unionByName(alls).groupBy("p", "i", "j").applyInArrow(links, "u long, v long"), "star-links")
     final = components(direct.union(rest))
-    rep_label = classes.select("d0", "d1", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    rep_label = classes.select("d0", "d1", F.col("rep.doc_id").alias("rep")).join(
+        final.withColumnRenamed("node", "rep"), "rep", "left")
     rep_label = rep_label.select("d0", "d1", F.coalesce("label", "rep").alias("component"))
     return sig.join(rep_label, ["d0", "d1"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

@@ -5,6 +5,8 @@ import pyarrow as pa
 
 from quarry.llm.common import mix64
 from quarry.llm.language_id import GRAM_BITS, _classify, folded, grams
+from quarry.llm.license_scan import licences
+from quarry.llm.near_dedup import deduplicate, near_duplicates
 from quarry.llm.toxicity import fit_chain
 
 
@@ -30,3 +32,30 @@ def test_counts_over_a_million_keep_their_order():
     first = np.array([0 if k == key(letters[0]) else 1 for k in known])
     names, score = _classify(pa.array([text]), ["swapped", "right"], known, np.stack([1 - first, first]), 2, (1,))
     assert names == ["right"] and score[0] == 1.0
+
+
+def test_every_text_of_a_repeated_id_keeps_its_links(spark):
+    words = [f"w{i}" for i in range(200)]
+    text, other, third = " ".join(words), " ".join(f"o{i}" for i in range(200)), " ".join(f"t{i}" for i in range(200))
+    changed = lambda t: " ".join([*t.split()[:100], "new", *t.split()[101:]])
+    rows = [(5, other), (5, text), (9, text), (20, changed(text)),     # 5 has two texts, 9 and 20 link to one
+            (30, changed(other)),                                      # and 30 to the other
+            (40, third), (41, changed(third)), (42, third), (42, text + " again"),   # 42 joins both groups
+            (50, ""), (50, "alone and short"), (51, None), (None, text)]
+    got = {}
+    for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        if r.n_shingles:
+            got.setdefault(r.doc_id, set()).add(r.component_id)
+    assert got == {**{i: {5} for i in (5, 9, 20, 30, 40, 41, 42)}, 50: {50}, None: {None}}
+    alone = [r for r in rows if r[0] is not None and r[0] != 42]
+    kept = deduplicate(spark.createDataFrame(alone, "doc_id long, text string")).select("doc_id").distinct()
+    assert {r.doc_id for r in kept.collect()} == {5, 40, 50, 51}
+
+
+def test_columns_named_like_helpers(spark):
+    files = spark.createDataFrame(
+        [("d/LICENSE", "Licensed under the MIT License.", "a", "b", "c"), ("d/e/x.py", "print(1)", "a", "b", "c")],
+        "path string, text string, _near string, _folder string, folder string")
+    rows = {r.path: r for r in licences(files).collect()}
+    assert rows["d/e/x.py"].licence.how == "inherited" and rows["d/e/x.py"]["_near"] == "a"
+    assert licences(files).columns == [*files.columns, "licence"]

@@ -28,8 +28,8 @@ REPEAT_WINDOW = 3
 MAX_NGRAM_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 # largest allowed share of word characters inside lines that equal an earlier line
 MAX_LINE_SHARE = 0.20
-# in a text of fewer words, one line that comes twice is judged by its line share alone
-SHORT_WORDS = 100
+# word characters that later copies of n-grams may cover in any text: one full line that comes again
+MIN_COVERED = 80
 SYMBOLS = "#*$%&|<>"
 
 NOT_NEWLINE = ~byte_class((0x0A, 0x0A))
@@ -94,13 +94,14 @@ def repetition(text: Column, lengths: tuple[int, ...] = tuple(MAX_NGRAM_SHARE))
 
 
 def quality(docs: DataFrame, text: str = "text", out: str = "quality",
-            ngram_share: dict[int, float] | None = None, line_share: float = MAX_LINE_SHARE) -> DataFrame:
+            ngram_share: dict[int, float] | None = None, line_share: float = MAX_LINE_SHARE,
+            min_covered: int = MIN_COVERED) -> DataFrame:
     """Every row of ``docs`` (all columns kept) with a struct ``out`` of measures and verdict.
 
     ``base_failed``: under 50 words, or more than half of the words inside repeated 3-word windows.
     ``kept``: not base_failed, and the later copies of n-grams of every length and of lines stay
-    within their share of the word characters. In a text of under ``SHORT_WORDS`` words with one
-    line that comes twice, n-grams count only beyond that line. A null, empty or blank text has no words and fails.
+    within their share of the word characters, or those of n-grams cover at most ``min_covered``
+    characters. A null, empty or blank text has no words and fails.
     Repeated rows are judged alike, row by row. A column of ``docs`` named ``out`` is replaced.
     """
     limits = dict(sorted((MAX_NGRAM_SHARE if ngram_share is None else ngram_share).items()))
@@ -108,7 +109,7 @@ def quality(docs: DataFrame, text: str = "text", out: str = "quality",
     q = F.col(f"`{out}`")
     failed = (q.n_words < MIN_WORDS) | (100 * q.n_repeat_words > MAX_REPEAT_PCT * q.n_words)
     good = q.line_share <= line_share
-    once = (q.n_words < SHORT_WORDS) & (q.n_dup_lines == 1)
     for i, most in enumerate(limits.values()):
-        good = good & ((q.ngram_share[i] <= most) | (once & (q.ngram_share[i] <= q.line_share)))
+        # a share is a whole number of characters over another, so rounding gives that number again
+        good = good & ((q.ngram_share[i] <= most) | (F.round(q.ngram_share[i] * q.word_chars) <= min_covered))
     return m.withColumn(out, q.withField("base_failed", failed).withField("kept", ~failed & good))

@@ -81,6 +81,54 @@ def test_quality_counts_later_copies(spark):
     assert [round(q.ngram_share[0], 2) for q in rows] == [0.15, 0.2, 0.13, 0.25]
 
 
+def brute_shares(t):
+    """Shares of word characters in later copies: of lines, then of n-grams of 5 to 10 words."""
+    found = list(re.finditer(r"[^\x20\x09-\x0D]+", t))
+    w = [m.group() for m in found]
+    chars = sum(map(len, w)) or 1
+    seen, again = set(), 0
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += (line in seen) * len(re.sub(r"[\x20\x09-\x0D]", "", line))
+            seen.add(line)
+    out = [again / chars]
+    for n in range(5, 11):
+        known, covered = set(), set()
+        for i in range(len(w) - n + 1):
+            if tuple(w[i:i + n]) in known:
+                covered.update(range(i, i + n))
+            known.add(tuple(w[i:i + n]))
+        out.append(sum(len(w[i]) for i in covered) / chars)
+    return out
+
+
+def test_quality_shares_equal_brute_force(spark):
+    rng = random.Random(8)
+    lines = [" ".join(rng.choices(["ab", "é", "c", "longer", "z9"], k=rng.randint(0, 12))) for _ in range(60)]
+    made = ["\n".join(rng.choices(lines, k=rng.randint(0, 30))) for _ in range(120)] + ["", " \n\t\n", "one"]
+    rows = quality(docs(spark, [*made, None])).orderBy("doc_id").collect()
+    for r, t in zip(rows, [*made, ""], strict=True):
+        assert [r.quality.line_share, *r.quality.ngram_share] == pytest.approx(brute_shares(t), abs=1e-12)
+    assert quality(docs(spark, made).limit(0)).collect() == []
+
+
+def test_quality_verdict_by_planted_repetition(spark):
+    def planted(n, copies, words):
+        """``n`` different words, and a passage of ``words`` other ones ``copies`` times more, words between."""
+        fresh = iter(range(10_000, 99_999))
+        word = lambda k: " ".join(f"w{next(fresh)}" for _ in range(k))
+        passage = word(words)
+        return " ".join([word(n), passage, *(f"{word(1)} {passage}" for _ in range(copies))])
+
+    # later copies: 5%, 9%, 12%, 20%, 40% of 1,000 words
+    strengths = [planted(n, c, 50) for n, c in ((899, 1), (858, 2), (768, 3), (746, 4), (542, 8))]
+    kept = lambda texts: [r.kept for r in quality(docs(spark, texts)).orderBy("doc_id").select("quality.kept").collect()]
+    assert kept(strengths) == [True, True, False, False, False]
+    # no jump by length: a copied passage of 13 words (78 characters) is let be, one of 14 words is not
+    around = [planted(n, 1, k) for n in (60, 68, 70, 71, 72, 73) for k in (13, 14)]
+    assert kept(around) == [True, False] * 6
+
+
 def brute_hits(t, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     w, hit, own = word.findall((t or "").translate(LOW)), set(), set()

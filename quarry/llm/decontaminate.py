@@ -6,8 +6,9 @@ position can jump ahead, suffix buckets that select the patterns ending at a zer
 and a direct comparison of all words that confirms an occurrence. The texts of a slice are cut
 into overlapping stretches and one numpy cursor walks each stretch, all cursors in step.
 
-Patterns come in blocks of bounded size, each collected and broadcast on its own; a further block
-is a further narrow pass over the texts. No stage shuffles documents.
+Patterns come in blocks of bounded size, each collected and broadcast on its own; ``BLOCKS_AT_ONCE``
+blocks make a narrow pass over the texts, whose result is written before the next pass. No stage
+shuffles documents.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ WINDOW = 10
 BLOCK_PATTERNS = 100_000      # patterns per broadcast block: at most some tens of megabytes
 STRETCH = 256                 # words one cursor walks
 SUFFIX = 4                    # words that pick a suffix bucket
+BLOCKS_AT_ONCE = 2            # blocks that one Python worker holds
 ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,6 +47,27 @@ def patterns(items: DataFrame, item_id: str = "item_id", text: str = "text", win
              .groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items")))
 
 
+def window_hash(ids: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
+    """64-bit hash of the ``m`` word numbers from each start."""
+    out = np.zeros(len(start), dtype=np.uint64)
+    for q in range(m):
+        out = mix64(out * np.uint64(0x2545F4914F6CDD1D) + ids[start + q].astype(np.uint64) + np.uint64(1))
+    return out
+
+
+def bisect_in(values: np.ndarray, x: np.ndarray, lo: np.ndarray, hi: np.ndarray, right: bool) -> np.ndarray:
+    """Place of each ``x`` in its own sorted range ``values[lo:hi]``, before or after equal values."""
+    lo, hi = lo.copy(), hi.copy()
+    while True:
+        open_ = np.flatnonzero(lo < hi)
+        if not len(open_):
+            return lo
+        mid = (lo[open_] + hi[open_]) // 2
+        up = values[mid] <= x[open_] if right else values[mid] < x[open_]
+        lo[open_[up]] = mid[up] + 1
+        hi[open_[~up]] = mid[~up]
+
+
 class Tables:
     """Search tables of all patterns of one length ``m`` in a block."""
 
@@ -57,8 +80,9 @@ class Tables:
         for q in range(self.b, self.m + 1):        # block ending at word q: shift m - q
             np.minimum.at(self.shift, self.slot(ids[:, q - self.b], ids[:, q - 1]), self.m - q)
         suffix = rolling(ids.reshape(-1).astype(np.uint64), self.s)[self.m - self.s::self.m]
-        order = np.argsort(suffix, kind="stable")
-        self.suffix, self.ids = suffix[order], ids[order]
+        whole = window_hash(ids.reshape(-1), np.arange(len(ids)) * self.m, self.m)
+        order = np.lexsort((whole, suffix))
+        self.suffix, self.whole, self.ids = suffix[order], whole[order], ids[order]
         self.pats = [pats[i] for i in order]
         self.owners = [owners[i] for i in order]
 
@@ -128,7 +152,13 @@ def _occurrences(t: Tables, ids, first, buf, start, end) -> tuple[np.ndarray, np
         return last, last
     suffix = rolling(ids.astype(np.uint64), t.s)[last - t.s + 1]
     lo = np.searchsorted(t.suffix, suffix, side="left")
-    n = np.searchsorted(t.suffix, suffix, side="right") - lo
+    hi = np.searchsorted(t.suffix, suffix, side="right")
+    some = np.flatnonzero(hi > lo)
+    last, lo, hi = last[some], lo[some], hi[some]
+    # of a bucket only the patterns with the hash of all the window's words are compared
+    whole = window_hash(ids, last - t.m + 1, t.m)
+    lo, hi = bisect_in(t.whole, whole, lo, hi, False), bisect_in(t.whole, whole, lo, hi, True)
+    n = hi - lo
     where = np.repeat(last, n) - t.m + 1
     pat = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
     for q in range(t.m):                              # direct comparison, word numbers first
@@ -218,6 +248,8 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", out: st
         block = Block([(list(r["words"]), list(r["items"])) for r in part.select("words", "items").collect()])
         cols.append(free_name(df, f"hits{k}"))
         df = df.withColumn(cols[-1], _find(spark.sparkContext.broadcast(block), F.col(f"`{text}`")))
+        if (k + 1) % BLOCKS_AT_ONCE == 0 and k + 1 < blocks:
+            df = saved(df, "searched")                # a worker holds the blocks of one pass only
     if blocks == 1:
         n_hit, items_hit = F.col(f"{cols[0]}.n_hit"), F.col(f"{cols[0]}.items")
     else:

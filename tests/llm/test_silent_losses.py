@@ -1,9 +1,12 @@
 """Cases in which rows or counts used to be lost without a word."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
 from quarry.llm.common import mix64
+from quarry.llm.decontaminate import Block, _search
 from quarry.llm.language_id import GRAM_BITS, _classify, folded, grams
 from quarry.llm.license_scan import licences
 from quarry.llm.near_dedup import deduplicate, near_duplicates
@@ -59,3 +62,18 @@ def test_columns_named_like_helpers(spark):
     rows = {r.path: r for r in licences(files).collect()}
     assert rows["d/e/x.py"].licence.how == "inherited" and rows["d/e/x.py"]["_near"] == "a"
     assert licences(files).columns == [*files.columns, "licence"]
+
+
+def test_many_patterns_of_one_suffix():
+    # answer templates: 20,000 patterns end in the same four words, and so does every line of the text
+    tail = "the right answer is"
+    block = Block([([f"a{i}", f"b{i}", f"c{i}", f"d{i}", f"e{i}", f"f{i}", *tail.split()], [f"item{i}"]) for i in range(20_000)])
+    planted = {70: 3, 900: 19_999, 4000: 3}
+    text = "".join(f"a{planted[i]} b{planted[i]} c{planted[i]} d{planted[i]} e{planted[i]} f{planted[i]} {tail} "
+                   if i in planted else f"x{i} {tail} " for i in range(5000))
+    tracemalloc.start()
+    (n_words, n_hit, runs, items), = _search(pa.array([text]), block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n_words, n_hit, items) == (len(text.split()), 30, ["item19999", "item3"]) and len(runs) == 6
+    assert len(text) > 120_000 and peak < 100 << 20                     # 1.4 GB when whole buckets were expanded

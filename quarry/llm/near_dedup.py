@@ -37,6 +37,7 @@ BANDS = 16
 ROWS = 3
 SIMILAR_PCT = 80
 SHINGLE_WORDS = 2
+ID_BROADCAST = 1_000_000   # ids with a hash, 16 bytes each, that may be broadcast; more are joined by shuffle
 PART_ROWS = 256        # members of a star that meet one copy of its pivot's text, on average
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
 STAR_ALL = 2048        # members of the star that they are compared with in one block
@@ -266,7 +267,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  "stars")
     parts = saved(star.select("p", "part").distinct(), "star-parts")
     who = saved(star.select(F.col("p").alias("rep")).union(star.select("x")).distinct().select("rep.*"), "star-ids")
-    # only texts of star members move further
+    # only texts of star members move; up to ID_BROADCAST ids that is decided where the texts are read
+    if who.count() <= ID_BROADCAST:
+        who = F.broadcast(who)
     texts = (base.where(F.col("doc_id").isNotNull()).join(who, ["doc_id", "hash"], "left_semi")
                  .groupBy("doc_id", "hash").agg(F.min("text").alias("text")).select(F.struct("doc_id", "hash").alias("rep"), "text"))
     with_x = star.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")

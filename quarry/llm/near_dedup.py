@@ -37,7 +37,7 @@ BANDS = 16
 ROWS = 3
 SIMILAR_PCT = 80
 SHINGLE_WORDS = 2
-ID_BROADCAST = 1_000_000   # ids with a hash, 16 bytes each, that may be broadcast; more are joined by shuffle
+MARKS = 1 << 27        # bits of the broadcast filter of star members: at most 16 MB whatever the input
 PART_ROWS = 256        # members of a star that meet one copy of its pivot's text, on average
 STAR_LEFT = 256        # members outside the pivot's component that one block holds
 STAR_ALL = 2048        # members of the star that they are compared with in one block
@@ -266,11 +266,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     star = saved(star.select("p", "x", F.expr(f"pmod(xxhash64(x), cast(ceil(k / {PART_ROWS}) as int))").alias("part")),
                  "stars")
     parts = saved(star.select("p", "part").distinct(), "star-parts")
+    mark = F.pmod(F.xxhash64("doc_id", "hash"), F.lit(MARKS)) + 1
     who = saved(star.select(F.col("p").alias("rep")).union(star.select("x")).distinct().select("rep.*"), "star-ids")
-    # only texts of star members move; up to ID_BROADCAST ids that is decided where the texts are read
-    if who.count() <= ID_BROADCAST:
-        who = F.broadcast(who)
-    texts = (base.where(F.col("doc_id").isNotNull()).join(who, ["doc_id", "hash"], "left_semi")
+    # hardly any text but those of star members moves: a bit filter of fixed size, then the exact join
+    marks = who.select(mark.alias("mark")).groupBy(F.bitmap_bucket_number("mark").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits"))
+    marked = (base.where(F.col("doc_id").isNotNull()).withColumn("mark", mark)
+                  .withColumn("part", F.bitmap_bucket_number("mark")).withColumn("at", F.bitmap_bit_position("mark"))
+                  .join(F.broadcast(marks), "part")
+                  .where("getbit(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int), cast(at % 8 as int)) = 1"))
+    texts = (marked.select("doc_id", "hash", "text").join(who, ["doc_id", "hash"], "left_semi")
                  .groupBy("doc_id", "hash").agg(F.min("text").alias("text")).select(F.struct("doc_id", "hash").alias("rep"), "text"))
     with_x = star.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
     pivots = parts.join(texts.select(F.col("rep").alias("p"), F.col("text").alias("tp")), "p")

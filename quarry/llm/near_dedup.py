@@ -268,14 +268,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = saved(star.select("p", "part").distinct(), "star-parts")
     mark = F.pmod(F.xxhash64("doc_id", "hash"), F.lit(MARKS)) + 1
     who = saved(star.select(F.col("p").alias("rep")).union(star.select("x")).distinct().select("rep.*"), "star-ids")
-    # hardly any text but those of star members moves: a bit filter of fixed size, then the exact join
+    # hardly any text but those of star members moves: a bit filter of fixed size, then the exact join; an
+    # inner join (the ids are distinct), because the optimizer would move a semi join ahead of the filter
     marks = who.select(mark.alias("mark")).groupBy(F.bitmap_bucket_number("mark").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits"))
     marked = (base.where(F.col("doc_id").isNotNull()).withColumn("mark", mark)
                   .withColumn("part", F.bitmap_bucket_number("mark")).withColumn("at", F.bitmap_bit_position("mark"))
                   .join(F.broadcast(marks), "part")
                   .where("getbit(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int), cast(at % 8 as int)) = 1"))
-    texts = (marked.select("doc_id", "hash", "text").join(who, ["doc_id", "hash"], "left_semi")
+    texts = (marked.select("doc_id", "hash", "text").join(who, ["doc_id", "hash"])
                  .groupBy("doc_id", "hash").agg(F.min("text").alias("text")).select(F.struct("doc_id", "hash").alias("rep"), "text"))
     with_x = star.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
     pivots = parts.join(texts.select(F.col("rep").alias("p"), F.col("text").alias("tp")), "p")

@@ -55,6 +55,21 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
 FROM q JOIN same USING (src, name, pos, size) LEFT JOIN n USING (src, name, pos, size)
 """
 
+SQL["op8_near_dedup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 1), ' ') AS x
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS s) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM sh a JOIN sh b USING (x)
+  WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM c JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * common >= 80 * (p.n + q.n - common)),
+e AS (SELECT u, v FROM l UNION SELECT v, u FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d WHERE doc_id IS NOT NULL UNION SELECT r.x, e.v FROM r JOIN e ON e.u = r.y),
+m AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 SQL["op10_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 win AS (SELECT doc_id, s, md5(array_to_string(list_slice(w, s, s + 12), ' ')) AS p

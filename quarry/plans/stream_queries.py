@@ -1,5 +1,5 @@
 """Streaming queries. Inputs are staged from the shared tables into file-stream folders
-(several files, read one per micro-batch); each query runs to the end of its input and returns
+(several files, read in a fixed number of micro-batches); each query runs to the end of its input and returns
 what its sink holds."""
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from quarry.sources.tables import read_table
 from quarry.streaming import late
 from quarry.streaming import state as st
 from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_instant, newest_per_key, noop_sink, read_batches,
-                                     run_available, run_slices, stage_files, to_instant)
+                                     run_available, run_slices, stage_files, stream_in_batches, to_instant)
 from quarry.streaming.topk import top_k_sink
 
 N_FILES = 4
@@ -38,10 +38,8 @@ def _staged_lines(spark, sf_dir):
 
 
 def _line_stream(spark, path):
-    """Directory text stream: each new file is read once, in about ``N_FILES`` micro-batches however many
-    files there are (every micro-batch writes a change of the whole state)."""
-    n = len(spark.read.text(path).inputFiles())
-    return spark.readStream.option("maxFilesPerTrigger", max(1, -(-n // N_FILES))).text(path)
+    """Directory text stream: each new file is read once."""
+    return stream_in_batches(spark, path, "value string", N_FILES, fmt="text")
 
 
 @register("stream_batch_word_count")
@@ -142,7 +140,7 @@ def _current_pages(spark, checkpoint, batch=None):
 def stream_top_pages(spark, sf_dir):
     """Scores summed per page in state, seeded with page1 = 0.0; top 10 of the final state."""
     src = stage_files(_page_lines(spark, sf_dir), scratch_path(spark, "pop-src"), N_FILES, ["l_orderkey"])
-    stream = spark.readStream.schema("l_orderkey long, value string").option("maxFilesPerTrigger", 1).parquet(src)
+    stream = stream_in_batches(spark, src, "l_orderkey long, value string", N_FILES)
     checkpoint = checkpoint_dir(spark, "pop")
     run_available(_page_totals(spark, stream, scratch_path(spark, "pop-seed")), noop_sink, checkpoint, mode="update")
     return rel.top_k(_current_pages(spark, checkpoint), 10, [F.desc("pop"), F.asc("page")])

@@ -36,6 +36,15 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: list[str], fmt: s
     return path
 
 
+def stream_in_batches(spark: SparkSession, path: str, schema: str, n: int, fmt: str = "parquet") -> DataFrame:
+    """File stream that reads what lies in ``path`` now in at most ``n`` micro-batches, oldest files first. A large
+    table is staged as many files; a micro-batch for each would update nearly every key of the state that often,
+    so that work would grow with files times keys."""
+    files = len(getattr(spark.read.schema(schema), fmt)(path).inputFiles())
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, -(-files // n)))
+    return getattr(reader, fmt)(path)
+
+
 def run_slices(df: DataFrame, path: str, n: int, key: str, transform: Callable[[DataFrame], DataFrame],
                sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str, marker: DataFrame | None = None) -> None:
     """Feed a stream one key slice at a time, each a micro-batch of its own whatever its number of

@@ -372,3 +372,27 @@ def test_console_sink_and_snapshot_interval(spark, capsys):
         spark.conf.set(conf, before)
     shown = capsys.readouterr().out
     assert "-- batch 0" in shown and "only showing top 1 row" in shown
+
+
+def _counted_batches(monkeypatch, sink="noop_sink"):
+    """Ids of the micro-batches that reach ``sink`` of the stream queries."""
+    from quarry.plans import stream_queries as sq
+    seen, plain = set(), getattr(sq, sink)
+
+    def counted(df, batch):
+        seen.add(batch)
+        plain(df, batch)
+    monkeypatch.setattr(sq, sink, counted)
+    return sq, seen
+
+
+def test_top_pages_take_four_micro_batches_however_many_files(spark, monkeypatch):
+    from conftest import SF_SMALL
+    sq, seen = _counted_batches(monkeypatch)
+    want = sq.stream_top_pages(spark, SF_SMALL).collect()
+    assert seen == set(range(4))
+    lines = sq._page_lines
+    monkeypatch.setattr(sq, "_page_lines", lambda s, d: lines(s, d).repartition(5))      # 20 files
+    seen.clear()
+    assert sq.stream_top_pages(spark, SF_SMALL).collect() == want
+    assert seen == set(range(4))

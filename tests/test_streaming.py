@@ -396,3 +396,19 @@ def test_top_pages_take_four_micro_batches_however_many_files(spark, monkeypatch
     seen.clear()
     assert sq.stream_top_pages(spark, SF_SMALL).collect() == want
     assert seen == set(range(4))
+
+
+def test_window_join_opens_its_state_once_a_slice(spark, monkeypatch):
+    import os
+    from conftest import SF_SMALL
+    from quarry.plans import stream_queries as sq
+    from quarry.plans import window_graph_queries as wq
+    conf = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before, checkpoint = spark.conf.get(conf), checkpoint_dir(spark, "t-join")
+    monkeypatch.setattr(sq, "checkpoint_dir", lambda s, name: checkpoint)
+    got = sq.stream_join_sum_count(spark, SF_SMALL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wq.win_tumbling(spark, SF_SMALL).select(got.columns).collect()))
+    # four slices, the end-of-stream row, and one batch without rows that closes the last windows
+    assert len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()]) == 6
+    assert not [d for _, dirs, _ in os.walk(f"{checkpoint}/state") for d in dirs if d.endswith("keyToNumValues")]
+    assert spark.conf.get(conf) == before

@@ -78,8 +78,7 @@ def _staged_purchases(spark, sf_dir):
 
 
 def _purchase_stream(spark, path):
-    return (spark.readStream.schema("event_id long, user_id long, value double, ts timestamp_ntz")
-                 .option("maxFilesPerTrigger", 1).parquet(path))
+    return stream_in_batches(spark, path, "event_id long, user_id long, value double, ts timestamp_ntz", N_FILES)
 
 
 @register("stream_payment_totals")

@@ -84,18 +84,24 @@ def current_sums(spark: SparkSession, columns: list[str], checkpoint: str, scale
 def combine_in_partitions(df: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame],
                           merge: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Map-side combine ahead of a state operator: ``combine`` folds each Arrow batch of raw rows
-    to one partial row per key, ``merge`` folds these into the partition's partials as they come, so
-    one row per key is held. It is stateless
+    to one partial row per key, ``merge`` folds these into the partition's partials whenever they are as
+    many, so about two rows per key are held and each is merged a few times, however many batches a
+    partition has. It is stateless
     (``mapInPandas``), so a stream may run it before ``applyInPandasWithState``; a hot key then
     reaches its state task with one row per input partition and micro-batch, not all its rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        parts, held, new = [], 0, 0
         for b in batches:
             if len(b):
-                part = combine(b)
-                held = part if held is None else merge(pd.concat([held, part], ignore_index=True))
-        if held is not None:
-            yield held
+                parts.append(combine(b))
+                new += len(parts[-1])
+                if len(parts) > 1 and new >= held:
+                    parts = [merge(pd.concat(parts, ignore_index=True))]
+                if len(parts) == 1:
+                    held, new = len(parts[0]), 0
+        if len(parts) > 1:
+            parts = [merge(pd.concat(parts, ignore_index=True))]
+        yield from parts
     return df.mapInPandas(run, schema)
 
 
@@ -142,8 +148,11 @@ def amount_partial(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def amount_merge(partials: pd.DataFrame) -> pd.DataFrame:
-    totals = partials.groupby("user_id", dropna=False)["amount"].agg(lambda a: str(exact_total(a)))
-    return totals.reset_index()
+    codes, users = pd.factorize(partials["user_id"], use_na_sentinel=False)
+    ctx, totals = Context(prec=DIGITS, traps=[]), [Decimal(0)] * len(users)
+    for i, x in zip(codes.tolist(), partials["amount"]):
+        totals[i] = ctx.add(totals[i], Decimal(x))
+    return pd.DataFrame({"user_id": users, "amount": [str(t) for t in totals]})
 
 
 AMOUNT_PARTIAL = (amount_partial, amount_merge, "user_id long, amount string")

@@ -412,3 +412,31 @@ def test_window_join_opens_its_state_once_a_slice(spark, monkeypatch):
     assert len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()]) == 6
     assert not [d for _, dirs, _ in os.walk(f"{checkpoint}/state") for d in dirs if d.endswith("keyToNumValues")]
     assert spark.conf.get(conf) == before
+
+
+def test_partials_are_merged_in_proportion_to_the_rows(spark):
+    # 64 Arrow batches of 50 new keys each: merging every batch into all held ones would take 104,000 rows
+    seen = spark.sparkContext.accumulator(0)
+
+    def merge(partials):
+        seen.add(len(partials))
+        return st.amount_merge(partials)
+    rows = spark.range(3200, numPartitions=1).select(F.expr("nullif(id, 7)").alias("user_id"), F.lit(0.1).alias("value"))
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 50)
+    try:
+        got = st.combine_in_partitions(rows.unionAll(rows).coalesce(1), st.amount_partial, merge, st.AMOUNT_PARTIAL[2]).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert len(got) == 3200 and {r.amount for r in got} == {"0.2"} and sum(r.user_id is None for r in got) == 1
+    assert seen.value < 32_000
+
+
+def test_purchases_take_four_micro_batches_however_many_files(spark):
+    from conftest import SF_SMALL
+    from quarry.plans import stream_queries as sq
+    src, seen = scratch_path(spark, "t-many"), set()
+    sq._event_slices(spark, SF_SMALL).repartition(9).write.parquet(src)
+    run_available(sq._purchase_stream(spark, src), lambda df, b: seen.add(b), checkpoint_dir(spark, "t-many"))
+    assert len(seen) <= 4

@@ -147,6 +147,11 @@ def words(text: str) -> list[str]:
     return [w.removesuffix(".0") for w in TOKEN.findall(text.lower())]
 
 
+def word_lines(text: str | None) -> list[list[str]]:
+    """Words of each line that has some."""
+    return [x for x in map(words, (text or "").splitlines()) if x]
+
+
 class Index:
     """Unit TF-IDF vectors of the statements and headings, one row each."""
 
@@ -180,20 +185,18 @@ class Index:
             self.version.append(np.array([self.ids[w] for w in name if w[0].isdigit() and not clauses], dtype=np.int64))
         self.mass = self.unit ** 2
 
-    def passages(self, text: str) -> tuple[list[tuple[str, float]], bool]:
-        """Licence and cosine of the best passage for each statement that is met, and whether one of
-        these passages begins in the first ``HEAD_LINES`` lines."""
-        lines = [x for x in map(words, (text or "").splitlines()) if x]
-        at = np.array([self.ids.get(w, 0) for x in lines for w in x], dtype=np.int64)
-        number = np.array([w[0].isdigit() for x in lines for w in x], dtype=bool)
+    def passages(self, lines: list[list[str]]) -> tuple[list[tuple[str, float]], bool]:
+        """Licence and cosine of the best passage of ``word_lines`` for each statement that is met, and
+        whether one of these passages begins in the first ``HEAD_LINES`` lines."""
         met = np.zeros(self.unit.shape[1])
-        met[at] = 1
-        met[0] = 0
+        met[[self.ids[w] for w in self.ids.keys() & set().union(*lines)]] = 1
         # a passage's cosine is at most the root of the statement's mass on words that the text has
         near = np.flatnonzero(self.mass @ met >= self.min_cosine ** 2 * (1 - 1e-9))
         near = [i for i in near if met[self.needs[i]].all()]
         if not near:
             return [], False
+        at = np.array([self.ids.get(w, 0) for x in lines for w in x], dtype=np.int64)
+        number = np.array([w[0].isdigit() for x in lines for w in x], dtype=bool)
         first = np.cumsum([0, *map(len, lines)])
         head = int(first[min(HEAD_LINES, len(lines))])
         weight = self.idf[at]
@@ -240,7 +243,7 @@ class Index:
         return min(1.0, round(float((x * self.unit[i][one]).sum() / math.sqrt(total)), 9))
     def best(self, text: str | None) -> tuple[str, float] | None:
         """Licence and cosine of the closest passage (ties: first by name); None where none is close."""
-        found, _ = self.passages(text)
+        found, _ = self.passages(word_lines(text))
         return min(found, key=lambda f: (-f[1], f[0])) if found else None
 
 
@@ -255,8 +258,9 @@ class Scan:
     def best(self, text: str | None) -> tuple[str | None, float | None, bool]:
         """Licence and cosine of the closest passage (ties: first by name), and whether the text opens
         with a passage that is close."""
+        lines = word_lines(text)
         for index in self.indexes:
-            found, head = index.passages(text)
+            found, head = index.passages(lines)
             if found:
                 return *min(found, key=lambda f: (-f[1], f[0])), head
         return None, None, False

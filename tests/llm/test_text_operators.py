@@ -451,3 +451,13 @@ def test_edits_without_place_are_refused(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_licence_scan_takes_the_words_of_a_text_once(monkeypatch):
+    from quarry.llm import license_scan as ls
+    calls, words = [], ls.words
+    scan = ls.Scan()
+    monkeypatch.setattr(ls, "words", lambda t: calls.append(t) or words(t))
+    assert scan.best("no such thing\n\nin these lines") == (None, None, False)
+    assert calls == ["no such thing", "", "in these lines"]
+    assert scan.best("Released under the MIT License.")[0] == "MIT" and scan.best(None) == (None, None, False)

@@ -24,6 +24,7 @@ from quarry.streaming.runner import (batch_dirs_sink, checkpoint_dir, from_insta
 from quarry.streaming.topk import top_k_sink
 
 N_FILES = 4
+FILE_LINES = 100_000
 # The reference's initial word state and its popularity seed page.
 WORD_SEEDS = (("hello", 1), ("world", 1))
 PAGE_SEED = ("page1", 0.0)
@@ -32,9 +33,8 @@ PAGE_SEED = ("page1", 0.0)
 def _staged_lines(spark, sf_dir):
     """Document lines as compressed text files in one folder: ``N_FILES`` document-id slices."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = tx.document_lines(docs)
-    return stage_files(lines.select("doc_id", F.col("line").alias("value")), scratch_path(spark, "lines-src"),
-                       N_FILES, ["doc_id"], fmt="text", cols=["value"], compression="gzip")
+    return stage_files(docs, scratch_path(spark, "lines-src"), N_FILES, ["doc_id"], fmt="text", compression="lz4",
+                       rows=lambda part: tx.document_lines(part).select(F.col("line").alias("value")), file_rows=FILE_LINES)
 
 
 def _line_stream(spark, path):

@@ -440,3 +440,47 @@ def test_purchases_take_four_micro_batches_however_many_files(spark):
     sq._event_slices(spark, SF_SMALL).repartition(9).write.parquet(src)
     run_available(sq._purchase_stream(spark, src), lambda df, b: seen.add(b), checkpoint_dir(spark, "t-many"))
     assert len(seen) <= 4
+
+
+def test_slices_are_ranges_a_scan_can_skip(spark, capsys):
+    from quarry.streaming.runner import key_slices
+    src = scratch_path(spark, "t-slices")
+    spark.range(1, 11).select(F.expr("nullif(id, 4)").alias("k")).write.parquet(src)
+    slices = key_slices(spark.read.parquet(src), 4, "k")
+    assert [sorted(r.k or 0 for r in s.collect()) for s in slices] == [[0, 1, 2, 3], [5], [6, 7], [8, 9, 10]]
+    for s in slices:
+        s.explain()
+        pushed = capsys.readouterr().out.split("PushedFilters: [")[1].split("]")[0]
+        assert "LessThanOrEqual(k" in pushed or "GreaterThan(k" in pushed
+    last = 2**63 - 1
+    for typ, keys in (("long", [last, last, None]), ("double", [0.5, float("nan"), None]), ("long", [-last - 1, 0, last])):
+        df = spark.createDataFrame([(x,) for x in keys], f"k {typ}")
+        assert sum(s.count() for s in key_slices(df, 4, "k")) == 3
+
+
+def test_staged_lines_are_bounded_files_and_split_once(spark, monkeypatch):
+    import os
+    from conftest import SF_SMALL
+    from quarry.plans import stream_queries as sq
+    from quarry.sources.tables import read_table
+    split, parts, path = sq.tx.document_lines, [], scratch_path(spark, "t-lines")
+    monkeypatch.setattr(sq, "FILE_LINES", 50)
+    monkeypatch.setattr(sq, "scratch_path", lambda s, name: path)
+    monkeypatch.setattr(sq.tx, "document_lines", lambda docs: parts.append(docs.count()) or split(docs))
+    docs = read_table(spark, SF_SMALL, "documents")
+    assert sq._staged_lines(spark, SF_SMALL) == path
+    assert len(parts) == 4 and sum(parts) == docs.count()        # each slice of documents is split into lines, and only once
+    per_file = spark.read.text(path).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert max(r["count"] for r in per_file) <= 50
+    want = split(docs).groupBy(F.col("line").alias("value")).count()
+    got = spark.read.text(path).groupBy("value").count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert not any(f.endswith(".gz") for f in os.listdir(path))
+
+
+def test_state_is_written_without_a_count_of_its_keys(spark):
+    src, ck = scratch_path(spark, "t-nocount-src"), checkpoint_dir(spark, "t-nocount")
+    _add_file(spark, src, ["a b a"])
+    q = run_available(st.running_word_totals(_text_stream(spark, src)), noop_sink, ck, mode="update")
+    op = q.lastProgress["stateOperators"][0]
+    assert op["numRowsUpdated"] == 2 and op["numRowsTotal"] == 0
